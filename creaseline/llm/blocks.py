@@ -55,6 +55,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+def scaled(i: int, odd: np.uint64) -> np.uint64:
+    return U64(i * int(odd) % (1 << 64))
+
+
 def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, U64)
     if n:

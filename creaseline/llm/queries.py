@@ -7,20 +7,31 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from creaseline.llm import sentencepiece_codec
+from creaseline.llm import dart_minhash, sentencepiece_codec, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentencepiece_codec.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepiece_codec.encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece,)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op9_dart_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
