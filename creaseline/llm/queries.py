@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from creaseline.llm import dart_minhash, sentencepiece_codec, substring_dedup
+from creaseline.llm import dart_minhash, sentencepiece_codec, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,8 +30,14 @@ def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    return toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op9_dart_minhash)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op9_dart_minhash, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
