@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from creaseline.llm import dart_minhash, sentencepiece_codec, substring_dedup, toxicity
+from creaseline.llm import dart_minhash, decontamination, secret_scan, sentencepiece_codec, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir)).drop("text")
+
+
 def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -37,7 +45,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op9_dart_minhash, op10_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op6_decontamination, op7_secret_scan, op9_dart_minhash, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
