@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from creaseline.llm import dart_minhash, decontamination, secret_scan, sentencepiece_codec, substring_dedup, toxicity
+from creaseline.llm import dart_minhash, decontamination, language_id, secret_scan, sentencepiece_codec, substring_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, ~language_id.held_out())
+    plain = docs.select("doc_id", "text").withColumn("held_out", language_id.held_out())
+    return language_id.identify(plain, model).select("doc_id", "held_out", "lang_pred", "score", "spans")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +42,56 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir)).drop("text")
 
 
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """List entries that the crawl itself yields: pages on suspicious hosts report their domain, others a section."""
+    host, segment = url_filter.host_of(F.col("url")), url_filter.segment_of(F.col("url"))
+    domain = F.regexp_replace(host, r"^(www|blog|m)\.", "")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 53, F.lit(366)).cast("int"))
+    action = F.when(F.col("page_id") % 3 == 0, "remove").otherwise("add")
+    entry = lambda name, rule: (F.lit(name).alias("list"), rule.alias("rule"), action.alias("action"), day.alias("listed_on"), F.col("page_id").alias("seq"))
+    suspicious = pages.where(host.rlike("spam|casino|pills|adult|bets")).select(*entry("block", domain))
+    sections = pages.where(F.col("url").contains("utm_source") & (F.col("page_id") % 7 == 0)).select(*entry("block", F.concat(domain, F.lit("/"), segment)))
+    trusted = pages.where(F.col("url").contains("#top") & (F.col("page_id") % 11 == 0)).select(*entry("allow", F.concat(host, F.lit("/"), segment)))
+    return suspicious.unionByName(sections).unionByName(trusted)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 37, F.lit(366)).cast("int"))
+    return url_filter.evaluate(pages.select("page_id", "url", day.alias("fetched_on")), dated_entries(pages)).drop("url")
+
+
+OP8_SQL = r"""
+WITH parts AS (
+  SELECT page_id, url,
+         nullif(regexp_replace(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.+$', ''), '') AS host,
+         regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*/([^/?#]+)', 1) AS segment,
+         DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS fetched_on,
+         DATE '2024-01-01' + CAST(page_id * 53 % 366 AS INTEGER) AS listed_on,
+         CASE WHEN page_id % 3 = 0 THEN 'remove' ELSE 'add' END AS action
+  FROM pages),
+named AS (SELECT *, regexp_replace(host, '^(www|blog|m)\.', '') AS domain FROM parts),
+entries AS (
+  SELECT 'block' AS list, domain AS rule, action, listed_on, page_id FROM named WHERE regexp_matches(host, 'spam|casino|pills|adult|bets')
+  UNION ALL SELECT 'block', domain || '/' || segment, action, listed_on, page_id FROM named WHERE contains(url, 'utm_source') AND page_id % 7 = 0
+  UNION ALL SELECT 'allow', host || '/' || segment, action, listed_on, page_id FROM named WHERE contains(url, '#top') AND page_id % 11 = 0),
+daily AS (SELECT list, lower(rule) AS rule, listed_on, arg_max(action, page_id) AS action FROM entries GROUP BY 1, 2, 3),
+dated AS (SELECT *, lead(listed_on) OVER (PARTITION BY list, rule ORDER BY listed_on) AS until FROM daily),
+asked AS (
+  SELECT page_id, fetched_on, unnest([array_to_string(list_slice(string_split(host, '.'), i, 99), '.') FOR i IN range(1, greatest(2, len(string_split(host, '.'))))]) AS suffix, segment
+  FROM named),
+rules AS (SELECT page_id, fetched_on, suffix AS rule FROM asked UNION ALL SELECT page_id, fetched_on, suffix || '/' || segment FROM asked WHERE segment <> ''),
+ranked AS (
+  SELECT r.page_id, d.list, d.rule, d.listed_on,
+         row_number() OVER (PARTITION BY r.page_id ORDER BY d.list = 'allow' DESC, length(d.rule) DESC, d.rule DESC, d.listed_on DESC) AS k
+  FROM rules r JOIN dated d ON r.rule = d.rule AND d.action = 'add' AND r.fetched_on >= d.listed_on AND (d.until IS NULL OR r.fetched_on < d.until))
+SELECT n.page_id, n.fetched_on, n.host,
+       CASE WHEN k.rule IS NULL THEN 'unlisted' WHEN k.list = 'allow' THEN 'allowed' ELSE 'blocked' END AS verdict,
+       k.rule, k.listed_on AS listed_since
+FROM named n LEFT JOIN ranked k ON n.page_id = k.page_id AND k.k = 1
+"""
+
+
 def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -45,8 +103,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op6_decontamination, op7_secret_scan, op9_dart_minhash, op10_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op3_language_id, op6_decontamination, op7_secret_scan, op8_url_filter, op9_dart_minhash, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_url_filter": OP8_SQL}
