@@ -1,7 +1,8 @@
 """Operator 4: approximate nearest neighbours on robust-pruned directed graphs, one for each shard.
 
-Equal vectors are one point with its smallest ids, so no vector can be hot. Points are dealt to shards of about
-SHARD_POINTS by a hash of the id. A shard inserts its points in growing batches: a greedy beam search from the entry
+Equal vectors are one point with its smallest ids, so no vector can be hot. Points are dealt to shards by length (bands
+of 5 %, which inner products need: long points would hide short ones in one graph) and then by a hash of the id, about
+SHARD_POINTS in each. A shard inserts its points in growing batches: a greedy beam search from the entry
 point proposes neighbours, relaxed distance pruning (a candidate goes if a kept one is closer to it by the factor
 RELAX) keeps diverse edges, and reverse edges are pruned the same way. Largest inner product becomes smallest
 distance by one more coordinate that makes all points equally long. Each block of queries then searches each shard's
@@ -31,7 +32,7 @@ SHARD_POINTS = 8_000
 QUERY_BLOCK = 4_096
 DEGREE = 32
 BUILD_BEAM = 64
-SEARCH_BEAM = 128
+SEARCH_BEAM = 144
 RELAX = 1.2
 BATCH = 256
 #: Beam members that one round expands.
@@ -47,10 +48,12 @@ def beam_search(points: np.ndarray, graph: np.ndarray, queries: np.ndarray, entr
     score = np.full((n, beam), -np.inf, np.float32)
     open_ = np.zeros((n, beam), bool)
     first = min(beam, len(entry))
-    ids[:, :first] = entry[:first]
-    score[:, :first] = queries @ points[entry[:first]].T
+    begin = queries @ points[entry].T
+    top = np.argpartition(-begin, first - 1, axis=1)[:, :first] if first else np.zeros((n, 0), np.int64)
+    ids[:, :first] = entry[top]
+    score[:, :first] = np.take_along_axis(begin, top, 1)
     open_[:, :first] = True
-    seen[:, entry[:first]] = True
+    seen[:, entry] = True
     active = np.arange(n)
     while len(active):
         waiting = np.where(open_[active], score[active], -np.inf)
@@ -140,7 +143,8 @@ def build(points: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
                 for part in np.array_split(np.arange(len(both)), max(1, len(both) // 512)):
                     graph[ends[some][part]] = robust_prune(points, ends[some][part], both[part])
         done += len(own)
-    return graph, entry
+    reached = np.bincount(graph.ravel(), minlength=n + 1)[:n] > 0
+    return graph, np.union1d(entry, np.flatnonzero(~reached))  # points that lost all edges to them are entries
 
 
 def lengthened(vectors: np.ndarray) -> np.ndarray:
@@ -165,6 +169,10 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame,
     return rows.where(F.size("v") == width).groupBy("id").agg(F.min("v").alias("v")), width
 
 
+def no_hits(rows: DataFrame) -> DataFrame:
+    return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
 def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found for each row that is_query (an expression on `id`) admits."""
     rows, width = usable(vectors, id_col, vector_col)
@@ -172,10 +180,20 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "
     place = F.row_number().over(W.partitionBy("v").orderBy("id"))
     few = rows.withColumn("place", place).where(F.col("place") <= k + 1)  # k others than the query itself
     points = cut(few.groupBy("v").agg(F.min("id").alias("point"), F.sort_array(F.collect_list("id")).alias("ids")))
-    shards = max(1, round(points.count() / SHARD_POINTS))
+    band = F.round(F.log(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))) / np.log(1.05)).cast("int")
+    points = points.withColumn("band", band)
+    # bands are bounded by the range of exponents, so this small table can be broadcast
+    bands, shards = [], 0
+    for r in points.groupBy("band").agg(F.count(F.lit(1)).alias("n")).orderBy("band").collect():
+        bands.append((r["band"], shards, max(1, round(r["n"] / SHARD_POINTS))))
+        shards += bands[-1][2]
+    if not bands:
+        return no_hits(rows)
+    bands = rows.sparkSession.createDataFrame(bands, "band int, first int, deals int")
     queries = rows.where(is_query)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    placed = points.select(F.pmod(F.xxhash64("point"), F.lit(shards)).alias("shard"), "point", "v")
+    dealt = (F.col("first") + F.pmod(F.xxhash64("point"), F.col("deals"))).cast("long")
+    placed = points.join(F.broadcast(bands), "band").select(dealt.alias("shard"), "point", "v")
 
     def index(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("point")
@@ -184,9 +202,9 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "points": pa.array([table.column("point").to_numpy().tobytes()], pa.binary()), "vectors": pa.array([original.tobytes()], pa.binary()), "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()), "entry": pa.array([entry.tobytes()], pa.binary())})
 
     built = cut(placed.groupBy("shard").applyInArrow(index, "shard long, points binary, vectors binary, graph binary, entry binary"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    asked = queries.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "v").withColumn("shard", every(shards).cast("long"))
-    copies = built.withColumn("block", every(blocks).cast("long"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    asked = queries.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "v").withColumn("shard", every(shards))
+    copies = built.withColumn("block", every(blocks))
 
     def search(key: tuple, asking: pa.Table, graphs: pa.Table) -> pa.Table:
         q = matrix(asking.column("v"), width)
