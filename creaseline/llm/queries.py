@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.llm import dart_minhash, decontamination, graph_ann, language_id, secret_scan, sentencepiece_codec, substring_dedup, toxicity, url_filter
+from creaseline.llm import dart_minhash, decontamination, graph_ann, language_id, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op4_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 20 == 0)
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -107,7 +111,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op3_language_id, op4_graph_ann, op6_decontamination, op7_secret_scan, op8_url_filter, op9_dart_minhash, op10_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op3_language_id, op4_graph_ann, op5_suffix_array, op6_decontamination, op7_secret_scan, op8_url_filter, op9_dart_minhash, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
