@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
 NONE = np.iinfo(np.int32).max
@@ -263,6 +264,6 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text", with
 
     schema = docs.select(*kept).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if with_ids:
-        schema = schema.add("ids", "array<int>").add("decoded", "string")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
     names = schema.names
     return docs.select(*kept, F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, schema)
