@@ -16,14 +16,14 @@ def spread_labels(labels: DataFrame, links: DataFrame, node: str) -> DataFrame:
     the shuffle. Nodes without links keep their labels.
     """
     both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    now = cut(labels.join(both.select(F.col("a").alias(node)).distinct(), node, "left_semi"))
+    linked = both.select(F.col("a").alias(node)).distinct()
+    now = cut(labels.join(linked, node, "left_semi").select(node, "label"))
     while True:
-        heard = both.join(now.withColumnRenamed(node, "b"), "b").select(F.col("a").alias(node), "label")
-        heard = heard.unionByName(now).groupBy(node).agg(F.min("label").alias("label"))
-        new = cut(heard)
-        changed = new.join(now.withColumnRenamed("label", "was"), node).where("label < was")
-        if changed.isEmpty():
+        heard = both.join(now.withColumnRenamed(node, "b"), "b").select(F.col("a").alias(node), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("was"))
+        own = now.select(node, "label", F.col("label").alias("was"))
+        now = cut(heard.unionByName(own).groupBy(node).agg(F.min("label").alias("label"), F.min("was").alias("was")))
+        if now.where("label < was").isEmpty():
             break
-        now = new
+        now = now.select(node, "label")
     done = now.select(node, F.col("label").alias("least"))
     return cut(labels.join(done, node, "left").select(node, F.coalesce("least", "label").alias("label")))

@@ -9,9 +9,11 @@ with the probability of their weighted Jaccard similarity. If a coordinate stays
 
 Then, all in Spark: documents with equal weighted sets collapse into one node; bands of the signatures are joined;
 every node of a band bucket is verified exactly against the bucket's pivot (the node met most often in buckets);
-links give components. Buckets that hold more than one component get further pivots, and what is then still
-unresolved gets all its pairs from different components verified, so that no link is lost to the choice of pivots.
-Pairs within a component are never needed, and copies are never expanded.
+links give components. In buckets that hold more than one component, nodes that cannot have a further link go: a
+node shares with any other at most those of its elements that occur in a second open node, which bounds the size of
+a partner. Then every pair from different components is verified that the bounds admit: two nodes share at most the
+smaller of their overlaps with the pivot, and the smaller number of further elements that others hold. So no link is
+lost to the choice of pivots. Pairs within a component are never needed, and copies are never expanded.
 
 With `bands` x `rows` = 28 x 4, a pair of similarity 0.8 shares no bucket with probability 4e-7.
 
@@ -29,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from creaseline.llm.blocks import U64, WordHashes, as_bytes, cut, hash_words, mix, rabin_karp, scaled
 from creaseline.llm.components import spread_labels
@@ -38,8 +41,6 @@ SIMILARITY = 0.8
 BANDS, ROWS = 28, 4
 LAST = np.iinfo(np.int64).max
 NO_DART = np.iinfo(np.uint64).max
-#: Pivots tried in each unresolved bucket before all its remaining pairs are verified.
-PIVOT_ROUNDS = 3
 #: Members verified against one copy of a pivot's text.
 MEMBERS = 200
 #: Cumulative Poisson(1) probabilities as 64-bit thresholds.
@@ -105,7 +106,7 @@ def fingerprint(cells: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame, bands: int, rows: int, width: int) -> DataFrame:
-    """doc_id, fp (equal for equal weighted sets, null without words), bands."""
+    """doc_id, fp (equal for equal weighted sets, null without words), size (total weight), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -114,29 +115,29 @@ def sketch(docs: DataFrame, bands: int, rows: int, width: int) -> DataFrame:
                 sets = [elements(t, width) for t in as_bytes(b.column(1))]
                 keys = band_keys(signatures(sets, bands * rows), bands, rows)
                 fps = [fingerprint(s) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(keys.ravel()))], names=["doc_id", "fp", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(keys.ravel()))], names=["doc_id", "fp", "size", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, fp binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, fp binary, size long, bands array<long>")
 
 
-def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, width: int) -> DataFrame:
-    """Of the pairs (pivot, fp), those of at least that weighted Jaccard similarity, computed on whole texts.
+def overlaps(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """For each pair (pivot, fp): both, the weight that the two whole texts share, and joint, the weight of their union.
 
     The members of a pivot are dealt to groups of about MEMBERS, each with its own copy of the pivot's text.
     """
-    sizes = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("deals"))
-    dealt = pairs.join(cut(sizes), "pivot").select("pivot", F.pmod(F.xxhash64("fp"), F.col("deals")).alias("deal"), "fp")
-    dealt = cut(dealt)
-    roles = dealt.withColumn("member", F.lit(1)).unionByName(dealt.select("pivot", "deal", F.col("pivot").alias("fp"), F.lit(0).alias("member")).distinct())
-    roles = roles.join(nodes.select("fp", "rep"), "fp")
+    large = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("deals")).where("deals > 1")
+    dealt = pairs.join(cut(large), "pivot", "left").withColumn("deal", F.pmod(F.xxhash64("fp"), F.coalesce("deals", F.lit(1))))
+    role = lambda who, member: F.struct(F.col(who).alias("fp"), F.lit(member).alias("member"))
+    roles = dealt.select("pivot", "deal", F.explode(F.array(role("pivot", 0), role("fp", 1))).alias("r")).distinct()
+    roles = roles.select("pivot", "deal", "r.fp", "r.member").join(nodes.select("fp", "rep"), "fp")
     texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("rep"), "text")
-    rows = cut(roles).join(texts, "rep").select("pivot", "deal", "member", "fp", "text")
+    rows = roles.join(texts, "rep").select("pivot", "deal", "member", "fp", "text")
     rows = rows.repartition("pivot", "deal").sortWithinPartitions("pivot", "deal", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, cells = None, np.zeros(0, U64)
         for b in batches:
-            out: list[tuple[bytes, bytes]] = []
+            out: list[tuple] = []
             texts = as_bytes(b.column(4))
             for pivot, deal, member, fp, text in zip(*(b.column(i).to_pylist() for i in range(4)), texts, strict=True):
                 own = elements(text, width)
@@ -147,48 +148,77 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: fl
                 elif now == (pivot, deal):
                     at = np.minimum(np.searchsorted(cells, own), len(cells) - 1)
                     both = int((cells[at] == own).sum())
-                    if both >= similarity * (len(cells) + len(own) - both):
-                        out.append((pivot, fp))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], names=["pivot", "fp"])
+                    out.append((pivot, fp, both, len(cells) + len(own) - both))
+            columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.binary(), pa.binary(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["pivot", "fp", "both", "joint"])
 
-    return rows.mapInArrow(run, "pivot binary, fp binary").distinct()
+    return rows.mapInArrow(run, "pivot binary, fp binary, both long, joint long").distinct()
+
+
+def partner_limits(docs: DataFrame, nodes: DataFrame, open_: DataFrame, similarity: float, width: int) -> DataFrame:
+    """fp, size, shared (the weight that a second open node or pivot holds too) and reach: the largest size of a partner.
+
+    A pair of sizes x and y and similarity s needs an overlap of (x + y) * s / (1 + s).
+    """
+    wanted = cut(open_.select("fp").unionByName(open_.select(F.col("pivot").alias("fp"))).distinct().join(nodes.select("fp", "rep", "size"), "fp"))
+    rows = wanted.join(docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("rep"), "text"), "rep").select("fp", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for at in range(0, big.num_rows, 500):
+                b = big.slice(at, 500)
+                sets = [elements(t, width) for t in as_bytes(b.column(1))]
+                right = [len(s) > 0 and fingerprint(s) == fp for s, fp in zip(sets, b.column(0).to_pylist(), strict=True)]
+                sets = [s if r else s[:0] for s, r in zip(sets, right, strict=True)]
+                owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), b.column(0).take(pa.array(owner))], names=["element", "fp"])
+
+    held = rows.mapInArrow(run, "element long, fp binary").groupBy("element")
+    alone = held.agg(F.min("fp").alias("fp"), F.max("fp").alias("other")).where("fp = other").groupBy("fp").agg(F.count(F.lit(1)).alias("alone"))
+    shared = F.col("size") - F.coalesce("alone", F.lit(0))
+    return cut(wanted.join(alone, "fp", "left").select("fp", "size", shared.alias("shared"), (F.floor(shared * (1 + similarity) / similarity + 1e-6) - F.col("size")).alias("reach")))
+
+
+def several_labels(open_: DataFrame) -> DataFrame:
+    """Rows of buckets that hold nodes of more than one component."""
+    keys = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    return cut(open_.join(cut(keys), "key"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and class_id, the smallest doc_id of its class of near-duplicates: one row per row of docs."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     sketched = cut(sketch(docs, bands, rows, width))
-    nodes = sketched.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("rep"), F.first("bands").alias("bands"))
+    nodes = sketched.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("rep"), F.max("size").alias("size"), F.first("bands").alias("bands"))
     nodes = cut(nodes)
     placed = nodes.select("fp", F.explode("bands").alias("key"))
     sizes = cut(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    placed = cut(placed.join(sizes, "key"))  # in buckets of several nodes only
-    popular = cut(placed.groupBy("fp").agg(F.sum("n").alias("met")))
-    placed = cut(placed.join(popular, "fp").select("key", "fp", "met"))
+    open_ = placed.join(sizes, "key")  # buckets of several nodes
+    open_ = cut(open_.select("key", "fp", F.sum("n").over(W.partitionBy("fp")).alias("met")))
     labels = nodes.select("fp", F.col("rep").alias("label"))
-    links = None
-    open_ = placed
-    for turn in range(PIVOT_ROUNDS + 1):
-        if turn < PIVOT_ROUNDS:
-            best = F.max(F.struct("met", "fp"))
-            pivots = cut(open_.groupBy("key").agg(best.alias("best")).select("key", F.col("best.fp").alias("pivot")))
-            pairs = open_.join(pivots, "key")
-        else:  # everything that is left: pairs of nodes from different components
-            other = open_.select("key", F.col("fp").alias("pivot"), F.col("label").alias("other"))
-            pairs = open_.join(other, "key").where((F.col("pivot") < F.col("fp")) & (F.col("label") != F.col("other")))
-            pivots = None
-        found = cut(verified(docs, nodes, cut(pairs.where("pivot != fp").select("pivot", "fp").distinct()), similarity, width))
-        links = found if links is None else cut(links.unionByName(found))
-        labels = spread_labels(labels, links.select(F.col("pivot").alias("a"), F.col("fp").alias("b")), "fp")
-        if pivots is None:
-            break
-        left = open_.join(pivots, "key").where("pivot != fp").select("key", "fp", "met")  # the pivot has met all
-        left = cut(left).join(labels, "fp")
-        several = cut(left.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"))
-        open_ = cut(left.join(several, "key"))
-        if open_.isEmpty():
-            break
-        open_ = open_.select("key", "fp", "met", "label")
+
+    def linked(found: DataFrame) -> DataFrame:
+        return found.where(F.col("both") >= similarity * F.col("joint")).select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
+
+    best = open_.groupBy("key").agg(F.max(F.struct("met", "fp")).alias("best"))
+    met = cut(open_.join(cut(best.select("key", F.col("best.fp").alias("pivot"))), "key").where("pivot != fp").select("key", "fp", "pivot"))
+    found = cut(overlaps(docs, nodes, met.select("pivot", "fp").distinct(), width))
+    links = linked(found)
+    labels = spread_labels(labels, links, "fp")
+    open_ = several_labels(met.join(labels, "fp"))  # without the pivots: each has met its whole bucket
+    if not open_.isEmpty():
+        limits = partner_limits(docs, nodes, open_, similarity, width)
+        open_ = open_.join(limits, "fp").join(found.select("pivot", "fp", F.col("both").alias("near")), ["pivot", "fp"]).drop("pivot")
+        open_ = cut(open_)
+        least = cut(open_.groupBy("key").agg(F.min("size").alias("least")))
+        open_ = several_labels(open_.join(least, "key").where("reach >= least").drop("least"))  # the rest needs a smaller partner than there is
+        ends = ("fp", "label", "size", "shared", "near")
+        other = open_.select(F.col("key").alias("key2"), *(F.col(c).alias(f"{c}_") for c in ends))
+        bound = F.least("near", "near_") + F.least(F.col("shared") - F.col("near"), F.col("shared_") - F.col("near_"))
+        admits = bound * (1 + similarity) + 1e-6 >= similarity * (F.col("size") + F.col("size_"))
+        pairs = open_.join(other, (F.col("key") == F.col("key2")) & (F.col("fp_") < F.col("fp")) & (F.col("label_") != F.col("label")) & admits)
+        found = cut(overlaps(docs, nodes, cut(pairs.select(F.col("fp_").alias("pivot"), "fp").distinct()), width))
+        labels = spread_labels(labels, links.unionByName(linked(found)), "fp")
     out = sketched.select("doc_id", "fp").join(labels, "fp", "left")
     own = F.when(F.col("label") == LAST, F.lit(None)).otherwise(F.col("label"))
     return out.select("doc_id", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(own).alias("class_id"))
