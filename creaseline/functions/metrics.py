@@ -19,10 +19,16 @@ def total(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0)).cast("long")
 
 
+def rounded(x: Column, digits: int = 2) -> Column:
+    """Half up on the scaled double, which any engine computes alike (decimal rounding of doubles differs between engines)."""
+    scale = float(10**digits)
+    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+
+
 def ratio(top: Column | str, bottom: Column | str, factor: float = 1.0, digits: int = 2) -> Column:
     """factor * top / bottom in doubles, rounded; null if bottom is 0."""
     low = _c(bottom).cast("double")
-    return F.round(_c(top).cast("double") * F.lit(float(factor)) / F.when(low != 0, low), digits)
+    return rounded(_c(top).cast("double") * F.lit(float(factor)) / F.when(low != 0, low), digits)
 
 
 def strike_rate(runs, balls) -> Column:
@@ -45,7 +51,7 @@ def percentage(part, whole, digits: int = 2) -> Column:
 
 
 def overs(balls, per_over: int = 6) -> Column:
-    return F.round(_c(balls).cast("double") / F.lit(float(per_over)), 1)
+    return rounded(_c(balls).cast("double") / F.lit(float(per_over)), 1)
 
 
 def phase(match_type: Column, over: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from creaseline.functions.metrics import rounded
+
 AUDIT_KEY = ["file_name", "content_hash"]
 ANOMALY_PCT = 5.0
 LEAST_ROWS = 5000
@@ -81,7 +83,7 @@ def row_count_log(counts: DataFrame, series: str = "table_name", order: str = "s
     """Delta and percent against the snapshot before; an anomaly beyond ANOMALY_PCT."""
     before = F.lag(n).over(W.partitionBy(series).orderBy(order))
     out = counts.withColumn("before", before).withColumn("delta", F.col(n) - F.col("before"))
-    share = F.round(F.col("delta").cast("double") * 100 / F.when(F.col("before") != 0, F.col("before").cast("double")), 4)
+    share = rounded(F.col("delta").cast("double") * 100 / F.when(F.col("before") != 0, F.col("before").cast("double")), 4)
     return out.withColumn("delta_pct", share).withColumn("anomaly", F.coalesce(F.abs("delta_pct") > ANOMALY_PCT, F.lit(False)))
 
 
@@ -117,7 +119,7 @@ def log_row(df: DataFrame, status: str, message: str | None = None) -> DataFrame
 
 def daily_runs(log: DataFrame) -> DataFrame:
     """Runs, failures and seconds a day: the operations mart."""
-    return log.groupBy(F.to_date("started_at").alias("day")).agg(F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "FAILED").alias("failed"), F.round(F.sum("seconds"), 2).alias("seconds"))
+    return log.groupBy(F.to_date("started_at").alias("day")).agg(F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "FAILED").alias("failed"), rounded(F.sum("seconds")).alias("seconds"))
 
 
 def scd2(rows: DataFrame, key: str, snapshot: str, *tracked: str) -> DataFrame:

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creaseline.functions.metrics import rounded
+
 RESULT = "check_id string, layer string, table_name string, severity string, status string, failed long, total long, pct double"
 #: Dismissals that a fielder takes part in.
 FIELDED = ("caught", "run out", "stumped", "caught and bowled")
@@ -53,7 +55,7 @@ def unfielded() -> Column:
 
 def pct(part: Column, whole: Column) -> Column:
     """Percent with four decimals, at most 99.9999; 0 of 0 is 0."""
-    share = F.round(part.cast("double") * 100 / F.when(whole != 0, whole.cast("double")), 4)
+    share = rounded(part.cast("double") * 100 / F.when(whole != 0, whole.cast("double")), 4)
     return F.least(F.lit(99.9999), F.coalesce(share, F.lit(0.0)))
 
 

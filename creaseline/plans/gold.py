@@ -77,7 +77,7 @@ def fact_innings(t: Tables, by_format: bool = False) -> DataFrame:
     out = t["innings"].drop("_snapshot_date").join(dim_match(t).select(*CONTEXT, "venue", "balls_per_over"), "match_id").join(totals, ["match_id", "innings_number"], "left")
     per = F.coalesce("balls_per_over", F.lit(6)).cast("double") if by_format else F.lit(6.0)
     balls = F.col("legal_balls").cast("double")
-    return out.withColumns({"overs_faced": F.round(balls / per, 1), "run_rate": F.round(F.col("total_runs") * per / F.when(balls != 0, balls), 2)}).drop("balls_per_over")
+    return out.withColumns({"overs_faced": M.rounded(balls / per, 1), "run_rate": M.rounded(F.col("total_runs") * per / F.when(balls != 0, balls), 2)}).drop("balls_per_over")
 
 
 def fact_match_result(t: Tables) -> DataFrame:

@@ -57,7 +57,7 @@ def venue_dna(t: Tables, fix: bool = False) -> DataFrame:
     """fix takes every match with a winner as decided; without it only results named `win`, which the source never emits."""
     m = t["matches"].where("venue is not null")
     scored = t["fact_innings"].drop("match_type", "season", "gender", "venue").join(m.select("match_id", "venue", "match_type"), "match_id")
-    mean = lambda i: F.round(F.avg(F.when(F.col("innings_number") == i, F.col("total_runs"))), 1)
+    mean = lambda i: M.rounded(F.avg(F.when(F.col("innings_number") == i, F.col("total_runs"))), 1)
     a = scored.groupBy("venue", "match_type").agg(F.count_distinct("match_id").alias("matches"), mean(1).alias("avg_first_innings_score"), mean(2).alias("avg_second_innings_score"), *[F.sum(c).alias(c) for c in ("total_runs", "legal_balls", "boundaries", "sixes")])
     a = a.withColumns({"overall_run_rate": M.run_rate("total_runs", "legal_balls"), "boundary_pct": M.percentage("boundaries", "legal_balls"), "six_pct": M.percentage("sixes", "legal_balls")}).drop("total_runs", "legal_balls", "boundaries", "sixes")
     decided = m.where("winner is not null") if fix else m.where("winner is not null and outcome_result = 'win'")

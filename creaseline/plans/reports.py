@@ -72,7 +72,7 @@ def top_matchups(t: Tables, n: int = 25, least: int = 30) -> DataFrame:
 
 def top_matchups_mart(t: Tables, n: int = 25) -> DataFrame:
     g = t["mart_matchup"].groupBy("batter_name", "bowler_name", "match_type")
-    out = g.agg(F.sum("balls_faced").alias("balls"), F.sum("runs_scored").alias("runs"), F.sum("dismissals").alias("dismissals"), F.round(F.avg("strike_rate"), 2).alias("strike_rate"))
+    out = g.agg(F.sum("balls_faced").alias("balls"), F.sum("runs_scored").alias("runs"), F.sum("dismissals").alias("dismissals"), M.rounded(F.avg("strike_rate")).alias("strike_rate"))
     return top(out, n, down("balls"), "batter_name", "bowler_name", "match_type")
 
 
@@ -172,7 +172,7 @@ def latest_matches(t: Tables, n: int = 20) -> DataFrame:
 
 def matchup_card(t: Tables, batter: str, bowler: str) -> DataFrame:
     m = t["mart_matchup"].where((F.col("batter_name") == batter) & (F.col("bowler_name") == bowler))
-    mean = lambda c, name: F.round(F.avg(c), 2).alias(name)
+    mean = lambda c, name: M.rounded(F.avg(c)).alias(name)
     return m.agg(F.sum("balls_faced").alias("balls"), F.sum("runs_scored").alias("runs"), F.sum("dismissals").alias("dismissals"), mean("strike_rate", "strike_rate"), mean("dot_ball_pct", "dot_pct"), F.sum("fours").alias("fours"), F.sum("sixes").alias("sixes"))
 
 
