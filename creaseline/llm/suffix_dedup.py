@@ -32,7 +32,7 @@ from creaseline.llm.induced_sort import suffix_order
 
 WIDTH = 200
 GRAM = 32
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 3_000_000
 CHUNK_ROWS = 20_000
 BUCKET_BYTES = 6_000_000
 BASE = 0x5851F42D4C957F2D
@@ -62,6 +62,57 @@ def sliding_argmin(v: np.ndarray, width: int) -> np.ndarray:
     return np.where(padded[left] <= padded[right], left, right)
 
 
+def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
+    """Least value of each run of `width` values, by running minima of blocks from both sides."""
+    n = len(v) - width + 1
+    if n <= 0:
+        return v[:0]
+    padded = np.full(-(-len(v) // width) * width, np.iinfo(np.uint64).max, U64)
+    padded[: len(v)] = v
+    grid = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(grid, axis=1).ravel()
+    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
+
+
+def anchor_runs(v: np.ndarray, doc: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last start of the neighbouring windows that share an anchor, and the anchor. v: hashes of grams."""
+    span = width - gram + 1
+    least = sliding_min(v, span)
+    changes = np.flatnonzero(least[1:] != least[:-1]) + 1
+    low = np.union1d(doc[:-1][doc[:-1] < len(least)], changes)
+    owner = np.searchsorted(doc, low, "right") - 1
+    high = np.minimum(np.concatenate([low[1:], [len(least)]]) - 1, doc[owner + 1] - width)
+    inside = high >= low
+    low, high = low[inside], high[inside]
+    at = low + span - 1
+    came = (low > 0) & (v[at] == least[low])  # the window's last gram is less than all before it ...
+    came &= least[np.maximum(low - 1, 0)] > least[low]
+    for part in np.array_split(np.flatnonzero(~came), max(1, (~came).sum() // 4096)):  # ... or it is looked for
+        at[part] = low[part] + v[low[part][:, None] + np.arange(span)].argmin(1)
+    tied = at < high  # the anchor leaves, but an equal gram follows
+    if not tied.any():
+        return low, high, at
+    lows, highs, ats = [low[~tied]], [high[~tied]], [at[~tied]]
+    for i, j in zip(low[tied].tolist(), high[tied].tolist(), strict=True):
+        a = i + sliding_argmin(v[i : j + span], span)
+        first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+        lows.append(i + first)
+        highs.append(i + np.concatenate([first[1:], [len(a)]]) - 1)
+        ats.append(a[first])
+    return np.concatenate(lows), np.concatenate(highs), np.concatenate(ats)
+
+
+_powers: dict[str, np.ndarray] = {}
+
+
+def base_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_powers.get("up", ())) < n:
+        size = max(n, 2 * CHUNK_BYTES)
+        _powers.update(up=powers(BASE, size), down=powers(pow(BASE, -1, 1 << 64), size))
+    return _powers["up"][:n], _powers["down"][:n]
+
+
 class ByteChunk:
     """Documents end to end, their anchors' contexts, and the distinct (anchor hash, context hash) pairs in a fixed order."""
 
@@ -70,24 +121,12 @@ class ByteChunk:
         self.ids, self.doc = table.column("doc_id"), offsets([len(t) for t in texts])
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
         n = len(self.bytes)
-        lengths = np.diff(self.doc)
-        ends = np.repeat(self.doc[1:], lengths)
-        fits = (np.arange(n) + width <= ends)[: max(0, n - width + 1)]
+        up, down = base_powers(n + 1)
         prefix = np.zeros(n + 1, U64)
-        np.cumsum(BYTE_HASH[self.bytes] * powers(BASE, n), out=prefix[1:])
-        inverse = powers(pow(BASE, -1, 1 << 64), n + 1)
-        hashed = lambda a, z: (prefix[z] - prefix[a]) * inverse[a]
-        at = np.arange(max(0, n - gram + 1))
-        grams = mix(hashed(at, at + gram))
-        anchor = sliding_argmin(grams, width - gram + 1)
-        start = np.flatnonzero(fits)
-        a = anchor[start]
-        fresh = np.ones(len(start), bool)
-        fresh[1:] = (a[1:] != a[:-1]) | (start[1:] != start[:-1] + 1)
-        first = np.flatnonzero(fresh)
-        self.low = start[first]
-        self.high = start[np.concatenate([first[1:], [len(start)]]) - 1] if len(first) else self.low
-        a = a[first]
+        np.cumsum(BYTE_HASH[self.bytes] * up[:n], out=prefix[1:])
+        hashed = lambda a, z: (prefix[z] - prefix[a]) * down[a]
+        grams = mix((prefix[gram:] - prefix[:-gram]) * down[: n - gram + 1]) if n >= gram else np.zeros(0, U64)
+        self.low, self.high, a = anchor_runs(grams, self.doc, width, gram) if n >= width else (np.zeros(0, np.int64),) * 3
         hash_a = grams[a]
         hash_c = mix(hashed(self.low, self.high + width) + mix((a - self.low).astype(U64) * U64(1 << 20) + (self.high - self.low).astype(U64)))
         bucket = (mix(hash_a ^ U64(0x5555)) >> U64(32)).astype(np.int64) % buckets
