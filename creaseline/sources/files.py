@@ -12,7 +12,7 @@ def landing_json(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(folder)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     rows = files.withColumn("file_name", name).where(~F.col("file_name").startswith("_"))
-    return rows.select("file_name", F.regexp_replace("file_name", r"\.json$", "").alias("match_id"), F.decode("content", F.lit("UTF-8")).alias("raw_json"), F.sha2("content", 256).alias("content_hash"), F.col("length").alias("size"))
+    return rows.select("file_name", F.regexp_replace("file_name", r"\.json$", "").alias("match_id"), F.decode("content", "UTF-8").alias("raw_json"), F.sha2("content", 256).alias("content_hash"), F.col("length").alias("size"))
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,7 +12,7 @@ from creaseline.sinks.tables import append
 def ingest_available(spark: SparkSession, folder: str, bronze_path: str, checkpoint: str) -> None:
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.json").load(folder)
     name = F.regexp_extract("path", r"([^/]+)\.json$", 1)
-    rows = files.where(~name.startswith("_")).select(name.alias("match_id"), F.decode("content", F.lit("UTF-8")).alias("raw_json"), F.sha2("content", 256).alias("content_hash"))
+    rows = files.where(~name.startswith("_")).select(name.alias("match_id"), F.decode("content", "UTF-8").alias("raw_json"), F.sha2("content", 256).alias("content_hash"))
 
     def batch(df: DataFrame, number: int) -> None:
         append(header(df).where("ok").drop("ok"), bronze_path)
