@@ -59,6 +59,8 @@ class Lake(dict):
             return S.aliases(spark, d)
         if name in ("fact_delivery", "fact_innings", "fact_player_match", "player_display_names"):
             return getattr(gold, name)(self)
+        if name == "duels":  # the matchup mart without its minimum
+            return marts.matchup_analysis(self, least=1)
         if name.startswith("mart_"):
             short = {"mart_matchup": marts.matchup_analysis, "mart_venue_dna_fixed": lambda t: marts.venue_dna(t, fix=True)}
             return (short.get(name) or getattr(marts, name.removeprefix("mart_")))(self)
@@ -234,17 +236,17 @@ REPORTS: dict[str, Query] = {
     "h01_counters": lake(R.counters), "h02_matches_per_year": lake(R.matches_per_year), "h03_format_breakdown": lake(R.format_breakdown), "h04_top_venues": lake(R.top_venues),
     "h05_top_run_scorers": lake(R.top_run_scorers), "h06_top_wicket_takers": lake(R.top_wicket_takers), "h07_highest_score": lake(R.highest_score), "h07_highest_score_mart": lake(R.highest_score_mart),
     "h08_season_leader_runs": lake(lambda t: R.season_leader(t["mart_player_batting"], "total_runs")), "h08_season_leader_wickets": lake(lambda t: R.season_leader(t["mart_player_bowling"], "total_wickets")),
-    "h09_top_matchups": lake(lambda t: R.top_matchups(t, least=2)), "h09_top_matchups_mart": lake(R.top_matchups_mart),
+    "h09_top_matchups": lake(lambda t: R.top_matchups(t, least=2)), "h09_top_matchups_mart": lake(lambda t: R.top_matchups_mart({"mart_matchup": t["duels"]})),
     "h10_player_headline": lake(lambda t: R.player_headline(t, SHOWN)), "h10_player_headline_mart": lake(lambda t: R.player_headline_mart(t, PLAYER)),
     "h11_format_split": lake(lambda t: R.player_by(t, SHOWN, "match_type")), "h11_format_split_mart": lake(lambda t: R.player_by_mart(t, PLAYER, "match_type")),
     "h12_season_trend": lake(lambda t: R.player_by(t, SHOWN, "season")), "h12_season_trend_mart": lake(lambda t: R.player_by_mart(t, PLAYER, "season")),
     "h13_bowling_card": lake(lambda t: R.player_bowling_card(t, BOWLER)), "h14_last_innings": lake(lambda t: R.player_last_innings(t, PLAYER)), "h14_last_matches": lake(lambda t: R.player_last_matches(t, PLAYER)),
     "h15_match_summary": lake(R.match_summary), "h16_manhattan": lake(R.manhattan), "h17_worm": lake(R.worm), "h18_top_batters": lake(lambda t: R.best_of_match(t, "batting")), "h18_top_bowlers": lake(lambda t: R.best_of_match(t, "bowling")),
-    "h19_fall_of_wickets": lake(R.fall_of_wickets), "h20_latest_matches": lake(R.latest_matches), "h21_matchup_card": lake(lambda t: R.matchup_card(t, PLAYER, BOWLER)),
-    "h22_nemesis": lake(lambda t: R.nemesis(t, PLAYER)), "h22_victims": lake(lambda t: R.nemesis(t, BOWLER, "bowler_name")), "h23_resolver": lake(lambda t: R.resolver(t, "star")),
+    "h19_fall_of_wickets": lake(R.fall_of_wickets), "h20_latest_matches": lake(R.latest_matches), "h21_matchup_card": lake(lambda t: R.matchup_card({"mart_matchup": t["duels"]}, PLAYER, BOWLER)),
+    "h22_nemesis": lake(lambda t: R.nemesis({"mart_matchup": t["duels"]}, PLAYER)), "h22_victims": lake(lambda t: R.nemesis({"mart_matchup": t["duels"]}, BOWLER, "bowler_name")), "h23_resolver": lake(lambda t: R.resolver(t, "star")),
     "h24_career_summary": lake(R.career_summary), "h25_year_by_year": lake(R.year_by_year), "h26_opponents": lake(R.opponents), "h27_dismissal_modes": lake(R.dismissal_modes),
     "h28_innings_context": lake(lambda t: R.innings_context(t, HOME)), "h29_editions": lake(lambda t: R.editions(t, "Cup%")), "h30_recent_scorers": lake(R.recent_scorers),
-    "h31_best_economy": lake(lambda t: R.best_economy(t, 5.0)), "h31_team_formats": lake(lambda t: R.team_formats(t, "FRANCE")), "h31_head_to_head": lake(R.head_to_head), "h31_chasing_venues": lake(lambda t: R.chasing_venues(t, 2)),
+    "h31_best_economy": lake(lambda t: R.best_economy(t, 5.0)), "h31_team_formats": lake(lambda t: R.team_formats(t, "NATION_6")), "h31_head_to_head": lake(R.head_to_head), "h31_chasing_venues": lake(lambda t: R.chasing_venues(t, 2)),
 }
 
 
