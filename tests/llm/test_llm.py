@@ -1,0 +1,265 @@
+"""Operators against brute force, round trips or held-out accuracy, and on nulls, empties, ties, repeats, clashing columns."""
+
+import hashlib
+import itertools
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from creaseline.llm import dart_minhash, decontamination, graph_ann, induced_sort, language_id, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity, url_filter
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = "the quick brown fox jumps over a lazy dog while seven green birds sing near old stone bridges of quiet rivers".split()
+rng = random.Random(4)
+BASE = [" ".join(rng.choice(WORDS) + rng.choice(["", "s", "ly"]) for _ in range(n)) for n in (60, 80, 40, 120)]
+
+
+def corpus():
+    rows = [(i, BASE[i % 4] if i % 3 == 0 else " ".join(BASE[i % 4].split()[: 20 + i] + [f"w{i}x{j}" for j in range(i)])) for i in range(24)]
+    near = BASE[0].split()
+    near[30] = "changed"
+    return rows + [(30, " ".join(near)), (31, None), (32, ""), (33, "  \n\t "), (34, "one two"), (35, "one two"), (35, "one two"), (36, "é日本 " * 90), (None, BASE[1]), (37, "=" * 900), (38, "x " * 300)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    # columns that clash with results
+    return spark.createDataFrame(corpus(), "doc_id long, text string").withColumns({"score": F.lit("mine"), "n_words": F.lit(None).cast("int"), "lang": F.lit("en"), "bands": F.lit(1)}).persist()
+
+
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string")
+
+
+def words_of(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+def test_substring_dedup(spark, docs, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 1500)
+    rows = [(1 << 62 if d is None else d, words_of(t)) for d, t in corpus()]
+    first = {}
+    for d, w in rows:
+        for i in range(len(w) - 12):
+            first[tuple(w[i : i + 13])] = min(first.get(tuple(w[i : i + 13]), d), d)
+    want = []
+    for d, w in rows:
+        gone = {j for i in range(len(w) - 12) if first[tuple(w[i : i + 13])] < d for j in range(i, i + 13)}
+        want.append((d, len(w), len(gone), hashlib.sha256(" ".join(x for j, x in enumerate(w) if j not in gone).encode()).hexdigest()))
+    got = [(1 << 62 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.substring_dedup(docs).collect()]
+    assert sorted(got) == sorted(want) and sum(x[2] for x in want) > 100
+    assert substring_dedup.substring_dedup(empty(spark)).count() == 0
+
+
+def test_sentencepiece(spark, docs):
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    odd = [a + b for a, b in itertools.product(["", " ", "  a", "▁x", "\n\nhi ", "<s>", "日本𝒳 ", "=" * 70, " " * 47], ["", "b", "\x00 ", "thethethe" * 30, " \n "])]
+    out = list(sentencepiece_codec.Codec(sentencepiece_codec.load(MODEL)).batch(odd))
+    assert [i for i, _, _ in out] == [",".join(map(str, sp.encode(t))) for t in odd]
+    assert [d.decode() for _, _, d in out] == [sp.decode(sp.encode(t)) for t in odd]
+    rows = sentencepiece_codec.encode_decode(docs, MODEL, with_ids=True).collect()
+    assert len(rows) == len(corpus()) and all(r.score == "mine" for r in rows)
+    texts = Counter((d, hashlib.sha256(",".join(map(str, sp.encode(t or ""))).encode()).hexdigest()) for d, t in corpus())
+    assert Counter((r.doc_id, r.ids_sha256) for r in rows) == texts
+    assert sentencepiece_codec.encode_decode(empty(spark), MODEL).count() == 0
+
+
+def test_language_id(spark, docs):
+    own = {"en": "the cat and the dog with that thing", "de": "der hund und die katze mit dem ding", "el": "και το είναι σκυλί γάτα"}
+    shuffled = lambda lang: " ".join(rng.sample(own[lang].split(), 5))
+    rows = [(i, shuffled(k), k) for i in range(120) for k in own]
+    df = spark.createDataFrame(rows + [(500, None, "de"), (501, "123 !!", "de"), (502, "the dog", None)], "doc_id long, text string, lang string")
+    model = language_id.fit(df, ~language_id.held_out())
+    got = language_id.identify(df.withColumn("spans", F.lit(0)), model).collect()
+    held = [r for r in got if r.doc_id < 500]
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.98 and all(0 <= r.score <= 1 for r in got)
+    assert {r.lang_pred for r in got if r.doc_id in (500, 501)} == {"und"}
+    mixed = language_id.predict(language_id.Reader(model), [" ".join([own["en"]] * 3 + [own["de"]] * 3)])
+    assert [s.split(":")[0] for s in mixed[2][0].split(",")] == ["en", "de"]
+    assert language_id.identify(empty(spark), model).count() == 0
+    nothing = language_id.fit(df.where("false"), F.lit(True))
+    assert {r.lang_pred for r in language_id.identify(docs.select("doc_id", "text"), nothing).collect()} == {"und"}
+
+
+def test_viterbi_is_optimal():
+    g = np.random.default_rng(0)
+    for _ in range(60):
+        at = np.concatenate([[0], np.cumsum(g.integers(0, 7, 4))])
+        steps = (g.standard_normal((at[-1], 3)) * 8).astype(np.float32)
+        label = language_id.viterbi(steps, at)
+        for a, b in itertools.pairwise(at):
+            value = lambda p, a=a: sum(steps[a + i, x] for i, x in enumerate(p)) - language_id.SWITCH * sum(x != y for x, y in itertools.pairwise(p))
+            if a < b:
+                assert abs(value(label[a:b]) - max(map(value, itertools.product(range(3), repeat=b - a)))) < 1e-3
+
+
+def test_graph_ann(spark, monkeypatch):
+    monkeypatch.setattr(graph_ann, "SHARD_POINTS", 200)
+    g = np.random.default_rng(1)
+    x = g.standard_normal((600, 16)).astype(np.float32)
+    x[::9] = x[9]  # a hot vector
+    x[1::7] *= 3
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1020, [0.0] * 16), (1040, [float("nan")] * 16), (1060, [1.0]), (1080, [None] * 16), (None, [1.0] * 16), (0, x[0].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit("x"))
+    found: dict = {}
+    for r in graph_ann.nearest(df, F.col("id") % 20 == 0).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(found) == set(range(0, 600, 20))
+    d, recall = x.astype(float), []
+    for q, hits in found.items():
+        s = (d @ d[q]).round(9)
+        s[q] = -np.inf
+        hits.sort()
+        assert [h[0] for h in hits] == list(range(1, 21)) and all(abs(h[2] - d[q] @ d[h[1]]) < 1e-9 for h in hits)
+        recall.append(np.isin(np.lexsort((np.arange(600), -s))[:20], [h[1] for h in hits]).mean())
+    assert np.mean(recall) >= 0.9
+    assert graph_ann.nearest(df.where("vec_id = 1000"), F.col("id") % 20 == 0).count() == 0
+    assert graph_ann.nearest(df.where("vec_id in (20, 21)"), F.col("id") % 20 == 0).count() == 1
+
+
+def test_induced_sort(monkeypatch):
+    for spill in (False, True):
+        if spill:
+            monkeypatch.setattr(induced_sort, "IN_MEMORY", 10)  # queues go to files
+        for _ in range(80):
+            n, k = rng.randint(1, 60), rng.choice([1, 2, 4])
+            t = np.array([rng.randint(0, k) for _ in range(n)] + [0], np.uint16)
+            t[-2] = max(1, t[-2])
+            depth = rng.choice([5, 200])
+            order, common = induced_sort.suffix_order(t, depth)
+            s = t.tolist()
+            assert sorted(order.tolist()) == list(range(n + 1))
+            for a, b, c in zip(order[1:-1].tolist(), order[2:].tolist(), common[2:].tolist(), strict=True):
+                same = next((i for i in range(depth) if max(a, b) + i > n or s[a + i] != s[b + i]), depth)
+                assert c == same and s[a : a + depth] <= s[b : b + depth]
+
+
+def test_suffix_dedup(spark, docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 2000)
+    texts = [(d, (t or "").encode()) for d, t in corpus()]
+    seen = Counter(b[i : i + 200] for _, b in texts for i in range(len(b) - 199))
+    want = []
+    for d, b in texts:
+        gone = {j for i in range(len(b) - 199) if seen[b[i : i + 200]] > 1 for j in range(i, i + 200)}
+        want.append((-1 if d is None else d, len(b), len(gone), sum(j - 1 not in gone for j in gone), hashlib.sha256(bytes(c for j, c in enumerate(b) if j not in gone)).hexdigest()))
+    got = [(-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(docs).collect()]
+    assert sorted(got) == sorted(want) and sum(x[2] for x in want) > 1000
+    assert suffix_dedup.suffix_dedup(empty(spark)).count() == 0
+
+
+def test_decontamination(spark):
+    item = "He said that Tom has 12 apples and gives 5 apples to Mary for the 12 plums"
+    docs = spark.createDataFrame([(1, f"before. {item} after"), (2, item.replace("Tom", "Anna").replace("12", "7").replace("5", "3")), (3, item.replace("12 plums", "9 plums")), (4, None), (5, ""), (6, "short four word item"), (1, item), (7, item.upper())], "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    bench = spark.createDataFrame([(1, item), (2, "short four word item"), (3, None), (4, "two words")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.verbatim for r in decontamination.contaminated(docs, bench).collect()}
+    assert got.pop((1, 1)) is True and got.pop((2, 1)) is False and got.pop((6, 2)) is True
+    assert (3, 1) not in got or got[(3, 1)] is True  # never as an inconsistent re-parameterised copy
+    assert decontamination.contaminated(empty(spark), bench).count() == 0 and decontamination.contaminated(docs, bench.where("false")).count() == 0
+
+
+def test_secret_scan(spark):
+    pattern = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    bits = ["token", "secret=", "token: ", "api_key", " = ", '"', "abcdef", "xxxxx", "AKIA", "ABCDEFGHIJKLMNOP1234", "0123456789abcdef01234567", " ", "\n\n", "é", "𝒳", "password", "user=bob", "dGhpcyBJcyBBIFRlc3Q0NTY3ODkw", "ſecret=", "Key"]
+    texts = {i: "".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for i in range(400)} | {1000: None, 1001: "key dGhpcyBJcyBBIFRlc3Q0NTY3ODkw alone", 1002: "user=bob1 key dGhpcyBJcyBBIFRlc3Q0NTY3ODkw at https://x.example.com"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("n_hex", F.lit("clash"))
+    by = {r.doc_id: r for r in secret_scan.scan(df).collect()}
+    for i, t in texts.items():
+        s = [(m.start(), 0, m.end()) for m in pattern.finditer(t or "") if len(m[1]) >= 6] + [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t or "") if len(m[0]) >= 20] + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t or "") if len(m[0]) >= 24]
+        shown = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(s))
+        r = by[i]
+        assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == (*(sum(x[1] == k for x in s) for k in range(3)), hashlib.sha256(shown.encode()).hexdigest())
+        assert set(shown.split(",")) <= set(r.spans.split(",")) or not shown
+    assert by[1001].spans == "" and by[1002].spans.count(":") == 6
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert clean[1000] is None and clean[1001] == texts[1001] and "bob1" not in clean[1002]
+    assert secret_scan.scan(empty(spark)).count() == 0
+
+
+def test_url_filter(spark):
+    entries = spark.createDataFrame([("block", "bad.com", "add", "2024-01-10", 1), ("block", "bad.com", "remove", "2024-02-01", 2), ("block", "bad.com", "add", "2024-02-01", 1), ("allow", "a.bad.com/en", "add", "2024-01-12", 1), ("block", None, "add", "2024-01-01", 1)], "list string, rule string, action string, listed_on string, seq long").withColumn("listed_on", F.to_date("listed_on"))
+    rows = [(1, "http://x.bad.com/en/1", "2024-01-09"), (2, "http://x.bad.com/en/1", "2024-01-10"), (3, "//BAD.com:80?q", "2024-01-31"), (4, "http://bad.com", "2024-02-01"), (5, "https://u@a.bad.com/en/2", "2024-01-15"), (6, None, "2024-01-15"), (7, "nonsense", "2024-01-15"), (8, "http://bad.com", None), (9, "http://notbad.com", "2024-01-15")]
+    caps = spark.createDataFrame(rows + rows[1:2], "id long, url string, fetched_on string").withColumns({"fetched_on": F.to_date("fetched_on"), "rule": F.lit(3)})
+    got = Counter((r.id, r.verdict) for r in url_filter.evaluate(caps, entries).collect())
+    want = {1: "unlisted", 2: "blocked", 3: "blocked", 4: "unlisted", 5: "allowed", 6: "unlisted", 7: "unlisted", 8: "unlisted", 9: "unlisted"}
+    assert got == Counter([(i, v) for i, v in want.items()] + [(2, "blocked")])
+    assert url_filter.evaluate(caps.where("false"), entries).count() == 0
+
+
+def test_near_duplicates(spark, docs):
+    sets, par = {}, {}
+    rows = [(1 << 62 if d is None else d, t) for d, t in corpus()]
+    for d, t in rows:
+        w = words_of(t)
+        c = Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else None
+        sets.setdefault(d, c)
+        par[d] = d
+
+    def root(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+
+    for a, b in itertools.combinations([d for d, c in sets.items() if c], 2):
+        both, any_ = (sets[a] & sets[b]).total(), (sets[a] | sets[b]).total()
+        if both >= 0.8 * any_:
+            x, y = root(a), root(b)
+            par[max(x, y)] = min(x, y)
+    got = dart_minhash.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        d = 1 << 62 if r.doc_id is None else r.doc_id
+        assert r.class_id == root(d) and (r.doc_id is not None or r.class_id != d)
+    assert len({r.class_id for r in got}) < 30 and dart_minhash.near_duplicates(empty(spark)).count() == 0
+
+
+def test_dart_signatures_estimate_similarity():
+    g = np.random.default_rng(2)
+    a = np.unique(g.integers(0, 2**63, 400).astype(np.uint64))
+    b = np.concatenate([a[:300], g.integers(0, 2**63, 100).astype(np.uint64)])
+    sig = dart_minhash.signatures([a, b, a[:3]], 2000)
+    assert abs((sig[0] == sig[1]).mean() - 300 / 500) < 0.05 and (sig != dart_minhash.NO_DART).all()
+
+
+def test_toxicity(spark):
+    bad = ["moron", "idiot", "scum"]
+    rows = []
+    for i in range(400):
+        w = [rng.choice(WORDS) for _ in range(rng.randint(5, 60))]
+        if i % 4 == 0:
+            w[rng.randrange(len(w))] = rng.choice(bad) + rng.choice(["", "!", "ic"])
+        rows.append((i, " ".join(w), int(i % 4 == 0)))
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(900, None), (901, ""), (902, " \n ")], "doc_id long, text string").withColumn("score", F.lit("x"))
+    labels = spark.createDataFrame([(d, t) for d, _, t in rows] + [(5, None), (None, 1), (4, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, ~toxicity.held_out())
+    got = {r.doc_id: r for r in toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model).collect()}
+    test = [(got[d].predicted, y) for d, _, y in rows if got[d].held_out]
+    assert np.mean([p == y for p, y in test]) > 0.95
+    assert got[900].score == got[901].score == got[902].score and got[900].predicted == 0
+    one = toxicity.fit(docs, labels.where("toxic = 0"), F.lit(True))
+    assert {r.score for r in toxicity.score(docs, one).collect()} == {0.0}
+    assert toxicity.score(empty(spark), model).count() == 0
+
+
+def test_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    toxic = {r.doc_id for r in spark.read.parquet(f"{d}/labels.parquet").where("toxic = 1").collect()}
+    kept, seen = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, kept, d).write.parquet(str(tmp_path / name))
+        kept = spark.read.parquet(str(tmp_path / name))
+        seen[name] = {r.doc_id for r in kept.collect()}
+        assert name == "tokenize" or kept.columns == docs.columns
+    assert len(toxic & seen["toxicity"]) <= len(toxic) // 2
+    classes = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(spark.read.parquet(str(tmp_path / "toxicity"))).collect()}
+    assert seen["near_dedup"] == set(classes.values())
+    assert seen["secrets"] == seen["decontaminate"] == seen["tokenize"]
+    assert secret_scan.scan(spark.read.parquet(str(tmp_path / "secrets"))).where("n_assign > 0").count() == 0
