@@ -6,6 +6,8 @@ document offsets. All per-word work runs on these flat arrays inside Spark tasks
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -88,6 +90,7 @@ def starts_inside(doc_offsets: np.ndarray, width: int, n: int) -> np.ndarray:
 
 
 def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that driver and executors share: spark.checkpoint.dir, or what a test has set."""
     return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
 
 
@@ -98,14 +101,13 @@ def cut(df: DataFrame) -> DataFrame:
     warehouse is used.
     """
     spark = df.sparkSession
-    if not shared_folder(spark):
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-    return df.checkpoint()
-
-
-def partitions(rows: int, each: int, least: int = 1) -> int:
-    """Partitions for so many rows: grows with the input."""
-    return max(least, -(-rows // each))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    done = df.checkpoint()
+    # what is cut off is garbage now; Spark's cleaner deletes its shuffle files as soon as the driver's JVM notices
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return done
 
 
 def bit_remainder(column: str, n: int) -> F.Column:

@@ -63,16 +63,16 @@ def elements(text: bytes, width: int = SHINGLE) -> np.ndarray:
 
 
 def signatures(sets: list[np.ndarray], k: int) -> np.ndarray:
-    """DartMinHash signatures (documents x k): of each coordinate the rank of its earliest dart, as 12.52 fixed point."""
+    """DartMinHash signatures (documents x k): of each coordinate the rank of its earliest dart, as 20.44 fixed point."""
     out = np.full((len(sets), k), NO_DART, U64)
     throw = float(k) * (np.log(k) + 2)
     todo = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
     while len(todo):
         weight = np.array([len(sets[i]) for i in todo])
-        limit = np.minimum(throw / weight, 4000.0)
+        limit = np.minimum(throw / weight, 1e6)
         columns = np.ceil(limit).astype(np.int64)
         flat, doc = np.concatenate([sets[i] for i in todo]), np.repeat(np.arange(len(todo)), weight)
-        bound = (limit * 2.0**52).astype(U64)
+        bound = (limit * 2.0**44).astype(U64)
         own = np.full(len(todo) * k, NO_DART, U64)
         for j in range(int(columns.max())):
             if j:
@@ -83,7 +83,7 @@ def signatures(sets: list[np.ndarray], k: int) -> np.ndarray:
             for i in range(int(count.max(initial=0))):
                 at = np.flatnonzero(count > i)
                 dart = mix(cell[at] + scaled(i + 1, DART))
-                rank = (dart >> U64(12)) + (U64(j) << U64(52))
+                rank = (dart >> U64(20)) + (U64(j) << U64(44))
                 near = rank < bound[doc[at]]
                 dart, rank, at = dart[near], rank[near], at[near]
                 np.minimum.at(own, doc[at] * k + (mix(dart) % U64(k)).astype(np.int64), rank)
@@ -212,12 +212,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         open_ = cut(open_)
         least = cut(open_.groupBy("key").agg(F.min("size").alias("least")))
         open_ = several_labels(open_.join(least, "key").where("reach >= least").drop("least"))  # the rest needs a smaller partner than there is
-        ends = ("fp", "label", "size", "shared", "near")
+        ends = ("fp", "label", "size", "shared", "near", "keys")
+        open_ = open_.withColumn("keys", F.collect_set("key").over(W.partitionBy("fp")))  # at most one a band
         other = open_.select(F.col("key").alias("key2"), *(F.col(c).alias(f"{c}_") for c in ends))
         bound = F.least("near", "near_") + F.least(F.col("shared") - F.col("near"), F.col("shared_") - F.col("near_"))
         admits = bound * (1 + similarity) + 1e-6 >= similarity * (F.col("size") + F.col("size_"))
-        pairs = open_.join(other, (F.col("key") == F.col("key2")) & (F.col("fp_") < F.col("fp")) & (F.col("label_") != F.col("label")) & admits)
-        found = cut(overlaps(docs, nodes, cut(pairs.select(F.col("fp_").alias("pivot"), "fp").distinct()), width))
+        once = F.array_min(F.array_intersect("keys", "keys_")) == F.col("key")  # of the buckets that a pair shares
+        pairs = open_.join(other, (F.col("key") == F.col("key2")) & (F.col("fp_") < F.col("fp")) & (F.col("label_") != F.col("label")) & admits & once)
+        found = cut(overlaps(docs, nodes, cut(pairs.select(F.col("fp_").alias("pivot"), "fp")), width))
         labels = spread_labels(labels, links.unionByName(linked(found)), "fp")
     out = sketched.select("doc_id", "fp").join(labels, "fp", "left")
     own = F.when(F.col("label") == LAST, F.lit(None)).otherwise(F.col("label"))
