@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 MARK = "▁"
 NONE = np.iinfo(np.int32).max
 #: Words remembered by a worker; bounds memory only.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 
 
 @dataclass
