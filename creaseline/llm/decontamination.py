@@ -6,15 +6,19 @@ the benchmark. Joined windows of one document and item that lie on one diagonal
 consistent: one value of the item always stands for one value of the document, and the other way round. So a copied
 question is found although its numbers and names were exchanged, and a text that only shares a form is not.
 
-A match counts from half of the item's windows or from RUN_WINDOWS windows on. A window needs at least half of its
-words not to be placeholders. Items shorter than WIDTH are one window of their own length; under SHORTEST words they
-never match.
+A template window needs at least half of its words not to be placeholders. The first word of an item is tried both as
+a plain word and as a name, because a document may hold it inside a sentence. Beside the template windows all windows
+of the literal words (lower case, no outer punctuation) are joined, so that verbatim copies match however many
+placeholders they have. Each form is a match of its own. It counts from RUN_WINDOWS windows on, or from half of the
+item's usable windows of that form if they also cover half of the item. Items shorter than WIDTH are one window of
+their own length; under SHORTEST words they match literally only.
 
 Scans hash words once per worker and distinct word. If the benchmark has at most FILTER_WINDOWS windows (counted
 first), its hashes (8 bytes each) travel to the scan and only windows that will join are shuffled; beyond that every
-window goes to the join.
+window of every form goes to the join.
 
-Defined results: only contaminated (document, item) pairs are returned, once each; null and empty texts match nothing;
+Defined results: only contaminated (document, item) pairs are returned, once each; item_windows are the usable windows
+of the form that matched best; null and empty texts and items without a letter or digit match nothing;
 repeated rows of one doc_id count once; a null doc_id or item_id is kept as null; empty tables give an empty result;
 other columns do not matter.
 """
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +48,16 @@ UNITS = frozenset("mm cm m km in ft yd mi mile miles mg g kg t lb lbs oz ml cl l
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?(st|nd|rd|th)?$")
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¿¡—–·"
 ENDS = b".!?:"
-# a word's template is 61 bits of hash and three flags
-NAME_LIKE, ENDS_SENTENCE, SLOT = 1, 2, 4
-TYPES = {"number": 8 | SLOT, "unit": 16 | SLOT, "name": 24 | SLOT}
-FLAGS = U64(7)
+# a remembered word is 61 bits of hash, its kind and whether it ends a sentence
+PLAIN, NUMBER_WORD, UNIT, NAME_LIKE = range(4)
+KIND, ENDS_SENTENCE, FLAGS = U64(3), U64(4), U64(7)
+PLACEHOLDERS = np.array([0, 8, 16, 24], U64)
+WORDLESS = U64(xxhash.xxh3_64_intdigest("")) & ~FLAGS
 WIDTH_SALT = U64(0x9FB21C651E98DF25)
+# forms of windows: the hashes of different forms never meet
+LITERAL, TEMPLATE = range(2)
+FORM_SALT = U64(0xD6E8FEB86659FD93)
+FIRST_IS_NAME = 10
 
 
 class Templates(dict):
@@ -58,72 +68,101 @@ class Templates(dict):
             self.clear()
         shown = word.decode("utf-8", "replace").strip(PUNCTUATION)
         plain = shown.lower()
-        ends = ENDS_SENTENCE if word.rstrip(b"\"')]}")[-1:] in ENDS and word else 0
+        ends = int(ENDS_SENTENCE) if word.rstrip(b"\"')]}")[-1:] in ENDS and word else 0
         if shown and NUMBER.match(shown):
-            h = TYPES["number"]
+            kind = NUMBER_WORD
         elif plain in UNITS and len(plain) > 1:
-            h = TYPES["unit"]
+            kind = UNIT
         else:
-            h = xxhash.xxh3_64_intdigest(plain) & ~7 | (NAME_LIKE if shown[:1].isupper() and not shown.isupper() else 0)
-        self[word] = h = h | ends
+            kind = NAME_LIKE if shown[:1].isupper() and not shown.isupper() else PLAIN
+        self[word] = h = xxhash.xxh3_64_intdigest(plain) & ~int(FLAGS) | kind | ends
         return h
 
 
 cache = Templates()
 
 
-def templates(words: list[bytes], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Form(NamedTuple):
+    """Texts as hashes laid end to end: which are slots and where the texts begin."""
+
+    number: int
+    hashes: np.ndarray
+    slot: np.ndarray
+    doc: np.ndarray
+
+
+def templates(h: np.ndarray, doc: np.ndarray, first_is_name: bool) -> tuple[np.ndarray, np.ndarray]:
     """Template words and whether they are slots. A capital letter is a name inside a sentence only."""
-    h = np.fromiter(map(cache.__getitem__, words), U64, len(words))
+    kind = (h & KIND).astype(np.int64)
     begins = np.ones(len(h), bool)
-    begins[1:] = (h[:-1] & U64(ENDS_SENTENCE)) > 0
-    begins[doc[:-1][doc[:-1] < len(h)]] = True
-    name = ((h & U64(NAME_LIKE)) > 0) & ~begins
-    slot = ((h & U64(SLOT)) > 0) | name
-    return np.where(name, U64(TYPES["name"]) & ~FLAGS, h & ~FLAGS), slot
+    begins[1:] = (h[:-1] & ENDS_SENTENCE) > 0
+    begins[doc[:-1][doc[:-1] < len(h)]] = not first_is_name
+    slot = (kind == NUMBER_WORD) | (kind == UNIT) | ((kind == NAME_LIKE) & ~begins)
+    return np.where(slot, PLACEHOLDERS[kind], h & ~FLAGS), slot
+
 
+def forms(h: np.ndarray, doc: np.ndarray, whole: bool) -> Iterator[Form]:
+    yield Form(LITERAL, h & ~FLAGS, np.zeros(len(h), bool), doc)
+    for first_is_name in (False, True) if whole else (False,):
+        yield Form(TEMPLATE + FIRST_IS_NAME * first_is_name, *templates(h, doc, first_is_name), doc)
 
-def windows(template: np.ndarray, slot: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+
+def windows(form: Form, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the windows that stay in a document and have enough words that are no slots."""
-    n = len(template) - width + 1
+    n = len(form.hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, U64)
-    slots = np.concatenate([[0], np.cumsum(slot)])
-    ok = 2 * (slots[width:] - slots[:-width]) <= width
-    last = np.repeat(doc[1:], np.diff(doc))[:n]
+    kind = form.number % FIRST_IS_NAME
+    unfit = np.concatenate([[0], np.cumsum(form.hashes == WORDLESS if kind == LITERAL else form.slot)])
+    unfit = unfit[width:] - unfit[:-width]
+    ok = unfit < width if kind == LITERAL else 2 * unfit <= width
+    last = np.repeat(form.doc[1:], np.diff(form.doc))[:n]
     ok &= np.arange(n) + width <= last
-    return np.flatnonzero(ok), (rabin_karp(template, width) + scaled(width, WIDTH_SALT))[ok]
+    return np.flatnonzero(ok), (rabin_karp(form.hashes, width) + scaled(width, WIDTH_SALT) + scaled(kind, FORM_SALT))[ok]
 
 
-def window_rows(key: pa.Array, texts: list[bytes], widths: list[int], wanted: np.ndarray | None, whole: bool) -> pa.RecordBatch:
-    """Rows (key, n_windows, pos, hash, slots) of a block of texts. whole: a text shorter than WIDTH is one window."""
+def window_rows(key: pa.Array, texts: list[bytes], widths: dict[int, list[int]], wanted: np.ndarray | None, whole: bool) -> pa.RecordBatch:
+    """Rows of the windows of a block of texts. widths: by form. whole: a text shorter than WIDTH is one window."""
     words = [t.split() for t in texts]
     doc = offsets([len(w) for w in words])
     flat = [w for own in words for w in own]
-    template, slot = templates(flat, doc)
-    lengths = np.diff(doc)
-    starts, hashes = [], []
-    for width in widths if not whole else sorted({WIDTH, *(int(n) for n in lengths if SHORTEST <= n < WIDTH)}):
-        at, h = windows(template, slot, doc, width)
-        if whole and width < WIDTH:
-            own = lengths[np.searchsorted(doc, at, "right") - 1] == width
-            at, h = at[own], h[own]
-        if wanted is not None:
-            rough = wanted_bits(wanted)[(h >> U64(44)).astype(np.int64)]
-            at, h = at[rough], h[rough]
-            hit = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h if len(wanted) else np.zeros(len(h), bool)
-            at, h = at[hit], h[hit]
-        starts.append((at, h, width))
-    owner, pos, hash_, slots, count = [], [], [], [], []
-    for at, h, width in starts:
-        d = np.searchsorted(doc, at, "right") - 1
-        for x, i, v in zip(d.tolist(), at.tolist(), h.view(np.int64).tolist(), strict=True):
-            owner.append(x)
-            pos.append(i - int(doc[x]))
-            hash_.append(v)
-            slots.append([flat[j].decode("utf-8", "replace").strip(PUNCTUATION) for j in (np.flatnonzero(slot[i : i + width]) + i).tolist()])
-            count.append(max(1, int(lengths[x]) - WIDTH + 1))
-    return pa.RecordBatch.from_arrays([key.take(pa.array(owner, pa.int64())), pa.array(count, pa.int64()), pa.array(pos, pa.int64()), pa.array(hash_, pa.int64()), pa.array(slots, pa.list_(pa.string()))], names=["id", "n_windows", "pos", "hash", "slots"])
+    h = np.fromiter(map(cache.__getitem__, flat), U64, len(flat))
+    owner, number, usable, length, wide, pos, hash_, slots = [], [], [], [], [], [], [], []
+    for form in forms(h, doc, whole):
+        kind = form.number % FIRST_IS_NAME
+        lengths = np.diff(form.doc)
+        found = []
+        for width in widths.get(kind, []) if not whole else sorted({WIDTH, *(int(n) for n in lengths if (1 if kind == LITERAL else SHORTEST) <= n < WIDTH)}):
+            at, hashes = windows(form, width)
+            if wanted is not None:
+                rough = wanted_bits(wanted)[(hashes >> U64(44)).astype(np.int64)]
+                at, hashes = at[rough], hashes[rough]
+                hit = wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes if len(wanted) else np.zeros(len(hashes), bool)
+                at, hashes = at[hit], hashes[hit]
+            d = np.searchsorted(form.doc, at, "right") - 1
+            if whole:
+                fits = lengths[d] == width if width < WIDTH else np.ones(len(d), bool)
+                if form.number >= FIRST_IS_NAME:
+                    fits &= (h[doc[d]] & KIND) == NAME_LIKE
+                at, hashes, d = at[fits], hashes[fits], d[fits]
+            elif kind == LITERAL and width < WIDTH and len(d):
+                # a whole item: one place in a document is enough
+                first = np.unique(np.stack([d.view(U64), hashes], 1), axis=0, return_index=True)[1]
+                at, hashes, d = at[first], hashes[first], d[first]
+            found.append((at, hashes, d, width))
+        count = sum(np.bincount(d, minlength=len(texts)) for _, _, d, _ in found)
+        for at, hashes, d, width in found:
+            for x, i, v in zip(d.tolist(), at.tolist(), hashes.view(np.int64).tolist(), strict=True):
+                owner.append(x)
+                number.append(form.number)
+                usable.append(int(count[x]))
+                length.append(int(lengths[x]))
+                wide.append(width)
+                pos.append(i - int(form.doc[x]))
+                hash_.append(v)
+                slots.append([flat[j].decode("utf-8", "replace").strip(PUNCTUATION) for j in (np.flatnonzero(form.slot[i : i + width]) + i).tolist()])
+    numbers = [pa.array(x, pa.int64()) for x in (number, usable, length, wide, pos, hash_)]
+    return pa.RecordBatch.from_arrays([key.take(pa.array(owner, pa.int64())), *numbers, pa.array(slots, pa.list_(pa.string()))], names=["id", "form", "n_windows", "length", "width", "pos", "hash", "slots"])
 
 
 def wanted_bits(wanted: np.ndarray) -> np.ndarray:
@@ -138,7 +177,7 @@ def wanted_bits(wanted: np.ndarray) -> np.ndarray:
 _bits: dict = {}
 
 
-def scan(df: DataFrame, widths: list[int], wanted: np.ndarray | None, whole: bool) -> DataFrame:
+def scan(df: DataFrame, widths: dict[int, list[int]], wanted: np.ndarray | None, whole: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = as_bytes(b.column(1))
@@ -149,34 +188,35 @@ def scan(df: DataFrame, widths: list[int], wanted: np.ndarray | None, whole: boo
                     yield window_rows(b.column(0).slice(at, z - at), texts[at:z], widths, wanted, whole)
                     at, size = z, 0
 
-    return df.mapInArrow(run, "id long, n_windows long, pos long, hash long, slots array<string>")
+    return df.mapInArrow(run, "id long, form long, n_windows long, length long, width long, pos long, hash long, slots array<string>")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id, matched_windows, item_windows, verbatim: contaminated pairs."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    items = cut(scan(items, [], None, True).withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots", "n_windows": "item_windows"}))
-    widths = sorted({WIDTH, *short_widths(benchmark, text_col)})
+    items = cut(scan(items, {}, None, True).withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots", "n_windows": "item_windows"}))
+    widths: dict[int, list[int]] = {}
+    for r in items.select((F.col("form") % FIRST_IS_NAME).alias("form"), "width").distinct().orderBy("form", "width").collect():
+        widths.setdefault(r["form"], []).append(r["width"])
     distinct = items.select("hash").distinct()
     wanted = None
     if distinct.count() <= FILTER_WINDOWS:
         wanted = np.sort(np.array([r[0] for r in distinct.collect()], np.int64).view(U64))
     found = scan(docs, widths, wanted, False).select(F.col("id").alias("doc_id"), "pos", "hash", "slots")
     joined = found.join(items, "hash")
-    match = joined.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
+    match = joined.groupBy("doc_id", "item_id", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
         F.count_distinct("item_pos").alias("matched_windows"),
         F.max("item_windows").alias("item_windows"),
+        F.max("length").alias("length"),
+        F.max("width").alias("width"),
+        F.sort_array(F.collect_set("item_pos")).alias("at"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
     )
     pairs = F.size("pairs")
     consistent = (F.size(F.array_distinct("pairs.item_slots")) == pairs) & (F.size(F.array_distinct("pairs.slots")) == pairs)
-    enough = (F.col("matched_windows") >= coverage * F.col("item_windows")) | (F.col("matched_windows") >= RUN_WINDOWS)
+    steps = F.transform("at", lambda p, i: F.when(i == 0, F.col("width")).otherwise(F.least(F.col("width"), p - F.get("at", i - 1))))
+    covered = F.aggregate(steps, F.lit(0).cast("long"), lambda a, n: a + n)
+    enough = ((F.col("matched_windows") >= coverage * F.col("item_windows")) & (covered >= coverage * F.col("length"))) | (F.col("matched_windows") >= RUN_WINDOWS)
     best = F.max(F.struct("matched_windows", F.forall("pairs", lambda p: p["item_slots"] == p["slots"]).alias("verbatim"), "item_windows")).alias("best")
     return match.where(consistent & enough).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.matched_windows", "best.item_windows", "best.verbatim")
-
-
-def short_widths(benchmark: DataFrame, text_col: str) -> list[int]:
-    """Lengths under WIDTH that items have; at most WIDTH - SHORTEST values."""
-    n = F.size(F.filter(F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "[ \t-\r]+"), lambda w: w != ""))
-    return [r[0] for r in benchmark.select(n.alias("n")).where(F.col("n").between(SHORTEST, WIDTH - 1)).distinct().collect()]

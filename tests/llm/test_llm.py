@@ -163,6 +163,13 @@ def test_decontamination(spark):
     assert decontamination.contaminated(empty(spark), bench).count() == 0 and decontamination.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_decontamination_verbatim(spark):
+    items = {1: "On May 3 Tom Smith paid 12 usd and 40 cents to Mary Jones", 2: " ".join(f"{i * 7} kg" for i in range(30)), 3: "What is the capital of France", 4: "Quite rare", 5: "Which old stone bridge crosses the quiet river", 6: "-"}
+    docs = [(i, f"so they ask {t} and go on - as before") for i, t in items.items()] + [(13, "a line without a stop\nWhat is the capital of Spain"), (14, "what is quite a rare thing, the capital"), (15, "1 kg 2 kg 3 kg 4 kg 5 kg 6 kg 7 kg 8 kg")]
+    got = {(r.doc_id, r.item_id): r.verbatim for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert got == {(1, 1): True, (2, 2): True, (3, 3): True, (4, 4): True, (5, 5): True, (13, 3): False}
+
+
 def test_secret_scan(spark):
     pattern = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     bits = ["token", "secret=", "token: ", "api_key", " = ", '"', "abcdef", "xxxxx", "AKIA", "ABCDEFGHIJKLMNOP1234", "0123456789abcdef01234567", " ", "\n\n", "é", "𝒳", "password", "user=bob", "dGhpcyBJcyBBIFRlc3Q0NTY3ODkw", "ſecret=", "Key"]
