@@ -9,7 +9,8 @@ question is found although its numbers and names were exchanged, and a text that
 A template window needs at least half of its words not to be placeholders. The first word of an item is tried both as
 a plain word and as a name, because a document may hold it inside a sentence. Beside the template windows all windows
 of the literal words (lower case, no outer punctuation) are joined, so that verbatim copies match however many
-placeholders they have. Each form is a match of its own. It counts from RUN_WINDOWS windows on, or from half of the
+placeholders they have. A third form makes one placeholder of neighbouring name words, and of neighbouring numbers, with
+no punctuation between them, so that a name or number may be exchanged for one of another number of words. Each form is a match of its own. It counts from RUN_WINDOWS windows on, or from half of the
 item's usable windows of that form if they also cover half of the item. Items shorter than WIDTH are one window of
 their own length; under SHORTEST words they match literally only.
 
@@ -48,14 +49,14 @@ UNITS = frozenset("mm cm m km in ft yd mi mile miles mg g kg t lb lbs oz ml cl l
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?(st|nd|rd|th)?$")
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¿¡—–·"
 ENDS = b".!?:"
-# a remembered word is 61 bits of hash, its kind and whether it ends a sentence
+# a remembered word is 60 bits of hash, its kind, whether it ends a sentence and whether no punctuation follows it
 PLAIN, NUMBER_WORD, UNIT, NAME_LIKE = range(4)
-KIND, ENDS_SENTENCE, FLAGS = U64(3), U64(4), U64(7)
-PLACEHOLDERS = np.array([0, 8, 16, 24], U64)
+KIND, ENDS_SENTENCE, OPEN, FLAGS = U64(3), U64(4), U64(8), U64(15)
+PLACEHOLDERS = np.array([0, 16, 32, 48], U64)
 WORDLESS = U64(xxhash.xxh3_64_intdigest("")) & ~FLAGS
 WIDTH_SALT = U64(0x9FB21C651E98DF25)
 # forms of windows: the hashes of different forms never meet
-LITERAL, TEMPLATE = range(2)
+LITERAL, TEMPLATE, COLLAPSED = range(3)
 FORM_SALT = U64(0xD6E8FEB86659FD93)
 FIRST_IS_NAME = 10
 
@@ -75,7 +76,8 @@ class Templates(dict):
             kind = UNIT
         else:
             kind = NAME_LIKE if shown[:1].isupper() and not shown.isupper() else PLAIN
-        self[word] = h = xxhash.xxh3_64_intdigest(plain) & ~int(FLAGS) | kind | ends
+        open_ = int(OPEN) if shown and word.decode("utf-8", "replace").endswith(shown) else 0
+        self[word] = h = xxhash.xxh3_64_intdigest(plain) & ~int(FLAGS) | kind | ends | open_
         return h
 
 
@@ -83,12 +85,13 @@ cache = Templates()
 
 
 class Form(NamedTuple):
-    """Texts as hashes laid end to end: which are slots and where the texts begin."""
+    """Texts as hashes laid end to end: which are slots, where the texts begin, and the first word of each hash."""
 
     number: int
     hashes: np.ndarray
     slot: np.ndarray
     doc: np.ndarray
+    word: np.ndarray
 
 
 def templates(h: np.ndarray, doc: np.ndarray, first_is_name: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -102,9 +105,16 @@ def templates(h: np.ndarray, doc: np.ndarray, first_is_name: bool) -> tuple[np.n
 
 
 def forms(h: np.ndarray, doc: np.ndarray, whole: bool) -> Iterator[Form]:
-    yield Form(LITERAL, h & ~FLAGS, np.zeros(len(h), bool), doc)
+    word = np.arange(len(h) + 1)
+    yield Form(LITERAL, h & ~FLAGS, np.zeros(len(h), bool), doc, word)
     for first_is_name in (False, True) if whole else (False,):
-        yield Form(TEMPLATE + FIRST_IS_NAME * first_is_name, *templates(h, doc, first_is_name), doc)
+        template, slot = templates(h, doc, first_is_name)
+        yield Form(TEMPLATE + FIRST_IS_NAME * first_is_name, template, slot, doc, word)
+        joins = np.zeros(len(h), bool)
+        joins[1:] = (template[1:] == template[:-1]) & slot[1:] & slot[:-1] & (template[1:] != PLACEHOLDERS[UNIT]) & ((h[:-1] & OPEN) > 0)
+        joins[doc[:-1][doc[:-1] < len(h)]] = False
+        first = np.flatnonzero(~joins)
+        yield Form(COLLAPSED + FIRST_IS_NAME * first_is_name, template[first], slot[first], np.searchsorted(first, doc), np.append(first, len(h)))
 
 
 def windows(form: Form, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +131,10 @@ def windows(form: Form, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(ok), (rabin_karp(form.hashes, width) + scaled(width, WIDTH_SALT) + scaled(kind, FORM_SALT))[ok]
 
 
+def shown(words: list[bytes]) -> str:
+    return " ".join(w.decode("utf-8", "replace").strip(PUNCTUATION) for w in words)
+
+
 def window_rows(key: pa.Array, texts: list[bytes], widths: dict[int, list[int]], wanted: np.ndarray | None, whole: bool) -> pa.RecordBatch:
     """Rows of the windows of a block of texts. widths: by form. whole: a text shorter than WIDTH is one window."""
     words = [t.split() for t in texts]
@@ -143,7 +157,7 @@ def window_rows(key: pa.Array, texts: list[bytes], widths: dict[int, list[int]],
             if whole:
                 fits = lengths[d] == width if width < WIDTH else np.ones(len(d), bool)
                 if form.number >= FIRST_IS_NAME:
-                    fits &= (h[doc[d]] & KIND) == NAME_LIKE
+                    fits &= (h[doc[d]] & KIND) == NAME_LIKE  # else as without it
                 at, hashes, d = at[fits], hashes[fits], d[fits]
             elif kind == LITERAL and width < WIDTH and len(d):
                 # a whole item: one place in a document is enough
@@ -160,7 +174,7 @@ def window_rows(key: pa.Array, texts: list[bytes], widths: dict[int, list[int]],
                 wide.append(width)
                 pos.append(i - int(form.doc[x]))
                 hash_.append(v)
-                slots.append([flat[j].decode("utf-8", "replace").strip(PUNCTUATION) for j in (np.flatnonzero(form.slot[i : i + width]) + i).tolist()])
+                slots.append([shown(flat[form.word[j] : form.word[j + 1]]) for j in (np.flatnonzero(form.slot[i : i + width]) + i).tolist()])
     numbers = [pa.array(x, pa.int64()) for x in (number, usable, length, wide, pos, hash_)]
     return pa.RecordBatch.from_arrays([key.take(pa.array(owner, pa.int64())), *numbers, pa.array(slots, pa.list_(pa.string()))], names=["id", "form", "n_windows", "length", "width", "pos", "hash", "slots"])
 

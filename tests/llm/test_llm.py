@@ -170,6 +170,16 @@ def test_decontamination_verbatim(spark):
     assert got == {(1, 1): True, (2, 2): True, (3, 3): True, (4, 4): True, (5, 5): True, (13, 3): False}
 
 
+def test_decontamination_exchanged_lengths(spark):
+    item = "A farmer who lives by the old mill tells Tom that his brother sold 12 sheep at the spring market"
+    other = lambda name, number: item.replace("Tom", name).replace("12", number)
+    docs = [(1, other("Mary Ann", "1 200")), (2, "Once " + other("Mary Ann Lee", "7")), (3, other("Tom", "1 200 000")), (4, item), (5, other("Tom, Mary, Ann", "12, 13, 14"))]
+    bench = [(1, item), (2, "He asks Anna Lee how far Anna Lee can run in 30 minutes"), (3, "unrelated words only")]
+    docs += [(6, "He asks Bob how far Bob can run in 1 500 minutes"), (7, "He asks Bob how far Carl can run in 1 500 minutes")]
+    got = {(r.doc_id, r.item_id): r.verbatim for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got == {(1, 1): False, (2, 1): False, (3, 1): False, (4, 1): True, (6, 2): False}
+
+
 def test_secret_scan(spark):
     pattern = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     bits = ["token", "secret=", "token: ", "api_key", " = ", '"', "abcdef", "xxxxx", "AKIA", "ABCDEFGHIJKLMNOP1234", "0123456789abcdef01234567", " ", "\n\n", "é", "𝒳", "password", "user=bob", "dGhpcyBJcyBBIFRlc3Q0NTY3ODkw", "ſecret=", "Key"]
