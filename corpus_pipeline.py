@@ -1,11 +1,13 @@
 """The training-corpus pipeline over `documents`: each stage reads what its predecessor wrote.
 
 toxicity: documents that the classifier rejects go. near_dedup: of each class of near-duplicates the document with the
-smallest doc_id stays (of several rows with that id the one whose text sorts first). decontaminate: documents that
-contain a benchmark item go. secrets: every reported span is replaced by a placeholder and n_chars follows.
-tokenize: the digest of the SentencePiece encoding of what is left.
+smallest doc_id stays (null after all others; of several texts with that id the one with the smallest key).
+decontaminate: documents that contain a benchmark item go. secrets: every reported span is replaced by a placeholder
+and n_chars follows. tokenize: the digest of the SentencePiece encoding of what is left.
 
-Documents without a doc_id pass near_dedup unless another one of their class has an id.
+Rows with equal doc_id (null too) and equal text are one document, and near_dedup leaves one of them. Rows that share a
+doc_id, or have none, but differ in text are decided upon one by one. The key of a document is 64 bits of hash of both:
+two of n documents share one with a probability below n*n / 2^65.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creaseline.llm import dart_minhash, decontamination, secret_scan, sentencepiece_codec, toxicity
-from creaseline.llm.blocks import shared_folder
+from creaseline.llm.blocks import cut, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,20 +32,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(text, model, text_col="__scored").where("predicted = 0").select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with __key, equal for equal (doc_id, text) and computed anew from them wherever it is needed."""
+    return docs.withColumn("__key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = dart_minhash.near_duplicates(docs)
-    copies = classes.where("doc_id != class_id or (doc_id is null and class_id is not null)").select("doc_id").distinct()
-    kept = docs.join(copies, docs["doc_id"].eqNullSafe(copies["doc_id"]), "left_anti")
-    # rows that share a doc_id are one document
-    ids = kept.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    single = kept.join(ids, kept["doc_id"] == ids["doc_id"], "left_anti")
-    merged = kept.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(F.coalesce("text", F.lit("")).alias("t"), *(c for c in docs.columns if c != "doc_id"))).alias("row"))
-    return single.unionByName(merged.select("doc_id", *(F.col(f"row.{c}").alias(c) for c in docs.columns if c != "doc_id")))
+    rows = keyed(docs)
+    classes = dart_minhash.near_duplicates(rows, id_col="__key").select(F.col("doc_id").alias("__key"), "class_id").distinct()
+    members = cut(classes.join(rows.select("__key", "doc_id").distinct(), "__key"))
+    first = members.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__key")).alias("first")).select("first.__key")
+    copies = members.select("__key").join(first, "__key", "left_anti")
+    kept = rows.join(copies, "__key", "left_anti")
+    repeated = cut(rows.groupBy("__key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__key"))
+    single = kept.join(repeated, "__key", "left_anti")
+    merged = kept.join(repeated, "__key", "left_semi").groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return single.select(*docs.columns).unionByName(merged.select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaks = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    rows = keyed(docs)
+    leaks = decontamination.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col="__key").select(F.col("doc_id").alias("__key")).distinct()
+    return rows.join(leaks, "__key", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -280,3 +280,18 @@ def test_pipeline(spark, tmp_path):
     assert seen["near_dedup"] == set(classes.values())
     assert seen["secrets"] == seen["decontaminate"] == seen["tokenize"]
     assert secret_scan.scan(spark.read.parquet(str(tmp_path / "secrets"))).where("n_assign > 0").count() == 0
+
+
+def test_pipeline_null_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    item = "Which of the old stone bridges crosses the quiet river near the mill"
+    rows = [(1, BASE[0]), (None, BASE[0]), (None, BASE[1]), (None, BASE[2]), (None, BASE[2]), (2, BASE[3]), (3, BASE[3]), (3, "a text of its own under three"), (3, ""), (4, None), (4, "four has a text too"), (None, f"so {item} again"), (5, f"well {item} then"), (5, "five is clean elsewhere")]
+    docs = spark.createDataFrame([(d, t, "en", "web", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    gone = [(None, BASE[0]), (None, BASE[2]), (3, BASE[3])]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(rows) - Counter(gone)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns and Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(r for r in rows if item not in (r[1] or ""))
