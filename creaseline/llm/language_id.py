@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creaseline.llm.blocks import U64, bit_remainder, mix, offsets
@@ -211,9 +211,12 @@ def predict(reader: Reader, texts: list[str]) -> tuple[list[str], list[float], l
 
 
 def fit(docs: DataFrame, may_learn: F.Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Train on a sample by hash of the id, with a rate for each language that bounds its expected size."""
+    """Train on a sample by hash of the id, with a rate for each language that bounds its expected size.
+
+    Of several rows of one id and language the text that sorts first counts, and each language has its own bound.
+    """
     usable = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in usable.groupBy(lang_col).agg(F.count(F.lit(1))).collect()}
+    counts = {r[0]: r[1] for r in usable.select(id_col, lang_col).distinct().groupBy(lang_col).agg(F.count(F.lit(1))).collect()}
     if not counts:
         return Model([], np.zeros((TABLE, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool), 0)
     each = min(MAX_PER_LANGUAGE, max(1, MAX_DOCS // len(counts)))
@@ -221,7 +224,9 @@ def fit(docs: DataFrame, may_learn: F.Column, id_col: str = "doc_id", text_col:
     drawn = F.lit(False)
     for lang, n in counts.items():
         drawn = drawn | ((F.col(lang_col) == lang) & (part < int(1_000_000 * min(1.0, each / n))))
-    sample = usable.where(drawn & (F.length(text_col) <= MAX_CHARS)).select(text_col, lang_col).orderBy(F.xxhash64(text_col), text_col).limit(2 * MAX_DOCS).collect()
+    one = usable.where(drawn & (F.length(text_col) <= MAX_CHARS)).groupBy(id_col, lang_col).agg(F.min(text_col).alias(text_col))
+    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(text_col), text_col))
+    sample = one.withColumn("__rank", rank).where(F.col("__rank") <= 2 * each).select(text_col, lang_col).orderBy(F.xxhash64(text_col), text_col).collect()
     return train([r[0] for r in sample], [r[1] for r in sample])
 
 

@@ -263,6 +263,24 @@ def test_toxicity(spark):
     assert toxicity.score(empty(spark), model).count() == 0
 
 
+def test_samples_with_a_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_PER_CLASS", 20)
+    monkeypatch.setattr(language_id, "MAX_DOCS", 40)
+    monkeypatch.setattr(language_id, "MAX_PER_LANGUAGE", 20)
+    ids = spark.range(60).select("id", F.xxhash64("id").alias("h"), F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)).alias("part")).collect()
+    taken: dict = {}
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, share: taken.update(toxic=Counter(toxic)))
+    monkeypatch.setattr(language_id, "train", lambda texts, langs: taken.update(langs=Counter(langs)))
+    hot = min(ids, key=lambda r: r.h).id
+    rows = [(r.id, f"text {r.id}") for r in ids] + [(hot, f"text {hot} {i}") for i in range(500)]
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(r.id, int(r.id % 2 == hot % 2)) for r in ids], "doc_id long, toxic int"), F.lit(True))
+    assert taken["toxic"] == Counter({0: 20, 1: 20})
+    hot = min(ids, key=lambda r: r.part).id
+    rows = [(r.id, f"text {r.id}", "en" if r.id % 2 == hot % 2 else "de") for r in ids] + [(hot, "copied", "en")] * 5000
+    language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert set(taken["langs"]) == {"de", "en"} and 5 < taken["langs"]["en"] <= 40
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
