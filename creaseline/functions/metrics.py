@@ -20,9 +20,10 @@ def total(condition: Column) -> Column:
 
 
 def rounded(x: Column, digits: int = 2) -> Column:
-    """Half up on the scaled double, which any engine computes alike (decimal rounding of doubles differs between engines)."""
+    """Half away from zero on the scaled double, which any engine computes alike (decimal rounding of doubles differs between engines)."""
     scale = float(10**digits)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    # adding 0.0 turns a negative zero into zero
+    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale) + F.lit(0.0)
 
 
 def ratio(top: Column | str, bottom: Column | str, factor: float = 1.0, digits: int = 2) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from creaseline.functions.metrics import rounded
+from creaseline.sinks.tables import overwrite_partitions
 
 AUDIT_KEY = ["file_name", "content_hash"]
 ANOMALY_PCT = 5.0
@@ -20,6 +21,16 @@ def land(audit: DataFrame, landed: DataFrame) -> DataFrame:
     return audit.unionByName(new, allowMissingColumns=True)
 
 
+def stamp_bronze(audit: DataFrame, loaded: DataFrame, value: Column) -> DataFrame:
+    """bronze_loaded_at and the revision of file revisions that reached Bronze (loaded: AUDIT_KEY, revision)."""
+    return stamp(audit, loaded, AUDIT_KEY, "bronze_loaded_at", value, revision="revision")
+
+
+def stamp_archive(audit: DataFrame, moved: DataFrame) -> DataFrame:
+    """Where archived files lie now (moved: AUDIT_KEY, archive_path)."""
+    return stamp(audit, moved.withColumnRenamed("archive_path", "__to"), AUDIT_KEY, "archive_path", F.col("__archive_path"), archive_path="__to")
+
+
 def stamp(audit: DataFrame, keys: DataFrame, on: list[str], column: str, value: Column, only_empty: bool = False, **more: str) -> DataFrame:
     """Set column (and copy `more` columns from keys) on the rows whose key is given."""
     marks = keys.dropDuplicates(on).select(*on, *[F.col(src).alias(f"__{dst}") for dst, src in more.items()], F.lit(True).alias("__hit"))
@@ -53,10 +64,18 @@ def seed_from_bronze(bronze: DataFrame, inventory: DataFrame) -> DataFrame:
     return out.select(F.coalesce("file_name", F.concat("match_id", F.lit(".json"))).alias("file_name"), "content_hash", "match_id", "revision", "bronze_loaded_at", F.col("bronze_loaded_at").alias("silver_loaded_at"), F.lit(None).cast("timestamp").alias("gold_loaded_at"))
 
 
+CATALOG_DDL = "table_name string, snapshot int, column_name string, column_type string"
+
+
 def catalog_of(tables: dict[str, DataFrame], snapshot: int) -> list[tuple[str, int, str, str]]:
     return [(t, snapshot, c, kind) for t, df in tables.items() for c, kind in df.dtypes]
 
 
+def append_catalog(spark: SparkSession, path: str, tables: dict[str, DataFrame], snapshot: int) -> None:
+    """The columns of each table as rows of a catalogue table, by snapshot; a second run replaces its own snapshot."""
+    overwrite_partitions(spark.createDataFrame(catalog_of(tables, snapshot), CATALOG_DDL), path, ["snapshot"])
+
+
 def column_drift(catalog: DataFrame) -> DataFrame:
     """New and removed columns of each table between a snapshot and the one before, with a hash of the sorted names."""
     names = catalog.groupBy("table_name", "snapshot").agg(F.sort_array(F.collect_set("column_name")).alias("names"))
@@ -113,8 +132,35 @@ def latest_archives(log: DataFrame) -> DataFrame:
     return log.groupBy("archive").agg(F.max("loaded_at").alias("loaded_at"), F.sum("n_files").alias("n_files"))
 
 
-def log_row(df: DataFrame, status: str, message: str | None = None) -> DataFrame:
-    return df.withColumns({"status": F.lit(status), "message": F.substring(F.lit(message).cast("string"), 1, MESSAGE)})
+LOG_DDL = "run_id string, snapshot_date date, status string, at timestamp, attempted long, succeeded long, failed long, rows_written long, message string"
+
+
+def log_started(runs: DataFrame) -> DataFrame:
+    """RUNNING rows of a load log for runs (run_id, snapshot_date, at)."""
+    return log_rows(runs, "RUNNING")
+
+
+def log_rows(runs: DataFrame, status: str, message: Column | None = None) -> DataFrame:
+    """Log rows for runs; counts that runs lack are null, and a message is cut to MESSAGE characters."""
+    text = F.substring((F.lit(None) if message is None else message).cast("string"), 1, MESSAGE)
+    out = runs.withColumns({"status": F.lit(status), "message": text})
+    counts = ("attempted", "succeeded", "failed", "rows_written")
+    return out.select("run_id", "snapshot_date", "status", "at", *[F.col(c).cast("long").alias(c) if c in runs.columns else F.lit(None).cast("long").alias(c) for c in counts], "message")
+
+
+def latest_log(log: DataFrame) -> DataFrame:
+    """The last state of each run, with its duration: log rows are appended, never changed."""
+    started = log.where("status = 'RUNNING'").groupBy("run_id").agg(F.min("at").alias("started_at"))
+    rank = F.when(F.col("status") == "RUNNING", 0).otherwise(1)
+    last = latest_by(log, ["run_id"], rank.desc(), F.col("at").desc(), F.col("status"))
+    seconds = (F.unix_seconds("at") - F.unix_seconds("started_at")).cast("long")
+    return last.join(started, "run_id", "left").withColumn("duration_seconds", F.when(F.col("status") != "RUNNING", seconds))
+
+
+def landed_counts(log: DataFrame, snapshot_date: Column, series: str = "source_file", n: str = "row_count", order: str = "id") -> DataFrame:
+    """The row count that the last successful load of each file reported for that snapshot."""
+    done = log.where((F.col("snapshot_date") == snapshot_date) & (F.col("status") == "SUCCESS") & F.col(n).isNotNull())
+    return latest_by(done, [series], F.col(order).desc()).select(series, n)
 
 
 def daily_runs(log: DataFrame) -> DataFrame:
@@ -122,6 +168,20 @@ def daily_runs(log: DataFrame) -> DataFrame:
     return log.groupBy(F.to_date("started_at").alias("day")).agg(F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "FAILED").alias("failed"), rounded(F.sum("seconds")).alias("seconds"))
 
 
+def top_tasks(log: DataFrame, n: int = 10) -> DataFrame:
+    """The tasks that took longest in all, with their share."""
+    by_task = log.groupBy("task").agg(F.count(F.lit(1)).alias("runs"), F.sum("seconds").alias("s"))
+    out = by_task.crossJoin(by_task.agg(F.sum("s").alias("whole")))  # one row
+    share = rounded(F.col("s") * 100 / F.when(F.col("whole") != 0, F.col("whole")))
+    return out.select("task", "runs", rounded(F.col("s")).alias("seconds"), share.alias("pct")).orderBy(F.col("seconds").desc(), "task").limit(n)
+
+
+def data_freshness(log: DataFrame, today: Column) -> DataFrame:
+    """Days since the last successful run of each task."""
+    done = log.where("status = 'SUCCESS'").groupBy("task").agg(F.max(F.to_date("started_at")).alias("last_success"))
+    return done.withColumn("days_old", F.date_diff(today, "last_success").cast("long"))
+
+
 def scd2(rows: DataFrame, key: str, snapshot: str, *tracked: str) -> DataFrame:
     """Validity intervals of each key: consecutive snapshots with equal tracked values are one version."""
     order = W.partitionBy(key).orderBy(snapshot)

@@ -41,12 +41,19 @@ squads AS (
   SELECT DISTINCT d.match_id, CASE WHEN innings_number = 1 THEN team_a ELSE team_b END AS team, batter AS player_name FROM deliveries d JOIN m USING (match_id)
   UNION SELECT DISTINCT d.match_id, CASE WHEN innings_number = 2 THEN team_a ELSE team_b END, bowler FROM deliveries d JOIN m USING (match_id)),
 registry AS (SELECT DISTINCT match_id, player_name AS display_name, 'r-' || player_name AS cricsheet_id FROM squads WHERE CAST(substr(player_name, 2) AS INTEGER) % 4 <> 0),
-people AS (SELECT 'id' || c_custkey AS identifier, CASE WHEN c_custkey % 10 <> 0 THEN 'Person ' || c_custkey END AS name, 'person-' || c_custkey AS unique_name, c_custkey AS k FROM customer),
+people_rows AS (
+  SELECT 'id' || c_custkey AS identifier, CASE WHEN c_custkey % 10 <> 0 THEN 'Person ' || c_custkey END AS name, 'person-' || c_custkey AS unique_name, c_custkey AS k FROM customer
+  UNION ALL SELECT 'id' || c_custkey, 'Aaron ' || c_custkey, 'zed-' || c_custkey, c_custkey FROM customer WHERE c_custkey % 50 = 7),
+people AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY name NULLS LAST, unique_name) AS n FROM people_rows) WHERE n = 1),
+gone AS (SELECT 'gone' || c_custkey AS identifier, 'Gone ' || c_custkey AS name, 'gone-' || c_custkey AS unique_name FROM customer WHERE c_custkey % 20 = 0),
+persons AS (
+  SELECT identifier AS person_id, name, unique_name, DATE '2024-01-01' AS _snapshot_date FROM people
+  UNION ALL SELECT identifier, name, unique_name, DATE '2023-12-01' FROM gone UNION ALL SELECT 'id' || c_custkey, 'Old ' || c_custkey, 'old-' || c_custkey, DATE '2023-12-01' FROM customer WHERE c_custkey % 4 = 0),
 identifiers AS (
   SELECT identifier, 'cricsheet' AS source_system, 'r-P' || k AS source_identifier FROM people WHERE k % 3 <> 0
   UNION ALL SELECT identifier, 'cricinfo', CAST(k * 7 AS VARCHAR) FROM people WHERE k % 2 = 0
   UNION ALL SELECT identifier, 'cricbuzz', CAST(k * 3 AS VARCHAR) FROM people WHERE k % 5 = 0),
-variations AS (SELECT DISTINCT 'id' || c_custkey AS identifier, 'P' || (c_custkey % 290) AS name FROM customer WHERE c_custkey % 3 = 0 UNION SELECT DISTINCT 'sup' || s_suppkey, 'Q' || (s_suppkey % 50) FROM supplier),
+variations AS (SELECT DISTINCT 'id' || c_custkey AS identifier, 'P' || (c_custkey % 290) AS name FROM customer UNION SELECT DISTINCT 'sup' || s_suppkey, 'Q' || (s_suppkey % 50) FROM supplier),
 by_id AS (SELECT source_identifier AS cricsheet_id, min(identifier) AS pa FROM identifiers WHERE source_system = 'cricsheet' GROUP BY 1),
 by_name AS (SELECT name, min(identifier) AS pb FROM variations GROUP BY 1),
 players AS (
@@ -64,10 +71,10 @@ audit AS (
   SELECT o_orderkey || '.json' AS file_name, sha256(o_orderkey || '|' || o_orderstatus) AS content_hash, CAST(o_orderkey AS VARCHAR) AS match_id, o_orderkey AS k, o_orderdate AS bronze_loaded_at,
     CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS silver_loaded_at, CASE WHEN o_orderstatus <> 'O' AND o_orderkey % 3 = 0 THEN o_orderdate END AS gold_loaded_at FROM orders),
 dim_player AS (
-  SELECT p.identifier AS person_id, p.name AS full_name, p.unique_name, max(CASE WHEN source_system = 'cricinfo' THEN source_identifier END) AS cricinfo_id, CAST(NULL AS VARCHAR) AS espn_id,
-    max(CASE WHEN source_system = 'cricbuzz' THEN source_identifier END) AS cricbuzz_id, CAST(NULL AS VARCHAR) AS wikidata_id, CAST(NULL AS VARCHAR) AS twitter_handle, CAST(NULL AS VARCHAR) AS instagram_handle
-  FROM people p LEFT JOIN identifiers i ON i.identifier = p.identifier GROUP BY 1, 2, 3),
-aliases AS (SELECT DISTINCT 'P' || p_partkey AS cricsheet_name, 'Star ' || p_partkey AS display_name FROM part WHERE p_partkey < 60 AND p_partkey % 4 = 0),
+  SELECT p.person_id, p.name AS full_name, p.unique_name, max(CASE WHEN source_system = 'cricinfo' THEN source_identifier END) AS cricinfo_id, CAST(NULL AS VARCHAR) AS espn_id,
+    max(CASE WHEN source_system = 'cricbuzz' THEN source_identifier END) AS cricbuzz_id, CAST(NULL AS VARCHAR) AS wikidata_id, CAST(NULL AS VARCHAR) AS twitter_handle, CAST(NULL AS VARCHAR) AS instagram_handle, p._snapshot_date
+  FROM (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY _snapshot_date DESC) AS n FROM persons) p LEFT JOIN identifiers i ON i.identifier = p.person_id WHERE n = 1 GROUP BY ALL),
+aliases AS (SELECT DISTINCT 'P' || (p_partkey * 2 % 300) AS cricsheet_name, 'Star ' || (p_partkey * 2 % 300) AS display_name FROM part),
 shown AS (
   SELECT n.cricsheet_name, coalesce(a.display_name, d.full_name, n.cricsheet_name) AS display_name, coalesce(d.unique_name, n.cricsheet_name) AS unique_name, n.person_id
   FROM (SELECT player_name AS cricsheet_name, min(person_id) AS person_id FROM players GROUP BY 1) n LEFT JOIN aliases a USING (cricsheet_name) LEFT JOIN dim_player d ON d.person_id = n.person_id),
@@ -114,8 +121,8 @@ e AS (SELECT *, CAST(ts AS DATE) AS day FROM events)
 
 
 def r(x: str, digits: int = 2) -> str:
-    """Rounded half up on the scaled double."""
-    return f"floor(({x}) * {10**digits} + 0.5) / {10**digits}"
+    """Rounded half away from zero on the scaled double."""
+    return f"(sign({x}) * floor(abs({x}) * {10**digits} + 0.5) / {10**digits} + 0.0::DOUBLE)"
 
 
 CAREER = f"""count(DISTINCT match_id) AS matches, count(*) AS innings, CAST(sum(r) AS BIGINT) AS runs, count(*) FILTER (r >= 100) AS hundreds, count(*) FILTER (r >= 50 AND r < 100) AS fifties, max(r) AS high_score,
@@ -151,12 +158,54 @@ OLD = "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey %
 NEW = f"SELECT c_custkey, 'NEW' AS c_mktsegment, round(c_acctbal + 1, 2) AS c_acctbal FROM customer WHERE c_custkey % 3 = 0"
 LANDED = "SELECT *, user_id || '-' || event_type AS match_id, CAST(event_id % 9 AS VARCHAR) AS revision FROM e"
 CATALOG = "SELECT event_type AS table_name, day(day) AS snapshot, 'c' || (user_id % 4) AS column_name, CASE WHEN count(*) > 2 THEN 'long' ELSE 'int' END AS column_type FROM e GROUP BY 1, 2, 3"
+MONTHS = """SELECT month AS file_name, sha256(content) AS content_hash, CAST(strlen(content) AS BIGINT) AS size
+    FROM (SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month, string_agg(o_orderkey || ':' || o_custkey || ':' || o_orderstatus || chr(10), '' ORDER BY o_orderkey) AS content FROM orders GROUP BY 1)"""
+AWARD = "SELECT DISTINCT match_id, unnest(player_of_match) AS player_name FROM m WHERE player_of_match IS NOT NULL"
+RUN_LOG = "SELECT count(*) AS attempted, count(*) FILTER (o_orderstatus = 'P') AS failed FROM orders"
+SILVER_ROWS = (
+    ("matches", "m"), ("innings", "innings"), ("powerplays", "(SELECT * FROM innings WHERE limit_overs IS NOT NULL)"), ("deliveries", "deliveries"), ("wickets", "wickets"), ("registry", "registry"),
+    ("match_players", "players"), ("match_officials", "officials"), ("unmatched_persons_audit", "(SELECT DISTINCT match_id, role, display_name FROM unmatched)"),
+    ("teams", "(SELECT team_a FROM m UNION SELECT team_b FROM m)"), ("venues", "(SELECT DISTINCT venue, city FROM m)"), ("competitions", "(SELECT DISTINCT event_name FROM m WHERE event_name IS NOT NULL)"),
+)
+GRAIN = checks(
+    ("GRAIN", "driver", "lineitem", "BLOCK", 0, surplus("lineitem", "l_orderkey", "l_linenumber")), ("NULLS", "driver", "lineitem", "BLOCK", 0, nulls("lineitem", "l_orderkey", "l_shipdate")), ("VALUES", "driver", "lineitem", "WARN", 0, "SELECT count(*) FILTER (l_returnflag NOT IN ('A', 'N')) AS failed, count(*) AS total FROM lineitem"),
+    ("LABELS", "driver", "labels", "WARN", 0, "SELECT (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)) AS failed, (SELECT count(*) FROM labels) AS total"),
+    ("UNLABELLED", "driver", "documents", "WARN", 0, "SELECT (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS failed, (SELECT count(*) FROM documents) AS total"),
+    ("MAT-SLV-007", "silver", "match_players", "WARN", 0, "SELECT (SELECT count(*) FROM players WHERE person_id IS NOT NULL AND person_id NOT IN (SELECT identifier FROM people)) AS failed, (SELECT count(*) FROM players) AS total"),
+)
+
+
+def model_test(table: str, source: str, column: str, test: str, failures: str) -> str:
+    return f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{test}' AS test, CAST({failures} AS BIGINT) AS failures FROM {source}"
+
+
+def model_tests() -> list[tuple[str, str, str, str, str]]:
+    """(table, source, column, test, failures) for each model: columns that may not be null, then those that are unique, then values."""
+    phases = f"(SELECT DISTINCT match_type, season, {PHASE} AS phase FROM f WHERE {PHASE} IS NOT NULL)"
+    spine = "(SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_id, d AS date FROM range(TIMESTAMP '1970-01-01', TIMESTAMP '2036-01-01', INTERVAL 1 DAY) t(d))"
+    duel = "(SELECT * FROM duel WHERE balls_faced >= 6)"
+    declared = {
+        "dim_player": ("dim_player", "person_id", "person_id"), "dim_team": ("(SELECT team_a AS team_name FROM m UNION SELECT team_b FROM m)", "team_name", "team_name"), "dim_venue": ("(SELECT DISTINCT venue AS venue_name FROM m)", "venue_name", "venue_name"),
+        "dim_competition": ("(SELECT DISTINCT event_name AS competition_name FROM m WHERE event_name IS NOT NULL)", "competition_name", "competition_name"), "dim_date": (spine, "date_id date", "date_id"), "player_display_names": ("shown", "cricsheet_name display_name", "cricsheet_name"),
+        "dim_match": ("dim_match", "match_id match_type", "match_id"), "fact_delivery": ("f", "match_id innings_number over_number delivery_number match_type", ""), "fact_innings": ("fi", "match_id innings_number team", ""), "fact_match_result": ("dim_match", "match_id", "match_id"),
+        "fact_player_match": ("fp", "match_id", ""), "fact_player_of_match": (f"({AWARD})", "match_id player_name", ""), "mart_player_batting": ("bat", "person_id match_type", ""), "mart_player_bowling": ("bowl", "person_id match_type", ""),
+        "mart_team_performance": ("(SELECT team_a AS team, match_type FROM m UNION SELECT team_b, match_type FROM m)", "team match_type", ""), "mart_venue_dna": ("(SELECT DISTINCT venue, match_type FROM fi)", "venue match_type", ""), "mart_phase_scoring": (phases, "phase", ""),
+        "mart_toss_outcome": ("m", "toss_decision", ""), "mart_matchup": (duel, "batter_person_id bowler_person_id", ""),
+    }
+    out = [(t, source, c, "not_null", f"count(*) FILTER ({c} IS NULL)") for t, (source, columns, _) in declared.items() for c in columns.split()]
+    out += [(t, source, c, "unique", f"count({c}) - count(DISTINCT {c})") for t, (source, _, columns) in declared.items() for c in columns.split()]
+    out += [("dim_match", "dim_match", "match_type", "accepted_values", "count(*) FILTER (match_type NOT IN ('T20', 'ODI', 'Test', 'IT20', 'ODM', 'MDM', 'T20B', 'hundred'))")]
+    out += [("mart_phase_scoring", phases, "phase", "accepted_values", "count(*) FILTER (phase NOT IN ('powerplay', 'middle', 'death'))"), ("mart_toss_outcome", "m", "toss_decision", "accepted_values", "count(*) FILTER (toss_decision NOT IN ('bat', 'field'))")]
+    return [*out, ("fact_player_of_match", f"({AWARD})", "match_id", "relationships", "count(*) FILTER (match_id NOT IN (SELECT match_id FROM dim_match))")]
+
+
+MODEL_TESTS = model_tests()
 NAMED = "(SELECT cricsheet_name FROM shown WHERE display_name = 'Star 8')"
 
 SQL: dict[str, str] = {
-    "a01_landing_content_hash": "SELECT doc_id, sha256(text) AS content_hash, CAST(strlen(text) AS BIGINT) AS size FROM documents",
+    "a01_landing_scan": f"SELECT file_name, content_hash, size FROM ({MONTHS})",
     "a02_header_projection": "SELECT match_id, true AS ok, match_type, gender, season, CAST(match_date AS VARCHAR) AS match_date, team_a, team_b, venue, coalesce(city, '') AS city FROM m",
-    "a03_register_rows": "SELECT identifier, name, unique_name FROM people",
+    "a03_register_csv": "SELECT identifier, name, unique_name FROM people_rows",
     "a04_filtered_projection": "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45",
     "a05_watermark_read": "SELECT event_type, count(*) AS n FROM e WHERE day >= DATE '2024-01-15' GROUP BY 1",
     "a06_between_versions": "SELECT day, count(*) AS n FROM e WHERE day > DATE '2024-01-05' AND day <= DATE '2024-01-10' GROUP BY 1",
@@ -164,29 +213,47 @@ SQL: dict[str, str] = {
     "a08_latest_snapshot": "SELECT event_id, event_type FROM e WHERE day = (SELECT max(day) FROM e)",
     "a09_exact_snapshot": "SELECT event_id, event_type FROM e WHERE day = DATE '2024-01-07'",
     "a10_key_scoped_read": "SELECT match_id, count(*) AS n FROM deliveries WHERE match_id IN (SELECT match_id FROM audit WHERE silver_loaded_at IS NULL) GROUP BY 1",
+    "a11_readiness": "SELECT count(*) AS n, max(day) AS newest FROM e WHERE day <= DATE '2024-01-10'",
     "a12_sql_entry": "SELECT match_type, count(*) AS n FROM m WHERE winner IS NOT NULL GROUP BY 1",
+    "a13_schema_listing": "SELECT table_name, 1 AS snapshot, column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' ELSE 'timestamp_ntz' END AS column_type FROM information_schema.columns WHERE table_name IN ('customer', 'documents', 'lineitem', 'orders')",
     "a14_alias_seed": "SELECT * FROM aliases",
-    "a15_inventory": "SELECT match_type, count(*) AS n_files FROM m GROUP BY 1",
-    "a17_info_pivot_and_clean": """SELECT match_id, team, team_1, outcome, wr AS winner_runs, ww AS winner_wickets, wr + ww AS results,
-        CASE WHEN outcome IS NOT NULL THEN outcome WHEN wr > 0 THEN 'defended' WHEN ww > 0 THEN 'chased' END AS result_type FROM (
-        SELECT CAST(o_orderkey AS VARCHAR) AS match_id, CAST(o_custkey AS VARCHAR) AS team, CAST(o_custkey + 1 AS VARCHAR) AS team_1, CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'tie' ELSE 'no result' END END AS outcome,
+    "a15_inventory": f"SELECT file_name, file_name AS match_id, content_hash, size FROM ({MONTHS})",
+    "a16_staging_views": " UNION ALL ".join(f"SELECT 'stg_silver_{n}' AS view_name, count(*) AS n FROM {t}" for n, t in (("matches", "m"), ("innings", "innings"), ("deliveries", "deliveries"), ("wickets", "wickets"), ("registry", "registry"), ("teams", "(SELECT team_a FROM m UNION SELECT team_b FROM m)"), ("venues", "(SELECT DISTINCT venue, city FROM m)"), ("competitions", "(SELECT DISTINCT event_name FROM m WHERE event_name IS NOT NULL)"), ("persons", "persons"), ("person_identifiers", "identifiers"), ("name_variations", "variations"), ("match_players", "players"))),
+    "a17_info_pivot_and_clean": """SELECT match_id, team1, team2, outcome, wr AS winner_runs, ww AS winner_wickets, wr + ww AS results,
+        CASE WHEN outcome IS NOT NULL THEN outcome WHEN o_orderstatus = 'F' THEN 'defended' WHEN o_orderstatus = 'O' THEN 'chased' END AS result_type FROM (
+        SELECT o_orderkey AS match_id, o_orderstatus, CAST(o_custkey AS VARCHAR) AS team1, CAST(o_custkey + 1 AS VARCHAR) AS team2, CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'tie' ELSE 'no result' END END AS outcome,
         CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 97 ELSE 0 END AS wr, CASE WHEN o_orderstatus = 'O' THEN o_orderkey % 10 ELSE 0 END AS ww FROM orders)""",
-    "a19_ball_sort": "SELECT match_id, count(*) AS balls FROM deliveries GROUP BY 1",
-    "b04_keyed_replace": f"SELECT * FROM ({OLD}) WHERE c_custkey % 3 <> 0 UNION ALL {NEW}",
+    "a19_ball_csv": "SELECT match_id, CAST(innings_number AS VARCHAR) AS innings_number, CAST(over_number AS VARCHAR) AS over_number, CAST(delivery_number AS VARCHAR) AS delivery_number, batter, bowler, CAST(runs_total AS VARCHAR) AS runs_total FROM deliveries",
+    "b01_append": f"{OLD} UNION ALL {NEW}",
+    "b02_create_if_missing": f"{OLD} UNION ALL {NEW}",
+    "b03_partition_overwrite": "SELECT event_id, event_type, day, 1 AS version FROM e WHERE day < DATE '2024-01-20' UNION ALL SELECT event_id, event_type, day, CASE WHEN changed THEN 2 ELSE 1 END FROM (SELECT *, bool_or(event_id % 2 = 0) OVER (PARTITION BY day) AS changed FROM e WHERE day >= DATE '2024-01-20') WHERE NOT changed OR event_id % 2 = 0",
+    "b04_keyed_replace": f"SELECT * FROM ({OLD}) WHERE c_custkey % 3 <> 0 AND c_custkey % 5 <> 0 UNION ALL {NEW}",
+    "b05_upsert_table": f"SELECT * FROM ({OLD}) WHERE c_custkey % 3 <> 0 UNION ALL {NEW}",
+    "b06_delete_snapshot": "SELECT day, count(*) AS n FROM e WHERE day <> DATE '2024-01-10' GROUP BY 1",
     "b05_upsert": f"SELECT * FROM ({OLD}) WHERE c_custkey % 3 <> 0 UNION ALL {NEW}",
     "b05_upsert_subset": f"SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, coalesce(o.c_mktsegment, n.c_mktsegment) AS c_mktsegment, coalesce(n.c_acctbal, o.c_acctbal) AS c_acctbal FROM ({OLD}) o FULL JOIN ({NEW}) n ON o.c_custkey = n.c_custkey",
-    "b07_purge": "SELECT day, count(*) AS n FROM e WHERE day >= DATE '2024-01-20' GROUP BY 1",
+    "b07_purge": "SELECT t AS table_name, day, count(*) AS n FROM e, (VALUES ('first'), ('second')) v(t) WHERE day >= DATE '2024-01-20' GROUP BY 1, 2",
     "b08_metadata_columns": "SELECT n_nationkey, n_name, 'run-1' AS _pipeline_run_id FROM nation",
+    "b09_layout": "SELECT l_orderkey, l_linenumber, l_quantity, year(l_shipdate) AS year FROM lineitem",
+    "b10_export": f"SELECT 'dim_match' AS table_name, count(*) AS n_rows FROM m UNION ALL SELECT 'dim_team', count(*) FROM (SELECT team_a FROM m UNION SELECT team_b FROM m) UNION ALL SELECT 'fact_innings', count(*) FROM innings UNION ALL SELECT 'mart_toss_outcome', count(*) FROM (SELECT DISTINCT match_type, season, toss_decision FROM m)",
+    "b11_report_csv": "SELECT match_type AS format, CAST(count(*) AS VARCHAR) AS matches FROM m GROUP BY 1",
     "b12_incremental_scope": "SELECT match_id, count(*) AS balls FROM f WHERE match_id IN (SELECT match_id FROM audit WHERE gold_loaded_at IS NULL) GROUP BY 1",
+    "b12_incremental_gold": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in (("dim_match", "m"), ("dim_team", "(SELECT team_a FROM m UNION SELECT team_b FROM m)"), ("dim_venue", "(SELECT DISTINCT venue FROM m)"), ("dim_competition", "(SELECT DISTINCT event_name FROM m WHERE event_name IS NOT NULL)"), ("fact_delivery", "f"), ("fact_innings", "innings"), ("fact_match_result", "m"), ("fact_player_match", "fp"), ("fact_player_of_match", f"({AWARD})"))),
+    "b13_full_refresh": NEW,
     "c01_content_skip": "SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 3 = 0)",
     "c02_max_revision": f"SELECT match_id, max(CAST(revision AS BIGINT)) AS max_revision FROM ({LANDED}) GROUP BY 1",
-    "c03_revision_assignment": f"SELECT n.match_id, n.file_name, CAST(coalesce(x, 0) + row_number() OVER (PARTITION BY n.match_id ORDER BY n.file_name) AS VARCHAR) AS revision FROM (SELECT match_id, lpad(CAST(event_id AS VARCHAR), 12, '0') AS file_name FROM ({LANDED}) WHERE event_id % 4 = 1) n LEFT JOIN (SELECT match_id, max(CAST(revision AS BIGINT)) AS x FROM ({LANDED}) WHERE event_id % 4 = 0 GROUP BY 1) o USING (match_id)",
+    "c03_revision_assignment": f"SELECT n.match_id, n.file_name, CAST(coalesce(x, 0) + row_number() OVER (PARTITION BY n.match_id ORDER BY n.file_name) AS VARCHAR) AS revision FROM (SELECT match_id, lpad(CAST(event_id AS VARCHAR), 12, '0') AS file_name FROM ({LANDED}) WHERE event_id % 2 = 1) n LEFT JOIN (SELECT match_id, max(CAST(revision AS BIGINT)) AS x FROM ({LANDED}) WHERE event_id % 2 = 0 GROUP BY 1) o USING (match_id)",
+    "c04_idempotency": "SELECT d AS snapshot_date, exists(SELECT 1 FROM e WHERE CAST(day AS VARCHAR) = d AND event_type <> 'error') AS loaded, false AS loaded_with_force FROM (VALUES ('2024-01-05'), ('2024-01-06'), ('2031-01-01')) v(d)",
     "c05_row_hash": "SELECT doc_id, sha256(doc_id || '|' || coalesce(lang, '__NULL__') || '|' || coalesce(source, '__NULL__') || '|' || coalesce(CASE WHEN doc_id % 5 <> 0 THEN CAST(n_chars AS VARCHAR) END, '__NULL__')) AS row_hash FROM documents",
-    "c07_identifier_unpivot": "SELECT identifier, source_system AS key_source, source_identifier AS key_value FROM identifiers",
+    "c07_identifier_unpivot": "SELECT identifier, source_system AS key_source, source_identifier AS key_value FROM identifiers UNION ALL SELECT identifier, 'cricsheet', 'r-P' || k FROM people_rows WHERE name LIKE 'Aaron%' AND k % 3 <> 0",
     "c08_name_variations": "SELECT * FROM variations",
-    "c11_bronze_load_counts": "SELECT count(*) FILTER (true) AS attempted, count(*) FILTER (k % 4 <> 0 AND k % 10 <> 0) AS succeeded, count(*) FILTER (k % 4 <> 0 AND k % 10 = 0) AS failed FROM m",
-    "d01_latest_revision": f"SELECT match_id, revision, event_id FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY CAST(revision AS BIGINT) DESC, ts DESC) AS n FROM ({LANDED})) WHERE n = 1",
-    "d02_json_parse": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    "c10_register_load": """SELECT 'people' AS table_name, DATE '2024-01-01' AS _snapshot_date, count(*) AS n_rows, count(DISTINCT (identifier, name, unique_name)) AS n_hashes FROM people_rows
+        UNION ALL SELECT 'people', DATE '2023-12-01', count(*), count(DISTINCT person_id) FROM persons WHERE _snapshot_date = DATE '2023-12-01'
+        UNION ALL SELECT 'people_identifiers', DATE '2024-01-01', (SELECT count(*) FROM identifiers) + (SELECT count(*) FROM people_rows WHERE name LIKE 'Aaron%' AND k % 3 <> 0), (SELECT count(*) FROM identifiers)
+        UNION ALL SELECT 'name_variations', d, count(*), count(*) FROM variations, (VALUES (DATE '2024-01-01'), (DATE '2023-12-01')) v(d) GROUP BY 2""",
+    "c11_bronze_load_counts": "SELECT count(*) AS attempted, count(*) FILTER (k % 4 = 0) AS skipped, count(*) FILTER (k % 4 <> 0 AND k % 10 <> 0) AS succeeded, count(*) FILTER (k % 4 <> 0 AND k % 10 = 0) AS failed, count(*) FILTER (k % 4 <> 0 AND k % 10 <> 0) AS rows_written FROM m",
+    "d01_latest_revision": f"SELECT match_id, revision, event_id FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY CAST(revision AS BIGINT) DESC, ts DESC, event_id DESC) AS n FROM ({LANDED})) WHERE n = 1",
+    "d02_json_parse": "SELECT match_id, '1.1.0' AS data_version, 2 AS n_innings, 2 AS n_teams, CAST(match_date AS VARCHAR) AS dates, season FROM m",
     "d04_matches": "SELECT d.*, array_to_string(player_of_match, ',') AS player_of_match FROM dim_match d JOIN m USING (match_id)",
     "d05_innings": "SELECT match_id, innings_number, team, super_over, declared, forfeited, target_runs, target_overs FROM innings",
     "d06_deliveries": "SELECT * FROM deliveries",
@@ -199,13 +266,15 @@ SQL: dict[str, str] = {
     "d13_match_players": "SELECT match_id, team, player_name, person_id FROM players",
     "d14_match_officials": "SELECT match_id, role, official_name, person_id FROM officials",
     "d15_unmatched_audit": "SELECT DISTINCT ON (match_id, role, display_name) * FROM unmatched",
-    "d16_persons": "SELECT identifier AS person_id, name, unique_name FROM people",
+    "d16_persons": "SELECT * FROM persons",
     "d17_person_identifiers": "SELECT * FROM identifiers",
+    "d19_silver_build": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in SILVER_ROWS),
     "e01_resolution_paths": "SELECT * FROM players",
     "s06_document_checks": "SELECT match_id, coalesce(bool_and(registered), true) AS registry_complete, true AS version_supported, true AS has_innings, false AS has_missing_data FROM (SELECT m.match_id, CAST(substr(player_name, 2) AS INTEGER) % 4 <> 0 AS registered FROM m LEFT JOIN squads USING (match_id)) GROUP BY 1",
     "f01_dim_match": "SELECT * FROM dim_match",
     "f02_dim_player": "SELECT * FROM dim_player",
     "f03_dim_team": "SELECT team_name, max(team_type) AS team_type FROM (SELECT team_a AS team_name, team_type FROM m UNION ALL SELECT team_b, team_type FROM m) GROUP BY 1",
+    "f03_team_scope": "SELECT team_a AS team_name FROM m JOIN audit USING (match_id) WHERE gold_loaded_at IS NULL UNION SELECT team_b FROM m JOIN audit USING (match_id) WHERE gold_loaded_at IS NULL",
     "f04_dim_venue": "SELECT venue AS venue_name, min(city) AS city FROM m GROUP BY 1",
     "f05_dim_competition": "SELECT DISTINCT event_name AS competition_name FROM m WHERE event_name IS NOT NULL",
     "f06_dim_date": """SELECT DISTINCT d AS date, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_id, year(d) AS year, month(d) AS month, day(d) AS day, dayofyear(d) AS day_of_year, quarter(d) AS quarter, CAST(strftime(d, '%W') AS BIGINT) AS week_of_year,
@@ -229,7 +298,7 @@ SQL: dict[str, str] = {
     "g06_toss_outcome": f"""SELECT match_type, season, toss_decision, count(*) AS matches, count(*) FILTER (toss_winner = winner) AS toss_winner_won, count(*) FILTER (toss_decision = 'bat') AS chose_bat, count(*) FILTER (toss_decision = 'field') AS chose_field,
         count(*) FILTER (toss_decision = 'bat' AND toss_winner = winner) AS bat_first_and_won, count(*) FILTER (toss_decision = 'field' AND toss_winner = winner) AS field_first_and_won, {r("count(*) FILTER (toss_winner = winner) * 100.0::DOUBLE / count(*)")} AS toss_win_match_win_pct FROM m GROUP BY 1, 2, 3""",
     "g07_matchup_analysis": "SELECT * FROM duel",
-    "h01_counters": "SELECT (SELECT count(*) FROM m) AS total_matches, (SELECT count(DISTINCT season) FROM m) AS total_seasons, (SELECT count(*) FROM f) AS total_deliveries, (SELECT count(*) FROM people) AS total_players",
+    "h01_counters": "SELECT (SELECT count(*) FROM m) AS total_matches, (SELECT count(DISTINCT season) FROM m) AS total_seasons, (SELECT count(*) FROM f) AS total_deliveries, (SELECT count(*) FROM dim_player) AS total_players",
     "h02_matches_per_year": "SELECT year(match_date) AS year, count(*) AS matches FROM m GROUP BY 1",
     "h03_format_breakdown": "SELECT match_type AS format, count(*) AS matches FROM m GROUP BY 1",
     "h04_top_venues": "SELECT venue, count(*) AS matches FROM m GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
@@ -268,6 +337,7 @@ SQL: dict[str, str] = {
     "h28_innings_context": f"SELECT batter, CASE WHEN innings_number % 2 = 1 THEN 'setting' ELSE 'chasing' END AS setting, CASE WHEN city IN ('City 1', 'City 2', 'City 3') THEN 'home' ELSE 'away' END AS place, {CAREER} FROM own GROUP BY 1, 2, 3",
     "h29_editions": f"SELECT batter, event_name, season, {CAREER} FROM own WHERE event_name LIKE 'Cup%' GROUP BY 1, 2, 3",
     "h30_recent_scorers": "SELECT coalesce(display_name, batter) AS player, CAST(sum(runs_batter) AS BIGINT) AS runs, count(DISTINCT match_id) AS matches FROM f JOIN m USING (match_id) LEFT JOIN shown ON cricsheet_name = batter WHERE m.match_type = 'ODI' AND year(match_date) >= 2000 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15",
+    "h32_sample": "SELECT substr(match_id, 1, 6) AS match_id, match_date, substr(team_a, 1, 6) AS team_a, substr(team_b, 1, 6) AS team_b, substr(venue, 1, 6) AS venue FROM m ORDER BY m.match_date DESC, m.match_id LIMIT 20",
     "h31_best_economy": f"SELECT * FROM (SELECT player_name, CAST(sum(total_balls) AS BIGINT) AS balls, CAST(sum(total_runs) AS BIGINT) AS runs, CAST(sum(total_wickets) AS BIGINT) AS wickets, {r('sum(total_balls) / 6.0::DOUBLE', 1)} AS overs, {r('sum(total_runs) * 6.0::DOUBLE / nullif(sum(total_balls), 0)')} AS economy FROM bowl GROUP BY 1) WHERE overs >= 5 ORDER BY economy, player_name LIMIT 10",
     "h31_team_formats": f"SELECT match_type, count(*) AS played, count(*) FILTER (winner = 'NATION_6') AS wins, {r('count(*) FILTER (winner = ' + chr(39) + 'NATION_6' + chr(39) + ') * 100.0::DOUBLE / count(*)')} AS win_pct FROM m WHERE team_a = 'NATION_6' OR team_b = 'NATION_6' GROUP BY 1",
     "h31_head_to_head": "SELECT least(team_a, team_b) AS team, greatest(team_a, team_b) AS other, count(*) AS matches, count(*) FILTER (winner = least(team_a, team_b)) AS won, count(*) FILTER (winner = greatest(team_a, team_b)) AS lost FROM m GROUP BY 1, 2",
@@ -276,33 +346,63 @@ SQL: dict[str, str] = {
     "i05_silver_checks": checks(
         ("MAT-SLV-001", "silver", "matches", "BLOCK", 0, nulls("m", "match_id")), ("MAT-SLV-002", "silver", "matches", "BLOCK", 0, surplus("m", "match_id")), ("MAT-SLV-003", "silver", "innings", "BLOCK", 0, surplus("innings", "match_id", "innings_number")),
         ("MAT-SLV-004", "silver", "deliveries", "BLOCK", 0, surplus("deliveries", *BALL)), ("MAT-SLV-012", "silver", "deliveries", "WARN", 1, nulls("deliveries", "batter", "bowler")),
-        ("MAT-SLV-006", "silver", "wickets", "WARN", 0, "SELECT count(*) FILTER (kind IN ('caught', 'run out', 'stumped', 'caught and bowled') AND fielders IS NULL) AS failed, count(*) AS total FROM wickets"),
+        ("MAT-SLV-006", "silver", "wickets", "WARN", 0, "SELECT count(*) FILTER (fielders IS NULL) AS failed, count(*) AS total FROM wickets WHERE kind IN ('caught', 'run out', 'stumped', 'caught and bowled')"),
         ("MAT-SLV-008", "silver", "wickets", "BLOCK", 0, surplus("wickets", *BALL, "player_out")), ("MAT-SLV-009", "silver", "match_players", "BLOCK", 0, surplus("players", "match_id", "team", "player_name")),
         ("MAT-SLV-010", "silver", "match_officials", "BLOCK", 0, surplus("officials", "match_id", "role", "official_name")), ("MAT-SLV-011", "silver", "match_registry", "BLOCK", 0, surplus("registry", "match_id", "display_name")),
-        ("REG-SLV-001", "silver", "persons", "BLOCK", 0, nulls("people", "identifier")), ("REG-SLV-002", "silver", "persons", "BLOCK", 0, surplus("people", "identifier")),
+        ("REG-SLV-001", "silver", "persons", "BLOCK", 0, nulls("persons", "person_id")), ("REG-SLV-002", "silver", "persons", "BLOCK", 0, surplus("persons", "person_id")),
         ("REG-SLV-003", "silver", "person_identifiers", "BLOCK", 0, nulls("identifiers", "identifier", "source_system", "source_identifier")), ("REG-SLV-004", "silver", "person_identifiers", "WARN", 0, surplus("identifiers", "identifier", "source_system", "source_identifier")),
     ),
     "i08_unmatched_rate": f"SELECT 'MAT-SLV-005' AS check_id, CASE WHEN total = 0 THEN 'SKIPPED' WHEN failed * 100.0 > 5 * total THEN 'WARNING' ELSE 'PASSED' END AS status, failed, total, {PCT('failed', 'total')} AS pct FROM (SELECT (SELECT count(DISTINCT (match_id, role, display_name)) FROM unmatched) AS failed, (SELECT count(*) FROM players) + (SELECT count(*) FROM officials) AS total)",
-    "i10_grain_and_orphans": checks(
-        ("GRAIN", "driver", "lineitem", "BLOCK", 0, surplus("lineitem", "l_orderkey", "l_linenumber")), ("NULLS", "driver", "lineitem", "BLOCK", 0, nulls("lineitem", "l_orderkey", "l_shipdate")), ("VALUES", "driver", "lineitem", "WARN", 0, "SELECT count(*) FILTER (l_returnflag NOT IN ('A', 'N')) AS failed, count(*) AS total FROM lineitem"),
-        ("LABELS", "driver", "labels", "WARN", 0, "SELECT (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)) AS failed, (SELECT count(*) FROM labels) AS total"),
-        ("UNLABELLED", "driver", "documents", "WARN", 0, "SELECT (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS failed, (SELECT count(*) FROM documents) AS total"),
-        ("MAT-SLV-007", "silver", "match_players", "WARN", 0, "SELECT (SELECT count(*) FROM players WHERE person_id IS NOT NULL AND person_id NOT IN (SELECT identifier FROM people)) AS failed, (SELECT count(*) FROM players) AS total"),
-    ),
+    "i10_grain_and_orphans": GRAIN,
     "i16_orphan_names": f"SELECT failed, total, pct, CASE WHEN failed = 0 THEN 'PASSED' WHEN pct > 5 THEN 'FAILED' ELSE 'WARNING' END AS status, sample FROM (SELECT failed, total, {PCT('failed', 'total')} AS pct, sample FROM (SELECT (SELECT count(DISTINCT identifier) FROM variations WHERE identifier NOT IN (SELECT identifier FROM people)) AS failed, (SELECT count(DISTINCT identifier) FROM variations) AS total, (SELECT string_agg(identifier, ',' ORDER BY identifier) FROM (SELECT DISTINCT identifier FROM variations WHERE identifier NOT IN (SELECT identifier FROM people) ORDER BY 1 LIMIT 10)) AS sample))",
-    "i21_row_counts": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in (("matches", "m"), ("innings", "innings"), ("deliveries", "deliveries"), ("wickets", "wickets"), ("match_players", "players"), ("persons", "people"))),
+    "i21_row_counts": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in (("matches", "m"), ("innings", "innings"), ("deliveries", "deliveries"), ("wickets", "wickets"), ("match_players", "players"), ("persons", "persons"))),
     "i29_business_rules": """SELECT 'two_teams' AS rule, count(*) AS offending FROM m WHERE team_a = team_b UNION ALL SELECT 'winner_is_a_team', count(*) FROM m WHERE winner NOT IN (team_a, team_b)
         UNION ALL SELECT 'innings_total_is_sum_of_balls', count(*) FROM fi JOIN (SELECT match_id, innings_number, sum(runs_batter + runs_extras) AS s FROM f GROUP BY 1, 2) USING (match_id, innings_number) WHERE total_runs <> s
         UNION ALL SELECT 'innings_number_range', count(*) FROM fi WHERE innings_number NOT BETWEEN 1 AND 6 UNION ALL SELECT 'run_rate_range', count(*) FROM fi WHERE run_rate < 0 OR run_rate > 36
-        UNION ALL SELECT 'matches_without_innings', count(*) FROM m WHERE match_id NOT IN (SELECT match_id FROM innings)""",
+        UNION ALL SELECT 'matches_without_innings', count(*) FROM m WHERE match_id NOT IN (SELECT match_id FROM innings)
+        UNION ALL SELECT 'wicket_balance', abs((SELECT count(*) FROM wickets) - (SELECT count(*) FROM f WHERE is_wicket) - (SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM wickets GROUP BY match_id, innings_number, over_number, delivery_number)))""",
     "i31_freshness": "SELECT match_type, max(match_date) AS latest FROM m GROUP BY 1",
+    "i01_failed_files": f"SELECT 'MAT-BRZ-001' AS check_id, CASE WHEN failed = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, failed, attempted AS total FROM ({RUN_LOG})",
+    "i03_audit_coherence": f"""SELECT 'MAT-BRZ-003' AS check_id, 'PASSED' AS status, 0 AS failed, attempted - failed AS total, 'own' AS "case" FROM ({RUN_LOG})
+        UNION ALL SELECT 'MAT-BRZ-003', 'SKIPPED', NULL, NULL, c FROM (VALUES ('other'), ('none')) v(c)""",
+    "i15_rows_arrived": """SELECT 'REG-SLV-005' AS check_id, status, n AS actual, n * f AS expected, "case" FROM (SELECT count(*) AS n FROM people_rows), (VALUES ('all', 'PASSED', 1), ('half', 'FAILED', 2), ('none', 'SKIPPED', NULL)) v("case", status, f)""",
+    "i17_missing_table": "SELECT 'missing' AS state, 0 AS n UNION ALL SELECT 'present', count(*) FROM orders",
+    "i18_stored_results": f"SELECT x.*, run_id FROM ({GRAIN}) x, (VALUES ('run-1'), ('run-2')) v(run_id)",
+    "i19_model_tests": " UNION ALL ".join(model_test(*x) for x in MODEL_TESTS),
+    "i20_award_ties": f"SELECT match_id, count(*) AS n_rows FROM ({AWARD}) GROUP BY 1 HAVING count(*) > 1",
+    "i22_bronze_types": "SELECT table_name, column_name FROM information_schema.columns WHERE table_name = 'orders' AND data_type <> 'VARCHAR'",
+    "i23_one_snapshot": """SELECT 'match_data' AS table_name, 1 AS snapshots, count(*) AS n_rows, count(*) AS with_metadata FROM m UNION ALL SELECT 'people', 1, count(*), count(*) FROM people_rows
+        UNION ALL SELECT 'people_identifiers', 1, n, n FROM (SELECT (SELECT count(*) FROM identifiers) + (SELECT count(*) FROM people_rows WHERE name LIKE 'Aaron%' AND k % 3 <> 0) AS n)
+        UNION ALL SELECT 'name_variations', 1, count(*), count(*) FROM variations UNION ALL SELECT 'events', count(DISTINCT day), count(*), count(*) FROM e""",
+    "i26_dimension_integrity": f"""SELECT what, 0 AS n FROM (VALUES ('dim_match.match_id'), ('dim_player.person_id'), ('dim_team.team_name'), ('dim_venue.venue_name'), ('dim_competition.competition_name'), ('dim_date.date_id'), ('dates_outside_spine')) v(what)
+        UNION ALL SELECT * FROM (VALUES ('spine_first', 19700101), ('spine_last', 20351231), ('spine_days', DATE '2035-12-31' - DATE '1970-01-01' + 1)) w(what, n)""",
+    "i27_fact_integrity": f"""SELECT what, 0 AS n FROM (VALUES ('orphan_deliveries'), ('orphan_innings'), ('result_rows_missing'), ('award_surplus'), ('award_orphans')) v(what)
+        UNION ALL SELECT 'award_rows', count(*) FROM ({AWARD}) UNION ALL SELECT 'award_matches', count(DISTINCT match_id) FROM ({AWARD})
+        UNION ALL SELECT 'award_ties', count(*) FROM (SELECT match_id FROM ({AWARD}) GROUP BY 1 HAVING count(*) > 1)""",
+    "i28_reconciliation": """SELECT what, n FROM (SELECT count(*) AS n FROM m), (VALUES ('matches.bronze'), ('matches.silver'), ('matches.gold')) v(what)
+        UNION ALL SELECT 'people.bronze', count(*) FROM people_rows UNION ALL SELECT 'people.silver', count(*) FROM persons UNION ALL SELECT 'people.gold', count(*) FROM dim_player
+        UNION ALL SELECT what, n FROM (SELECT count(*) AS n FROM deliveries), (VALUES ('deliveries.silver'), ('deliveries.gold')) v(what) UNION ALL SELECT what, n FROM (SELECT count(*) AS n FROM innings), (VALUES ('innings.silver'), ('innings.gold')) v(what)""",
+    "i30_mart_coverage": f"""SELECT 'batting_players' AS what, count(*) AS n FROM bat WHERE person_id NOT IN (SELECT person_id FROM dim_player) UNION ALL SELECT 'venues', 0
+        UNION ALL SELECT 'phase_rows.' || match_type, count(*) FROM (SELECT DISTINCT match_type, season, {PHASE} AS phase FROM f) WHERE phase IS NOT NULL GROUP BY match_type""",
+    "i31_last_ingest": "SELECT 'bronze.match_data' AS table_name, TIMESTAMP '2024-01-01 00:00:00' AS last_ingested UNION ALL SELECT 'events', max(ts) FROM events",
+    "i33_rerun": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows_before, count(*) AS rows_after FROM {t}" for n, t in SILVER_ROWS),
+    "j02_stamp_bronze": "SELECT match_id, CASE WHEN k % 2 = 0 THEN '2' ELSE '1' END AS revision, k % 2 = 0 AS loaded FROM audit",
+    "j03_stamp_archive": "SELECT match_id, CASE WHEN k % 3 = 0 THEN 'archive/' || file_name END AS archive_path FROM audit",
+    "j08_seed_audit": "SELECT match_id, CASE WHEN k % 3 <> 0 THEN 'listed-' ELSE '' END || match_id || '.json' AS file_name, '1' AS revision, 64 AS hash_length, true AS silver_done, true AS gold_open FROM m",
+    "j12_row_guard": "SELECT count(*) AS n_rows FROM lineitem",
+    "j15_failures": f"SELECT check_id, table_name, failed FROM ({GRAIN}) WHERE failed > 0",
+    "j17_landed_counts": "SELECT event_type AS source_file, arg_max(n, day) AS row_count FROM (SELECT event_type, day, count(*) AS n FROM e WHERE day(day) % 5 <> 0 GROUP BY 1, 2) GROUP BY 1",
+    "j18_load_log": """SELECT 'run-' || event_id AS run_id, CASE WHEN event_id % 7 = 0 THEN 'RUNNING' WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status, CASE WHEN event_id % 7 <> 0 AND event_type <> 'error' THEN event_id % 50 END AS attempted,
+        CASE WHEN event_id % 7 <> 0 AND event_type <> 'error' THEN event_id % 50 END AS rows_written, CASE WHEN event_id % 7 <> 0 THEN event_id % 600 END AS duration_seconds, CASE WHEN event_id % 7 <> 0 AND event_type = 'error' THEN 2000 END AS message_length FROM e""",
+    "s05_top_tasks": f"SELECT task, runs, {r('s')} AS seconds, {r('s * 100 / whole')} AS pct FROM (SELECT 'task-' || (user_id % 25) AS task, count(*) AS runs, sum(value) AS s FROM e GROUP BY 1), (SELECT sum(value) AS whole FROM e) ORDER BY 3 DESC, 1 LIMIT 10",
+    "s05_data_freshness": "SELECT 'task-' || (user_id % 25) AS task, max(day) AS last_success, DATE '2024-02-01' - max(day) AS days_old FROM e WHERE event_type <> 'error' GROUP BY 1",
     "i32_snapshot_histogram": "SELECT day, count(*) AS n_rows, count(DISTINCT user_id) AS n_keys FROM e GROUP BY 1",
-    "j01_land_new_files": "SELECT file_name, content_hash FROM audit WHERE k % 2 = 0 OR k % 3 = 0",
+    "j01_land_new_files": "SELECT file_name, content_hash FROM audit",
     "j04_pending_silver": "SELECT DISTINCT match_id FROM audit WHERE silver_loaded_at IS NULL",
     "j05_stamp_silver": "SELECT silver_loaded_at IS NULL AND k % 2 <> 0 AS open, count(*) AS n FROM audit GROUP BY 1",
     "j06_pending_gold": "SELECT DISTINCT match_id FROM audit WHERE silver_loaded_at IS NOT NULL AND gold_loaded_at IS NULL",
     "j07_stamp_gold": "SELECT silver_loaded_at IS NULL AS open, count(*) AS n FROM audit GROUP BY 1",
-    "j09_column_drift": f"SELECT table_name, snapshot, array_to_string(added, ',') AS added, array_to_string(removed, ',') AS removed, len(added) + len(removed) > 0 AS changed FROM (SELECT table_name, snapshot, CASE WHEN p IS NULL THEN [] ELSE list_sort(list_filter(c, lambda x: NOT list_contains(p, x))) END AS added, CASE WHEN p IS NULL THEN [] ELSE list_sort(list_filter(p, lambda x: NOT list_contains(c, x))) END AS removed FROM (SELECT *, lag(c) OVER (PARTITION BY table_name ORDER BY snapshot) AS p FROM (SELECT table_name, snapshot, list(column_name) AS c FROM ({CATALOG}) GROUP BY 1, 2)))",
+    "j09_column_drift": f"SELECT table_name, snapshot, array_to_string(added, ',') AS added, array_to_string(removed, ',') AS removed, len(added) + len(removed) > 0 AS changed, sha256(array_to_string(list_sort(c), ',')) AS names_hash FROM (SELECT table_name, snapshot, c, CASE WHEN p IS NULL THEN [] ELSE list_sort(list_filter(c, lambda x: NOT list_contains(p, x))) END AS added, CASE WHEN p IS NULL THEN [] ELSE list_sort(list_filter(p, lambda x: NOT list_contains(c, x))) END AS removed FROM (SELECT *, lag(c) OVER (PARTITION BY table_name ORDER BY snapshot) AS p FROM (SELECT table_name, snapshot, list(column_name) AS c FROM ({CATALOG}) GROUP BY 1, 2)))",
     "j10_schema_drift": f"""SELECT table_name, snapshot, CASE WHEN first THEN 'INITIAL' WHEN a > 0 THEN 'ADD' WHEN d > 0 AND t > 0 THEN 'ADD' WHEN d > 0 THEN 'DROP' WHEN t > 0 THEN 'TYPE_CHANGE' ELSE 'NO_CHANGE' END AS change FROM (
         SELECT table_name, snapshot, p IS NULL AS first, len(list_filter(c, lambda x: NOT list_contains(p, x))) AS a, len(list_filter(p, lambda x: NOT list_contains(c, x))) AS d, len(list_filter(ct, lambda x: list_contains(p, split_part(x, ':', 1)) AND NOT list_contains(pt, x))) AS t FROM (
         SELECT *, lag(c) OVER w AS p, lag(ct) OVER w AS pt FROM (SELECT table_name, snapshot, list(column_name) AS c, list(column_name || ':' || column_type) AS ct FROM ({CATALOG}) GROUP BY 1, 2) WINDOW w AS (PARTITION BY table_name ORDER BY snapshot)))""",
@@ -310,16 +410,22 @@ SQL: dict[str, str] = {
     "j13_snapshot_diff": "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'new' WHEN c_custkey % 5 = 0 THEN 'removed' ELSE 'changed' END AS change FROM customer WHERE (c_custkey % 7 = 0) <> (c_custkey % 5 = 0) OR (c_custkey % 7 <> 0 AND c_custkey % 5 <> 0 AND c_custkey % 4 = 0 AND round(c_acctbal, 2) <> 0.5)",
     "j14_latest_per_key": "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM e) WHERE n = 1",
     "j16_latest_archives": "SELECT event_type AS archive, max(day) AS loaded_at, count(*) AS n_files FROM e GROUP BY 1",
-    "s01_scd2": "SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER w AS valid_to, lead(event_id) OVER w IS NULL AS is_current FROM (SELECT * FROM (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM e WHERE event_id % 3 = 0) WHERE p IS NULL OR p <> event_type) WINDOW w AS (PARTITION BY user_id ORDER BY event_id)",
+    "s01_scd2": "SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER w AS valid_to, lead(event_id) OVER w IS NULL AS is_current FROM (SELECT * FROM (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM e) WHERE p IS NULL OR p <> event_type) WINDOW w AS (PARTITION BY user_id ORDER BY event_id)",
     "s03_season_year": "SELECT o_orderkey, year(o_orderdate) AS season_year FROM orders",
     "s05_daily_runs": f"SELECT day, count(*) AS runs, count(*) FILTER (event_type = 'error') AS failed, {r('sum(value)')} AS seconds FROM e GROUP BY 1",
-    "s08_over_features": "SELECT match_id, innings_number, count(*) AS balls, CAST(sum(runs_total) AS BIGINT) AS runs FROM f GROUP BY 1, 2",
+    "s08_over_features": f"""SELECT *, {r("runs * 6.0::DOUBLE / nullif(legal_balls, 0)")} AS run_rate FROM (
+        SELECT *, CAST(sum(over_runs) OVER w AS BIGINT) AS runs, CAST(sum(over_balls) OVER w AS BIGINT) AS legal_balls, CAST(sum(over_wickets) OVER w AS BIGINT) AS wickets FROM (
+            SELECT match_id, innings_number, over_number, CAST(sum(runs_total) AS BIGINT) AS over_runs, count(*) FILTER (is_legal_ball) AS over_balls, count(*) FILTER (is_wicket) AS over_wickets FROM f GROUP BY 1, 2, 3)
+        WINDOW w AS (PARTITION BY match_id, innings_number ORDER BY over_number ROWS UNBOUNDED PRECEDING))""",
 }
 
 
 DUELS = ("h09_top_matchups_mart", "h21_matchup_card", "h22_nemesis", "h22_victims")
+#: Tables that carry their snapshot.
+DATED = {n for n in SQL if n[:3] in {"d04", "d05", "d06", "d07", "d08", "d09", "d10", "d11", "d12", "d13", "d14", "f01", "f08", "f09", "f10", "f11", "f12"}}
 
 
 def oracle_sql() -> dict[str, str]:
     every = BASE.replace("HAVING count(*) >= 6", "")  # the matchup mart without its minimum
-    return {name: (every if name in DUELS else BASE) + sql for name, sql in SQL.items()}
+    dated = {n: f"SELECT *, DATE '2024-01-01' AS _snapshot_date FROM ({sql})" if n in DATED else sql for n, sql in SQL.items()}
+    return {name: (every if name in DUELS else BASE) + sql for name, sql in dated.items()}

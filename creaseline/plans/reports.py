@@ -150,6 +150,16 @@ def worm(t: Tables, match_id: str | None = None) -> DataFrame:
     return f.select("match_id", "innings_number", "team", F.row_number().over(order).alias("ball_index"), F.sum("runs_total").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("cumulative_runs"))
 
 
+def over_features(t: Tables) -> DataFrame:
+    """What is known at the end of each over: the over's own figures and the innings' totals so far."""
+    over = t["fact_delivery"].groupBy("match_id", "innings_number", "over_number").agg(
+        F.sum("runs_total").alias("over_runs"), count(LEGAL, "over_balls"), count("is_wicket", "over_wickets"),
+    )
+    so_far = W.partitionBy("match_id", "innings_number").orderBy("over_number").rowsBetween(W.unboundedPreceding, 0)
+    out = over.withColumns({name: F.sum(of).over(so_far) for name, of in (("runs", "over_runs"), ("legal_balls", "over_balls"), ("wickets", "over_wickets"))})
+    return out.withColumn("run_rate", M.run_rate("runs", "legal_balls"))
+
+
 def best_of_match(t: Tables, what: str, match_id: str | None = None, n: int = 5) -> DataFrame:
     """Top batters or bowlers of a match, or of every match."""
     p = t["fact_player_match"] if match_id is None else t["fact_player_match"].where(F.col("match_id") == match_id)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creaseline import standin as S
 from creaseline.functions import metrics as M
 from creaseline.operators import bronze, control, identity, quality, register, silver
-from creaseline.plans import gold, marts, reports
+from creaseline.plans import build, gold, marts, reports
 from creaseline.sinks import tables
 from creaseline.sources import files
 
@@ -20,17 +23,48 @@ PLAYER, BOWLER = "P7", "Q7"
 SHOWN = "Star 8"
 
 
+#: What many tables read: parsed documents, and names resolved to persons. Kept once computed, on disk if memory is short.
+#: Facts are not kept: their readers take few columns, and Catalyst drops the joins that serve others.
+KEPT = ("parsed", "resolved_players")
+
+
 class Lake(dict):
-    """Tables of a folder by name, each built when first asked for. Nothing is computed before an action."""
+    """Tables of a folder by name, each built when first asked for. Nothing is computed before an action.
+
+    A session has one Lake for a folder, so documents are parsed once however many queries read Silver or Gold.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
 
+    @staticmethod
+    def of(spark: SparkSession, sf_dir: str) -> Lake:
+        found = _lakes.get(spark)
+        if found is None or found.sf_dir != sf_dir:
+            if found is not None:
+                found.forget()
+            found = _lakes[spark] = Lake(spark, sf_dir)
+        return found
+
+    def forget(self) -> None:
+        """Give up what is kept; tables are built anew when asked for."""
+        for name in KEPT:
+            if name in self:
+                self[name].unpersist()
+        self.clear()
+
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = df = self.build(name)
+        df = self.build(name)
+        self[name] = df = df.persist(StorageLevel.MEMORY_AND_DISK) if name in KEPT else df
         return df
 
+    def scratch(self) -> str:
+        """A new folder that driver and executors share."""
+        spark = self.spark
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        return f"{shared.rstrip('/')}/creaseline/{uuid.uuid4().hex}"
+
     def build(self, name: str) -> DataFrame:
         spark, d = self.spark, self.sf_dir
         if name == "bronze":
@@ -42,7 +76,7 @@ class Lake(dict):
         if name == "people":
             return S.people_csv(spark, d)
         if name == "persons":
-            return register.silver_persons(register.people(self["people"]))
+            return tables.union([register.silver_persons(register.people(S.people_csv(spark, d, day))).withColumn("_snapshot_date", F.lit(day).cast("date")) for day in (S.BEFORE, S.SNAPSHOT)])
         if name == "person_identifiers":
             return register.silver_identifiers(register.identifiers(self["people"]))
         if name == "name_variations":
@@ -61,6 +95,10 @@ class Lake(dict):
             return getattr(gold, name)(self)
         if name == "duels":  # the matchup mart without its minimum
             return marts.matchup_analysis(self, least=1)
+        if name.startswith("dim_"):
+            return gold.dim_date(spark) if name == "dim_date" else getattr(gold, name)(self)
+        if name in ("fact_match_result", "fact_player_of_match"):
+            return getattr(gold, name)(self)
         if name.startswith("mart_"):
             short = {"mart_matchup": marts.matchup_analysis, "mart_venue_dna_fixed": lambda t: marts.venue_dna(t, fix=True)}
             return (short.get(name) or getattr(marts, name.removeprefix("mart_")))(self)
@@ -69,9 +107,12 @@ class Lake(dict):
         raise KeyError(name)
 
 
+_lakes: WeakKeyDictionary[SparkSession, Lake] = WeakKeyDictionary()
+
+
 def plain(df: DataFrame) -> DataFrame:
-    """Without load columns; long counts."""
-    out = df.drop("_snapshot_date", "_ingested_at")
+    """Without the load time; long counts."""
+    out = df.drop("_ingested_at")
     return out.select(*[F.col(c).cast("long").alias(c) if kind == "int" else F.col(c) for c, kind in out.dtypes])
 
 
@@ -86,7 +127,7 @@ def audit_log(t: Lake) -> DataFrame:
 
 
 def lake(f: Callable[[Lake], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain(f(Lake(spark, sf_dir)))
+    return lambda spark, sf_dir: plain(f(Lake.of(spark, sf_dir)))
 
 
 def of(name: str) -> Query:
@@ -102,9 +143,46 @@ def events_as(t: Lake) -> DataFrame:
     return e.select("event_id", "user_id", "event_type", "value", "props", "ts", F.to_date("ts").alias("day"))
 
 
-def a01_content_hash(t: Lake) -> DataFrame:
-    d = S.table(t.spark, t.sf_dir, "documents")
-    return d.select("doc_id", F.sha2("text", 256).alias("content_hash"), F.octet_length("text").cast("long").alias("size"))
+def landing(t: Lake) -> str:
+    """A folder with one file for each month of orders."""
+    o, folder = S.table(t.spark, t.sf_dir, "orders"), t.scratch()
+    line = F.concat_ws(":", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus")
+    rows = o.select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", line.alias("line")).repartition("month").sortWithinPartitions("month", "o_orderkey")
+    rows.select("month", "line").write.partitionBy("month").text(folder)
+    return folder
+
+
+MONTHS = {"glob": "*.txt", "name": r"month=([^/]+)/"}
+
+
+def csv_of(t: Lake, df: DataFrame) -> str:
+    path = t.scratch()
+    tables.to_csv(df, path)
+    return path
+
+
+def a11_readiness(t: Lake) -> DataFrame:
+    e = events_as(t)
+    files.ready(e, "2024-01-10", "day")
+    return files.as_of(e, "2024-01-10", "day").agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("newest"))
+
+
+def a13_schema_listing(t: Lake) -> DataFrame:
+    path = t.scratch()
+    own = {n: S.table(t.spark, t.sf_dir, n) for n in ("customer", "documents", "lineitem", "orders")}
+    control.append_catalog(t.spark, path, own, 1)
+    control.append_catalog(t.spark, path, own, 1)  # again: nothing changes
+    return t.spark.read.parquet(path)
+
+
+def a16_staging_views(t: Lake) -> DataFrame:
+    views = files.staging_views({n: t[n] for n in ("matches", "innings", "deliveries", "wickets", "registry", "teams", "venues", "competitions", "persons", "person_identifiers", "name_variations", "match_players")})
+    return tables.union([t.spark.sql(f"select '{v}' as view_name, count(*) as n from {v}") for v in views])
+
+
+def a19_ball_csv(t: Lake) -> DataFrame:
+    balls = t["deliveries"].select("match_id", "innings_number", "over_number", "delivery_number", "batter", "bowler", "runs_total")
+    return files.ball_csv(t.spark, csv_of(t, balls))
 
 
 def a17_info_pivot(t: Lake) -> DataFrame:
@@ -117,9 +195,9 @@ def a17_info_pivot(t: Lake) -> DataFrame:
 
 
 SOURCES: dict[str, Query] = {
-    "a01_landing_content_hash": lake(a01_content_hash),
+    "a01_landing_scan": lake(lambda t: files.landing_json(t.spark, landing(t), **MONTHS).select("file_name", "content_hash", "size")),
     "a02_header_projection": lake(lambda t: bronze.header(t["bronze"].select("match_id", "raw_json")).drop("raw_json")),
-    "a03_register_rows": lake(lambda t: register.people(t["people"])),
+    "a03_register_csv": lake(lambda t: register.people(files.register_csv(t.spark, csv_of(t, t["people"])))),
     "a04_filtered_projection": lake(lambda t: files.read(S.table(t.spark, t.sf_dir, "lineitem"), ["l_orderkey", "l_quantity"], "l_returnflag = 'R' and l_quantity > 45")),
     "a05_watermark_read": lake(lambda t: files.since(events_as(t), "day", "2024-01-15").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))),
     "a06_between_versions": lake(lambda t: files.between_versions(events_as(t), "2024-01-05", "2024-01-10", "day").groupBy("day").agg(F.count(F.lit(1)).alias("n"))),
@@ -127,11 +205,14 @@ SOURCES: dict[str, Query] = {
     "a08_latest_snapshot": lake(lambda t: files.latest_snapshot(events_as(t), "day").select("event_id", "event_type")),
     "a09_exact_snapshot": lake(lambda t: files.exact_snapshot(events_as(t), "2024-01-07", "day").select("event_id", "event_type")),
     "a10_key_scoped_read": lake(lambda t: files.for_keys(t["deliveries"], control.pending_silver(t["audit"])).groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))),
+    "a11_readiness": lake(a11_readiness),
     "a12_sql_entry": lake(lambda t: files.sql(t.spark, {"m_view": t["matches"]}, "select match_type, count(*) as n from m_view where winner is not null group by match_type")),
-    "a14_alias_seed": of("aliases"),
-    "a15_inventory": lake(lambda t: t["bronze"].groupBy("match_type").agg(F.count(F.lit(1)).alias("n_files"))),
+    "a13_schema_listing": lake(a13_schema_listing),
+    "a14_alias_seed": lake(lambda t: files.seed_csv(t.spark, csv_of(t, t["aliases"]), "cricsheet_name")),
+    "a15_inventory": lake(lambda t: files.inventory(t.spark, landing(t), **MONTHS)),
+    "a16_staging_views": lake(a16_staging_views),
     "a17_info_pivot_and_clean": lake(a17_info_pivot),
-    "a19_ball_sort": lake(lambda t: t["deliveries"].groupBy("match_id").agg(F.count(F.lit(1)).alias("balls"))),
+    "a19_ball_csv": lake(a19_ball_csv),
 }
 
 # -- write modes, as the frames that they write ---------------------------------------------------
@@ -144,13 +225,116 @@ def old_new(t: Lake) -> tuple[DataFrame, DataFrame]:
     return old, c.where("c_custkey % 3 = 0").withColumns({"c_acctbal": F.round(F.col("c_acctbal") + 1, 2), "c_mktsegment": F.lit("NEW")})
 
 
+def b01_append(t: Lake) -> DataFrame:
+    path = t.scratch()
+    for part in old_new(t):
+        tables.append(part, path)
+    return t.spark.read.parquet(path)
+
+
+def b02_create_if_missing(t: Lake) -> DataFrame:
+    path = t.scratch()
+    for part in old_new(t):
+        tables.create_if_missing(part, path, ["c_mktsegment"], compression="zstd")
+    return t.spark.read.parquet(path)
+
+
+def days_table(t: Lake, path: str) -> DataFrame:
+    e = events_as(t).select("event_id", "event_type", "day")
+    tables.full_refresh(e.withColumn("version", F.lit(1)), path, ["day"])
+    return e
+
+
+def b03_partition_overwrite(t: Lake) -> DataFrame:
+    path = t.scratch()
+    e = days_table(t, path)
+    tables.overwrite_partitions(e.where("day >= date '2024-01-20' and event_id % 2 = 0").withColumn("version", F.lit(2)), path, ["day"])
+    return t.spark.read.parquet(path)
+
+
+def keyed_customers(t: Lake) -> tuple[str, DataFrame]:
+    path, (old, new) = t.scratch(), old_new(t)
+    tables.create_keyed(old, path, ["c_custkey"], 8)
+    return path, new
+
+
+def b04_keyed_replace(t: Lake) -> DataFrame:
+    """Keys that were processed (every fifth) and have no new row go."""
+    path, new = keyed_customers(t)
+    done = S.table(t.spark, t.sf_dir, "customer").where("c_custkey % 5 = 0").select("c_custkey")
+    tables.keyed_replace(new, path, ["c_custkey"], done)
+    return tables.read_keyed(t.spark, path)
+
+
+def b05_upsert_table(t: Lake) -> DataFrame:
+    path, new = keyed_customers(t)
+    tables.upsert(new, path, ["c_custkey"])
+    return tables.read_keyed(t.spark, path)
+
+
+def b06_delete_snapshot(t: Lake) -> DataFrame:
+    path = t.scratch()
+    days_table(t, path)
+    tables.delete_snapshot(t.spark, path, "2024-01-10", "day")
+    return t.spark.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+
+
+def b07_purge(t: Lake) -> DataFrame:
+    folder, out = t.scratch(), t.scratch()
+    for name in ("first", "second"):
+        days_table(t, f"{folder}/{name}")
+    tables.purge_before(t.spark, folder, ["first", "second"], "2024-01-20", out, "day")
+    return tables.union([t.spark.read.parquet(f"{out}/{n}").groupBy(F.lit(n).alias("table_name"), "day").agg(F.count(F.lit(1)).alias("n")) for n in ("first", "second")])
+
+
+def b09_layout(t: Lake) -> DataFrame:
+    path = t.scratch()
+    li = S.table(t.spark, t.sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.year("l_shipdate").alias("year"))
+    tables.full_refresh(tables.laid_out(li, ["year"], ["l_orderkey", "l_linenumber"]), path, ["year"])
+    return t.spark.read.parquet(path)
+
+
+def b10_export(t: Lake) -> DataFrame:
+    n = tables.export({name: t[name] for name in ("dim_match", "dim_team", "fact_innings", "mart_toss_outcome")}, t.scratch())
+    return t.spark.createDataFrame(list(n.items()), "table_name string, n_rows long")
+
+
+def b11_report_csv(t: Lake) -> DataFrame:
+    return t.spark.read.csv(csv_of(t, reports.format_breakdown(t)), header=True)
+
+
+def b13_full_refresh(t: Lake) -> DataFrame:
+    path, (old, new) = t.scratch(), old_new(t)
+    tables.full_refresh(old, path)
+    tables.full_refresh(new, path)
+    return t.spark.read.parquet(path)
+
+
+def b12_incremental_gold(t: Lake) -> DataFrame:
+    """Gold for the matches that the audit leaves open, then, all others open too, for the rest: all of Gold."""
+    folder = t.scratch()
+    for audit in (t["audit"], t["audit"].withColumn("gold_loaded_at", F.when(F.col("gold_loaded_at").isNull(), F.col("bronze_loaded_at")))):
+        build.build_gold(t, audit, folder)
+    return quality.row_counts({n: tables.read_keyed(t.spark, f"{folder}/{n}") for n in gold.INCREMENTAL})
+
+
 SINKS: dict[str, Query] = {
-    "b04_keyed_replace": lake(lambda t: (lambda o, n: o.join(n.select("c_custkey"), "c_custkey", "left_anti").unionByName(n))(*old_new(t))),
+    "b01_append": lake(b01_append),
+    "b02_create_if_missing": lake(b02_create_if_missing),
+    "b03_partition_overwrite": lake(b03_partition_overwrite),
+    "b04_keyed_replace": lake(b04_keyed_replace),
     "b05_upsert": lake(lambda t: tables.merged(*old_new(t), ["c_custkey"])),
     "b05_upsert_subset": lake(lambda t: tables.merged(*old_new(t), ["c_custkey"], ["c_acctbal"])),
-    "b07_purge": lake(lambda t: events_as(t).where("day >= date '2024-01-20'").groupBy("day").agg(F.count(F.lit(1)).alias("n"))),
+    "b05_upsert_table": lake(b05_upsert_table),
+    "b06_delete_snapshot": lake(b06_delete_snapshot),
+    "b07_purge": lake(b07_purge),
     "b08_metadata_columns": lake(lambda t: bronze.with_metadata(S.table(t.spark, t.sf_dir, "nation"), _pipeline_run_id="run-1", n_name="never").select("n_nationkey", "n_name", "_pipeline_run_id")),
+    "b09_layout": lake(b09_layout),
+    "b10_export": lake(b10_export),
+    "b11_report_csv": lake(b11_report_csv),
     "b12_incremental_scope": lake(lambda t: gold.pending(t["fact_delivery"], t["audit"]).groupBy("match_id").agg(F.count(F.lit(1)).alias("balls"))),
+    "b12_incremental_gold": lake(b12_incremental_gold),
+    "b13_full_refresh": lake(b13_full_refresh),
 }
 
 # -- Bronze and register ----------------------------------------------------------------------------
@@ -170,25 +354,71 @@ def landed_new(t: Lake) -> DataFrame:
 
 def assigned(t: Lake) -> DataFrame:
     e = events_as(t)
-    old = revised(t).where("event_id % 4 = 0")
+    old = revised(t).where("event_id % 2 = 0")
     key = F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("match_id")
-    new = e.where("event_id % 4 = 1").select(key, F.lpad(F.col("event_id").cast("string"), 12, "0").alias("file_name"))
+    new = e.where("event_id % 2 = 1").select(key, F.lpad(F.col("event_id").cast("string"), 12, "0").alias("file_name"))
     return bronze.assign_revisions(new, old)
 
 
+def c04_idempotency(t: Lake) -> DataFrame:
+    """Whether three snapshots' loads would be left out, with and without force; the event log stands for the load log."""
+    log = events_as(t).select(F.col("day").cast("string").alias("snapshot_date"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"))
+    rows = [(day, bronze.already_loaded(log, day), bronze.already_loaded(log, day, force=True)) for day in ("2024-01-05", "2024-01-06", "2031-01-01")]
+    return t.spark.createDataFrame(rows, "snapshot_date string, loaded boolean, loaded_with_force boolean")
+
+
+def c10_register_load(t: Lake) -> DataFrame:
+    """Two snapshots, the newer one twice: a load replaces its own snapshot only."""
+    folder, names = t.scratch(), S.names_csv(t.spark, t.sf_dir)
+    for day in (S.BEFORE, S.SNAPSHOT, S.SNAPSHOT):
+        register.load_register(register.parse_register(S.people_csv(t.spark, t.sf_dir, day), names), folder, day)
+    return tables.union([t.spark.read.parquet(f"{folder}/{n}").groupBy(F.lit(n).alias("table_name"), "_snapshot_date").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_row_hash").alias("n_hashes")) for n in ("people", "people_identifiers", "name_variations")])
+
+
+def c11_bronze_load(t: Lake) -> DataFrame:
+    """A load of files, a fourth of which Bronze has and a tenth of which are no documents."""
+    key = F.col("match_id").cast("long")
+    landed = t["bronze"].select(F.concat("match_id", F.lit(".json")).alias("file_name"), "match_id", F.when(key % 10 == 0, "not json").otherwise(F.col("raw_json")).alias("raw_json"), F.sha2("match_id", 256).alias("content_hash"))
+    known = t["bronze"].where(key % 4 == 0).select(F.sha2("match_id", 256).alias("content_hash"))
+    counts = bronze.ingest(landed, known, t["bronze"].select("match_id", "revision"), t.scratch(), S.SNAPSHOT, "run")
+    return t.spark.createDataFrame([counts], "attempted long, skipped long, succeeded long, failed long, rows_written long")
+
+
+def d19_silver_build(t: Lake) -> DataFrame:
+    """Silver in two runs, even matches and then the others; an empty scope writes nothing."""
+    folder, ids = t.scratch(), t["bronze"].select("match_id")
+    key = F.col("match_id").cast("long")
+    for scope in (ids.where(key % 2 == 0), ids.where("false"), ids.where(key % 2 == 1)):
+        build.build_silver(t["bronze"], t["person_identifiers"], t["name_variations"], folder, scope)
+    return quality.row_counts(build.silver_tables(t.spark, folder))
+
+
+def i33_rerun(t: Lake) -> DataFrame:
+    """Rows of each Silver table before and after a run over everything is repeated."""
+    folder = t.scratch()
+    seen = []
+    for _ in range(2):
+        build.build_silver(t["bronze"], t["person_identifiers"], t["name_variations"], folder)
+        own = build.silver_tables(t.spark, folder)
+        seen.append({r["table_name"]: r["n_rows"] for r in quality.row_counts(own).collect()})  # a row for each table
+    return t.spark.createDataFrame([(n, seen[0][n], seen[1][n]) for n in sorted(seen[0])], "table_name string, rows_before long, rows_after long")
+
+
 BRONZE: dict[str, Query] = {
     "c01_content_skip": lake(landed_new),
     "c02_max_revision": lake(lambda t: bronze.max_revision(revised(t))),
     "c03_revision_assignment": lake(assigned),
+    "c04_idempotency": lake(c04_idempotency),
     "c05_row_hash": lake(lambda t: S.table(t.spark, t.sf_dir, "documents").select("doc_id", M.row_hash(F.col("doc_id"), F.col("lang"), F.col("source"), F.when(F.col("doc_id") % 5 != 0, F.col("n_chars"))).alias("row_hash"))),
     "c07_identifier_unpivot": lake(lambda t: register.identifiers(t["people"])),
     "c08_name_variations": of("name_variations"),
-    "c11_bronze_load_counts": lake(lambda t: bronze.load_matches(t["bronze"].select(F.concat("match_id", F.lit(".json")).alias("file_name"), "match_id", F.when(F.col("match_id").cast("long") % 10 == 0, "not json").otherwise(F.col("raw_json")).alias("raw_json"), F.sha2("match_id", 256).alias("content_hash")), t["bronze"].where("cast(match_id as long) % 4 = 0").select(F.sha2("match_id", 256).alias("content_hash")), t["bronze"], S.SNAPSHOT, "run")[2]),
+    "c10_register_load": lake(c10_register_load),
+    "c11_bronze_load_counts": lake(c11_bronze_load),
 }
 
 SILVER: dict[str, Query] = {
-    "d01_latest_revision": lake(lambda t: bronze.latest_revision(revised(t)).select("match_id", "revision", "event_id")),
-    "d02_json_parse": lake(lambda t: S.table(t.spark, t.sf_dir, "events").select("event_id", F.from_json("props", "struct<k:int>")["k"].alias("k"))),
+    "d01_latest_revision": lake(lambda t: bronze.latest_revision(revised(t), ties=("event_id",)).select("match_id", "revision", "event_id")),
+    "d02_json_parse": lake(lambda t: t["parsed"].select("match_id", F.col("doc.meta.data_version").alias("data_version"), F.size("doc.innings").alias("n_innings"), F.size("doc.info.teams").alias("n_teams"), F.array_join("doc.info.dates", ",").alias("dates"), F.col("doc.info.season").alias("season"))),
     "d04_matches": lake(lambda t: t["matches"].withColumn("player_of_match", F.array_join("player_of_match", ","))),
     "d05_innings": of("innings"),
     "d06_deliveries": of("deliveries"),
@@ -203,6 +433,7 @@ SILVER: dict[str, Query] = {
     "d15_unmatched_audit": lake(lambda t: identity.audit(t["resolved_players"], t["resolved_officials"])),
     "d16_persons": of("persons"),
     "d17_person_identifiers": of("person_identifiers"),
+    "d19_silver_build": lake(d19_silver_build),
     "e01_resolution_paths": lake(lambda t: t["resolved_players"].select("match_id", "team", "player_name", "cricsheet_id", "person_id")),
     "s06_document_checks": lake(lambda t: silver.document_checks(t["parsed"])),
 }
@@ -211,6 +442,7 @@ GOLD: dict[str, Query] = {
     "f01_dim_match": lake(gold.dim_match),
     "f02_dim_player": lake(gold.dim_player),
     "f03_dim_team": lake(gold.dim_team),
+    "f03_team_scope": lake(lambda t: gold.names_in_scope(t["matches"], t["audit"], ("team_a", "team_b"), "team_name")),
     "f04_dim_venue": lake(gold.dim_venue),
     "f05_dim_competition": lake(gold.dim_competition),
     "f06_dim_date": lake(lambda t: S.table(t.spark, t.sf_dir, "orders").select(F.to_date("o_orderdate").alias("date")).distinct().join(gold.dim_date(t.spark), "date")),
@@ -246,6 +478,7 @@ REPORTS: dict[str, Query] = {
     "h22_nemesis": lake(lambda t: R.nemesis({"mart_matchup": t["duels"]}, PLAYER)), "h22_victims": lake(lambda t: R.nemesis({"mart_matchup": t["duels"]}, BOWLER, "bowler_name")), "h23_resolver": lake(lambda t: R.resolver(t, "star")),
     "h24_career_summary": lake(R.career_summary), "h25_year_by_year": lake(R.year_by_year), "h26_opponents": lake(R.opponents), "h27_dismissal_modes": lake(R.dismissal_modes),
     "h28_innings_context": lake(lambda t: R.innings_context(t, HOME)), "h29_editions": lake(lambda t: R.editions(t, "Cup%")), "h30_recent_scorers": lake(R.recent_scorers),
+    "h32_sample": lake(lambda t: R.sample(R.latest_matches(t), 20, 6)),
     "h31_best_economy": lake(lambda t: R.best_economy(t, 5.0)), "h31_team_formats": lake(lambda t: R.team_formats(t, "NATION_6")), "h31_head_to_head": lake(R.head_to_head), "h31_chasing_venues": lake(lambda t: R.chasing_venues(t, 2)),
 }
 
@@ -270,7 +503,83 @@ def grain_and_orphans(t: Lake) -> DataFrame:
     return tables.union(parts)
 
 
+RUN = "run-1"
+
+
+def load_log(t: Lake) -> DataFrame:
+    """The log row of one load of all orders, of which the pending ones failed."""
+    o = S.table(t.spark, t.sf_dir, "orders")
+    bad = F.count_if(F.col("o_orderstatus") == "P")
+    n = F.count(F.lit(1))
+    return o.agg(F.lit(RUN).alias("run_id"), n.alias("attempted"), bad.alias("failed"), (n - bad).alias("rows_written"))
+
+
+def run_audit(t: Lake) -> DataFrame:
+    o = S.table(t.spark, t.sf_dir, "orders")
+    return o.select(F.when(F.col("o_orderstatus") == "P", "run-0").otherwise(RUN).alias("pipeline_run_id"))
+
+
+def i03_coherence(t: Lake) -> DataFrame:
+    """Of the run itself, of another run, and without a log."""
+    log, audit = load_log(t), run_audit(t)
+    return tables.union([quality.audit_coherence(x, audit, run).withColumn("case", F.lit(c)) for c, x, run in (("own", log, RUN), ("other", log, "run-2"), ("none", log.where("attempted < 0"), RUN))])
+
+
+def register_log(t: Lake) -> DataFrame:
+    """Rows that landed, by file: one count a day and type of event."""
+    return daily_counts(t).select(F.col("event_type").alias("source_file"), F.lit(S.SNAPSHOT).cast("date").alias("snapshot_date"), F.when(F.dayofmonth("day") % 5 == 0, "FAILED").otherwise("SUCCESS").alias("status"), F.col("n_rows").alias("row_count"), F.dayofyear("day").alias("id"))
+
+
+def i15_arrived(t: Lake) -> DataFrame:
+    """People in Bronze against as many landed rows, twice as many, and no log."""
+    people = t["people"]
+    landed = people.agg(F.count(F.lit(1)).alias("row_count"))
+    cases = (("all", landed), ("half", landed.select((F.col("row_count") * 2).alias("row_count"))), ("none", landed.where("row_count < 0")))
+    return tables.union([quality.arrived("REG-SLV-005", people, x).withColumn("case", F.lit(c)) for c, x in cases])
+
+
+def i17_missing_table(t: Lake) -> DataFrame:
+    name = f"orders_{uuid.uuid4().hex}"
+    ddl = "o_orderkey long"
+    before = quality.table_or_empty(t.spark, name, ddl).agg(F.lit("missing").alias("state"), F.count(F.lit(1)).alias("n"))
+    S.table(t.spark, t.sf_dir, "orders").createOrReplaceTempView(name)
+    return before.unionByName(quality.table_or_empty(t.spark, name, ddl).agg(F.lit("present").alias("state"), F.count(F.lit(1)).alias("n")))
+
+
+def i18_stored_results(t: Lake) -> DataFrame:
+    path = t.scratch()
+    for run in ("run-1", "run-2"):
+        quality.store(grain_and_orphans(t), path, run)
+    return t.spark.read.parquet(path)
+
+
+def i22_bronze_types(t: Lake) -> DataFrame:
+    found = {n: quality.not_all_strings(df) for n, df in (("match_data", t["bronze"]), ("orders", S.table(t.spark, t.sf_dir, "orders")))}
+    return t.spark.createDataFrame([(n, c) for n, cols in found.items() for c in cols], "table_name string, column_name string")
+
+
+def i23_one_snapshot(t: Lake) -> DataFrame:
+    register_rows = register.parse_register(t["people"], S.names_csv(t.spark, t.sf_dir))
+    dated = {n: df.withColumn("_snapshot_date", F.lit(S.SNAPSHOT).cast("date")) for n, df in register_rows.items()}
+    return quality.one_snapshot({"match_data": t["bronze"]} | dated | {"events": events_as(t).withColumnRenamed("day", "_snapshot_date")})
+
+
 QUALITY: dict[str, Query] = {
+    "i01_failed_files": lake(lambda t: quality.failed_files(load_log(t))),
+    "i03_audit_coherence": lake(i03_coherence),
+    "i15_rows_arrived": lake(i15_arrived),
+    "i17_missing_table": lake(i17_missing_table),
+    "i18_stored_results": lake(i18_stored_results),
+    "i19_model_tests": lake(lambda t: quality.run_model_tests(t)),
+    "i20_award_ties": lake(lambda t: quality.repeated_grain(t["fact_player_of_match"], "match_id")),
+    "i22_bronze_types": lake(i22_bronze_types),
+    "i23_one_snapshot": lake(i23_one_snapshot),
+    "i26_dimension_integrity": lake(lambda t: quality.dimension_integrity(t)),
+    "i27_fact_integrity": lake(lambda t: quality.fact_integrity(t)),
+    "i28_reconciliation": lake(lambda t: quality.reconciliation(t, t["bronze"], t["people"])),
+    "i30_mart_coverage": lake(lambda t: quality.mart_coverage(t)),
+    "i31_last_ingest": lake(lambda t: quality.last_ingest({"bronze.match_data": t["bronze"], "events": events_as(t).withColumnRenamed("ts", "_ingested_at")})),
+    "i33_rerun": lake(i33_rerun),
     "i02_bronze_checks": lake(bronze_quality),
     "i05_silver_checks": lake(silver_quality),
     "i08_unmatched_rate": lake(lambda t: quality.unmatched_rate(t["match_players"], t["match_officials"], identity.audit(t["resolved_players"], t["resolved_officials"]))),
@@ -295,7 +604,8 @@ def daily_counts(t: Lake) -> DataFrame:
 
 def landed_audit(t: Lake) -> DataFrame:
     a = t["audit"]
-    return control.land(a.where("cast(match_id as long) % 2 = 0"), a.where("cast(match_id as long) % 3 = 0")).select("file_name", "content_hash")
+    key = F.col("match_id").cast("long")
+    return control.land(a.where(key % 2 == 0), a.where((key % 2 == 1) | (key % 3 == 0))).select("file_name", "content_hash")
 
 
 def column_catalog(t: Lake) -> DataFrame:
@@ -311,22 +621,73 @@ def versions(t: Lake) -> tuple[DataFrame, DataFrame]:
     return c.where("c_custkey % 7 <> 0").select("c_custkey", h(F.col("c_acctbal"))), c.where("c_custkey % 5 <> 0").select("c_custkey", h(F.when(F.col("c_custkey") % 4 == 0, F.lit(0.5)).otherwise(F.col("c_acctbal"))))
 
 
+def j02_stamp_bronze(t: Lake) -> DataFrame:
+    """Even matches reach Bronze as revision 2."""
+    a = t["audit"].withColumn("bronze_loaded_at", F.lit(None).cast("timestamp"))
+    loaded = a.where(F.col("match_id").cast("long") % 2 == 0).select("file_name", "content_hash", F.lit("2").alias("revision"))
+    out = control.stamp_bronze(a, loaded, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return out.select("match_id", "revision", F.col("bronze_loaded_at").isNotNull().alias("loaded"))
+
+
+def j03_stamp_archive(t: Lake) -> DataFrame:
+    a = t["audit"].withColumn("archive_path", F.lit(None).cast("string"))
+    moved = a.where(F.col("match_id").cast("long") % 3 == 0).select("file_name", "content_hash", F.concat(F.lit("archive/"), "file_name").alias("archive_path"))
+    return control.stamp_archive(a, moved).select("match_id", "archive_path")
+
+
+def j08_seed_audit(t: Lake) -> DataFrame:
+    """Files are listed for two of three matches; the others get the name that their id suggests."""
+    listed = t["bronze"].where(F.col("match_id").cast("long") % 3 != 0).select("match_id", F.concat(F.lit("listed-"), "match_id", F.lit(".json")).alias("file_name"))
+    out = control.seed_from_bronze(t["bronze"], listed)
+    return out.select("match_id", "file_name", "revision", F.length("content_hash").alias("hash_length"), (F.col("silver_loaded_at") == F.col("bronze_loaded_at")).alias("silver_done"), F.col("gold_loaded_at").isNull().alias("gold_open"))
+
+
+def j12_row_guard(t: Lake) -> DataFrame:
+    """A table that has enough rows passes."""
+    li = S.table(t.spark, t.sf_dir, "lineitem")
+    control.enough_rows(li)
+    return li.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def run_log(t: Lake) -> DataFrame:
+    """A load log: every event is a run that starts; most end up to ten minutes later."""
+    e, key = S.table(t.spark, t.sf_dir, "events"), F.col("event_id")
+    runs = e.select(F.concat(F.lit("run-"), key.cast("string")).alias("run_id"), F.to_date("ts").alias("snapshot_date"), F.col("ts").cast("timestamp").alias("at"), key, "event_type")
+    ended = runs.where(key % 7 != 0).withColumn("at", F.timestamp_seconds(F.unix_seconds("at") + key % 600))
+    good = ended.where("event_type <> 'error'").withColumns({"attempted": key % 50, "succeeded": key % 50, "failed": F.lit(0), "rows_written": key % 50})
+    bad = control.log_rows(ended.where("event_type = 'error'"), "FAILED", F.concat(F.lit("failed: "), F.repeat(F.lit("ab"), 1500)))
+    return tables.union([control.log_started(runs), control.log_rows(good, "SUCCESS"), bad])
+
+
+def timed_runs(t: Lake) -> DataFrame:
+    return events_as(t).select(F.col("ts").alias("started_at"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"), F.col("value").alias("seconds"), F.concat(F.lit("task-"), (F.col("user_id") % 25).cast("string")).alias("task"))
+
+
 CONTROL: dict[str, Query] = {
+    "j02_stamp_bronze": lake(j02_stamp_bronze),
+    "j03_stamp_archive": lake(j03_stamp_archive),
+    "j08_seed_audit": lake(j08_seed_audit),
+    "j12_row_guard": lake(j12_row_guard),
+    "j15_failures": lake(lambda t: control.failures(grain_and_orphans(t).withColumn("status", F.when(F.col("failed") > 0, "FAILED").otherwise(F.col("status")))).select("check_id", "table_name", "failed")),
+    "j17_landed_counts": lake(lambda t: control.landed_counts(register_log(t), F.lit(S.SNAPSHOT).cast("date"))),
+    "j18_load_log": lake(lambda t: control.latest_log(run_log(t)).select("run_id", "status", "attempted", "rows_written", "duration_seconds", F.length("message").alias("message_length"))),
     "j01_land_new_files": lake(landed_audit),
     "j04_pending_silver": lake(lambda t: control.pending_silver(t["audit"])),
     "j05_stamp_silver": lake(stamped),
     "j06_pending_gold": lake(lambda t: control.pending_gold(t["audit"])),
     "j07_stamp_gold": lake(lambda t: control.stamp_gold(t["audit"], F.lit("2024-01-01 00:00:00").cast("timestamp")).groupBy(F.col("gold_loaded_at").isNull().alias("open")).agg(F.count(F.lit(1)).alias("n"))),
-    "j09_column_drift": lake(lambda t: control.column_drift(column_catalog(t)).withColumns({"added": F.array_join(F.array_sort("added"), ","), "removed": F.array_join(F.array_sort("removed"), ",")}).drop("names_hash")),
+    "j09_column_drift": lake(lambda t: control.column_drift(column_catalog(t)).withColumns({"added": F.array_join(F.array_sort("added"), ","), "removed": F.array_join(F.array_sort("removed"), ",")})),
     "j10_schema_drift": lake(lambda t: control.schema_drift(column_catalog(t))),
     "j11_row_count_log": lake(lambda t: control.row_count_log(daily_counts(t), "event_type", "day")),
     "j13_snapshot_diff": lake(lambda t: control.snapshot_diff(*versions(t), "c_custkey", "h")),
     "j14_latest_per_key": lake(lambda t: control.latest_by(events_as(t), ["user_id", "event_type"], F.col("ts").desc(), F.col("event_id").desc()).select("user_id", "event_type", "event_id")),
     "j16_latest_archives": lake(lambda t: control.latest_archives(events_as(t).select(F.col("event_type").alias("archive"), F.col("day").alias("loaded_at"), F.lit(1).alias("n_files")))),
-    "s01_scd2": lake(lambda t: control.scd2(events_as(t).where("event_id % 3 = 0").select(F.col("user_id"), F.col("event_id"), F.col("event_type")), "user_id", "event_id", "event_type")),
+    "s01_scd2": lake(lambda t: control.scd2(events_as(t).select(F.col("user_id"), F.col("event_id"), F.col("event_type")), "user_id", "event_id", "event_type")),
     "s03_season_year": lake(lambda t: S.table(t.spark, t.sf_dir, "orders").select("o_orderkey", M.season_year(F.concat(F.year("o_orderdate").cast("string"), F.lit("/03"))).alias("season_year"))),
-    "s05_daily_runs": lake(lambda t: control.daily_runs(events_as(t).select(F.col("ts").alias("started_at"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"), F.col("value").alias("seconds")))),
-    "s08_over_features": lake(lambda t: R.worm(t).groupBy("match_id", "innings_number").agg(F.max("ball_index").alias("balls"), F.max("cumulative_runs").alias("runs"))),
+    "s05_daily_runs": lake(lambda t: control.daily_runs(timed_runs(t))),
+    "s05_top_tasks": lake(lambda t: control.top_tasks(timed_runs(t))),
+    "s05_data_freshness": lake(lambda t: control.data_freshness(timed_runs(t), F.lit("2024-02-01").cast("date"))),
+    "s08_over_features": lake(R.over_features),
 }
 
 

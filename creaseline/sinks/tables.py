@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+#: A keyed table gets one bucket for so many rows when it is created.
+BUCKET_ROWS = 1_000_000
 
 
 def observed_write(df: DataFrame, path: str, mode: str, partition_by: list[str] | None = None, **options) -> int:
@@ -31,43 +32,80 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> i
     return observed_write(df, path, "overwrite", partition_by, partitionOverwriteMode="dynamic")
 
 
-def bucket_of(keys: list[str], buckets: int = BUCKETS):
+def create_if_missing(df: DataFrame, path: str, partition_by: list[str] | None = None, **properties) -> int:
+    """Append; the first write makes the table, with its partition columns and writer properties."""
+    return observed_write(df, path, "append", partition_by, **properties)
+
+
+def delete_snapshot(spark: SparkSession, path: str, day: str, column: str = "_snapshot_date") -> None:
+    """Empty one snapshot's partition before it is loaded again; the others stay as they are."""
+    void = spark.read.parquet(path).drop(column).limit(0)
+    void.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={day}")
+
+
+def bucket_of(keys: list[str], buckets: int):
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def create_keyed(df: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> int:
-    return full_refresh(df.withColumn("__bucket", bucket_of(keys, buckets)).repartition("__bucket"), path, ["__bucket"])
+def layout(spark: SparkSession, path: str) -> int:
+    """The number of buckets of a keyed table, which is stored beside its rows."""
+    return spark.read.parquet(f"{path.rstrip('/')}/_layout").first()["buckets"]
+
 
+def create_keyed(df: DataFrame, path: str, keys: list[str], buckets: int | None = None) -> int:
+    """A table that keyed_replace and upsert can change: rows lie in buckets by a hash of their key, one for BUCKET_ROWS rows."""
+    if buckets is None:
+        buckets = max(1, -(-df.count() // BUCKET_ROWS))
+    rows = df.withColumns({"__void": F.lit(False), "__bucket": bucket_of(keys, buckets)})
+    rows = rows.unionByName(void_rows(df, range(buckets)))
+    n = full_refresh(rows.repartition(buckets, "__bucket"), path, ["__bucket"])
+    df.sparkSession.createDataFrame([(buckets,)], "buckets int").write.parquet(f"{path.rstrip('/')}/_layout")
+    return n - buckets
 
-def read_keyed(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    return spark.read.parquet(path).drop("__bucket").dropna(how="all", subset=keys)
 
+def void_rows(df: DataFrame, buckets) -> DataFrame:
+    """A row of nulls for each bucket, so that none is ever without a file."""
+    rows = df.sparkSession.createDataFrame([(b,) for b in buckets], "__bucket int")
+    return rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields], F.lit(True).alias("__void"), "__bucket")
 
-def _rewrite(spark: SparkSession, path: str, keys: list[str], touched: DataFrame, change, buckets: int) -> int:
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where("not __void").drop("__bucket", "__void")
+
+
+def _rewrite(spark: SparkSession, path: str, keys: list[str], touched: DataFrame, change) -> None:
     """Rewrite the buckets of the touched keys in one dynamic overwrite: change(old rows) gives their new rows.
 
-    A dynamic overwrite leaves partitions alone that the new rows don't reach, so a bucket that loses all its rows
-    gets one row of nulls, which read_keyed drops.
+    A dynamic overwrite leaves partitions alone that the new rows don't reach, so every touched bucket gets one void row,
+    which read_keyed leaves out.
     """
+    buckets = layout(spark, path)
     hit = [r[0] for r in touched.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]  # at most `buckets` numbers
-    old = spark.read.parquet(path).where(F.col("__bucket").isin(hit)).drop("__bucket")
-    new = change(old.dropna(how="all", subset=keys)).withColumn("__bucket", bucket_of(keys, buckets))
-    empty = spark.createDataFrame([(b,) for b in hit], "__bucket int").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in old.schema.fields], "__bucket")
-    return overwrite_partitions(new.unionByName(empty).repartition("__bucket"), path, ["__bucket"]) - len(hit)
+    if not hit:
+        return
+    old = spark.read.parquet(path).where(F.col("__bucket").isin(hit) & ~F.col("__void")).drop("__bucket", "__void")
+    new = change(old).withColumns({"__void": F.lit(False), "__bucket": bucket_of(keys, buckets)})
+    overwrite_partitions(new.unionByName(void_rows(old, hit)).repartition(len(hit), "__bucket"), path, ["__bucket"])
 
 
-def keyed_replace(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None = None, buckets: int = BUCKETS) -> int:
-    """Delete the keys in df (and in scope: keys that were processed even if no row is left), then insert df."""
+def keyed_replace(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None = None) -> int:
+    """Delete the keys in df (and in scope: keys that were processed even if no row is left), then insert df. Returns the rows of df."""
     if not keys:
         raise ValueError("keys are needed")
     gone = df.select(*keys) if scope is None else df.select(*keys).unionByName(scope.select(*keys))
-    gone = gone.distinct()
-    return _rewrite(df.sparkSession, path, keys, gone, lambda old: old.join(gone, keys, "left_anti").unionByName(df), buckets)
+    gone, seen = gone.distinct(), Observation()
+    if gone.isEmpty():
+        return 0
+    named = gone.select(*[F.col(k).alias(f"__gone_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__gone_{k}")) for k in keys))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    _rewrite(df.sparkSession, path, keys, gone, lambda old: old.join(named, same, "left_anti").unionByName(counted))
+    return seen.get["n"]
 
 
-def upsert(df: DataFrame, path: str, keys: list[str], update_cols: list[str] | None = None, buckets: int = BUCKETS) -> int:
+def upsert(df: DataFrame, path: str, keys: list[str], update_cols: list[str] | None = None) -> None:
     """Rows with a known key update the given columns (all by default), others are inserted."""
-    return _rewrite(df.sparkSession, path, keys, df, lambda old: merged(old, df, keys, update_cols), buckets)
+    _rewrite(df.sparkSession, path, keys, df, lambda old: merged(old, df, keys, update_cols))
 
 
 def merged(old: DataFrame, new: DataFrame, keys: list[str], update_cols: list[str] | None = None) -> DataFrame:
@@ -82,9 +120,9 @@ def merged(old: DataFrame, new: DataFrame, keys: list[str], update_cols: list[st
     return a.join(b, keys, "full").select(*[F.col(c) if c in keys else value(c).alias(c) for c in old.columns])
 
 
-def purge_before(spark: SparkSession, path: str, day: str, out: str, column: str = "_snapshot_date") -> int:
-    """Rows from that day on, written as a new version."""
-    return full_refresh(spark.read.parquet(path).where(F.col(column) >= F.lit(day)), out, [column])
+def purge_before(spark: SparkSession, folder: str, names: list[str], day: str, out: str, column: str = "_snapshot_date") -> dict[str, int]:
+    """Rows of each table from that day on, written as a new version of it."""
+    return {n: full_refresh(spark.read.parquet(f"{folder}/{n}").where(F.col(column) >= F.lit(day)), f"{out}/{n}", [column]) for n in names}
 
 
 def laid_out(df: DataFrame, partition_by: list[str], order_by: list[str]) -> DataFrame:

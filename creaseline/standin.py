@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 SNAPSHOT = "2024-01-01"
+#: An older snapshot of the register.
+BEFORE = "2023-12-01"
 #: Fixed values of the stand-in.
 TYPES = ("T20", "ODI", "Test", "IT20", "ODM", "T20B")
 KINDS = ("caught", "bowled", "lbw", "run out", "stumped", "caught and bowled", "hit wicket")
@@ -63,6 +65,7 @@ def ball_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_quantity").cast("int") % 7).alias("runs_batter"), *[extra(i).alias(f"extra_{e}") for i, e in enumerate(("wides", "noballs", "byes", "legbyes"))],
         (F.col("l_returnflag") == "R").alias("out"), F.col("l_partkey"), F.col("l_suppkey"), "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     )
+    rows = rows.repartition("match_id")  # the one shuffle of balls: every later grouping includes the match
     order = W.partitionBy("match_id", "innings_number", "over_number").orderBy("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     return rows.withColumn("delivery_number", F.row_number().over(order)).drop("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
 
@@ -115,27 +118,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("match_id", F.lit("1").alias("revision"), *[blank(c) for c in ("match_type", "gender", "season", "match_date", "team_a", "team_b", "venue", "city")], doc.alias("raw_json"), F.lit(SNAPSHOT).cast("date").alias("_snapshot_date"), F.lit(f"{SNAPSHOT} 00:00:00").cast("timestamp").alias("_ingested_at"))
 
 
-def people_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The register's people file: wide, all strings, with key_* columns."""
+def people_csv(spark: SparkSession, sf_dir: str, day: str = SNAPSHOT) -> DataFrame:
+    """The register's people file of a day: wide, all strings, with key_* columns. Some ids repeat with other names; the older file has ids that are gone."""
     c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
-    text = lambda prefix, e: F.concat(F.lit(prefix), e.cast("string"))
-    return c.select(
-        text("id", key).alias("identifier"), F.when(key % 10 != 0, text("Person ", key)).alias("name"), text("person-", key).alias("unique_name"),
-        F.when(key % 3 != 0, F.concat(F.lit("r-"), text("P", key))).alias("key_cricsheet"), F.when(key % 2 == 0, (key * 7).cast("string")).alias("key_cricinfo"),
-        F.when(key % 5 == 0, (key * 3).cast("string")).alias("key_cricbuzz"),
-    )
+    text = lambda prefix, e=key: F.concat(F.lit(prefix), e.cast("string"))
+    none = F.lit(None).cast("string")
+    crick = F.when(key % 3 != 0, F.concat(F.lit("r-"), text("P")))
+
+    def rows(where: Column, identifier: Column, name: Column, unique_name: Column, cricsheet: Column = none, cricinfo: Column = none, cricbuzz: Column = none) -> DataFrame:
+        return c.where(where).select(identifier.alias("identifier"), name.alias("name"), unique_name.alias("unique_name"), cricsheet.alias("key_cricsheet"), cricinfo.alias("key_cricinfo"), cricbuzz.alias("key_cricbuzz"))
+
+    if day == BEFORE:
+        return rows(key % 4 == 0, text("id"), text("Old "), text("old-")).unionByName(rows(key % 20 == 0, text("gone"), text("Gone "), text("gone-")))
+    all_rows = rows(F.lit(True), text("id"), F.when(key % 10 != 0, text("Person ")), text("person-"), crick, F.when(key % 2 == 0, (key * 7).cast("string")), F.when(key % 5 == 0, (key * 3).cast("string")))
+    return all_rows.unionByName(rows(key % 50 == 7, text("id"), text("Aaron "), text("zed-"), crick))
 
 
 def names_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
     key, supp = F.col("c_custkey"), F.col("s_suppkey")
     text = lambda prefix, e: F.concat(F.lit(prefix), e.cast("string"))
-    a = c.where(key % 3 == 0).select(text("id", key).alias("identifier"), text("P", key % 290).alias("name"))
+    a = c.select(text("id", key).alias("identifier"), text("P", key % 290).alias("name"))
     b = s.select(text("sup", supp).alias("identifier"), text("Q", supp % 50).alias("name"))
     return a.unionByName(b).unionByName(b.where("identifier like '%1'"))
 
 
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").where("p_partkey < 60 and p_partkey % 4 = 0")
-    return p.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("cricsheet_name"), F.concat(F.lit("Star "), F.col("p_partkey").cast("string")).alias("display_name")).distinct()
+    """Every even player number that the parts yield has an alias."""
+    number = (F.col("p_partkey") * 2 % 300).cast("string")
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("P"), number).alias("cricsheet_name"), F.concat(F.lit("Star "), number).alias("display_name")).distinct()

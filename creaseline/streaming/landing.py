@@ -1,20 +1,37 @@
-"""An optional streaming front end: new landing files go to Bronze in one availableNow run; hashes and revisions keep order."""
+"""A streaming front end: new landing files go to Bronze in one availableNow run."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.operators.bronze import header
-from creaseline.sinks.tables import append
+from creaseline.operators.bronze import load_matches
+from creaseline.sinks.tables import overwrite_partitions
 
 
-def ingest_available(spark: SparkSession, folder: str, bronze_path: str, checkpoint: str) -> None:
+def ingest_available(spark: SparkSession, folder: str, bronze_path: str, rejects_path: str, checkpoint: str, snapshot_date: str = "2024-01-01") -> None:
+    """Each micro-batch skips content that earlier batches hold, numbers revisions on from theirs and keeps its rejects.
+
+    Both sinks are partitioned by the batch, and a batch overwrites its own partition only, so that a retried batch
+    replaces what its first attempt wrote.
+    """
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.json").load(folder)
-    name = F.regexp_extract("path", r"([^/]+)\.json$", 1)
-    rows = files.where(~name.startswith("_")).select(name.alias("match_id"), F.decode("content", "UTF-8").alias("raw_json"), F.sha2("content", 256).alias("content_hash"))
+    file_name = F.regexp_extract("path", r"([^/]+)$", 1)
+    rows = files.where(~file_name.startswith("_")).select(
+        file_name.alias("file_name"), F.regexp_replace(file_name, r"\.json$", "").alias("match_id"),
+        F.decode("content", "UTF-8").alias("raw_json"), F.sha2("content", 256).alias("content_hash"),
+    )
+    known_ddl = "match_id string, revision string, content_hash string, _batch long"
+
+    def earlier(session: SparkSession, number: int) -> DataFrame:
+        if number == 0:
+            return session.createDataFrame([], known_ddl)
+        return session.read.schema(known_ddl).parquet(bronze_path).where(F.col("_batch") < number)
 
     def batch(df: DataFrame, number: int) -> None:
-        append(header(df).where("ok").drop("ok"), bronze_path)
+        before = earlier(df.sparkSession, number)
+        good, bad = load_matches(df.dropDuplicates(["content_hash"]), before, before, snapshot_date, f"batch-{number}")
+        overwrite_partitions(good.withColumn("_batch", F.lit(number).cast("long")), bronze_path, ["_batch"])
+        overwrite_partitions(bad.withColumn("_batch", F.lit(number).cast("long")), rejects_path, ["_batch"])
 
     rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from creaseline.functions import metrics as M
 from creaseline.operators import bronze, control, identity, quality, register, silver
-from creaseline.plans import gold, marts
+from creaseline.plans import build, gold, marts
 from creaseline.sinks import tables
 from creaseline.sources import files
 
@@ -118,21 +118,28 @@ def test_quality(spark):
 
 def test_sinks(spark, tmp_path):
     path = str(tmp_path / "t")
-    tables.create_keyed(spark.createDataFrame([("A", 1), ("A", 2), ("B", 1)], "k string, v int"), path, ["k"], 8)
-    assert tables.keyed_replace(spark.createDataFrame([("A", 7), ("A", 8), ("A", 9)], "k string, v int"), path, ["k"], buckets=8) >= 3
-    assert sorted(tuple(r) for r in tables.read_keyed(spark, path, ["k"]).collect()) == [("A", 7), ("A", 8), ("A", 9), ("B", 1)]
-    gone = spark.createDataFrame([("A",)], "k string")
-    tables.keyed_replace(spark.createDataFrame([], "k string, v int"), path, ["k"], scope=gone, buckets=8)  # processed, nothing left
-    assert [tuple(r) for r in tables.read_keyed(spark, path, ["k"]).collect()] == [("B", 1)]
-    tables.upsert(spark.createDataFrame([("B", None), ("C", 3)], "k string, v int"), path, ["k"], buckets=8)
-    assert sorted((r.k, r.v) for r in tables.read_keyed(spark, path, ["k"]).collect()) == [("B", None), ("C", 3)]
+    tables.create_keyed(spark.createDataFrame([("A", 1), ("A", 2), ("B", 1), (None, 4)], "k string, v int"), path, ["k"], 8)
+    rows = lambda: sorted((tuple(r) for r in tables.read_keyed(spark, path).collect()), key=str)
+    assert tables.layout(spark, path) == 8
+    assert tables.keyed_replace(spark.createDataFrame([("A", 7), ("A", 8), ("A", 9)], "k string, v int"), path, ["k"]) == 3
+    assert rows() == [("A", 7), ("A", 8), ("A", 9), ("B", 1), (None, 4)]
+    gone = spark.createDataFrame([("A",), (None,)], "k string")
+    assert tables.keyed_replace(spark.createDataFrame([], "k string, v int"), path, ["k"], scope=gone) == 0  # processed, nothing left
+    assert rows() == [("B", 1)]
+    tables.upsert(spark.createDataFrame([("B", None), ("C", 3)], "k string, v int"), path, ["k"])
+    assert rows() == [("B", None), ("C", 3)]
     with pytest.raises(ValueError):
         tables.keyed_replace(gone, path, [])
+    many = str(tmp_path / "m")
+    tables.create_keyed(spark.range(10), many, ["id"])
+    assert tables.layout(spark, many) == 1
     days = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "_snapshot_date string, v int")
     p2 = str(tmp_path / "d")
     tables.full_refresh(days, p2, ["_snapshot_date"])
     assert tables.overwrite_partitions(days.where("v = 2").withColumn("v", F.lit(5)), p2, ["_snapshot_date"]) == 1
     assert sorted(r.v for r in spark.read.parquet(p2).collect()) == [1, 5]
+    tables.delete_snapshot(spark, p2, "2024-01-02")
+    assert [r.v for r in spark.read.parquet(p2).collect()] == [1]
 
 
 def test_landing_files(spark, tmp_path):
@@ -141,9 +148,14 @@ def test_landing_files(spark, tmp_path):
     landed = files.landing_json(spark, str(tmp_path))
     assert {r.match_id for r in landed.collect()} == {"m1", "m1copy", "bad"}
     known = landed.where("match_id = 'm1'").select("content_hash")
-    rows, bad, counts = bronze.load_matches(landed, known, spark.createDataFrame([], "match_id string, revision string"), "2024-01-01", "run")
+    none = spark.createDataFrame([], "match_id string, revision string")
+    rows, bad = bronze.load_matches(landed, known, none, "2024-01-01", "run")
     assert rows.count() == 0 and [r.match_id for r in bad.collect()] == ["bad"]
-    assert tuple(counts.first()) == (3, 0, 1)
+    out = str(tmp_path / "out")
+    assert bronze.ingest(landed, known, none, out, "2024-01-01", "run") == {"attempted": 3, "skipped": 2, "succeeded": 0, "failed": 1, "rows_written": 0}
+    assert bronze.ingest(landed, known.where("false"), none, out, "2024-01-01", "run") == {"attempted": 3, "skipped": 0, "succeeded": 2, "failed": 1, "rows_written": 2}
+    assert {(r.match_id, r.revision, r._source_file) for r in spark.read.parquet(f"{out}/match_data").collect()} == {("m1", "1", "m1.json"), ("m1copy", "1", "m1copy.json")}
+    assert spark.read.parquet(f"{out}/match_rejects").count() == 2
 
 
 def test_control(spark):
@@ -165,7 +177,59 @@ def test_stream_front_end(spark, tmp_path):
     from creaseline.streaming.landing import ingest_available
 
     (tmp_path / "in").mkdir()
+    run = lambda: ingest_available(spark, *(str(tmp_path / x) for x in ("in", "bronze", "rejects", "check")))
     (tmp_path / "in" / "m1.json").write_text(json.dumps(M5))
+    (tmp_path / "in" / "bad.json").write_text("nope")
     for _ in range(2):  # the second run finds nothing new
-        ingest_available(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "check"))
-    assert [r.match_id for r in spark.read.parquet(str(tmp_path / "bronze")).collect()] == ["m1"]
+        run()
+    (tmp_path / "in" / "sub.json").write_text(json.dumps(M5))  # known content
+    (tmp_path / "in" / "m2.json").write_text(json.dumps(M8))
+    run()
+    assert {(r.match_id, r.revision) for r in spark.read.parquet(str(tmp_path / "bronze")).collect()} == {("m1", "1"), ("m2", "1")}
+    assert [r.match_id for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["bad"]
+
+
+def test_persons_are_whole_rows_and_latest(spark):
+    rows = spark.createDataFrame([("p1", "Bob", "zed"), ("p1", "Zoe", "amy"), ("p2", None, "only"), ("p2", "Named", None), (None, "x", "y")], "identifier string, name string, unique_name string")
+    got = register.silver_persons(rows)
+    assert {tuple(r) for r in got.collect()} == {("p1", "Bob", "zed"), ("p2", "Named", None)}
+    both = got.withColumn("_snapshot_date", F.lit("2024-01-01").cast("date")).unionByName(spark.createDataFrame([("p1", "Older", "old"), ("p3", "Gone", "gone")], "person_id string, name string, unique_name string").withColumn("_snapshot_date", F.lit("2023-01-01").cast("date")))
+    t = {"persons": both, "person_identifiers": spark.createDataFrame([("p1", "espn", "9")], "identifier string, source_system string, source_identifier string")}
+    assert {(r.person_id, r.full_name, r.espn_id) for r in gold.dim_player(t).collect()} == {("p1", "Bob", "9"), ("p2", "Named", None), ("p3", "Gone", None)}
+
+
+def test_rounding_and_skips(spark):
+    r = spark.range(1).select(*[M.rounded(F.lit(x), 1).alias(str(i)) for i, x in enumerate((-0.25, 0.25, -0.04, 2.0))]).first()
+    assert tuple(r) == (-0.3, 0.3, 0.0, 2.0) and str(r[2]) == "0.0"
+    w = spark.createDataFrame([("bowled", None)], "kind string, fielders array<string>")
+    check = next(c for c in quality.silver_checks()["wickets"] if c.check_id == "MAT-SLV-006")
+    assert quality.run(w, "silver", "wickets", [check]).first().status == "SKIPPED"
+    some = spark.createDataFrame([("caught", None), ("caught", ["F"]), ("bowled", None)], "kind string, fielders array<string>")
+    assert (lambda x: (x.status, x.failed, x.total, x.pct))(quality.run(some, "silver", "wickets", [check]).first()) == ("WARNING", 1, 2, 50.0)
+
+
+def test_register_load_replaces_its_snapshot(spark, tmp_path):
+    people = spark.createDataFrame([("p1", "One", "1")], "identifier string, name string, key_espn string")
+    names = spark.createDataFrame([], "identifier string, name string")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
+        assert register.load_register(register.parse_register(people, names), str(tmp_path), day) == {"people": 1, "people_identifiers": 1}
+    assert spark.read.parquet(str(tmp_path / "people")).count() == 2
+
+
+def test_silver_build_by_scope(spark, tmp_path):
+    rows = [("m5", "1", json.dumps(M5)), ("m8", "1", json.dumps(M8))]
+    df = bronze.header(spark.createDataFrame(rows, "match_id string, revision string, raw_json string")).drop("ok")
+    df = df.withColumns({"_snapshot_date": F.lit("2024-01-01").cast("date"), "_ingested_at": F.lit("2024-01-01").cast("timestamp")})
+    ids = spark.createDataFrame([], "identifier string, source_system string, source_identifier string")
+    names = spark.createDataFrame([("pA", "A")], "identifier string, name string")
+    folder = str(tmp_path / "silver")
+    first = build.build_silver(df, ids, names, folder, df.where("match_id = 'm5'").select("match_id"))
+    assert first["matches"] == 1 and first["deliveries"] == 2 and first["teams"] == 2 and build.build_silver(df, ids, names, folder, df.where("false").select("match_id")) == {}
+    again = build.build_silver(df, ids, names, folder)
+    own = build.silver_tables(spark, folder)
+    assert again["matches"] == 2 and own["matches"].count() == 2 and own["deliveries"].count() == 2 and own["teams"].count() == 2
+    audit = spark.createDataFrame([("m5", None), ("m8", "done")], "match_id string, gold_loaded_at string")
+    written = build.build_gold(own, audit, str(tmp_path / "gold"))
+    assert written["fact_delivery"] == 2 and written["dim_match"] == 1 and written["dim_team"] == 2 and build.build_gold(own, audit.where("match_id = 'm8'"), str(tmp_path / "gold")) == {}
+    assert build.build_gold(own, audit.withColumn("gold_loaded_at", F.lit(None).cast("string")), str(tmp_path / "gold"))["dim_match"] == 2
+    assert tables.read_keyed(spark, str(tmp_path / "gold" / "fact_delivery")).count() == 2
