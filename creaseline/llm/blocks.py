@@ -6,7 +6,7 @@ document offsets. All per-word work runs on these flat arrays inside Spark tasks
 
 from __future__ import annotations
 
-import gc
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -15,18 +15,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
-#: Distinct words a Python worker remembers before it starts anew. Bounds memory only.
-WORDS_KEPT = 200_000
+#: Distinct words of a generation that a Python worker remembers. Bounds memory only.
+WORDS_KEPT = 100_000
 
 
-class WordHashes(dict):
-    """bytes word -> 64-bit hash; each distinct word is hashed once while it is remembered."""
+class Remembered(dict):
+    """What is computed for each word, remembered for two generations: a full one becomes the older one, and words that are met again move on."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __init__(self) -> None:
+        self.older: dict = {}
+
+    def compute(self, word):
+        raise NotImplementedError
+
+    def __missing__(self, word):
         if len(self) >= WORDS_KEPT:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+            self.older = dict(self)
+            dict.clear(self)
+        value = self.older.get(word)
+        if value is None:
+            value = self.compute(word)
+        self[word] = value
+        return value
+
+    def clear(self) -> None:
+        self.older = {}
+        dict.clear(self)
+
+
+class WordHashes(Remembered):
+    """bytes word -> 64-bit hash."""
+
+    def compute(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
+
+
+def tidy(*caches: dict) -> None:
+    """At the end of a task: its worker also serves later stages, which should find its memory free."""
+    for c in caches:
+        c.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def modest_batches(df: DataFrame) -> None:
+    """Arrow batches of 1,000 rows where the session has Spark's default of 10,000: rows here are texts, and every copy of a batch counts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(name, "10000") == "10000":
+        df.sparkSession.conf.set(name, "1000")
 
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -103,11 +138,44 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-    done = df.checkpoint()
-    # what is cut off is garbage now; Spark's cleaner deletes its shuffle files as soon as the driver's JVM notices
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return done
+    return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder.
+
+    Unlike a checkpoint the table has a known size, by which Spark chooses how to join it: below
+    spark.sql.autoBroadcastJoinThreshold the other side stays where it is, above both are shuffled.
+    """
+    spark = df.sparkSession
+    folder = (shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    path = f"{folder}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def row_key(id_col: str, text_col: str) -> F.Column:
+    """64 bits of hash of a row's id and text, nulls included. Two of n different rows share one with a probability below n*n / 2^65."""
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
+
+
+def once_each(docs: DataFrame, most_bytes: int) -> DataFrame:
+    """docs (doc_id, text) with n, for how many equal rows a row stands: 1 but for rows whose copies exceed most_bytes, which become one.
+
+    A hot row can't be dealt to several groups by anything that it holds; collapsed, it need not.
+    """
+    docs = docs.withColumn("__key", row_key("doc_id", "text"))
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(64))
+    heavy = written(docs.groupBy("__key").agg(size.alias("bytes"), F.count(F.lit(1)).alias("n")).where((F.col("bytes") > most_bytes) & (F.col("n") > 1)).select("__key"))
+    if heavy.isEmpty():
+        return docs.select("doc_id", "text", F.lit(1).cast("long").alias("n"))
+    merged = docs.join(heavy, "__key", "left_semi").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    return docs.join(heavy, "__key", "left_anti").select("doc_id", "text", F.lit(1).cast("long").alias("n")).unionByName(merged)
+
+
+def all_copies(rows: DataFrame) -> DataFrame:
+    """rows with n, each as often as n says."""
+    return rows.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
 
 
 def bit_remainder(column: str, n: int) -> F.Column:
