@@ -2,19 +2,22 @@
 
 Strong parts (assign, access, hex) are always reported. Weak parts (ident: a user or client name that is assigned;
 blob: a long mixed string; endpoint: a URL or host that is assigned) are reported only when parts that complete them
-lie within REACH code points in the same scope (text between blank lines): an ident needs a secret, a blob needs an
-identifier, an endpoint needs both. That interval join runs inside the row over the few parts of one text, so nothing
-is shuffled and no key can grow hot.
+lie in the same scope, however far apart: an ident needs a secret, a blob needs an identifier, an endpoint needs both. A
+scope is the interval between blank lines. Parts are joined with scopes by one sort of both by place: what lies
+between two blank lines is a slice of the sorted list. That interval join runs inside the row over the parts of one
+text, so nothing is shuffled and no key can grow hot.
 
-Places of all matches come from the matches and the pieces between them, whose lengths add up.
+Places of all matches come from the matches and the pieces between them, whose lengths add up. Running sums and maxima
+go through lists in blocks of BLOCK entries, so their cost grows with the number of parts and not with its square.
 
 Defined results: null texts are empty; positions count code points; repeated rows repeat; a text without parts has
-zero counts, the digest of an empty string and empty spans; columns of docs that clash with result columns are
-replaced, others stay; an empty table gives an empty result.
+zero counts, the digest of an empty string and empty spans; a weak part that overlaps a strong one is part of that;
+columns of docs that clash with result columns are replaced, others stay; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,41 +28,95 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"[0-9a-f]{24,}+"
 #: Weak kinds.
-IDENT = r"""(?i:\b(user|user_?name|login|account|client_?id|access_?key_?id))["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}+"""
+IDENT = r"""(?<![A-Za-z0-9_])(?i:(user|user_?name|login|account|client_?id|access_?key_?id))["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}+"""
 BLOB = r"[A-Za-z0-9+/_-]{20,}+={0,2}"
-ENDPOINT = r"""(?i:https?://[a-z0-9.-]+(?::[0-9]+)?|\b(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?[a-z0-9.-]{4,}+)"""
+ENDPOINT = r"""(?i:https?://[a-z0-9.-]+(?::[0-9]+)?|(?<![A-Za-z0-9_])(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?[a-z0-9.-]{4,}+)"""
 KINDS = ("assign", "access", "hex", "ident", "blob", "endpoint")
 SCOPE = r"\n[ \t\r]*\n"
-REACH = 200
+BREAK = len(KINDS)
+BLOCK = 64
+FAR = 2**31 - 1
 REDACTED = "[SECRET]"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use mentions it, inside of lambdas too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(items: Column, value: Callable[[Column], Column], combine: Callable[[Column, Column], Column], zero: int) -> Column:
+    """For each item the combined values of all items before it."""
+    start = F.lit(zero).cast("int")
+
+    def of(items: Column) -> Column:
+        n = F.floor((F.size(items) + (BLOCK - 1)) / BLOCK).cast("int")
+        places = F.when(F.size(items) > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        blocks = F.transform(places, lambda k: F.slice(items, k * BLOCK + 1, BLOCK))
+
+        def pairs(list_: Column, first: Column, of_one: Callable[[Column], Column]) -> Column:
+            begin = F.struct(first.alias("now"), F.array().cast("array<int>").alias("out"))
+            return F.aggregate(list_, begin, lambda acc, x: F.struct(combine(acc["now"], of_one(x)).cast("int").alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out")))["out"]
+
+        def inside(blocks: Column) -> Column:
+            sums = F.transform(blocks, lambda b: F.aggregate(b, start, lambda acc, x: combine(acc, value(x)).cast("int")))
+            before = pairs(sums, start, lambda x: x)
+            return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), before.alias("s")), lambda z: pairs(z["b"], z["s"], value)))
+
+        return bound(blocks, inside)
+
+    return bound(items, of)
+
+
 def located(text: Column, pattern: str, matches: Column, kind: int) -> Column:
     """Spans of all matches. The matches and the pieces between them alternate, so starts are sums of lengths."""
+
+    def spans(pieces: Column) -> Column:
+        size = lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["value"]), F.lit(0))
+        at = running(pieces, size, lambda a, b: a + b, 0)
+        both = F.filter(F.arrays_zip(pieces.alias("p"), at.alias("at")), lambda z: z["p"]["value"].isNotNull())
+
+        def span(z: Column) -> Column:
+            start = z["at"] + F.length(z["p"]["gap"])
+            return F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(z["p"]["value"])).alias("end"), z["p"]["value"].alias("value"))
+
+        return F.transform(both, span)
+
     pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    return F.when(F.size(matches) > 0, bound(pieces, spans)).otherwise(F.array().cast(SPAN))
+
+
+def is_base(s: Column) -> Column:
+    return s["kind"] < 3
 
-    def step(acc: Column, piece: Column) -> Column:
-        begin = acc["at"] + F.length(piece["gap"])
-        end = begin + F.length(piece["value"])
-        own = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), piece["value"].alias("value"))
-        return F.when(piece["value"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["spans"], F.array(own)).alias("spans")))
 
-    return F.when(F.size(matches) > 0, F.aggregate(pieces, start, step)["spans"]).otherwise(F.array().cast(SPAN))
+def apart(items: Column) -> Column:
+    """Of items in order of place: base spans, breaks, and the weak spans that overlap no base span."""
+    latest = running(items, lambda s: F.when(is_base(s), s["end"]).otherwise(0), F.greatest, 0)
+    back = F.reverse(running(F.reverse(items), lambda s: F.when(is_base(s), s["start"]).otherwise(FAR), F.least, FAR))
+    marked = F.arrays_zip(items.alias("s"), latest.alias("latest"), back.alias("next"))
+    free = lambda z: is_base(z["s"]) | (z["s"]["kind"] == BREAK) | ((z["latest"] <= z["s"]["start"]) & (z["next"] >= z["s"]["end"]))
+    return F.transform(F.filter(marked, free), lambda z: z["s"])
 
 
-def near(one: Column, other: Column) -> Column:
-    return (other["start"] < one["end"] + REACH) & (other["end"] > one["start"] - REACH)
+def scopes(items: Column) -> Column:
+    """The slices of items in order of place that lie between breaks."""
 
+    def slices(items: Column) -> Column:
+        breaks = F.filter(F.transform(items, lambda s, i: F.when(s["kind"] == BREAK, i)), lambda i: i.isNotNull())
+        return bound(breaks, lambda b: F.transform(F.arrays_zip(F.concat(F.array(F.lit(-1)), b).alias("a"), F.concat(b, F.array(F.size(items))).alias("z")), lambda z: F.slice(items, z["a"] + 2, z["z"] - z["a"] - 1)))
 
-def scope_of(span: Column, breaks: Column) -> Column:
-    return F.size(F.filter(breaks, lambda b: b["start"] < span["start"]))
+    return bound(items, slices)
 
 
-def completed(candidates: Column, parts: Column, breaks: Column) -> Column:
-    """Of the candidates those with one of the parts in reach and in the same scope."""
-    return F.filter(candidates, lambda c: F.exists(parts, lambda p: near(c, p) & (scope_of(p, breaks) == scope_of(c, breaks))))
+def linked(scope: Column) -> Column:
+    """The base spans of a scope and the weak ones that its other parts complete."""
+    access, assign, hex_, ident, blob, endpoint = (KINDS.index(k) for k in ("access", "assign", "hex", "ident", "blob", "endpoint"))
+    has = lambda *kinds: F.exists(scope, lambda s: s["kind"].isin(*kinds))
+    identifier, secret = has(access, ident), has(assign, hex_, blob)
+    # two blobs or two idents do not complete each other, so each kind's need is one of the other kinds
+    keep = lambda flags: F.filter(scope, lambda s: is_base(s) | ((s["kind"] == ident) & flags["secret"]) | ((s["kind"] == blob) & flags["identifier"]) | ((s["kind"] == endpoint) & flags["secret"] & flags["identifier"]))
+    return bound(F.struct(identifier.alias("identifier"), secret.alias("secret")), keep)
 
 
 def shown(spans: Column) -> Column:
@@ -86,18 +143,11 @@ def parts_of(docs: DataFrame, text_col: str) -> DataFrame:
         found = found.withColumn(f"__s{i}", located(text, pattern, F.col(f"__m{i}"), i))
     long_enough = F.filter("__s0", lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6)
     found = found.withColumn("__base", F.array_sort(F.concat(long_enough, "__s1", "__s2")))
-    apart = lambda spans: F.filter(spans, lambda s: ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
     mixed = F.filter("__s4", lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Z]") & s["value"].rlike("[a-z]"))
-    found = found.withColumns({"__ident": apart(F.col("__s3")), "__blob": apart(mixed), "__endpoint": apart(F.col("__s5"))})
-    identifiers, secrets = F.concat("__s1", "__ident"), F.concat(long_enough, "__s2", "__blob")
-    breaks = F.col("__s6")
-    weak = F.concat(
-        completed(F.col("__ident"), secrets, breaks),
-        completed(F.col("__blob"), identifiers, breaks),
-        completed(completed(F.col("__endpoint"), secrets, breaks), identifiers, breaks),
-    )
-    some = (F.size("__ident") + F.size("__blob") + F.size("__endpoint")) > 0
-    return found.withColumn("__all", F.when(some, F.array_sort(F.concat("__base", weak))).otherwise(F.col("__base")))
+    found = found.withColumn("__weak", F.concat("__s3", mixed, "__s5"))
+    items = bound(F.array_sort(F.concat("__base", "__weak", "__s6")), apart)
+    every = F.array_sort(F.flatten(F.transform(scopes(items), linked)))
+    return found.withColumn("__all", F.when(F.size("__weak") > 0, every).otherwise(F.col("__base")))
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
