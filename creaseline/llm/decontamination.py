@@ -1,27 +1,31 @@
 """Operator 6: benchmark decontamination by template canonicalisation.
 
 Words become a template: numbers, units and names give typed placeholders, other words their lower-case form without
-outer punctuation. Windows of WIDTH template words are hashed; document windows are hash-joined in Spark with those of
-the benchmark. Joined windows of one document and item that lie on one diagonal make a match; its slots must be
-consistent: one value of the item always stands for one value of the document, and the other way round. So a copied
-question is found although its numbers and names were exchanged, and a text that only shares a form is not.
+outer punctuation. A unit that is glued to its number (60km) is split off. A word with a capital is a name inside a
+sentence; at the start of one it is a name unless the benchmark also writes it in lower case (The, What). Windows of WIDTH
+template words are hashed; document windows are hash-joined in Spark with those of the benchmark. Joined windows of one
+document and item that lie on one diagonal make a match; its slots must be consistent: one value of the item always
+stands for one value of the document, and the other way round. So a copied question is found although its numbers and
+names were exchanged, and a text that only shares a form is not.
 
 A template window needs at least half of its words not to be placeholders. The first word of an item is tried both as
 a plain word and as a name, because a document may hold it inside a sentence. Beside the template windows all windows
 of the literal words (lower case, no outer punctuation) are joined, so that verbatim copies match however many
 placeholders they have. A third form makes one placeholder of neighbouring name words, and of neighbouring numbers, with
-no punctuation between them, so that a name or number may be exchanged for one of another number of words. Each form is a match of its own. It counts from RUN_WINDOWS windows on, or from half of the
-item's usable windows of that form if they also cover half of the item. Items shorter than WIDTH are one window of
-their own length; under SHORTEST words they match literally only.
+no punctuation between them, so that a name or number may be exchanged for one of another number of words. Each form is
+a match of its own. It counts from half of the item's usable windows of that form on, if they also cover half of the item;
+of the literal form a run of RUN_WORDS words is enough, as benchmarks are commonly checked by n-grams of that length.
+Items shorter than WIDTH are one window of their own length; under SHORTEST words they match literally only.
 
-Scans hash words once per worker and distinct word. If the benchmark has at most FILTER_WINDOWS windows (counted
-first), its hashes (8 bytes each) travel to the scan and only windows that will join are shuffled; beyond that every
-window of every form goes to the join.
+Scans hash words once per task and distinct word. What the benchmark holds travels to them as two bitmaps of fixed
+size: FILTER_BITS bits of the hashes of its windows, so that few other windows are shuffled, and WORD_BITS bits of the
+hashes of its lower-case words. A window that passes by chance finds nothing in the join.
 
 Defined results: only contaminated (document, item) pairs are returned, once each; item_windows are the usable windows
 of the form that matched best; null and empty texts and items without a letter or digit match nothing;
-repeated rows of one doc_id count once; a null doc_id or item_id is kept as null; empty tables give an empty result;
-other columns do not matter.
+repeated rows of one doc_id count once; rows without a doc_id are told apart by their texts and returned one by one
+with a null id, and so are items without an item_id; windows of different rows never add up; empty tables give an empty
+result; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -36,17 +40,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creaseline.llm.blocks import U64, WORDS_KEPT, as_bytes, cut, offsets, rabin_karp, scaled
+from creaseline.llm.blocks import U64, Remembered, as_bytes, cut, modest_batches, offsets, rabin_karp, row_key, scaled, tidy
 
 WIDTH = 8
 SHORTEST = 4
 COVERAGE = 0.5
-RUN_WINDOWS = 6
-FILTER_WINDOWS = 2_000_000
-BLOCK_WORDS = 1_000_000
+RUN_WORDS = 13
+#: Sizes of the bitmaps, as powers of two; a segment of 2^15 bits is put together in one group.
+FILTER_BITS, WORD_BITS, SEGMENT_BITS = 26, 20, 15
+BLOCK_BYTES = 1_200_000
 #: Words read as units.
 UNITS = frozenset("mm cm m km in ft yd mi mile miles mg g kg t lb lbs oz ml cl l s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kmh kph hz khz mhz ghz w kw mw v kv a c f k pa bar j kj cal kcal b kb mb gb tb usd eur gbp dollar dollars cent cents euro euros pound pounds percent pct degree degrees".split())
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?(st|nd|rd|th)?$")
+GLUED = re.compile(rb"(?<![A-Za-z0-9])(\d[\d.,]*)(" + b"|".join(sorted((u.encode() for u in UNITS), key=lambda u: (-len(u), u))) + rb")(?![A-Za-z0-9])", re.IGNORECASE)
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¿¡—–·"
 ENDS = b".!?:"
 # a remembered word is 60 bits of hash, its kind, whether it ends a sentence and whether no punctuation follows it
@@ -61,12 +67,10 @@ FORM_SALT = U64(0xD6E8FEB86659FD93)
 FIRST_IS_NAME = 10
 
 
-class Templates(dict):
+class Templates(Remembered):
     """bytes word -> template hash with flags."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
+    def compute(self, word: bytes) -> int:
         shown = word.decode("utf-8", "replace").strip(PUNCTUATION)
         plain = shown.lower()
         ends = int(ENDS_SENTENCE) if word.rstrip(b"\"')]}")[-1:] in ENDS and word else 0
@@ -77,8 +81,7 @@ class Templates(dict):
         else:
             kind = NAME_LIKE if shown[:1].isupper() and not shown.isupper() else PLAIN
         open_ = int(OPEN) if shown and word.decode("utf-8", "replace").endswith(shown) else 0
-        self[word] = h = xxhash.xxh3_64_intdigest(plain) & ~int(FLAGS) | kind | ends | open_
-        return h
+        return xxhash.xxh3_64_intdigest(plain) & ~int(FLAGS) | kind | ends | open_
 
 
 cache = Templates()
@@ -94,27 +97,35 @@ class Form(NamedTuple):
     word: np.ndarray
 
 
-def templates(h: np.ndarray, doc: np.ndarray, first_is_name: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Template words and whether they are slots. A capital letter is a name inside a sentence only."""
+def bits_at(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & np.uint8(1) > 0
+
+
+def templates(h: np.ndarray, doc: np.ndarray, plain_words: np.ndarray, first_is_name: bool | None) -> tuple[np.ndarray, np.ndarray]:
+    """Template words and whether they are slots. first_is_name decides on the first word of a text; None leaves it to the rule."""
     kind = (h & KIND).astype(np.int64)
     begins = np.ones(len(h), bool)
     begins[1:] = (h[:-1] & ENDS_SENTENCE) > 0
-    begins[doc[:-1][doc[:-1] < len(h)]] = not first_is_name
-    slot = (kind == NUMBER_WORD) | (kind == UNIT) | ((kind == NAME_LIKE) & ~begins)
+    first = doc[:-1][doc[:-1] < len(h)]
+    begins[first] = True
+    name = (kind == NAME_LIKE) & ~(begins & bits_at(plain_words, (h >> U64(64 - WORD_BITS)).astype(np.int64)))
+    if first_is_name is not None:
+        name[first] = (kind[first] == NAME_LIKE) & first_is_name
+    slot = (kind == NUMBER_WORD) | (kind == UNIT) | name
     return np.where(slot, PLACEHOLDERS[kind], h & ~FLAGS), slot
 
 
-def forms(h: np.ndarray, doc: np.ndarray, whole: bool) -> Iterator[Form]:
+def forms(h: np.ndarray, doc: np.ndarray, plain_words: np.ndarray, whole: bool) -> Iterator[Form]:
     word = np.arange(len(h) + 1)
     yield Form(LITERAL, h & ~FLAGS, np.zeros(len(h), bool), doc, word)
-    for first_is_name in (False, True) if whole else (False,):
-        template, slot = templates(h, doc, first_is_name)
-        yield Form(TEMPLATE + FIRST_IS_NAME * first_is_name, template, slot, doc, word)
+    for first_is_name in (False, True) if whole else (None,):
+        template, slot = templates(h, doc, plain_words, first_is_name)
+        yield Form(TEMPLATE + FIRST_IS_NAME * bool(first_is_name), template, slot, doc, word)
         joins = np.zeros(len(h), bool)
         joins[1:] = (template[1:] == template[:-1]) & slot[1:] & slot[:-1] & (template[1:] != PLACEHOLDERS[UNIT]) & ((h[:-1] & OPEN) > 0)
         joins[doc[:-1][doc[:-1] < len(h)]] = False
         first = np.flatnonzero(~joins)
-        yield Form(COLLAPSED + FIRST_IS_NAME * first_is_name, template[first], slot[first], np.searchsorted(first, doc), np.append(first, len(h)))
+        yield Form(COLLAPSED + FIRST_IS_NAME * bool(first_is_name), template[first], slot[first], np.searchsorted(first, doc), np.append(first, len(h)))
 
 
 def windows(form: Form, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,23 +146,21 @@ def shown(words: list[bytes]) -> str:
     return " ".join(w.decode("utf-8", "replace").strip(PUNCTUATION) for w in words)
 
 
-def window_rows(key: pa.Array, texts: list[bytes], widths: dict[int, list[int]], wanted: np.ndarray | None, whole: bool) -> pa.RecordBatch:
-    """Rows of the windows of a block of texts. widths: by form. whole: a text shorter than WIDTH is one window."""
-    words = [t.split() for t in texts]
+def window_rows(keys: list[pa.Array], texts: list[bytes], widths: dict[int, list[int]], held: np.ndarray | None, plain_words: np.ndarray, whole: bool) -> pa.RecordBatch:
+    """Rows of the windows of a block of texts. widths: by form; held: the bitmap of windows; whole: a text shorter than WIDTH is one window."""
+    words = [GLUED.sub(rb"\1 \2", t).split() for t in texts]
     doc = offsets([len(w) for w in words])
     flat = [w for own in words for w in own]
     h = np.fromiter(map(cache.__getitem__, flat), U64, len(flat))
     owner, number, usable, length, wide, pos, hash_, slots = [], [], [], [], [], [], [], []
-    for form in forms(h, doc, whole):
+    for form in forms(h, doc, plain_words, whole):
         kind = form.number % FIRST_IS_NAME
         lengths = np.diff(form.doc)
         found = []
         for width in widths.get(kind, []) if not whole else sorted({WIDTH, *(int(n) for n in lengths if (1 if kind == LITERAL else SHORTEST) <= n < WIDTH)}):
             at, hashes = windows(form, width)
-            if wanted is not None:
-                rough = wanted_bits(wanted)[(hashes >> U64(44)).astype(np.int64)]
-                at, hashes = at[rough], hashes[rough]
-                hit = wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes if len(wanted) else np.zeros(len(hashes), bool)
+            if held is not None:
+                hit = bits_at(held, (hashes >> U64(64 - FILTER_BITS)).astype(np.int64))
                 at, hashes = at[hit], hashes[hit]
             d = np.searchsorted(form.doc, at, "right") - 1
             if whole:
@@ -176,50 +185,72 @@ def window_rows(key: pa.Array, texts: list[bytes], widths: dict[int, list[int]],
                 hash_.append(v)
                 slots.append([shown(flat[form.word[j] : form.word[j + 1]]) for j in (np.flatnonzero(form.slot[i : i + width]) + i).tolist()])
     numbers = [pa.array(x, pa.int64()) for x in (number, usable, length, wide, pos, hash_)]
-    return pa.RecordBatch.from_arrays([key.take(pa.array(owner, pa.int64())), *numbers, pa.array(slots, pa.list_(pa.string()))], names=["id", "form", "n_windows", "length", "width", "pos", "hash", "slots"])
-
-
-def wanted_bits(wanted: np.ndarray) -> np.ndarray:
-    """A rough filter by the top 20 bits of the hash."""
-    if _bits.get("of") is not wanted:
-        bits = np.zeros(1 << 20, bool)
-        bits[(wanted >> U64(44)).astype(np.int64)] = True
-        _bits.update(of=wanted, bits=bits)
-    return _bits["bits"]
+    owners = pa.array(owner, pa.int64())
+    return pa.RecordBatch.from_arrays([*(k.take(owners) for k in keys), *numbers, pa.array(slots, pa.list_(pa.string()))], names=["id", "row", "form", "n_windows", "length", "width", "pos", "hash", "slots"])
 
 
-_bits: dict = {}
+def scan(df: DataFrame, widths: dict[int, list[int]], held: np.ndarray | None, plain_words: np.ndarray, whole: bool) -> DataFrame:
+    """Rows of windows of df (id, row, text)."""
 
-
-def scan(df: DataFrame, widths: dict[int, list[int]], wanted: np.ndarray | None, whole: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = as_bytes(b.column(1))
+            texts = as_bytes(b.column(2))
             at, size = 0, 0
             for z, t in enumerate(texts, 1):
                 size += len(t)
-                if size >= 6 * BLOCK_WORDS or z == len(texts):
-                    yield window_rows(b.column(0).slice(at, z - at), texts[at:z], widths, wanted, whole)
+                if size >= BLOCK_BYTES or z == len(texts):
+                    yield window_rows([b.column(k).slice(at, z - at) for k in (0, 1)], texts[at:z], widths, held, plain_words, whole)
                     at, size = z, 0
+        tidy(cache)
+
+    return df.mapInArrow(run, "id long, row long, form long, n_windows long, length long, width long, pos long, hash long, slots array<string>")
+
+
+def bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of 2^bits bits in which the given places (a column `place`) are set, put together in segments of fixed size."""
+
+    def segment(key: tuple, table: pa.Table) -> pa.Table:
+        own = np.zeros(1 << SEGMENT_BITS, bool)
+        own[table.column("place").to_numpy() & ((1 << SEGMENT_BITS) - 1)] = True
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())})
+
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    size = 1 << (SEGMENT_BITS - 3)
+    found = places.distinct().withColumn("segment", F.shiftright("place", SEGMENT_BITS)).groupBy("segment").applyInArrow(segment, "segment long, bits binary")
+    for r in found.toLocalIterator():  # at most 2^(bits - SEGMENT_BITS) rows of `size` bytes
+        out[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def lower_words(items: DataFrame) -> np.ndarray:
+    """The bitmap of the words that the benchmark writes in lower case."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = {w for t in as_bytes(b.column(0)) for w in GLUED.sub(rb"\1 \2", t).split()}
+            h = np.array([cache[w] for w in words], U64)
+            h = h[(h & KIND) == PLAIN]
+            yield pa.RecordBatch.from_arrays([pa.array((h >> U64(64 - WORD_BITS)).astype(np.int64))], names=["place"])
+        tidy(cache)
 
-    return df.mapInArrow(run, "id long, form long, n_windows long, length long, width long, pos long, hash long, slots array<string>")
+    return bitmap(items.select("text").mapInArrow(run, "place long"), WORD_BITS)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id, matched_windows, item_windows, verbatim: contaminated pairs."""
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    items = cut(scan(items, {}, None, True).withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots", "n_windows": "item_windows"}))
+    modest_batches(docs)
+    own = lambda df, key: df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).select("id", row_key("id", "text").alias("row"), "text")
+    docs, items = own(docs, id_col), own(benchmark, item_col)
+    plain_words = lower_words(items)
+    names = {"id": "item_id", "row": "item_row", "pos": "item_pos", "slots": "item_slots", "n_windows": "item_windows"}
+    items = cut(scan(items, {}, None, plain_words, True).withColumnsRenamed(names))
     widths: dict[int, list[int]] = {}
     for r in items.select((F.col("form") % FIRST_IS_NAME).alias("form"), "width").distinct().orderBy("form", "width").collect():
-        widths.setdefault(r["form"], []).append(r["width"])
-    distinct = items.select("hash").distinct()
-    wanted = None
-    if distinct.count() <= FILTER_WINDOWS:
-        wanted = np.sort(np.array([r[0] for r in distinct.collect()], np.int64).view(U64))
-    found = scan(docs, widths, wanted, False).select(F.col("id").alias("doc_id"), "pos", "hash", "slots")
+        widths.setdefault(r["form"], []).append(r["width"])  # three forms, WIDTH widths
+    held = bitmap(items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("place")), FILTER_BITS)
+    found = scan(docs, widths, held, plain_words, False).select(F.col("id").alias("doc_id"), F.col("row").alias("doc_row"), "pos", "hash", "slots")
     joined = found.join(items, "hash")
-    match = joined.groupBy("doc_id", "item_id", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
+    match = joined.groupBy("doc_id", "doc_row", "item_id", "item_row", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
         F.count_distinct("item_pos").alias("matched_windows"),
         F.max("item_windows").alias("item_windows"),
         F.max("length").alias("length"),
@@ -231,6 +262,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     consistent = (F.size(F.array_distinct("pairs.item_slots")) == pairs) & (F.size(F.array_distinct("pairs.slots")) == pairs)
     steps = F.transform("at", lambda p, i: F.when(i == 0, F.col("width")).otherwise(F.least(F.col("width"), p - F.get("at", i - 1))))
     covered = F.aggregate(steps, F.lit(0).cast("long"), lambda a, n: a + n)
-    enough = ((F.col("matched_windows") >= coverage * F.col("item_windows")) & (covered >= coverage * F.col("length"))) | (F.col("matched_windows") >= RUN_WINDOWS)
+    run = (F.col("form") == LITERAL) & (F.col("matched_windows") > RUN_WORDS - WIDTH)
+    enough = ((F.col("matched_windows") >= coverage * F.col("item_windows")) & (covered >= coverage * F.col("length"))) | run
     best = F.max(F.struct("matched_windows", F.forall("pairs", lambda p: p["item_slots"] == p["slots"]).alias("verbatim"), "item_windows")).alias("best")
-    return match.where(consistent & enough).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.matched_windows", "best.item_windows", "best.verbatim")
+    apart = lambda key, row: F.when(F.col(key).isNull(), F.col(row))
+    whole = match.where(consistent & enough).groupBy("doc_id", apart("doc_id", "doc_row").alias("r"), "item_id", apart("item_id", "item_row").alias("i")).agg(best)
+    return whole.select("doc_id", "item_id", "best.matched_windows", "best.item_windows", "best.verbatim")
