@@ -21,7 +21,7 @@ from creaseline.llm.blocks import U64, mix, powers
 
 DEPTH = 200
 #: Queue entries that stay in memory; the rest goes to scratch files.
-IN_MEMORY = 32_000_000
+IN_MEMORY = 1_000_000
 
 
 class Queues:

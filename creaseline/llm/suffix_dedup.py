@@ -11,7 +11,12 @@ such texts travel, once each, to the anchor's shard, which sorts their suffixes
 windows whose common prefix with a neighbour reaches WIDTH. So a passage that very many documents share costs one text,
 and shards hold only what hashes of whole contexts can't decide. Chunks merge the marked windows into spans.
 
+An anchor with more than HOT_CONTEXTS different contexts (a line that very many documents hold in different places) would
+fill a shard on its own. Its windows are dealt out instead, by their hashes: equal windows meet, whatever their number.
+
 The text is shuffled once (the plan reuses the exchange). Equality of contexts rests on two independent 64-bit hashes.
+Equal rows that exceed a chunk are handled once, as repeated, and returned as often as they occur. A chunk writes a row
+only for a bucket that it has contexts for.
 
 Defined results: null and empty texts have no bytes; texts under WIDTH bytes lose nothing; repeated rows repeat each
 other; matches never cross documents; a null doc_id is kept; an empty table gives an empty result; other columns do
@@ -27,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creaseline.llm.blocks import U64, as_bytes, mix, offsets, powers
+from creaseline.llm.blocks import U64, all_copies, as_bytes, mix, offsets, once_each, powers, tidy
 from creaseline.llm.induced_sort import suffix_order
 
 WIDTH = 200
 GRAM = 32
 CHUNK_BYTES = 3_000_000
 CHUNK_ROWS = 20_000
+HOT_CONTEXTS = 8_000
 BUCKET_BYTES = 6_000_000
 BASE = 0x5851F42D4C957F2D
 BYTE_HASH = mix(np.arange(256, dtype=U64) + U64(77))
@@ -124,7 +130,7 @@ class ByteChunk:
         up, down = base_powers(n + 1)
         prefix = np.zeros(n + 1, U64)
         np.cumsum(BYTE_HASH[self.bytes] * up[:n], out=prefix[1:])
-        hashed = lambda a, z: (prefix[z] - prefix[a]) * down[a]
+        hashed = self.hashed = lambda a, z: (prefix[z] - prefix[a]) * down[a]
         grams = mix((prefix[gram:] - prefix[:-gram]) * down[: n - gram + 1]) if n >= gram else np.zeros(0, U64)
         self.low, self.high, a = anchor_runs(grams, self.doc, width, gram) if n >= width else (np.zeros(0, np.int64),) * 3
         hash_a = grams[a]
@@ -138,7 +144,13 @@ class ByteChunk:
         self.a, self.c, self.bucket = hash_a[order][new], hash_c[order][new], bucket[order][new]
         self.sample = order[new]  # a context of each entry
         self.several = np.bincount(self.entry, minlength=len(self.a)) > 1
-        self.at = np.searchsorted(self.bucket, np.arange(buckets + 1))
+        self.copies = table.column("n")
+        many = np.repeat(self.copies.to_numpy() > 1, np.diff(self.doc))
+        if many.any():
+            self.several |= np.bincount(self.entry, many[self.low], minlength=len(self.a)) > 0
+        self.buckets = np.unique(self.bucket)
+        self.at = np.append(np.searchsorted(self.bucket, self.buckets), len(self.bucket))
+        self.range = dict(zip(self.buckets.tolist(), zip(self.at[:-1].tolist(), self.at[1:].tolist(), strict=True), strict=True))
 
 
 def words(column: pa.ChunkedArray, kind=U64) -> list[np.ndarray]:
@@ -151,12 +163,14 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col:
     n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     chunks = max(1, -(-size // CHUNK_BYTES), -(-n // CHUNK_ROWS))
     buckets = max(64, size // BUCKET_BYTES)
+    docs = once_each(docs, CHUNK_BYTES)
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks).cast("long"))).repartition(chunks, "chunk")
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         k = ByteChunk(table, buckets, width, gram)
         cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(k.at[:-1], k.at[1:], strict=True)], pa.binary())
-        return pa.table({"bucket": pa.array(range(buckets), pa.int64()), "chunk": pa.array([key[0].as_py()] * buckets, pa.int64()), "a": cut(k.a), "c": cut(k.c), "several": cut(k.several)})
+        tidy()
+        return pa.table({"bucket": pa.array(k.buckets, pa.int64()), "chunk": pa.array([key[0].as_py()] * len(k.buckets), pa.int64()), "a": cut(k.a), "c": cut(k.c), "several": cut(k.several)})
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
@@ -168,29 +182,66 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col:
         new_a[1:] = a[order][1:] != a[order][:-1]
         new[1:] = new_a[1:] | (c[order][1:] != c[order][:-1])
         group, group_a = np.cumsum(new) - 1, np.cumsum(new_a) - 1
-        often = np.bincount(group) > 1 if len(a) else np.zeros(0, bool)
-        often = often | (np.bincount(group, several[order]) > 0) if len(a) else often
-        open_a = np.bincount(group_a, new & ~often[group]) > 0 if len(a) else often  # has a context that occurs once
-        mixed = (np.bincount(group_a, new) > 1) & open_a if len(a) else often
-        repeated, ship = np.zeros(len(a), bool), np.zeros(len(a), bool)
-        repeated[order], ship[order] = often[group], new & mixed[group_a]
+        often = (np.bincount(group) > 1) | (np.bincount(group, several[order]) > 0)
+        open_a = np.bincount(group_a, new & ~often[group]) > 0  # has a context that occurs once
+        contexts = np.bincount(group_a, new)
+        repeated, ship, split = (np.zeros(len(a), bool) for _ in range(3))
+        repeated[order] = often[group]
+        ship[order] = new & (open_a & (contexts > 1) & (contexts <= HOT_CONTEXTS))[group_a]
+        split[order] = new & (open_a & (contexts > HOT_CONTEXTS))[group_a]
         bits = lambda x: pa.array([np.packbits(x[i:j]).tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "repeated": bits(repeated), "ship": bits(ship)})
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "repeated": bits(repeated), "ship": bits(ship), "split": bits(split)})
 
     def flags(k: ByteChunk, answers: pa.Table, name: str) -> np.ndarray:
-        own = {b: x for b, x in zip(answers.column("bucket").to_pylist(), answers.column(name).to_pylist(), strict=True) if x is not None}
-        return np.concatenate([np.unpackbits(np.frombuffer(own[b], np.uint8), count=int(j - i)) if j > i else np.zeros(0, np.uint8) for b, (i, j) in enumerate(zip(k.at[:-1], k.at[1:], strict=True))]).astype(bool)
+        out = np.zeros(len(k.a), bool)
+        for b, x in zip(answers.column("bucket").to_pylist(), answers.column(name).to_pylist(), strict=True):
+            if x is not None:
+                i, j = k.range[b]
+                out[i:j] = np.unpackbits(np.frombuffer(x, np.uint8), count=j - i)
+        return out
 
     def deliver(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        """Texts of contexts for shards (by_window 0), and hashes and places of the windows of hot anchors (by_window 1)."""
         k = ByteChunk(table, buckets, width, gram)
         repeated, entries = flags(k, answers, "repeated"), np.flatnonzero(flags(k, answers, "ship"))
-        rows: dict[str, list] = {x: [] for x in ("bucket", "chunk", "a", "c", "repeated", "sizes", "text")}
-        for b, own in zip(*grouped(k.bucket[entries], entries), strict=True):
-            low, high = k.low[k.sample[own]], k.high[k.sample[own]] + width
-            values = (b, key[0].as_py(), k.a[own].tobytes(), k.c[own].tobytes(), repeated[own].tobytes(), (high - low).astype(np.int32).tobytes(), b"".join([k.bytes[x:y].tobytes() for x, y in zip(low.tolist(), high.tolist(), strict=True)]))
+        rows: dict[str, list] = {x: [] for x in ("by_window", "bucket", "chunk", "a", "c", "repeated", "sizes", "text")}
+
+        def put(*values) -> None:
             for name, v in zip(rows, values, strict=True):
                 rows[name].append(v)
-        return pa.table({x: pa.array(v, pa.int64() if x in ("bucket", "chunk") else pa.binary()) for x, v in rows.items()})
+
+        chunk = key[0].as_py()
+        for b, own in zip(*grouped(k.bucket[entries], entries), strict=True):
+            low, high = k.low[k.sample[own]], k.high[k.sample[own]] + width
+            put(0, b, chunk, k.a[own].tobytes(), k.c[own].tobytes(), repeated[own].tobytes(), (high - low).astype(np.int32).tobytes(), b"".join([k.bytes[x:y].tobytes() for x, y in zip(low.tolist(), high.tolist(), strict=True)]))
+        entries = np.flatnonzero(flags(k, answers, "split"))
+        if len(entries):
+            low, count = k.low[k.sample[entries]], (k.high - k.low)[k.sample[entries]] + 1
+            start = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+            a, w = np.repeat(k.a[entries], count), mix(k.hashed(start, start + width))
+            bucket = (mix(w) >> U64(32)).astype(np.int64) % buckets
+            by = np.argsort(bucket, kind="stable")
+            for b, own in zip(*grouped(bucket[by], by), strict=True):
+                put(1, b, chunk, a[own].tobytes(), w[own].tobytes(), None, start[own].tobytes(), None)
+        tidy()
+        return pa.table({x: pa.array(v, pa.int64() if x in ("by_window", "bucket", "chunk") else pa.binary()) for x, v in rows.items()})
+
+    def decide(key: tuple, table: pa.Table) -> pa.Table:
+        return order(key[1:], table) if key[0].as_py() == 0 else tally(key[1:], table)
+
+    def tally(key: tuple, table: pa.Table) -> pa.Table:
+        """Windows of hot anchors that occur more than once; places go back to the chunks that sent them."""
+        parts = words(table.column("a"))
+        a, w = np.concatenate(parts), np.concatenate(words(table.column("c")))
+        by = np.lexsort((w, a))
+        same = (a[by][1:] == a[by][:-1]) & (w[by][1:] == w[by][:-1])
+        hit = np.zeros(len(a), bool)
+        hit[by[1:]] |= same
+        hit[by[:-1]] |= same
+        at = offsets([len(p) for p in parts])
+        starts = [s[hit[i:j]].tobytes() for s, i, j in zip(words(table.column("sizes"), np.int64), at[:-1], at[1:], strict=True)]
+        none = pa.array([None] * len(starts), pa.binary())
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "a": none, "c": none, "starts": pa.array(starts, pa.binary()), "marks": none})
 
     def order(key: tuple, table: pa.Table) -> pa.Table:
         sizes = [np.frombuffer(x, np.int32).astype(np.int64) for x in table.column("sizes").to_pylist()]
@@ -228,9 +279,14 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col:
         context = np.zeros(len(k.a), np.int64)
         context[k.entry] = np.arange(len(k.entry))  # of entries that occur once
         for b, a, c, starts, marks in zip(*(told.column(x).to_pylist() for x in ("bucket", "a", "c", "starts", "marks")), strict=True):
-            if a is None:
+            if starts is None:
+                continue
+            if a is None:  # windows of hot anchors
+                s = np.frombuffer(starts, np.int64)
+                np.add.at(marked, s, 1)
+                np.add.at(marked, s + width, -1)
                 continue
-            i, j = k.at[b], k.at[b + 1]
+            i, j = k.range[b]
             keys = {x: i + e for e, x in enumerate(zip(k.a[i:j].tolist(), k.c[i:j].tolist(), strict=True))}
             sizes, m, at = np.frombuffer(starts, np.int32), np.frombuffer(marks, bool), 0
             for x, n_starts in zip(zip(np.frombuffer(a, U64).tolist(), np.frombuffer(c, U64).tolist(), strict=True), sizes.tolist(), strict=True):
@@ -247,15 +303,16 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col:
             for name, v in zip(out, (j - i, int(gone.sum()), len(turn) // 2, hashlib.sha256(kept).hexdigest(), kept, turn.reshape(-1, 2).tolist()), strict=True):
                 out[name].append(v if with_text or name not in ("kept", "spans") else None)
         kinds = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()} | ({"kept": pa.binary(), "spans": pa.list_(pa.list_(pa.int64()))} if with_text else {})
-        return pa.table({"doc_id": k.ids, **{x: pa.array(out[x], kind) for x, kind in kinds.items()}})
+        tidy()
+        return pa.table({"doc_id": k.ids, "n": k.copies, **{x: pa.array(out[x], kind) for x, kind in kinds.items()}})
 
     sent = dealt.groupBy("chunk").applyInArrow(send, "bucket long, chunk long, a binary, c binary, several binary")
-    answers = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, repeated binary, ship binary")
-    texts = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(deliver, "bucket long, chunk long, a binary, c binary, repeated binary, sizes binary, text binary")
-    results = texts.groupBy("bucket").applyInArrow(order, "chunk long, bucket long, a binary, c binary, starts binary, marks binary")
-    told = answers.drop("ship").unionByName(results, allowMissingColumns=True)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<long>>" * with_text
-    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(remove, schema)
+    answers = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, repeated binary, ship binary, split binary")
+    texts = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(deliver, "by_window long, bucket long, chunk long, a binary, c binary, repeated binary, sizes binary, text binary")
+    results = texts.groupBy("by_window", "bucket").applyInArrow(decide, "chunk long, bucket long, a binary, c binary, starts binary, marks binary")
+    told = answers.drop("ship", "split").unionByName(results, allowMissingColumns=True)
+    schema = "doc_id long, n long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<long>>" * with_text
+    return all_copies(dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(remove, schema))
 
 
 def grouped(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
