@@ -201,7 +201,7 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "
         graph, entry = build(lengthened(original), int(key[0].as_py()))
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "points": pa.array([table.column("point").to_numpy().tobytes()], pa.binary()), "vectors": pa.array([original.tobytes()], pa.binary()), "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()), "entry": pa.array([entry.tobytes()], pa.binary())})
 
-    built = cut(placed.groupBy("shard").applyInArrow(index, "shard long, points binary, vectors binary, graph binary, entry binary"))
+    built = cut(placed.repartition(shards, "shard").groupBy("shard").applyInArrow(index, "shard long, points binary, vectors binary, graph binary, entry binary"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     asked = queries.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "v").withColumn("shard", every(shards))
     copies = built.withColumn("block", every(blocks))
@@ -228,7 +228,9 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "
                 out_s.append(exact[found])
         return pa.table({"query_id": np.concatenate(out_q), "point": np.concatenate(out_p), "score": np.concatenate(out_s)})
 
-    found = asked.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInArrow(search, "query_id long, point long, score double")
+    tasks = shards * blocks  # as many as there are pairs: a small table would leave them to a few
+    spread = lambda df: df.repartition(tasks, "shard", "block").groupBy("shard", "block")
+    found = spread(asked).cogroup(spread(copies)).applyInArrow(search, "query_id long, point long, score double")
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "point")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
     hits = found.join(points.select("point", "ids"), "point").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id != query_id")

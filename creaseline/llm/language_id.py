@@ -24,16 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creaseline.llm.blocks import U64, bit_remainder, mix, offsets
+from creaseline.llm.blocks import U64, bit_remainder, mix, modest_batches, offsets
 
 MAX_PER_LANGUAGE = 400
 MAX_DOCS = 4_000
+#: Texts over MAX_CHARS are taken for fitting after all shorter ones of their language, and ALL_CHARS bounds the sample.
 MAX_CHARS = 30_000
+ALL_CHARS = 40_000_000
 TABLE = 1 << 16
 NGRAMS = (1, 2, 3, 4)
 SWITCH = 8.0
 CLIP = 4.0
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 BLOCK_WORDS = 400_000
 #: First and last code point of script ranges.
 SCRIPTS = (
@@ -213,7 +215,8 @@ def predict(reader: Reader, texts: list[str]) -> tuple[list[str], list[float], l
 def fit(docs: DataFrame, may_learn: F.Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Train on a sample by hash of the id, with a rate for each language that bounds its expected size.
 
-    Of several rows of one id and language the text that sorts first counts, and each language has its own bound.
+    Of several rows of one id and language the text that sorts first counts, and each language has its own bound; a
+    language gives at least one text, however long its texts are.
     """
     usable = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in usable.select(id_col, lang_col).distinct().groupBy(lang_col).agg(F.count(F.lit(1))).collect()}
@@ -224,14 +227,17 @@ def fit(docs: DataFrame, may_learn: F.Column, id_col: str = "doc_id", text_col:
     drawn = F.lit(False)
     for lang, n in counts.items():
         drawn = drawn | ((F.col(lang_col) == lang) & (part < int(1_000_000 * min(1.0, each / n))))
-    one = usable.where(drawn & (F.length(text_col) <= MAX_CHARS)).groupBy(id_col, lang_col).agg(F.min(text_col).alias(text_col))
-    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(text_col), text_col))
-    sample = one.withColumn("__rank", rank).where(F.col("__rank") <= 2 * each).select(text_col, lang_col).orderBy(F.xxhash64(text_col), text_col).collect()
+    one = usable.where(drawn).groupBy(id_col, lang_col).agg(F.min(text_col).alias(text_col)).withColumn("__chars", F.length(text_col))
+    order = Window.partitionBy(lang_col).orderBy(F.greatest(F.col("__chars"), F.lit(MAX_CHARS)), F.xxhash64(text_col), text_col)
+    ranked = one.withColumns({"__rank": F.row_number().over(order), "__sum": F.sum("__chars").over(order.rowsBetween(Window.unboundedPreceding, 0))})
+    fits = (F.col("__rank") == 1) | ((F.col("__rank") <= 2 * each) & (F.col("__sum") <= ALL_CHARS // len(counts)))
+    sample = ranked.where(fits).select(text_col, lang_col).orderBy(F.xxhash64(text_col), text_col).collect()
     return train([r[0] for r in sample], [r[1] for r in sample])
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of docs but the text, and lang_pred, score, spans."""
+    modest_batches(docs)
     rest = [f.name for f in docs.schema.fields if f.name not in (text_col, "lang_pred", "score", "spans")]
     kept = [F.col(f"`{n}`") for n in rest]
 
