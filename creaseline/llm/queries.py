@@ -106,7 +106,7 @@ def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    model = toxicity.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"), ~toxicity.held_out())
     return toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model).select("doc_id", "held_out", "score", "predicted")
 
 
