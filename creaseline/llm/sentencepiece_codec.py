@@ -5,6 +5,10 @@ rank of every adjacent pair, takes the minimum rank of each word (a segmented re
 occurrences at once and compacts the arrays; words without a pair leave. No piece of the model spans the boundary
 between a letter and a following space mark, so words can be merged on their own; the loader checks that.
 
+Rounds over whole arrays suit short words. In words of LONG symbols and more (data without spaces) a round looks only at
+the places of the least rank: places lie in a list for each rank, symbols are linked, and after a merge only the pairs
+beside it are looked up again. So a word of a million symbols costs its merges, not its length for each rank.
+
 Exactness: the library merges the best pair, leftmost first. Merging all its occurrences at once gives the same
 result unless the merged piece opens or closes a piece of no worse rank; for such pieces only occurrences further
 apart than any piece can reach are merged in one round.
@@ -16,9 +20,10 @@ repeated rows repeat; other columns do not matter. Work is per row: no shuffle,
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,31 +31,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creaseline.llm.blocks import modest_batches, tidy
+
 MARK = "▁"
 NONE = np.iinfo(np.int32).max
-#: Words remembered by a worker; bounds memory only.
-WORDS_KEPT = 250_000
+#: Words of a generation that a worker remembers, of two; bounds memory only.
+WORDS_KEPT = 100_000
+#: Words of so many symbols are merged by lists of places, see merge_places.
+LONG = 256
 
 
 @dataclass
 class Vocabulary:
-    """What encoding needs of a model; a few MB, fixed by the model file."""
+    """What encoding needs of a model; fixed by the model file. Only the first fields travel to tasks, about 2 MB; a worker makes the tables once."""
 
     size: int
-    char_symbol: np.ndarray  # code point -> symbol; size + code point if it is no piece
-    table_key: np.ndarray  # open-addressed pair table
-    table_piece: np.ndarray
+    chars: np.ndarray  # code points of pieces of one character
+    char_pieces: np.ndarray
+    keys: np.ndarray  # pairs of symbols that make a piece
+    made: np.ndarray
     rank: np.ndarray  # of each piece; equal scores share a rank
     risky: np.ndarray  # pieces that open or close a piece of no worse rank
     byte_id: np.ndarray
     piece_bytes: list[bytes]  # what decoding emits, marks as spaces
-    is_byte: np.ndarray
     reach: int  # longest piece
     breaks_at_newline: bool
     longest_run: int  # of marks that is one piece
 
     WIDE = 1 << 22
 
+    def tables(self) -> Vocabulary:
+        """Fill char_symbol (code point -> symbol; size + code point if it is no piece) and the open-addressed pair table."""
+        self.char_symbol = np.arange(0x110000, dtype=np.int32) + self.size
+        self.char_symbol[self.chars] = self.char_pieces
+        self.table_key, self.table_piece = np.full(1 << 20, -1, np.int64), np.full(1 << 20, -1, np.int32)
+        at, todo = self.slot(self.keys), np.arange(len(self.keys))
+        while len(todo):
+            place, first = np.unique(at[todo], return_index=True)
+            free = self.table_key[place] == -1
+            self.table_key[place[free]], self.table_piece[place[free]] = self.keys[todo[first[free]]], self.made[todo[first[free]]]
+            todo = np.delete(todo, first[free])
+            at[todo] = np.where(self.table_key[at[todo]] == -1, at[todo], (at[todo] + 1) & (len(self.table_key) - 1))
+        return self
+
     def slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
@@ -100,19 +123,13 @@ def load(path: str) -> Vocabulary:
             for part in (p[:cut], p[cut:]):
                 if (j := text.get(part)) is not None and rank[i] <= rank[j]:
                     risky[j] = True
-    v = Vocabulary(
-        n, chars, np.full(1 << 20, -1, np.int64), np.full(1 << 20, -1, np.int32), rank, risky,
+    single = {ord(p): i for p, i in text.items() if len(p) == 1}
+    return Vocabulary(
+        n, np.array(list(single), np.int32), np.array(list(single.values()), np.int32), np.array(keys, np.int64), np.array(made, np.int32), rank, risky,
         np.array([sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32),
         [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace(MARK, " ").encode() for i in range(n)],
-        np.array([sp.is_byte(i) for i in range(n)]), max(map(len, text)),
-        not any("\n" in p and len(p) > 1 for p in text), max(len(p) for p in text if not p.strip(MARK)),
+        max(map(len, text)), not any("\n" in p and len(p) > 1 for p in text), max(len(p) for p in text if not p.strip(MARK)),
     )
-    for key, piece in zip(keys, made, strict=True):
-        at = int(v.slot(np.array([key]))[0])
-        while v.table_key[at] != -1:
-            at = (at + 1) & (len(v.table_key) - 1)
-        v.table_key[at], v.table_piece[at] = key, piece
-    return v
 
 
 def merge_rounds(v: Vocabulary, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,6 +170,75 @@ def merge_rounds(v: Vocabulary, sym: np.ndarray, word: np.ndarray) -> tuple[np.n
     return sym[order], word[order]
 
 
+def merge_places(v: Vocabulary, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As merge_rounds, for long words: rounds in order of rank over all words at once (words do not meet)."""
+    n = len(sym)
+    sym, ahead, behind, alive = sym.copy(), np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+    made = np.full(n, -1, np.int64)
+    waiting: dict[int, list[np.ndarray]] = {}
+    ranks: list[int] = []
+
+    def look_up(at: np.ndarray) -> None:
+        """The pairs that begin at these places, into the lists of their ranks."""
+        made[at] = -1
+        at = at[ahead[at] < n]
+        at = at[word[at] == word[ahead[at]]]
+        made[at] = v.pairs(sym[at], sym[ahead[at]])
+        at = at[made[at] >= 0]
+        rank = v.rank[made[at]]
+        order = np.argsort(rank, kind="stable")
+        rank = rank[order]
+        ends = np.flatnonzero(rank[1:] != rank[:-1]) + 1
+        for own, r in zip(np.split(at[order], ends), rank[np.concatenate([[0], ends])].tolist() if len(rank) else [], strict=False):
+            put(r, own)
+
+    def put(r: int, own: np.ndarray) -> None:
+        if r not in waiting:
+            waiting[r] = []
+            heapq.heappush(ranks, r)
+        waiting[r].append(own)
+
+    look_up(np.arange(n))
+    while ranks:
+        r = heapq.heappop(ranks)
+        at = np.unique(np.concatenate(waiting.pop(r)))
+        at = at[alive[at] & (made[at] >= 0)]
+        at = at[v.rank[made[at]] == r]
+        if not len(at):
+            continue
+        # of pairs that overlap, every second one from the left
+        place = np.arange(len(at))
+        fresh = np.concatenate([[True], ahead[at[:-1]] != at[1:]])
+        take = (place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0
+        risky = v.risky[made[at]]
+        if risky.any():
+            far = np.concatenate([[True], (np.diff(at) > 4 * v.reach) | (word[at[1:]] != word[at[:-1]])])
+            take = np.where(risky, far, take)
+            if not take.all():
+                put(r, at[~take])
+        at = at[take]
+        gone = ahead[at]
+        sym[at], alive[gone], made[gone] = made[at], False, -1
+        ahead[at] = ahead[gone]
+        inner = ahead[at] < n
+        behind[ahead[at[inner]]] = at[inner]
+        left = behind[at]
+        look_up(np.unique(np.concatenate([left[left >= 0], at])))
+    return sym[alive], word[alive]
+
+
+def merged(v: Vocabulary, sym: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols after all merges and their words, in order of words. lengths: symbols of each word."""
+    word = np.repeat(np.arange(len(lengths)), lengths)
+    long = np.repeat(lengths >= LONG, lengths)
+    if not long.any():
+        return merge_rounds(v, sym, word)
+    parts = (merge_rounds(v, sym[~long], word[~long]), merge_places(v, sym[long], word[long]))
+    sym, word = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(word, kind="stable")
+    return sym[order], word[order]
+
+
 def to_ids(v: Vocabulary, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols that are no piece become the bytes of their character."""
     odd = np.flatnonzero(sym >= v.size)
@@ -171,7 +257,8 @@ class Codec:
     """Encodes and decodes texts in one worker; remembers words."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.words, self.decimal = v, {}, [str(i) for i in range(v.size)]
+        self.v, self.words, self.older = v.tables(), {}, {}
+        self.decimal, self.number = [str(i) for i in range(v.size)], list(range(v.size))
         self.mark = int(v.char_symbol[ord(MARK)])
         self.runs: dict[int, list[int]] = {}
 
@@ -181,17 +268,16 @@ class Codec:
         return (text.replace("\n", " \n") if self.v.breaks_at_newline else text).split(" ")
 
     def learn(self, words: list[str]) -> None:
-        """Encode the words of a batch that are new: ids joined by commas, their number, decoded bytes, ids."""
+        """Encode the words of a batch that are new; equal ids are one object."""
         if not words:
             return
         lines = [w if self.v.breaks_at_newline and w[:1] == "\n" else MARK + w for w in words]
         flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-        ids, word = to_ids(self.v, *merge_rounds(self.v, self.v.char_symbol[flat], np.repeat(np.arange(len(lines)), [len(x) for x in lines])))
+        ids, word = to_ids(self.v, *merged(self.v, self.v.char_symbol[flat], np.array([len(x) for x in lines])))
         ends = np.searchsorted(word, np.arange(len(lines)), "right").tolist()
-        ids, a, text, piece = ids.tolist(), 0, self.decimal, self.v.piece_bytes
+        ids, a = [self.number[i] for i in ids.tolist()], 0
         for w, b in zip(words, ends, strict=True):
-            own = ids[a:b]
-            self.words[w] = (",".join([text[i] for i in own]), b - a, b"".join([piece[i] for i in own]), own)
+            self.words[w] = tuple(ids[a:b])
             a = b
 
     def run(self, n: int) -> list[int]:
@@ -212,7 +298,7 @@ class Codec:
                 marks = sum(1 for _ in group)
                 continue
             for w in group:
-                own = self.words[w][3]
+                own = self.words[w]
                 if marks and w[:1] != "\n" and own[0] == self.mark:
                     out += self.run(marks + 1)
                     own = own[1:]
@@ -227,40 +313,53 @@ class Codec:
         piece = self.v.piece_bytes
         return b"".join([piece[i] for i in ids]).removeprefix(b" ")
 
-    def batch(self, texts: list[str]) -> Iterator[tuple[str, int, bytes]]:
-        """For each text: ids joined by commas, their number, the decoded text."""
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
+    def batch(self, texts: list[str]) -> Iterator[tuple[str, list[int], bytes]]:
+        """For each text: ids joined by commas, the ids, the decoded text."""
         split = [self.split(t) if t else [] for t in texts]
-        self.learn(list({w for s in split for w in s if w not in self.words} - {""}))
+        new = {w for s in split for w in s if w not in self.words} - {""}
+        if len(self.words) + len(new) > WORDS_KEPT:  # one generation is full; words of this batch move on
+            self.older, self.words = self.words, {}
+            new = {w for s in split for w in s} - {""}
+        self.words |= {w: self.older[w] for w in new if w in self.older}
+        self.learn(list(new.difference(self.words)))
         known = self.words
         for words in split:
-            if not words:
-                yield "", 0, b""
-            elif "" in words:
-                ids = self.spaced(words)
-                yield ",".join([self.decimal[i] for i in ids]), len(ids), self.decode(ids)
-            else:
-                own = [known[w] for w in words]
-                yield ",".join([x[0] for x in own]), sum([x[1] for x in own]), b"".join([x[2] for x in own]).removeprefix(b" ")
+            ids = self.spaced(words) if "" in words else list(chain.from_iterable([known[w] for w in words]))
+            yield ",".join([self.decimal[i] for i in ids]), ids, self.decode(ids)
+
+
+#: A worker's codecs by model file: tables stay, words are forgotten at the end of a task.
+_codecs: dict[str, Codec] = {}
 
 
 def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """All columns of docs but the text, and n_tokens, ids_sha256, decoded_sha256; with_ids adds ids (array<int>) and decoded (string)."""
+    modest_batches(docs)
     v = load(model_path)
     rest = [f for f in docs.schema.fields if f.name != text_col and f.name not in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")]
     kept = [F.col(f"`{f.name}`") for f in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(v)
+        if model_path not in _codecs:
+            _codecs[model_path] = Codec(v)
+        codec = _codecs[model_path]
         for big in batches:
-            for at in range(0, big.num_rows, 2000):
-                b = big.slice(at, 2000)
-                out = list(codec.batch([x or "" for x in b.column(b.num_columns - 1).to_pylist()]))
-                columns = [*b.columns[:-1], pa.array([n for _, n, _ in out], pa.int64()), *(pa.array([hashlib.sha256(x).hexdigest() for x in col], pa.string()) for col in ((i.encode() for i, _, _ in out), (d for _, _, d in out)))]
+            for at in range(0, big.num_rows, 1000):
+                b = big.slice(at, 1000)
+                counts, listed, digests, decoded = [], [], [], []
+                for joined, ids, text in codec.batch([x or "" for x in b.column(b.num_columns - 1).to_pylist()]):
+                    counts.append(len(ids))
+                    digests.append((hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(text).hexdigest()))
+                    if with_ids:
+                        listed.append(np.array(ids, np.int32))
+                        decoded.append(text.decode("utf-8", "replace"))
+                columns = [*b.columns[:-1], pa.array(counts, pa.int64()), *(pa.array([d[k] for d in digests], pa.string()) for k in (0, 1))]
                 if with_ids:
-                    columns += [pa.array([[int(x) for x in i.split(",")] if i else [] for i, _, _ in out], pa.list_(pa.int32())), pa.array([d.decode("utf-8", "replace") for _, _, d in out], pa.string())]
+                    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    flat = np.concatenate([np.zeros(0, np.int32), *listed])
+                    columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        tidy(codec.words, codec.older)
 
     schema = docs.select(*kept).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if with_ids:
