@@ -28,11 +28,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def put(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None) -> int:
-    """Replace the rows of the keys in scope; the first call makes the table."""
+#: A table of matches gets one bucket for so many matches when it is made.
+BUCKET_MATCHES = 10_000
+
+
+def put(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None, matches: int) -> int:
+    """Replace the rows of the keys in scope; the first call makes the table, with buckets for that many matches."""
     if exists(df.sparkSession, path):
         return tables.keyed_replace(df, path, keys, scope)
-    return tables.create_keyed(df, path, keys)
+    return tables.create_keyed(df, path, keys, max(1, -(-matches // BUCKET_MATCHES)))
 
 
 def build_silver(bronze: DataFrame, identifiers: DataFrame, names: DataFrame, folder: str, match_ids: DataFrame | None = None) -> dict[str, int]:
@@ -47,11 +51,12 @@ def build_silver(bronze: DataFrame, identifiers: DataFrame, names: DataFrame, fo
     every = silver.parse(bronze).persist(StorageLevel.MEMORY_AND_DISK)
     own = every if match_ids is None else silver.parse(files.for_keys(bronze, match_ids)).persist(StorageLevel.MEMORY_AND_DISK)
     scope, written = own.select("match_id"), {}
+    n = own.count()
     table = lambda name: tables.read_keyed(spark, f"{folder}/{name}")
     people = lambda rows, name: identity.resolve(rows, name, files.for_keys(table("registry"), scope), identifiers, names)
 
     def by_match(name: str, df: DataFrame) -> None:
-        written[name] = put(df, f"{folder}/{name}", ["match_id"], scope)
+        written[name] = put(df, f"{folder}/{name}", ["match_id"], scope, n)
 
     try:
         by_match("matches", silver.matches(own))
@@ -80,7 +85,8 @@ def build_gold(t: dict[str, DataFrame], audit: DataFrame, folder: str) -> dict[s
     """Build the incremental models for the matches that audit leaves open and write them; returns rows written by model."""
     matches, written = t["matches"], {}
     ids = gold.open_matches(audit).join(matches.select("match_id"), "match_id", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
-    if ids.isEmpty():
+    n = ids.count()
+    if not n:
         return {}
     own = {n: files.for_keys(t[n], ids) for n in ("matches", "innings", "deliveries", "wickets", "match_players")}
     for table, column, of in (("teams", "team_name", ("team_a", "team_b")), ("venues", "venue_name", ("venue",)), ("competitions", "competition_name", ("event_name",))):
@@ -92,7 +98,7 @@ def build_gold(t: dict[str, DataFrame], audit: DataFrame, folder: str) -> dict[s
             df = own[name] = df.persist(StorageLevel.MEMORY_AND_DISK)
         if name == "fact_innings":
             own[name] = df
-        written[name] = put(df, f"{folder}/{name}", ["match_id"] if by_match else keys, ids if by_match else None)
+        written[name] = put(df, f"{folder}/{name}", ["match_id"] if by_match else keys, ids if by_match else None, n if by_match else 1)
     own["fact_delivery"].unpersist()
     ids.unpersist()
     return written
