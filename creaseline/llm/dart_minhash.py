@@ -17,9 +17,13 @@ lost to the choice of pivots. Pairs within a component are never needed, and cop
 
 With `bands` x `rows` = 28 x 4, a pair of similarity 0.8 shares no bucket with probability 4e-7.
 
+The text of each node that shares a bucket is looked up once, by a hash of its row, and written for all that follows;
+rows without a doc_id have hashes of their own, so no key is common to them.
+
 Defined results: texts of one to four words are one shingle; null texts and texts without words are alone in their
 class; repeated rows are exact copies; a null doc_id can be in a class but gives it no id unless all its ids are
-null (then the id is null); other columns do not matter; an empty table gives an empty result.
+null (then the id is null, but `classes` still tells such classes apart); other columns do not matter; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from creaseline.llm.blocks import U64, WordHashes, as_bytes, cut, hash_words, mix, rabin_karp, scaled
+from creaseline.llm.blocks import U64, WordHashes, as_bytes, cut, hash_words, mix, modest_batches, rabin_karp, row_key, scaled, tidy
 from creaseline.llm.components import spread_labels
 
 SHINGLE = 5
@@ -106,21 +110,40 @@ def fingerprint(cells: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame, bands: int, rows: int, width: int) -> DataFrame:
-    """doc_id, fp (equal for equal weighted sets, null without words), size (total weight), bands."""
+    """doc_id, row_key, fp (equal for equal weighted sets, null without words), size (total weight), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, big.num_rows, 500):
                 b = big.slice(at, 500)
-                sets = [elements(t, width) for t in as_bytes(b.column(1))]
+                sets = [elements(t, width) for t in as_bytes(b.column(2))]
                 keys = band_keys(signatures(sets, bands * rows), bands, rows)
                 fps = [fingerprint(s) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(keys.ravel()))], names=["doc_id", "fp", "size", "bands"])
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(keys.ravel()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), listed], names=["doc_id", "row_key", "fp", "size", "bands"])
+        tidy(cache)
+
+    return docs.select("doc_id", "row_key", "text").mapInArrow(run, "doc_id long, row_key long, fp binary, size long, bands array<long>")
+
+
+def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """fp, text of the given nodes (fp, row_key), each at most once a task."""
+    rows = docs.select("row_key", "text").join(cut(nodes.select("row_key", "fp")), "row_key").select("fp", "text")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[bytes, int]] = set()
+        for b in batches:
+            fresh = []
+            for i, both in enumerate(zip(b.column(0).to_pylist(), map(xxhash.xxh3_64_intdigest, as_bytes(b.column(1))), strict=True)):
+                if both not in seen:
+                    seen.add(both)
+                    fresh.append(i)
+            yield b if len(fresh) == b.num_rows else b.take(pa.array(fresh, pa.int64()))
 
-    return docs.mapInArrow(run, "doc_id long, fp binary, size long, bands array<long>")
+    return cut(rows.mapInArrow(once, "fp binary, text string"))
 
 
-def overlaps(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+def overlaps(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """For each pair (pivot, fp): both, the weight that the two whole texts share, and joint, the weight of their union.
 
     The members of a pivot are dealt to groups of about MEMBERS, each with its own copy of the pivot's text.
@@ -129,19 +152,16 @@ def overlaps(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) ->
     dealt = pairs.join(cut(large), "pivot", "left").withColumn("deal", F.pmod(F.xxhash64("fp"), F.coalesce("deals", F.lit(1))))
     role = lambda who, member: F.struct(F.col(who).alias("fp"), F.lit(member).alias("member"))
     roles = dealt.select("pivot", "deal", F.explode(F.array(role("pivot", 0), role("fp", 1))).alias("r")).distinct()
-    roles = roles.select("pivot", "deal", "r.fp", "r.member").join(nodes.select("fp", "rep"), "fp")
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("rep"), "text")
-    rows = roles.join(texts, "rep").select("pivot", "deal", "member", "fp", "text")
+    rows = roles.select("pivot", "deal", "r.fp", "r.member").join(texts, "fp").select("pivot", "deal", "member", "fp", "text")
     rows = rows.repartition("pivot", "deal").sortWithinPartitions("pivot", "deal", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, cells = None, np.zeros(0, U64)
         for b in batches:
             out: list[tuple] = []
-            texts = as_bytes(b.column(4))
-            for pivot, deal, member, fp, text in zip(*(b.column(i).to_pylist() for i in range(4)), texts, strict=True):
+            for pivot, deal, member, fp, text in zip(*(b.column(i).to_pylist() for i in range(4)), as_bytes(b.column(4)), strict=True):
                 own = elements(text, width)
-                if fingerprint(own) != fp:  # another row that shares the doc_id
+                if fingerprint(own) != fp:  # another row whose row_key is equal by chance
                     continue
                 if not member:
                     now, cells = (pivot, deal), own
@@ -151,17 +171,18 @@ def overlaps(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) ->
                     out.append((pivot, fp, both, len(cells) + len(own) - both))
             columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.binary(), pa.binary(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["pivot", "fp", "both", "joint"])
+        tidy(cache)
 
     return rows.mapInArrow(run, "pivot binary, fp binary, both long, joint long").distinct()
 
 
-def partner_limits(docs: DataFrame, nodes: DataFrame, open_: DataFrame, similarity: float, width: int) -> DataFrame:
+def partner_limits(texts: DataFrame, nodes: DataFrame, open_: DataFrame, similarity: float, width: int) -> DataFrame:
     """fp, size, shared (the weight that a second open node or pivot holds too) and reach: the largest size of a partner.
 
     A pair of sizes x and y and similarity s needs an overlap of (x + y) * s / (1 + s).
     """
-    wanted = cut(open_.select("fp").unionByName(open_.select(F.col("pivot").alias("fp"))).distinct().join(nodes.select("fp", "rep", "size"), "fp"))
-    rows = wanted.join(docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("rep"), "text"), "rep").select("fp", "text")
+    wanted = cut(open_.select("fp").unionByName(open_.select(F.col("pivot").alias("fp"))).distinct().join(nodes.select("fp", "size"), "fp"))
+    rows = texts.join(wanted.select("fp"), "fp", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -172,6 +193,7 @@ def partner_limits(docs: DataFrame, nodes: DataFrame, open_: DataFrame, similari
                 sets = [s if r else s[:0] for s, r in zip(sets, right, strict=True)]
                 owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), b.column(0).take(pa.array(owner))], names=["element", "fp"])
+        tidy(cache)
 
     held = rows.mapInArrow(run, "element long, fp binary").groupBy("element")
     alone = held.agg(F.min("fp").alias("fp"), F.max("fp").alias("other")).where("fp = other").groupBy("fp").agg(F.count(F.lit(1)).alias("alone"))
@@ -180,38 +202,40 @@ def partner_limits(docs: DataFrame, nodes: DataFrame, open_: DataFrame, similari
 
 
 def several_labels(open_: DataFrame) -> DataFrame:
-    """Rows of buckets that hold nodes of more than one component."""
+    """Rows of buckets that hold nodes of more than one component. open_ is cut, so counting never meets a whole bucket in a task."""
     keys = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
     return cut(open_.join(cut(keys), "key"))
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and class_id, the smallest doc_id of its class of near-duplicates: one row per row of docs."""
+def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, row_key (see blocks.row_key) and label of each row of docs: label is the same for all rows of a class, null without words."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    modest_batches(docs)
+    docs = docs.withColumn("row_key", row_key("doc_id", "text"))
     sketched = cut(sketch(docs, bands, rows, width))
-    nodes = sketched.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("rep"), F.max("size").alias("size"), F.first("bands").alias("bands"))
+    nodes = sketched.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("least"), F.min("row_key").alias("row_key"), F.max("size").alias("size"), F.first("bands").alias("bands"))
     nodes = cut(nodes)
     placed = nodes.select("fp", F.explode("bands").alias("key"))
     sizes = cut(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     open_ = placed.join(sizes, "key")  # buckets of several nodes
     open_ = cut(open_.select("key", "fp", F.sum("n").over(W.partitionBy("fp")).alias("met")))
-    labels = nodes.select("fp", F.col("rep").alias("label"))
+    labels = nodes.select("fp", F.struct("least", "fp").alias("label"))
+    texts = texts_of(docs, open_.select("fp").distinct().join(nodes.select("fp", "row_key"), "fp"))
 
     def linked(found: DataFrame) -> DataFrame:
         return found.where(F.col("both") >= similarity * F.col("joint")).select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
 
     best = open_.groupBy("key").agg(F.max(F.struct("met", "fp")).alias("best"))
     met = cut(open_.join(cut(best.select("key", F.col("best.fp").alias("pivot"))), "key").where("pivot != fp").select("key", "fp", "pivot"))
-    found = cut(overlaps(docs, nodes, met.select("pivot", "fp").distinct(), width))
+    found = cut(overlaps(texts, met.select("pivot", "fp").distinct(), width))
     links = linked(found)
     labels = spread_labels(labels, links, "fp")
-    open_ = several_labels(met.join(labels, "fp"))  # without the pivots: each has met its whole bucket
+    open_ = several_labels(cut(met.join(labels, "fp")))  # without the pivots: each has met its whole bucket
     if not open_.isEmpty():
-        limits = partner_limits(docs, nodes, open_, similarity, width)
-        open_ = open_.join(limits, "fp").join(found.select("pivot", "fp", F.col("both").alias("near")), ["pivot", "fp"]).drop("pivot")
-        open_ = cut(open_)
-        least = cut(open_.groupBy("key").agg(F.min("size").alias("least")))
-        open_ = several_labels(open_.join(least, "key").where("reach >= least").drop("least"))  # the rest needs a smaller partner than there is
+        limits = partner_limits(texts, nodes, open_, similarity, width)
+        open_ = cut(open_.join(limits, "fp").join(found.select("pivot", "fp", F.col("both").alias("near")), ["pivot", "fp"]).drop("pivot"))
+        least = cut(open_.groupBy("key").agg(F.min("size").alias("smallest")))
+        open_ = several_labels(cut(open_.join(least, "key").where("reach >= smallest").drop("smallest")))  # the rest needs a smaller partner than there is
         ends = ("fp", "label", "size", "shared", "near", "keys")
         open_ = open_.withColumn("keys", F.collect_set("key").over(W.partitionBy("fp")))  # at most one a band
         other = open_.select(F.col("key").alias("key2"), *(F.col(c).alias(f"{c}_") for c in ends))
@@ -219,8 +243,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         admits = bound * (1 + similarity) + 1e-6 >= similarity * (F.col("size") + F.col("size_"))
         once = F.array_min(F.array_intersect("keys", "keys_")) == F.col("key")  # of the buckets that a pair shares
         pairs = open_.join(other, (F.col("key") == F.col("key2")) & (F.col("fp_") < F.col("fp")) & (F.col("label_") != F.col("label")) & admits & once)
-        found = cut(overlaps(docs, nodes, cut(pairs.select(F.col("fp_").alias("pivot"), "fp")), width))
+        found = cut(overlaps(texts, cut(pairs.select(F.col("fp_").alias("pivot"), "fp")), width))
         labels = spread_labels(labels, links.unionByName(linked(found)), "fp")
-    out = sketched.select("doc_id", "fp").join(labels, "fp", "left")
-    own = F.when(F.col("label") == LAST, F.lit(None)).otherwise(F.col("label"))
-    return out.select("doc_id", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(own).alias("class_id"))
+    return sketched.select("doc_id", "row_key", "fp").join(labels, "fp", "left").select("doc_id", "row_key", "label")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and class_id, the smallest doc_id of its class of near-duplicates: one row per row of docs."""
+    out = classes(docs, similarity, bands, rows, width, id_col, text_col)
+    own = F.when(F.col("label.least") != LAST, F.col("label.least"))
+    return out.select("doc_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(own).alias("class_id"))
