@@ -6,6 +6,7 @@ document offsets. All per-word work runs on these flat arrays inside Spark tasks
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -138,7 +139,21 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-    return df.checkpoint()
+    done = df.checkpoint()
+    release(spark)
+    return done
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what was cut off.
+
+    Its cleaner does so when the driver's JVM has collected the objects, which a large driver heap puts off for long; iterations
+    of many small exchanges fill disks meanwhile. Where a session has no JVM at hand, that is all that is lost.
+    """
+    gc.collect()
+    jvm = getattr(spark.sparkContext, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
 
 
 def written(df: DataFrame) -> DataFrame:
