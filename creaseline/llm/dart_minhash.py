@@ -128,7 +128,7 @@ def sketch(docs: DataFrame, bands: int, rows: int, width: int) -> DataFrame:
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """fp, text of the given nodes (fp, row_key), each at most once a task."""
-    rows = docs.select("row_key", "text").join(cut(nodes.select("row_key", "fp")), "row_key").select("fp", "text")
+    rows = docs.select("row_key", "text").join(nodes.select("row_key", "fp"), "row_key").select("fp", "text")
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[bytes, int]] = set()
@@ -202,7 +202,7 @@ def partner_limits(texts: DataFrame, nodes: DataFrame, open_: DataFrame, similar
 
 
 def several_labels(open_: DataFrame) -> DataFrame:
-    """Rows of buckets that hold nodes of more than one component. open_ is cut, so counting never meets a whole bucket in a task."""
+    """Rows of buckets that hold nodes of more than one component."""
     keys = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
     return cut(open_.join(cut(keys), "key"))
 
@@ -230,12 +230,12 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     found = cut(overlaps(texts, met.select("pivot", "fp").distinct(), width))
     links = linked(found)
     labels = spread_labels(labels, links, "fp")
-    open_ = several_labels(cut(met.join(labels, "fp")))  # without the pivots: each has met its whole bucket
+    open_ = several_labels(met.join(labels, "fp"))  # without the pivots: each has met its whole bucket
     if not open_.isEmpty():
         limits = partner_limits(texts, nodes, open_, similarity, width)
         open_ = cut(open_.join(limits, "fp").join(found.select("pivot", "fp", F.col("both").alias("near")), ["pivot", "fp"]).drop("pivot"))
         least = cut(open_.groupBy("key").agg(F.min("size").alias("smallest")))
-        open_ = several_labels(cut(open_.join(least, "key").where("reach >= smallest").drop("smallest")))  # the rest needs a smaller partner than there is
+        open_ = several_labels(open_.join(least, "key").where("reach >= smallest").drop("smallest"))  # the rest needs a smaller partner than there is
         ends = ("fp", "label", "size", "shared", "near", "keys")
         open_ = open_.withColumn("keys", F.collect_set("key").over(W.partitionBy("fp")))  # at most one a band
         other = open_.select(F.col("key").alias("key2"), *(F.col(c).alias(f"{c}_") for c in ends))
