@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creaseline.llm import dart_minhash, decontamination, graph_ann, language_id, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity, url_filter
+from creaseline.llm import best_fit_packing, dart_minhash, decontamination, graph_ann, language_id, merkle_manifest, pca_clustering, secret_scan, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,9 +110,83 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_pca_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pca_clustering.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), dim=64, k=16, rounds=3, salt="1:")
+    return pca_clustering.members_with_inertia(found).select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    leaves = merkle_manifest.document_leaves(table(spark, sf_dir, "documents"), tampered)
+    return merkle_manifest.manifest(leaves, "source", "doc_id").proofs().drop("path")
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+OP11_SQL = """
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v AS m FROM kept QUALIFY c < 16),
+""" + "".join(f"""
+a{i} AS (
+  SELECT r, vec_id, v, min(d) AS d, arg_min(c, (d, c)) AS c
+  FROM (SELECT r, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM kept, c{i}) GROUP BY ALL),
+""" + (f"""
+s{i} AS (SELECT c, place, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{i}) GROUP BY 1, 2),
+c{i + 1} AS (
+  SELECT o.c, coalesce(n.m, o.m) AS m
+  FROM c{i} o LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) / n AS BIGINT) ORDER BY place) AS m FROM s{i} GROUP BY 1) n ON n.c = o.c),
+""" if i < 3 else "") for i in range(4)) + """
+own AS (SELECT c, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a3 GROUP BY 1)
+SELECT vec_id, CAST(a3.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, cluster_inertia, (SELECT CAST(sum(d) AS BIGINT) FROM a3) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a3 JOIN own ON own.c = a3.c JOIN c3 ON c3.c = a3.c
+"""
+
+_CRC32 = """list_reduce(list_prepend(4294967295, flatten(list_transform(string_split({x}, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda h, b: CASE WHEN b >= 0 THEN xor(h, b) WHEN h % 2 = 1 THEN xor(h >> 1, 3988292384) ELSE h >> 1 END)"""
+_FIELD = "coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || {x}, '-')"
+_LEAF = " || ".join(_FIELD.format(x=x) for x in ("doc_id", "source", "lang", "n_chars"))
+OP12_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, source, sha256({_LEAF} || {_FIELD.format(x="text")}) AS leaf, sha256({_LEAF} || {_FIELD.format(x="replace(text, chr(10), '')")}) AS bare,
+    coalesce(xor({_CRC32.format(x="CAST(doc_id AS VARCHAR)")}, 4294967295) % 2 = 0, false) AS tampered FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves),
+low AS (
+  SELECT 0 AS level, source, idx, leaf AS h FROM placed
+  UNION ALL SELECT level + 1, source, idx // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER (PARTITION BY source) AS n FROM low) WHERE n > 1 GROUP BY ALL),
+ends AS (SELECT source, max(level) AS depth, arg_max(h, level) AS subroot FROM low GROUP BY 1),
+sources AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM ends),
+high AS (
+  SELECT 0 AS level, place AS idx, subroot AS h FROM sources
+  UNION ALL SELECT level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER () AS n FROM high) WHERE n > 1 GROUP BY ALL),
+nodes AS (
+  SELECT source, level, idx, h FROM low UNION ALL SELECT NULL, level + 1000, idx, h FROM high),
+steps AS (
+  SELECT p.r, level FROM placed p JOIN ends e ON e.source IS NOT DISTINCT FROM p.source, range(0, 64) t(level) WHERE level < e.depth
+  UNION ALL SELECT p.r, level + 1000 FROM placed p, range(0, 64) t(level) WHERE level < (SELECT max(level) FROM high)),
+sides AS (
+  SELECT s.r, s.level, coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (n.idx < q.at), '') AS lft, coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (n.idx > q.at), '') AS rgt
+  FROM steps s JOIN placed p ON p.r = s.r JOIN sources o ON o.source IS NOT DISTINCT FROM p.source,
+    LATERAL (SELECT CASE WHEN s.level < 1000 THEN p.idx // CAST(pow(3, s.level) AS BIGINT) ELSE o.place // CAST(pow(3, s.level - 1000) AS BIGINT) END AS at) q
+    LEFT JOIN nodes n ON n.level = s.level AND (s.level >= 1000 OR n.source IS NOT DISTINCT FROM p.source) AND n.idx // 3 = q.at // 3
+  GROUP BY s.r, s.level),
+paths AS (SELECT r, list({{'lft': lft, 'rgt': rgt}} ORDER BY level) AS path FROM sides GROUP BY 1),
+folds AS (
+  SELECT p.r, 1 AS k, CASE WHEN tampered THEN bare ELSE leaf END AS h FROM placed p
+  UNION ALL SELECT f.r, f.k + 1, sha256(q.path[f.k].lft || f.h || q.path[f.k].rgt) FROM folds f JOIN paths q ON q.r = f.r WHERE f.k <= len(q.path)),
+tops AS (SELECT r, arg_max(h, k) AS folded_root FROM folds GROUP BY 1),
+root AS (SELECT arg_max(h, level) AS root FROM high)
+SELECT p.doc_id, p.leaf, e.subroot, root.root, sha256(coalesce(array_to_string(list_transform(q.path, lambda x: x.lft || x.rgt), ''), '')) AS proof_sha256, t.folded_root, t.folded_root = root.root AS verified
+FROM placed p JOIN ends e ON e.source IS NOT DISTINCT FROM p.source JOIN tops t ON t.r = p.r LEFT JOIN paths q ON q.r = p.r, root
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op3_language_id, op4_graph_ann, op5_suffix_array, op6_decontamination, op7_secret_scan, op8_url_filter, op9_dart_minhash, op10_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_sentencepiece, op3_language_id, op4_graph_ann, op5_suffix_array, op6_decontamination, op7_secret_scan, op8_url_filter, op9_dart_minhash, op10_toxicity, op11_pca_clustering, op12_merkle_manifest, op13_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": OP8_SQL}
+    return {"op8_url_filter": OP8_SQL, "op11_pca_clustering": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
