@@ -182,10 +182,15 @@ def data_freshness(log: DataFrame, today: Column) -> DataFrame:
     return done.withColumn("days_old", F.date_diff(today, "last_success").cast("long"))
 
 
+def one_each(rows: DataFrame, key: str, snapshot: str, tracked: tuple[str, ...]) -> DataFrame:
+    """(key, at, v): the values of each key in each snapshot; of rows that tie the largest count, nulls being smallest."""
+    return rows.groupBy(key, F.col(snapshot).alias("at")).agg(F.max(F.struct(*tracked)).alias("v"))
+
+
 def scd2(rows: DataFrame, key: str, snapshot: str, *tracked: str) -> DataFrame:
     """Validity intervals of each key: consecutive snapshots with equal tracked values are one version."""
-    order = W.partitionBy(key).orderBy(snapshot)
-    h = F.xxhash64(*tracked)
-    starts = rows.withColumn("__h", h).withColumn("__p", F.lag("__h").over(order)).where("__p is null or __p <> __h")
-    ahead = F.lead(snapshot).over(order)
-    return starts.select(key, *tracked, F.col(snapshot).alias("valid_from"), ahead.alias("valid_to"), ahead.isNull().alias("is_current"))
+    order = W.partitionBy(key).orderBy("at")
+    same = F.col("v").eqNullSafe(F.lag("v").over(order))
+    starts = one_each(rows, key, snapshot, tracked).withColumn("__start", (F.row_number().over(order) == 1) | ~same).where("__start")
+    ahead = F.lead("at").over(order)
+    return starts.select(key, "v.*", F.col("at").alias("valid_from"), ahead.alias("valid_to"), ahead.isNull().alias("is_current"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creaseline.operators.bronze import latest_revision
-from creaseline.schema import MATCH_DDL
+from creaseline.schema import MATCH_DDL, NAMES_DDL
 
 
 def parse(bronze: DataFrame, latest: bool = True) -> DataFrame:
@@ -15,6 +15,11 @@ def parse(bronze: DataFrame, latest: bool = True) -> DataFrame:
     return rows.withColumn("doc", F.from_json("raw_json", MATCH_DDL)).drop("raw_json")
 
 
+def parse_names(bronze: DataFrame) -> DataFrame:
+    """As parse, with what mentions() reads only: the JSON reader skips innings."""
+    return latest_revision(bronze).withColumn("doc", F.from_json("raw_json", NAMES_DDL)).drop("raw_json")
+
+
 def _info(path: str) -> Column:
     return F.col(f"doc.info.{path}")
 
@@ -38,12 +43,12 @@ def matches(parsed: DataFrame) -> DataFrame:
         _info("toss.winner").alias("toss_winner"), _info("toss.decision").alias("toss_decision"),
         _info("outcome.winner").alias("winner"), _info("outcome.result").alias("outcome_result"), _info("outcome.method").alias("outcome_method"),
         _info(outcome + "runs").alias("win_by_runs"), _info(outcome + "wickets").alias("win_by_wickets"), _info(outcome + "innings").alias("win_by_innings"),
-        _info("player_of_match").alias("player_of_match"), "_snapshot_date",
+        _info("player_of_match").alias("player_of_match"), _info("event.`group`").alias("group_label"), (F.coalesce(F.size(_info("missing")), F.lit(0)) > 0).alias("has_missing_data"), "_snapshot_date",
     )
 
 
-def _innings(parsed: DataFrame) -> DataFrame:
-    return parsed.select("match_id", "_snapshot_date", F.posexplode("doc.innings").alias("place", "inn")).withColumn("innings_number", F.col("place") + 1)
+def _innings(parsed: DataFrame, *more: Column) -> DataFrame:
+    return parsed.select("match_id", "_snapshot_date", *more, F.posexplode("doc.innings").alias("place", "inn")).withColumn("innings_number", F.col("place") + 1)
 
 
 def innings(parsed: DataFrame) -> DataFrame:
@@ -52,8 +57,9 @@ def innings(parsed: DataFrame) -> DataFrame:
 
 
 def _balls(parsed: DataFrame) -> DataFrame:
-    over = _innings(parsed).select("match_id", "_snapshot_date", "innings_number", F.explode("inn.overs").alias("o"))
-    return over.select("match_id", "_snapshot_date", "innings_number", F.col("o.over").alias("over_number"), F.posexplode("o.deliveries").alias("ball", "d")).withColumn("delivery_number", F.col("ball") + 1)
+    """Balls as nested `d`, with the batting side and both teams; what is not read is pruned."""
+    over = _innings(parsed, _info("teams").alias("teams")).select("match_id", "_snapshot_date", "teams", F.col("inn.team").alias("batting"), "innings_number", F.explode("inn.overs").alias("o"))
+    return over.select("match_id", "_snapshot_date", "teams", "batting", "innings_number", F.col("o.over").alias("over_number"), F.posexplode("o.deliveries").alias("ball", "d")).withColumn("delivery_number", F.col("ball") + 1)
 
 
 BALL_KEY = ("match_id", "innings_number", "over_number", "delivery_number")
@@ -61,13 +67,35 @@ BALL_KEY = ("match_id", "innings_number", "over_number", "delivery_number")
 
 def deliveries(parsed: DataFrame) -> DataFrame:
     runs = lambda name: F.coalesce(F.col(f"d.runs.{name}"), F.lit(0)).alias(f"runs_{name}")
+    swap = F.get(F.concat(*changes()), 0)
     extras = [F.col(f"d.extras.{x}").alias(f"extra_{x}") for x in ("wides", "noballs", "byes", "legbyes", "penalty")]
-    return _balls(parsed).select(*BALL_KEY, "d.batter", "d.bowler", "d.non_striker", runs("batter"), runs("extras"), runs("total"), runs("non_boundary"), *extras, (F.coalesce(F.size("d.wickets"), F.lit(0)) > 0).alias("is_wicket"), "_snapshot_date")
+    return _balls(parsed).select(*BALL_KEY, "d.batter", "d.bowler", "d.non_striker", runs("batter"), runs("extras"), runs("total"), runs("non_boundary"), *extras, (F.coalesce(F.size("d.wickets"), F.lit(0)) > 0).alias("is_wicket"), *[swap[x].alias(f"replacement_{x}") for x in ("in", "out", "reason")], "_snapshot_date")
+
+
+def changes() -> tuple[Column, Column]:
+    """The replacements of a ball as two arrays of one type: of roles (team unknown), then in the eleven."""
+    kind = "array<struct<scope:string,team:string,`in`:string,`out`:string,role:string,reason:string>>"
+    none = F.array().cast(kind)
+    one = lambda scope, team, r, role: F.struct(F.lit(scope).alias("scope"), team.alias("team"), r["in"].alias("in"), r["out"].alias("out"), role.alias("role"), r["reason"].alias("reason"))
+    null = F.lit(None).cast("string")
+    roles = F.transform("d.replacements.role", lambda r: one("role", null, r, r["role"]))
+    eleven = F.transform("d.replacements.match", lambda r: one("match", r["team"], r, null))
+    return F.coalesce(roles.cast(kind), none), F.coalesce(eleven.cast(kind), none)
+
+
+def replacements(parsed: DataFrame) -> DataFrame:
+    """One row for each replacement that a ball records. A team that is not named is the batting side if the one who goes is at the crease, else the fielding side."""
+    rows = _balls(parsed).select(*BALL_KEY, "batting", "teams", "d.batter", "d.non_striker", F.posexplode(F.concat(*changes())).alias("place", "r"), "_snapshot_date")
+    fielding = F.get(F.filter("teams", lambda t: t != F.col("batting")), 0)
+    at_crease = F.coalesce((F.col("r.out") == F.col("batter")) | (F.col("r.out") == F.col("non_striker")), F.lit(False))
+    team = F.coalesce("r.team", F.when(at_crease, F.col("batting")).otherwise(fielding))
+    return rows.select(*BALL_KEY, (F.col("place") + 1).alias("replacement_number"), "r.scope", team.alias("team"), F.col("r.in").alias("player_in"), F.col("r.out").alias("player_out"), "r.role", "r.reason", "_snapshot_date")
 
 
 def wickets(parsed: DataFrame) -> DataFrame:
     out = _balls(parsed).select(*BALL_KEY, "_snapshot_date", F.explode("d.wickets").alias("w"))
-    return out.select(*BALL_KEY, "w.player_out", "w.kind", F.transform("w.fielders", lambda f: f["name"]).alias("fielders"), "_snapshot_date")
+    substitute = F.coalesce(F.exists("w.fielders", lambda f: f["substitute"]), F.lit(False)).alias("fielder_is_substitute")
+    return out.select(*BALL_KEY, "w.player_out", "w.kind", F.transform("w.fielders", lambda f: f["name"]).alias("fielders"), substitute, "_snapshot_date")
 
 
 def powerplays(parsed: DataFrame) -> DataFrame:
@@ -110,8 +138,33 @@ def venues(parsed: DataFrame) -> DataFrame:
 
 
 def competitions(parsed: DataFrame) -> DataFrame:
-    rows = parsed.select(_info("event.name").alias("competition_name"), "_snapshot_date").where("competition_name is not null")
-    return rows.groupBy("competition_name").agg(F.max("_snapshot_date").alias("_snapshot_date"))
+    """One row a competition; group_label lists the groups of its group stages."""
+    rows = parsed.select(_info("event.name").alias("competition_name"), _info("event.`group`").alias("g"), "_snapshot_date").where("competition_name is not null")
+    return rows.groupBy("competition_name").agg(labels(F.collect_set("g")), F.max("_snapshot_date").alias("_snapshot_date"))
+
+
+def mentions(parsed: DataFrame) -> DataFrame:
+    """What each match says of teams, venues and competitions: (match_id, kind, name, detail, _snapshot_date); one row of nulls if nothing."""
+    one = lambda kind, name, detail: F.struct(F.lit(kind).alias("kind"), name.alias("name"), detail.alias("detail"))
+    sides = F.transform(_info("teams"), lambda t: one("teams", t, _info("team_type")))
+    venue = one("venues", F.coalesce(_info("venue"), _blank(F.col("venue"))), F.coalesce(_info("city"), _blank(F.col("city"))))
+    event = F.when(_info("event.name").isNotNull(), one("competitions", _info("event.name"), _info("event.`group`")))
+    every = F.filter(F.concat(F.coalesce(sides, F.array().cast("array<struct<kind:string,name:string,detail:string>>")), F.array(venue, event)), lambda x: x.isNotNull())
+    return parsed.select("match_id", "_snapshot_date", F.explode_outer(every).alias("m")).select("match_id", "m.*", "_snapshot_date")
+
+
+def from_mentions(table: str, counts: DataFrame) -> DataFrame:
+    """The rows of a table out of distinct mentions (kind, name, detail, _snapshot_date)."""
+    own, last = counts.where(F.col("kind") == table), F.max("_snapshot_date").alias("_snapshot_date")
+    if table == "teams":
+        return own.groupBy(F.col("name").alias("team_name")).agg(F.max("detail").alias("team_type"), last)
+    if table == "venues":
+        return own.groupBy(F.col("name").alias("venue_name"), F.col("detail").alias("city")).agg(last)
+    return own.groupBy(F.col("name").alias("competition_name")).agg(labels(F.collect_set("detail")), last)
+
+
+def labels(groups: Column) -> Column:
+    return _blank(F.array_join(F.array_sort(groups), ", ")).alias("group_label")
 
 
 def document_checks(parsed: DataFrame, versions: tuple[str, ...] = ("1.0.0", "1.1.0")) -> DataFrame:

@@ -27,12 +27,15 @@ b AS (
 deliveries AS (
   SELECT match_id, innings_number, over_number, delivery_number, batter, bowler, non_striker, runs_batter, CAST(CASE WHEN x IS NULL THEN 0 ELSE 1 END AS BIGINT) AS runs_extras,
     runs_batter + CASE WHEN x IS NULL THEN 0 ELSE 1 END AS runs_total, CAST(0 AS BIGINT) AS runs_non_boundary, CASE WHEN x = 0 THEN 1 END AS extra_wides, CASE WHEN x = 1 THEN 1 END AS extra_noballs,
-    CASE WHEN x = 2 THEN 1 END AS extra_byes, CASE WHEN x = 3 THEN 1 END AS extra_legbyes, CAST(NULL AS BIGINT) AS extra_penalty, is_wicket
+    CASE WHEN x = 2 THEN 1 END AS extra_byes, CASE WHEN x = 3 THEN 1 END AS extra_legbyes, CAST(NULL AS BIGINT) AS extra_penalty, is_wicket,
+    CASE WHEN l_partkey % 37 = 0 THEN 'Q' || (l_suppkey % 9) WHEN l_partkey % 41 = 0 THEN 'S' || (l_suppkey % 3) WHEN l_partkey % 53 = 0 THEN 'F' || (l_suppkey % 2) END AS replacement_in,
+    CASE WHEN l_partkey % 37 = 0 THEN bowler WHEN l_partkey % 41 = 0 THEN batter WHEN l_partkey % 53 = 0 THEN bowler END AS replacement_out,
+    CASE WHEN l_partkey % 37 = 0 OR l_partkey % 41 = 0 OR l_partkey % 53 = 0 THEN CASE WHEN l_partkey % 2 = 0 THEN 'concussion_substitute' ELSE 'injury' END END AS replacement_reason
   FROM b WHERE match_id IN (SELECT match_id FROM m)),
 fell AS (SELECT *, CASE WHEN l_partkey % 7 IN (0, 3) THEN 'F' || (l_suppkey % 20) END AS fielders FROM b WHERE is_wicket AND match_id IN (SELECT match_id FROM m)),
 wickets AS (
-  SELECT match_id, innings_number, over_number, delivery_number, batter AS player_out, list_extract(['caught','bowled','lbw','run out','stumped','caught and bowled','hit wicket'], CAST(l_partkey % 7 + 1 AS INTEGER)) AS kind, fielders FROM fell
-  UNION ALL SELECT match_id, innings_number, over_number, delivery_number, non_striker, 'run out', fielders FROM fell WHERE l_partkey % 7 = 0 AND l_suppkey % 5 = 0),
+  SELECT match_id, innings_number, over_number, delivery_number, batter AS player_out, list_extract(['caught','bowled','lbw','run out','stumped','caught and bowled','hit wicket'], CAST(l_partkey % 7 + 1 AS INTEGER)) AS kind, fielders, fielders IS NOT NULL AND l_partkey % 11 = 0 AS fielder_is_substitute FROM fell
+  UNION ALL SELECT match_id, innings_number, over_number, delivery_number, non_striker, 'run out', fielders, fielders IS NOT NULL AND l_partkey % 11 = 0 FROM fell WHERE l_partkey % 7 = 0 AND l_suppkey % 5 = 0),
 innings AS (
   SELECT match_id, i AS innings_number, CASE WHEN i = 1 THEN team_a ELSE team_b END AS team, false AS super_over, k % 19 = 0 AS declared, false AS forfeited,
     CASE WHEN i = 2 THEN 100 + k % 200 END AS target_runs, CASE WHEN i = 2 THEN CAST(limit_overs AS DOUBLE) END AS target_overs, limit_overs
@@ -153,6 +156,7 @@ def nulls(table: str, *cols: str) -> str:
     return f"SELECT count(*) FILTER ({' OR '.join(f'{c} IS NULL' for c in cols)}) AS failed, count(*) AS total FROM {table}"
 
 
+GROUP = "CASE WHEN event_name IS NOT NULL AND k % 4 = 1 THEN list_extract(['A', 'B', 'C'], CAST(k % 3 + 1 AS INTEGER)) END"
 BALL = ("match_id", "innings_number", "over_number", "delivery_number")
 OLD = "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 7 <> 0"
 NEW = f"SELECT c_custkey, 'NEW' AS c_mktsegment, round(c_acctbal + 1, 2) AS c_acctbal FROM customer WHERE c_custkey % 3 = 0"
@@ -163,7 +167,7 @@ MONTHS = """SELECT month AS file_name, sha256(content) AS content_hash, CAST(str
 AWARD = "SELECT DISTINCT match_id, unnest(player_of_match) AS player_name FROM m WHERE player_of_match IS NOT NULL"
 RUN_LOG = "SELECT count(*) AS attempted, count(*) FILTER (o_orderstatus = 'P') AS failed FROM orders"
 SILVER_ROWS = (
-    ("matches", "m"), ("innings", "innings"), ("powerplays", "(SELECT * FROM innings WHERE limit_overs IS NOT NULL)"), ("deliveries", "deliveries"), ("wickets", "wickets"), ("registry", "registry"),
+    ("matches", "m"), ("innings", "innings"), ("powerplays", "(SELECT * FROM innings WHERE limit_overs IS NOT NULL)"), ("deliveries", "deliveries"), ("wickets", "wickets"), ("registry", "registry"), ("replacements", "(SELECT * FROM b WHERE l_partkey % 37 = 0 UNION ALL SELECT * FROM b WHERE l_partkey % 41 = 0 OR l_partkey % 53 = 0)"),
     ("match_players", "players"), ("match_officials", "officials"), ("unmatched_persons_audit", "(SELECT DISTINCT match_id, role, display_name FROM unmatched)"),
     ("teams", "(SELECT team_a FROM m UNION SELECT team_b FROM m)"), ("venues", "(SELECT DISTINCT venue, city FROM m)"), ("competitions", "(SELECT DISTINCT event_name FROM m WHERE event_name IS NOT NULL)"),
 )
@@ -199,6 +203,23 @@ def model_tests() -> list[tuple[str, str, str, str, str]]:
     return [*out, ("fact_player_of_match", f"({AWARD})", "match_id", "relationships", "count(*) FILTER (match_id NOT IN (SELECT match_id FROM dim_match))")]
 
 
+SWAPS = """SELECT * EXCLUDE (n), CASE WHEN l_partkey % 2 = 0 THEN 'concussion_substitute' ELSE 'injury' END AS reason FROM (
+    SELECT x.match_id, innings_number, over_number, delivery_number, l_partkey, 'role' AS scope, CASE WHEN innings_number = 1 THEN team_b ELSE team_a END AS team, 'Q' || (l_suppkey % 9) AS player_in, bowler AS player_out, 'bowler' AS role, 1 AS n FROM b x JOIN m USING (match_id) WHERE l_partkey % 37 = 0
+    UNION ALL SELECT x.match_id, innings_number, over_number, delivery_number, l_partkey, 'match', CASE WHEN (innings_number = 1) = (l_partkey % 41 = 0) THEN team_a ELSE team_b END, CASE WHEN l_partkey % 41 = 0 THEN 'S' || (l_suppkey % 3) ELSE 'F' || (l_suppkey % 2) END, CASE WHEN l_partkey % 41 = 0 THEN batter ELSE bowler END, NULL, 2
+      FROM b x JOIN m USING (match_id) WHERE l_partkey % 41 = 0 OR l_partkey % 53 = 0)"""
+ELEVENS = f"""WITH swap AS (SELECT match_id, team, innings_number * 1000000 + over_number * 1000 + delivery_number AS pos, player_in, player_out FROM ({SWAPS}) WHERE scope = 'match'),
+    ev AS (SELECT match_id, team, pos, player_in AS player, true AS enters FROM swap UNION ALL SELECT match_id, team, pos, player_out, false FROM swap),
+    who AS (SELECT match_id, team, player_name AS player FROM players UNION SELECT match_id, team, player FROM ev),
+    cand AS (SELECT w.*, coalesce(NOT arg_min(e.enters, e.pos), true) AS starts FROM who w LEFT JOIN ev e ON e.match_id = w.match_id AND e.team = w.team AND e.player = w.player GROUP BY ALL),
+    eff AS (SELECT match_id, team, pos FROM (SELECT e.*, coalesce(lag(e.enters) OVER (PARTITION BY e.match_id, e.team, e.player ORDER BY e.pos), c.starts) AS before FROM ev e JOIN cand c ON c.match_id = e.match_id AND c.team = e.team AND c.player = e.player) WHERE before <> enters),
+    ball AS (SELECT d.*, innings_number * 1000000 + over_number * 1000 + delivery_number AS pos, CASE WHEN innings_number = 1 THEN team_a ELSE team_b END AS bt, CASE WHEN innings_number = 1 THEN team_b ELSE team_a END AS ft FROM deliveries d JOIN m USING (match_id)),
+    sided AS (SELECT *, bt AS team, 'bat' AS side FROM ball UNION ALL SELECT *, ft, 'field' FROM ball),
+    state AS (
+      SELECT s.match_id, s.innings_number, s.over_number, s.delivery_number, s.bt, s.ft, s.batter, s.bowler, s.side, s.team, s.pos, c.player, coalesce(arg_max(e.enters, e.pos), any_value(c.starts)) AS present
+      FROM sided s JOIN cand c ON c.match_id = s.match_id AND c.team = s.team LEFT JOIN ev e ON e.match_id = c.match_id AND e.team = c.team AND e.player = c.player AND e.pos <= s.pos GROUP BY ALL),
+    told AS (SELECT match_id, innings_number, over_number, delivery_number, bt, ft, batter, bowler, side, team, pos, coalesce(string_agg(player, ',' ORDER BY player) FILTER (present), '') AS eleven, bool_or(present AND player = batter) AS has_batter, bool_or(present AND player = bowler) AS has_bowler FROM state GROUP BY ALL)
+    SELECT t.*, (SELECT count(DISTINCT pos) FROM eff WHERE eff.match_id = t.match_id AND eff.team = t.team AND eff.pos <= t.pos) AS version FROM told t"""
+
 MODEL_TESTS = model_tests()
 NAMED = "(SELECT cricsheet_name FROM shown WHERE display_name = 'Star 8')"
 
@@ -235,6 +256,9 @@ SQL: dict[str, str] = {
     "b07_purge": "SELECT t AS table_name, day, count(*) AS n FROM e, (VALUES ('first'), ('second')) v(t) WHERE day >= DATE '2024-01-20' GROUP BY 1, 2",
     "b08_metadata_columns": "SELECT n_nationkey, n_name, 'run-1' AS _pipeline_run_id FROM nation",
     "b09_layout": "SELECT l_orderkey, l_linenumber, l_quantity, year(l_shipdate) AS year FROM lineitem",
+    "b09_range_layout": "SELECT year(l_shipdate) AS year, count(*) AS n_rows, count(*) > (SELECT count(*) FROM lineitem) / 20 AS split, true AS in_order FROM lineitem GROUP BY 1",
+    "b05_growing_table": """SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey > size * 8 THEN round(c_acctbal + 64, 2) WHEN c_custkey > size THEN round(c_acctbal + 8, 2) ELSE round(c_acctbal + 2, 2) END AS c_acctbal, true AS enough_buckets
+        FROM customer, (SELECT greatest(1, count(*) // 64) AS size FROM customer)""",
     "b10_export": f"SELECT 'dim_match' AS table_name, count(*) AS n_rows FROM m UNION ALL SELECT 'dim_team', count(*) FROM (SELECT team_a FROM m UNION SELECT team_b FROM m) UNION ALL SELECT 'fact_innings', count(*) FROM innings UNION ALL SELECT 'mart_toss_outcome', count(*) FROM (SELECT DISTINCT match_type, season, toss_decision FROM m)",
     "b11_report_csv": "SELECT match_type AS format, CAST(count(*) AS VARCHAR) AS matches FROM m GROUP BY 1",
     "b12_incremental_scope": "SELECT match_id, count(*) AS balls FROM f WHERE match_id IN (SELECT match_id FROM audit WHERE gold_loaded_at IS NULL) GROUP BY 1",
@@ -254,7 +278,7 @@ SQL: dict[str, str] = {
     "c11_bronze_load_counts": "SELECT count(*) AS attempted, count(*) FILTER (k % 4 = 0) AS skipped, count(*) FILTER (k % 4 <> 0 AND k % 10 <> 0) AS succeeded, count(*) FILTER (k % 4 <> 0 AND k % 10 = 0) AS failed, count(*) FILTER (k % 4 <> 0 AND k % 10 <> 0) AS rows_written FROM m",
     "d01_latest_revision": f"SELECT match_id, revision, event_id FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY CAST(revision AS BIGINT) DESC, ts DESC, event_id DESC) AS n FROM ({LANDED})) WHERE n = 1",
     "d02_json_parse": "SELECT match_id, '1.1.0' AS data_version, 2 AS n_innings, 2 AS n_teams, CAST(match_date AS VARCHAR) AS dates, season FROM m",
-    "d04_matches": "SELECT d.*, array_to_string(player_of_match, ',') AS player_of_match FROM dim_match d JOIN m USING (match_id)",
+    "d04_matches": f"SELECT d.*, array_to_string(player_of_match, ',') AS player_of_match, {GROUP.replace('event_name', 'm.event_name')} AS group_label, k % 23 = 0 AS has_missing_data FROM dim_match d JOIN m USING (match_id)",
     "d05_innings": "SELECT match_id, innings_number, team, super_over, declared, forfeited, target_runs, target_overs FROM innings",
     "d06_deliveries": "SELECT * FROM deliveries",
     "d07_wickets": "SELECT * FROM wickets",
@@ -262,7 +286,7 @@ SQL: dict[str, str] = {
     "d09_registry": "SELECT * FROM registry",
     "d10_teams": "SELECT team_name, max(team_type) AS team_type FROM (SELECT team_a AS team_name, team_type FROM m UNION ALL SELECT team_b, team_type FROM m) GROUP BY 1",
     "d11_venues": "SELECT DISTINCT venue AS venue_name, city FROM m",
-    "d12_competitions": "SELECT DISTINCT event_name AS competition_name FROM m WHERE event_name IS NOT NULL",
+    "d12_competitions": f"SELECT event_name AS competition_name, string_agg(DISTINCT {GROUP}, ', ' ORDER BY {GROUP}) AS group_label FROM m WHERE event_name IS NOT NULL GROUP BY 1",
     "d13_match_players": "SELECT match_id, team, player_name, person_id FROM players",
     "d14_match_officials": "SELECT match_id, role, official_name, person_id FROM officials",
     "d15_unmatched_audit": "SELECT DISTINCT ON (match_id, role, display_name) * FROM unmatched",
@@ -270,7 +294,7 @@ SQL: dict[str, str] = {
     "d17_person_identifiers": "SELECT * FROM identifiers",
     "d19_silver_build": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in SILVER_ROWS),
     "e01_resolution_paths": "SELECT * FROM players",
-    "s06_document_checks": "SELECT match_id, coalesce(bool_and(registered), true) AS registry_complete, true AS version_supported, true AS has_innings, false AS has_missing_data FROM (SELECT m.match_id, CAST(substr(player_name, 2) AS INTEGER) % 4 <> 0 AS registered FROM m LEFT JOIN squads USING (match_id)) GROUP BY 1",
+    "s06_document_checks": "SELECT match_id, coalesce(bool_and(registered), true) AS registry_complete, true AS version_supported, true AS has_innings, bool_or(k % 23 = 0) AS has_missing_data FROM (SELECT m.match_id, m.k, CAST(substr(player_name, 2) AS INTEGER) % 4 <> 0 AS registered FROM m LEFT JOIN squads USING (match_id)) GROUP BY 1",
     "f01_dim_match": "SELECT * FROM dim_match",
     "f02_dim_player": "SELECT * FROM dim_player",
     "f03_dim_team": "SELECT team_name, max(team_type) AS team_type FROM (SELECT team_a AS team_name, team_type FROM m UNION ALL SELECT team_b, team_type FROM m) GROUP BY 1",
@@ -411,8 +435,13 @@ SQL: dict[str, str] = {
     "j14_latest_per_key": "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM e) WHERE n = 1",
     "j16_latest_archives": "SELECT event_type AS archive, max(day) AS loaded_at, count(*) AS n_files FROM e GROUP BY 1",
     "s01_scd2": "SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER w AS valid_to, lead(event_id) OVER w IS NULL AS is_current FROM (SELECT * FROM (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM e) WHERE p IS NULL OR p <> event_type) WINDOW w AS (PARTITION BY user_id ORDER BY event_id)",
+    "s01_scd2_stored": "SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER w AS valid_to, lead(event_id) OVER w IS NULL AS is_current FROM (SELECT * FROM (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM e) WHERE p IS NULL OR p <> event_type) WINDOW w AS (PARTITION BY user_id ORDER BY event_id)",
     "s03_season_year": "SELECT o_orderkey, year(o_orderdate) AS season_year FROM orders",
     "s05_daily_runs": f"SELECT day, count(*) AS runs, count(*) FILTER (event_type = 'error') AS failed, {r('sum(value)')} AS seconds FROM e GROUP BY 1",
+    "s07_replacements": f"SELECT match_id, innings_number, over_number, delivery_number, row_number() OVER (PARTITION BY match_id, innings_number, over_number, delivery_number ORDER BY scope DESC) AS replacement_number, scope, team, player_in, player_out, role, reason, DATE '2024-01-01' AS _snapshot_date FROM ({SWAPS})",
+    "s07_active_eleven": f"""SELECT match_id, innings_number, over_number, delivery_number, bt AS batting_team, ft AS fielding_team, batter, bowler,
+        max(version) FILTER (side = 'bat') AS batting_version, max(version) FILTER (side = 'field') AS fielding_version, max(eleven) FILTER (side = 'bat') AS batting_eleven, max(eleven) FILTER (side = 'field') AS fielding_eleven,
+        bool_or(has_batter) FILTER (side = 'bat') AS batter_in_eleven, bool_or(has_bowler) FILTER (side = 'field') AS bowler_in_eleven FROM ({ELEVENS}) GROUP BY ALL""",
     "s08_over_features": f"""SELECT *, {r("runs * 6.0::DOUBLE / nullif(legal_balls, 0)")} AS run_rate FROM (
         SELECT *, CAST(sum(over_runs) OVER w AS BIGINT) AS runs, CAST(sum(over_balls) OVER w AS BIGINT) AS legal_balls, CAST(sum(over_wickets) OVER w AS BIGINT) AS wickets FROM (
             SELECT match_id, innings_number, over_number, CAST(sum(runs_total) AS BIGINT) AS over_runs, count(*) FILTER (is_legal_ball) AS over_balls, count(*) FILTER (is_wicket) AS over_wickets FROM f GROUP BY 1, 2, 3)

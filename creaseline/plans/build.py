@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creaseline.operators import identity, silver
 from creaseline.plans import gold
 from creaseline.sinks import tables
 from creaseline.sources import files
 
-#: Silver tables in order of building, those by match with their keys.
-BY_MATCH = ("matches", "innings", "powerplays", "deliveries", "wickets", "registry", "match_players", "match_officials", "unmatched_persons_audit")
-WHOLE = {
-    "teams": "team_name string, team_type string, _snapshot_date date", "venues": "venue_name string, city string, _snapshot_date date", "competitions": "competition_name string, _snapshot_date date",
-}
+#: Silver tables by match, in order of building.
+BY_MATCH = ("matches", "innings", "powerplays", "deliveries", "wickets", "replacements", "registry", "match_players", "match_officials", "unmatched_persons_audit")
+#: Tables over all matches, with their keys.
+WHOLE = {"teams": ["team_name"], "venues": ["venue_name", "city"], "competitions": ["competition_name"]}
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a keyed table."""
     try:
-        tables.layout(spark, path)
+        tables.noted(spark, path)
     except Exception as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
@@ -28,28 +30,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-#: A table of matches gets one bucket for so many matches when it is made.
+#: A table of matches starts with one bucket for so many matches.
 BUCKET_MATCHES = 10_000
 
 
-def put(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None, matches: int) -> int:
-    """Replace the rows of the keys in scope; the first call makes the table, with buckets for that many matches."""
+def put(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None, matches: int | None = None) -> int:
+    """Replace the rows of the keys in scope; the first call makes the table, for that many matches or, uncounted, for its rows. It grows with later ones."""
     if exists(df.sparkSession, path):
         return tables.keyed_replace(df, path, keys, scope)
-    return tables.create_keyed(df, path, keys, max(1, -(-matches // BUCKET_MATCHES)))
+    return tables.create_keyed(df, path, keys, None if matches is None else max(1, -(-matches // BUCKET_MATCHES)))
 
 
 def build_silver(bronze: DataFrame, identifiers: DataFrame, names: DataFrame, folder: str, match_ids: DataFrame | None = None) -> dict[str, int]:
     """Write every Silver table under folder; returns rows written by table.
 
-    match_ids restricts the tables by match, which are replaced match by match; the others always come from all
-    of Bronze and replace their snapshots. Nothing is read or written if match_ids is empty.
+    match_ids restricts the tables by match, which are replaced match by match: only documents in scope are parsed. Teams, venues and
+    competitions always stand for all of Bronze (update_whole). Nothing is read or written if match_ids is empty.
     """
     if match_ids is not None and match_ids.isEmpty():
         return {}
     spark = bronze.sparkSession
-    every = silver.parse(bronze).persist(StorageLevel.MEMORY_AND_DISK)
-    own = every if match_ids is None else silver.parse(files.for_keys(bronze, match_ids)).persist(StorageLevel.MEMORY_AND_DISK)
+    own = silver.parse(bronze if match_ids is None else files.for_keys(bronze, match_ids)).persist(StorageLevel.MEMORY_AND_DISK)
     scope, written = own.select("match_id"), {}
     n = own.count()
     table = lambda name: tables.read_keyed(spark, f"{folder}/{name}")
@@ -59,10 +60,8 @@ def build_silver(bronze: DataFrame, identifiers: DataFrame, names: DataFrame, fo
         written[name] = put(df, f"{folder}/{name}", ["match_id"], scope, n)
 
     try:
-        by_match("matches", silver.matches(own))
-        for name in WHOLE:
-            written[name] = tables.overwrite_partitions(getattr(silver, name)(every), f"{folder}/{name}", ["_snapshot_date"])
-        for name in ("innings", "powerplays", "deliveries", "wickets", "registry"):
+        written |= update_whole(bronze, folder, own if match_ids is None else None)
+        for name in ("matches", "innings", "powerplays", "deliveries", "wickets", "replacements", "registry"):
             by_match(name, getattr(silver, name)(own))
         players = people(silver.players(own), "player_name").persist(StorageLevel.MEMORY_AND_DISK)
         officials = people(silver.officials(own), "official_name").persist(StorageLevel.MEMORY_AND_DISK)
@@ -72,13 +71,106 @@ def build_silver(bronze: DataFrame, identifiers: DataFrame, names: DataFrame, fo
         players.unpersist()
         officials.unpersist()
     finally:
-        every.unpersist()
         own.unpersist()
     return written
 
 
+# -- tables over all matches ------------------------------------------------------------------------
+
+MENTION = ["kind", "name", "detail"]
+
+
+def stale(heads: DataFrame, known: DataFrame) -> DataFrame:
+    """Matches whose mentions are not those of Bronze's latest revision: new, changed or gone ones. Only ids and revisions are read."""
+    return heads.join(known.select("match_id", F.col("head").alias("known")).distinct(), "match_id", "full").where(~F.col("head").eqNullSafe(F.col("known"))).select("match_id")
+
+
+def update_whole(bronze: DataFrame, folder: str, parsed: DataFrame | None = None) -> dict[str, int]:
+    """Bring teams, venues and competitions to what all of Bronze mentions; returns the rows that were written by table.
+
+    `mentions` keeps what each match mentions, `mention_counts` how many matches mention a name with the same particulars. A match that is
+    new or has another latest revision is parsed by a schema without innings; what it mentioned before is counted down, what
+    it mentions now up, and only names whose counts change are written again. So a run costs what changed, and a name
+    that no document mentions any more goes. parsed: all documents, if they are parsed anyway.
+
+    What a run will write is put down whole before any table changes. A run that breaks off is finished by the next one, and writing
+    the same rows twice changes nothing.
+    """
+    spark, pending = bronze.sparkSession, Pending(bronze.sparkSession, folder)
+    written = Counter(pending.apply())
+    heads = bronze.groupBy("match_id").agg(F.max(head()).alias("head"))
+    place, tally = f"{folder}/mentions", f"{folder}/mention_counts"
+    known = exists(spark, place)
+    ids = (stale(heads, tables.read_keyed(spark, place)) if known else heads.select("match_id")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if not ids.isEmpty():
+            docs = parsed if not known and parsed is not None else silver.parse_names(files.for_keys(bronze, ids) if known else bronze)
+            pending.put("mentions", silver.mentions(docs).join(heads, "match_id"))
+            pending.put("matches", ids)
+            count = lambda df, sign: df.where("kind is not null").groupBy(*MENTION, "_snapshot_date").agg((F.count(F.lit(1)) * sign).alias("n"))
+            delta = count(pending["mentions"], 1)
+            if known:
+                delta = delta.unionByName(count(tables.for_key_buckets(spark, place, ["match_id"], ids), -1))
+            pending.put("delta", delta.groupBy(*MENTION, "_snapshot_date").agg(F.sum("n").alias("n")).where("n <> 0"))
+            pending.put("names", pending["delta"].select("kind", "name").distinct())
+            counts = pending["delta"]
+            if known:
+                counts = tables.for_key_buckets(spark, tally, ["kind", "name"], pending["names"]).unionByName(counts)
+            pending.put("counts", counts.groupBy(*MENTION, "_snapshot_date").agg(F.sum("n").alias("n")).where("n > 0"))
+            pending.mark(True)
+            written.update(pending.apply())
+    finally:
+        ids.unpersist()
+    return {table: written[table] for table in WHOLE}
+
+
+class Pending:
+    """What update_whole is about to write, in a folder beside the tables."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder, self.place = spark, folder, f"{folder}/_pending_mentions"
+
+    def put(self, name: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(f"{self.place}/{name}")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.place}/{name}")
+
+    def mark(self, ready: bool) -> None:
+        self.spark.createDataFrame([(ready,)], "ready boolean").coalesce(1).write.mode("overwrite").parquet(f"{self.place}/state")
+
+    def ready(self) -> bool:
+        try:
+            return self["state"].first()["ready"]
+        except Exception as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return False
+
+    def apply(self) -> dict[str, int]:
+        """Write what is pending, if it was put down whole; any number of times."""
+        if not self.ready():
+            return {}
+        names, counts = self["names"], self["counts"]
+        put(counts, f"{self.folder}/mention_counts", ["kind", "name"], names)
+        written = {}
+        for table, keys in WHOLE.items():
+            # by name, not by key: a venue's city is a part of its key, and may have gone
+            gone = names.where(F.col("kind") == table).select(F.col("name").alias(keys[0]))
+            written[table] = put(silver.from_mentions(table, counts), f"{self.folder}/{table}", keys[:1], gone)
+        matches = self["matches"]
+        put(self["mentions"], f"{self.folder}/mentions", ["match_id"], matches)
+        self.mark(False)
+        return written
+
+
+def head() -> Column:
+    """What tells a match's latest revision from others, comparable by size."""
+    return F.struct(F.col("revision").try_cast("int").alias("revision"), F.col("_ingested_at").alias("at"))
+
+
 def silver_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {n: tables.read_keyed(spark, f"{folder}/{n}") for n in BY_MATCH} | {n: spark.read.schema(ddl).parquet(f"{folder}/{n}") for n, ddl in WHOLE.items()}
+    return {n: tables.read_keyed(spark, f"{folder}/{n}") for n in (*BY_MATCH, *WHOLE)}
 
 
 def build_gold(t: dict[str, DataFrame], audit: DataFrame, folder: str) -> dict[str, int]:
@@ -98,7 +190,7 @@ def build_gold(t: dict[str, DataFrame], audit: DataFrame, folder: str) -> dict[s
             df = own[name] = df.persist(StorageLevel.MEMORY_AND_DISK)
         if name == "fact_innings":
             own[name] = df
-        written[name] = put(df, f"{folder}/{name}", ["match_id"] if by_match else keys, ids if by_match else None, n if by_match else 1)
+        written[name] = put(df, f"{folder}/{name}", ["match_id"] if by_match else keys, ids if by_match else None, n if by_match else None)
     own["fact_delivery"].unpersist()
     ids.unpersist()
     return written

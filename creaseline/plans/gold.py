@@ -20,7 +20,7 @@ def first_by(df: DataFrame, keys: list[str], *order) -> DataFrame:
 
 
 def dim_match(t: Tables) -> DataFrame:
-    return t["matches"].drop("player_of_match")
+    return t["matches"].drop("player_of_match", "group_label", "has_missing_data")
 
 
 def dim_player(t: Tables) -> DataFrame:

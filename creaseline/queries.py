@@ -9,11 +9,12 @@ from weakref import WeakKeyDictionary
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from creaseline import standin as S
 from creaseline.functions import metrics as M
-from creaseline.operators import bronze, control, identity, quality, register, silver
-from creaseline.plans import build, gold, marts, reports
+from creaseline.operators import bronze, control, identity, lineup, quality, register, silver
+from creaseline.plans import build, gold, history, marts, reports
 from creaseline.sinks import tables
 from creaseline.sources import files
 
@@ -71,7 +72,7 @@ class Lake(dict):
             return S.documents(spark, d)
         if name == "parsed":
             return silver.parse(self["bronze"])
-        if name in ("matches", "innings", "deliveries", "wickets", "powerplays", "registry", "teams", "venues", "competitions"):
+        if name in ("matches", "innings", "deliveries", "wickets", "powerplays", "registry", "teams", "venues", "competitions", "replacements"):
             return getattr(silver, name)(self["parsed"])
         if name == "people":
             return S.people_csv(spark, d)
@@ -294,6 +295,30 @@ def b09_layout(t: Lake) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+def b09_range_layout(t: Lake) -> DataFrame:
+    """Files of about a fortieth of all lines, by year: whether a year has several, and whether their key ranges follow each other."""
+    path, li = t.scratch(), S.table(t.spark, t.sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    yearly = tables.Layout((("year", "year", "l_shipdate", None),), ("l_orderkey", "l_linenumber"))
+    tables.write_laid_out(li, path, yearly, max(1, li.count() // 40))
+    key = F.struct("l_orderkey", "l_linenumber")
+    each = t.spark.read.parquet(path).groupBy("year", F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
+    follows = F.coalesce(F.col("low") > F.lag("high").over(W.partitionBy("year").orderBy("low")), F.lit(True))
+    return each.withColumn("follows", follows).groupBy("year").agg(F.sum("n").alias("n_rows"), (F.count(F.lit(1)) > 1).alias("split"), F.bool_and("follows").alias("in_order"))
+
+
+def b05_growing_table(t: Lake) -> DataFrame:
+    """Customers come in batches of growing size, each with some that are known; buckets are added on the way. Rows, and whether there are as many buckets as they ask for."""
+    path, c = t.scratch(), S.table(t.spark, t.sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    n, key = c.count(), F.col("c_custkey")
+    size = max(1, n // 64)
+    tables.create_keyed(c.where(key <= size), path, ["c_custkey"], 1, bucket_rows=size)
+    for part in (2, 8, 64):
+        batch = c.where((key > (size * (part // 8) if part > 2 else -1)) & ((key <= size * part) | F.lit(part == 64)))
+        tables.upsert(batch.withColumn("c_acctbal", F.round(F.col("c_acctbal") + part, 2)), path, ["c_custkey"], bucket_rows=size)
+    enough = tables.layout(t.spark, path) >= n // size
+    return tables.read_keyed(t.spark, path).withColumn("enough_buckets", F.lit(enough))
+
+
 def b10_export(t: Lake) -> DataFrame:
     n = tables.export({name: t[name] for name in ("dim_match", "dim_team", "fact_innings", "mart_toss_outcome")}, t.scratch())
     return t.spark.createDataFrame(list(n.items()), "table_name string, n_rows long")
@@ -330,6 +355,8 @@ SINKS: dict[str, Query] = {
     "b07_purge": lake(b07_purge),
     "b08_metadata_columns": lake(lambda t: bronze.with_metadata(S.table(t.spark, t.sf_dir, "nation"), _pipeline_run_id="run-1", n_name="never").select("n_nationkey", "n_name", "_pipeline_run_id")),
     "b09_layout": lake(b09_layout),
+    "b09_range_layout": lake(b09_range_layout),
+    "b05_growing_table": lake(b05_growing_table),
     "b10_export": lake(b10_export),
     "b11_report_csv": lake(b11_report_csv),
     "b12_incremental_scope": lake(lambda t: gold.pending(t["fact_delivery"], t["audit"]).groupBy("match_id").agg(F.count(F.lit(1)).alias("balls"))),
@@ -503,6 +530,13 @@ def grain_and_orphans(t: Lake) -> DataFrame:
     return tables.union(parts)
 
 
+def active_eleven(t: Lake) -> DataFrame:
+    """Every ball with the elevens that stood on the field."""
+    versions = lineup.elevens(lineup.stints(t["match_players"], t["replacements"]))
+    out = lineup.active(lineup.sides(t["deliveries"], t["innings"], t["matches"]), versions)
+    return out.withColumns({f"{side}_eleven": F.array_join(f"{side}_eleven", ",") for side in ("batting", "fielding")})
+
+
 RUN = "run-1"
 
 
@@ -663,6 +697,14 @@ def timed_runs(t: Lake) -> DataFrame:
     return events_as(t).select(F.col("ts").alias("started_at"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"), F.col("value").alias("seconds"), F.concat(F.lit("task-"), (F.col("user_id") % 25).cast("string")).alias("task"))
 
 
+def s01_scd2_stored(t: Lake) -> DataFrame:
+    """The same history, merged from three deliveries of which the last two are late."""
+    e, path = events_as(t).select("user_id", "event_id", "event_type"), t.scratch()
+    for third in (2, 0, 1):
+        history.merge_snapshot(e.where(F.col("event_id") % 3 == third), path, "user_id", "event_id", "event_type")
+    return history.history(t.spark, path)
+
+
 CONTROL: dict[str, Query] = {
     "j02_stamp_bronze": lake(j02_stamp_bronze),
     "j03_stamp_archive": lake(j03_stamp_archive),
@@ -683,10 +725,13 @@ CONTROL: dict[str, Query] = {
     "j14_latest_per_key": lake(lambda t: control.latest_by(events_as(t), ["user_id", "event_type"], F.col("ts").desc(), F.col("event_id").desc()).select("user_id", "event_type", "event_id")),
     "j16_latest_archives": lake(lambda t: control.latest_archives(events_as(t).select(F.col("event_type").alias("archive"), F.col("day").alias("loaded_at"), F.lit(1).alias("n_files")))),
     "s01_scd2": lake(lambda t: control.scd2(events_as(t).select(F.col("user_id"), F.col("event_id"), F.col("event_type")), "user_id", "event_id", "event_type")),
+    "s01_scd2_stored": lake(s01_scd2_stored),
     "s03_season_year": lake(lambda t: S.table(t.spark, t.sf_dir, "orders").select("o_orderkey", M.season_year(F.concat(F.year("o_orderdate").cast("string"), F.lit("/03"))).alias("season_year"))),
     "s05_daily_runs": lake(lambda t: control.daily_runs(timed_runs(t))),
     "s05_top_tasks": lake(lambda t: control.top_tasks(timed_runs(t))),
     "s05_data_freshness": lake(lambda t: control.data_freshness(timed_runs(t), F.lit("2024-02-01").cast("date"))),
+    "s07_replacements": of("replacements"),
+    "s07_active_eleven": lake(active_eleven),
     "s08_over_features": lake(R.over_features),
 }
 

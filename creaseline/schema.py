@@ -2,7 +2,8 @@
 
 _extras = "struct<wides:int,noballs:int,byes:int,legbyes:int,penalty:int>"
 _wickets = "array<struct<player_out:string,kind:string,fielders:array<struct<name:string,substitute:boolean>>>>"
-_ball = f"struct<batter:string,bowler:string,non_striker:string,runs:struct<batter:int,extras:int,total:int,non_boundary:int>,extras:{_extras},wickets:{_wickets}>"
+_replacements = "struct<match:array<struct<team:string,`in`:string,`out`:string,reason:string>>,role:array<struct<`in`:string,`out`:string,reason:string,role:string>>>"
+_ball = f"struct<batter:string,bowler:string,non_striker:string,runs:struct<batter:int,extras:int,total:int,non_boundary:int>,extras:{_extras},wickets:{_wickets},replacements:{_replacements}>"
 _innings = (
     f"struct<team:string,overs:array<struct<over:int,deliveries:array<{_ball}>>>,absent_hurt:array<string>,penalty_runs:struct<pre:int,post:int>,"
     "declared:boolean,forfeited:boolean,target:struct<overs:double,runs:int>,super_over:boolean,powerplays:array<struct<`from`:double,`to`:double,type:string>>>"
@@ -18,5 +19,7 @@ _info = (
 MATCH_DDL = f"struct<meta:struct<data_version:string,created:string,revision:int>,info:{_info},innings:array<{_innings}>>"
 #: What the Bronze header needs.
 HEADER_DDL = "struct<info:struct<city:string,dates:array<string>,gender:string,match_type:string,season:string,teams:array<string>,venue:string>>"
+#: What teams, venues and competitions need.
+NAMES_DDL = "struct<info:struct<city:string,event:struct<name:string,`group`:string>,teams:array<string>,team_type:string,venue:string>>"
 METADATA = ("_snapshot_date", "_ingested_at", "_pipeline_run_id", "_dag_run_id", "_source_file", "_source_url")
 BRONZE_COLUMNS = ("match_id", "revision", "match_type", "gender", "season", "match_date", "team_a", "team_b", "venue", "city", "raw_json")

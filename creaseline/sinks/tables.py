@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: A keyed table gets one bucket for so many rows when it is created.
+#: A keyed table has about one bucket for so many rows.
 BUCKET_ROWS = 1_000_000
 
 
@@ -43,24 +44,51 @@ def delete_snapshot(spark: SparkSession, path: str, day: str, column: str = "_sn
     void.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={day}")
 
 
-def bucket_of(keys: list[str], buckets: int):
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """The bucket of a key among so many, by linear hashing: when one more bucket is added, the rows of one other are split and no others move."""
+    level = buckets.bit_length() - 1
+    h = F.xxhash64(*keys)
+    low, high = h.bitwiseAND(F.lit((1 << level) - 1)), h.bitwiseAND(F.lit((2 << level) - 1))
+    return F.when(low < F.lit(buckets - (1 << level)), high).otherwise(low).cast("int")
+
+
+def split_from(bucket: int, buckets: int) -> int:
+    """The one of the first `buckets` buckets whose rows a later bucket takes over."""
+    while bucket >= buckets:
+        bucket -= 1 << (bucket.bit_length() - 1)
+    return bucket
 
 
 def layout(spark: SparkSession, path: str) -> int:
-    """The number of buckets of a keyed table, which is stored beside its rows."""
-    return spark.read.parquet(f"{path.rstrip('/')}/_layout").first()["buckets"]
+    """The number of buckets of a keyed table. Every bucket has a row at all times, so the table itself tells."""
+    return spark.read.parquet(path).agg(F.max("__bucket")).first()[0] + 1
+
+
+def rows_about(spark: SparkSession, path: str) -> int:
+    """How many rows the table has, as noted at the last change. Only the number of buckets follows from it."""
+    return noted(spark, path).first()["n_rows"]
+
+
+def noted(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("n_rows long").parquet(f"{path.rstrip('/')}/_layout")
+
+
+def note_rows(spark: SparkSession, path: str, n: int) -> None:
+    spark.createDataFrame([(n,)], "n_rows long").coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/_layout")
+
 
+def create_keyed(df: DataFrame, path: str, keys: list[str], buckets: int | None = None, bucket_rows: int | None = None) -> int:
+    """A table that keyed_replace and upsert can change: rows lie in buckets by a hash of their key, about one for BUCKET_ROWS rows.
 
-def create_keyed(df: DataFrame, path: str, keys: list[str], buckets: int | None = None) -> int:
-    """A table that keyed_replace and upsert can change: rows lie in buckets by a hash of their key, one for BUCKET_ROWS rows."""
+    buckets saves counting df first, where the caller knows about how many it needs; later changes add buckets as the table grows.
+    """
     if buckets is None:
-        buckets = max(1, -(-df.count() // BUCKET_ROWS))
+        buckets = max(1, -(-df.count() // (bucket_rows or BUCKET_ROWS)))
     rows = df.withColumns({"__void": F.lit(False), "__bucket": bucket_of(keys, buckets)})
     rows = rows.unionByName(void_rows(df, range(buckets)))
-    n = full_refresh(rows.repartition(buckets, "__bucket"), path, ["__bucket"])
-    df.sparkSession.createDataFrame([(buckets,)], "buckets int").write.parquet(f"{path.rstrip('/')}/_layout")
-    return n - buckets
+    n = full_refresh(rows.repartition(buckets, "__bucket"), path, ["__bucket"]) - buckets
+    note_rows(df.sparkSession, path, n)
+    return n
 
 
 def void_rows(df: DataFrame, buckets) -> DataFrame:
@@ -73,39 +101,75 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).where("not __void").drop("__bucket", "__void")
 
 
-def _rewrite(spark: SparkSession, path: str, keys: list[str], touched: DataFrame, change) -> None:
-    """Rewrite the buckets of the touched keys in one dynamic overwrite: change(old rows) gives their new rows.
+#: Up to so many buckets are named one by one in the filter that a scan prunes by; more are joined, which prunes at run time.
+NAMED_BUCKETS = 1_000
+
+
+def in_buckets(table: DataFrame, hit: list[int]) -> DataFrame:
+    if len(hit) <= NAMED_BUCKETS:
+        return table.where(F.col("__bucket").isin(hit))
+    return table.join(F.broadcast(table.sparkSession.createDataFrame([(b,) for b in hit], "__bucket int")), "__bucket", "left_semi")  # at most a number a bucket
+
+
+def staged(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """df written once beside the table, and its rows: what a change reads several times is computed once. The next change replaces it."""
+    place = f"{path.rstrip('/')}/_staged"
+    n = observed_write(df, place, "overwrite")
+    return df.sparkSession.read.schema(df.schema).parquet(place), n
 
-    A dynamic overwrite leaves partitions alone that the new rows don't reach, so every touched bucket gets one void row,
-    which read_keyed leaves out.
+
+def _rewrite(spark: SparkSession, path: str, keys: list[str], touched: DataFrame, added: int, change, bucket_rows: int | None = None) -> None:
+    """Rewrite the buckets of the touched keys in one dynamic overwrite: change(old rows) gives their new rows, at most `added` more.
+
+    The table gets as many buckets as its rows ask for. Those that are split are rewritten with the touched ones; no other is read.
+    A dynamic overwrite leaves partitions alone that the new rows don't reach, so every bucket gets one void row, which read_keyed
+    leaves out.
     """
-    buckets = layout(spark, path)
-    hit = [r[0] for r in touched.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]  # at most `buckets` numbers
+    buckets, rows = layout(spark, path), rows_about(spark, path)
+    hit = {r[0] for r in touched.select(bucket_of(keys, buckets).alias("b")).distinct().collect()}  # at most `buckets` numbers
     if not hit:
         return
-    old = spark.read.parquet(path).where(F.col("__bucket").isin(hit) & ~F.col("__void")).drop("__bucket", "__void")
-    new = change(old).withColumns({"__void": F.lit(False), "__bucket": bucket_of(keys, buckets)})
-    overwrite_partitions(new.unionByName(void_rows(old, hit)).repartition(len(hit), "__bucket"), path, ["__bucket"])
+    grown = max(buckets, -(-(rows + added) // (bucket_rows or BUCKET_ROWS)))
+    new = range(buckets, grown)
+    hit |= {split_from(b, buckets) for b in new}
+    old = in_buckets(spark.read.parquet(path), sorted(hit)).where(~F.col("__void")).drop("__bucket", "__void")
+    before = old.count()  # one Boolean column of the buckets
+    out = change(old).withColumns({"__void": F.lit(False), "__bucket": bucket_of(keys, grown)})
+    written = sorted(hit | set(new))
+    kept = overwrite_partitions(out.unionByName(void_rows(old, written)).repartition(len(written), "__bucket"), path, ["__bucket"]) - len(written)
+    note_rows(spark, path, rows + kept - before)
+
 
+def named_as(keys: list[str], wanted: DataFrame) -> tuple[DataFrame, Column]:
+    """The keys under other names, and the condition that a row has one of them, null being equal to null."""
+    other = wanted.select(*[F.col(k).alias(f"__gone_{k}") for k in keys])
+    return other, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__gone_{k}")) for k in keys))
 
-def keyed_replace(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None = None) -> int:
+
+def for_key_buckets(spark: SparkSession, path: str, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """The rows of the wanted keys; only their buckets are read."""
+    buckets = layout(spark, path)
+    hit = sorted(r[0] for r in wanted.select(bucket_of(keys, buckets).alias("b")).distinct().collect())  # at most `buckets` numbers
+    named, same = named_as(keys, wanted)
+    return in_buckets(spark.read.parquet(path), hit).where("not __void").drop("__bucket", "__void").join(named, same, "left_semi")
+
+
+def keyed_replace(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None = None, bucket_rows: int | None = None) -> int:
     """Delete the keys in df (and in scope: keys that were processed even if no row is left), then insert df. Returns the rows of df."""
     if not keys:
         raise ValueError("keys are needed")
+    df, n = staged(df, path)
     gone = df.select(*keys) if scope is None else df.select(*keys).unionByName(scope.select(*keys))
-    gone, seen = gone.distinct(), Observation()
-    if gone.isEmpty():
-        return 0
-    named = gone.select(*[F.col(k).alias(f"__gone_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__gone_{k}")) for k in keys))
-    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    _rewrite(df.sparkSession, path, keys, gone, lambda old: old.join(named, same, "left_anti").unionByName(counted))
-    return seen.get["n"]
+    gone = gone.distinct()
+    named, same = named_as(keys, gone)
+    _rewrite(df.sparkSession, path, keys, gone, n, lambda old: old.join(named, same, "left_anti").unionByName(df), bucket_rows)
+    return n
 
 
-def upsert(df: DataFrame, path: str, keys: list[str], update_cols: list[str] | None = None) -> None:
+def upsert(df: DataFrame, path: str, keys: list[str], update_cols: list[str] | None = None, bucket_rows: int | None = None) -> None:
     """Rows with a known key update the given columns (all by default), others are inserted."""
-    _rewrite(df.sparkSession, path, keys, df, lambda old: merged(old, df, keys, update_cols))
+    df, n = staged(df, path)
+    _rewrite(df.sparkSession, path, keys, df, n, lambda old: merged(old, df, keys, update_cols), bucket_rows)
 
 
 def merged(old: DataFrame, new: DataFrame, keys: list[str], update_cols: list[str] | None = None) -> DataFrame:
@@ -125,8 +189,53 @@ def purge_before(spark: SparkSession, folder: str, names: list[str], day: str, o
     return {n: full_refresh(spark.read.parquet(f"{folder}/{n}").where(F.col(column) >= F.lit(day)), f"{out}/{n}", [column]) for n in names}
 
 
-def laid_out(df: DataFrame, partition_by: list[str], order_by: list[str]) -> DataFrame:
-    return df.repartition(*partition_by).sortWithinPartitions(*partition_by, *order_by)
+#: Rows of a file of a laid-out table.
+FILE_ROWS = 1_000_000
+#: Partition columns out of others: the transforms that a layout can name.
+TRANSFORMS = {
+    "identity": lambda c, _: c,
+    "year": lambda c, _: F.year(c),
+    "month": lambda c, _: F.date_format(c, "yyyy-MM"),
+    "day": lambda c, _: c.cast("date"),
+    "bucket": lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int"),
+    "truncate": lambda c, n: F.substring(c.cast("string"), 1, n),
+}
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a table lies: partition columns as (name, transform, source column, width), and the order of rows in and over the files of a partition."""
+
+    partition: tuple[tuple[str, str, str, int | None], ...]
+    order: tuple[str, ...] = ()
+
+    def names(self) -> list[str]:
+        return [name for name, *_ in self.partition]
+
+    def with_partitions(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({name: TRANSFORMS[kind](F.col(source), width) for name, kind, source, width in self.partition})
+
+
+def by(*columns: str, order: tuple[str, ...] = ()) -> Layout:
+    """Identity partitions."""
+    return Layout(tuple((c, "identity", c, None) for c in columns), order)
+
+
+def laid_out(df: DataFrame, partition_by: list[str], order_by: list[str], file_rows: int = FILE_ROWS) -> DataFrame:
+    """df dealt to files of about file_rows rows: ranges of (partition, order) that Spark cuts at sampled quantiles.
+
+    A partition value with many rows is cut into many ranges, each a task and a file of its own, which follow each other in order, so
+    their statistics prune; small values share a task. One value never waits for a single writer.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (*partition_by, *order_by)]
+    ranges = max(1, -(-df.count() // file_rows))
+    return df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+
+
+def write_laid_out(df: DataFrame, path: str, layout: Layout, file_rows: int = FILE_ROWS, overwrite_touched: bool = False) -> int:
+    """Write df as its layout says: all of the table, or only the partitions that df holds."""
+    rows = laid_out(layout.with_partitions(df), layout.names(), list(layout.order), file_rows)
+    return (overwrite_partitions if overwrite_touched else full_refresh)(rows, path, layout.names())
 
 
 def export(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:

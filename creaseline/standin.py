@@ -83,7 +83,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     extras = F.struct(*[F.col(f"extra_{e}").alias(e) for e in ("wides", "noballs", "byes", "legbyes")])
     more = sum((F.coalesce(F.col(f"extra_{e}"), F.lit(0)) for e in ("wides", "noballs", "byes", "legbyes")), F.lit(0))
     runs = F.struct(F.col("runs_batter").alias("batter"), more.alias("extras"), (F.col("runs_batter") + more).alias("total"))
-    ball = F.struct("delivery_number", F.struct("batter", "bowler", "non_striker", runs.alias("runs"), extras.alias("extras"), fell.alias("wickets")).alias("ball"))
+    sub = lambda p, by: F.concat(F.lit(p), (supp % by).cast("string")).alias("in")
+    reason = F.when(part % 2 == 0, "concussion_substitute").otherwise("injury").alias("reason")
+    eleven = F.when(part % 41 == 0, F.array(F.struct(sub("S", 3), F.col("batter").alias("out"), reason))).when(part % 53 == 0, F.array(F.struct(sub("F", 2), F.col("bowler").alias("out"), reason)))
+    role = F.when(part % 37 == 0, F.array(F.struct(sub("Q", 9), F.col("bowler").alias("out"), reason, F.lit("bowler").alias("role"))))
+    swaps = F.when(eleven.isNotNull() | role.isNotNull(), F.struct(eleven.alias("match"), role.alias("role")))
+    ball = F.struct("delivery_number", F.struct("batter", "bowler", "non_striker", runs.alias("runs"), extras.alias("extras"), fell.alias("wickets"), swaps.alias("replacements")).alias("ball"))
     overs = ball_rows(spark, sf_dir).groupBy("match_id", "innings_number", "over_number").agg(F.sort_array(F.collect_list(ball)).alias("balls"), F.collect_set("batter").alias("bat"), F.collect_set("bowler").alias("bowl"))
     over = F.struct(F.col("over_number").alias("over"), F.transform("balls", lambda b: b["ball"]).alias("deliveries"))
     inns = overs.groupBy("match_id", "innings_number").agg(F.sort_array(F.collect_list(over)).alias("overs"), F.array_distinct(F.flatten(F.collect_list("bat"))).alias("bat"), F.array_distinct(F.flatten(F.collect_list("bowl"))).alias("bowl"))
@@ -106,8 +111,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = F.map_from_arrays(registered, F.transform(registered, lambda n: F.concat(F.lit("r-"), n)))
     umpire = lambda prefix, by: F.array(F.concat(F.lit(prefix), (key % by).cast("string")))
     info = F.struct(
-        "balls_per_over", "city", F.array(F.col("match_date").cast("string")).alias("dates"), F.when(F.col("event_name").isNotNull(), F.struct(F.col("event_name").alias("name"), F.col("event_number").alias("match_number"))).alias("event"),
-        "gender", "match_type", F.struct(umpire("U", 23).alias("umpires"), umpire("U", 29).alias("tv_umpires"), umpire("R", 5).alias("match_referees")).alias("officials"),
+        "balls_per_over", "city", F.array(F.col("match_date").cast("string")).alias("dates"), F.when(F.col("event_name").isNotNull(), F.struct(F.col("event_name").alias("name"), F.col("event_number").alias("match_number"), F.when(key % 4 == 1, pick(("A", "B", "C"), key)).alias("group"))).alias("event"),
+        "gender", "match_type", F.when(key % 23 == 0, F.array(F.lit("umpires"))).alias("missing"), F.struct(umpire("U", 23).alias("umpires"), umpire("U", 29).alias("tv_umpires"), umpire("R", 5).alias("match_referees")).alias("officials"),
         F.struct(F.struct(F.col("win_by_runs").alias("runs"), F.col("win_by_wickets").alias("wickets")).alias("by"), "winner", F.col("outcome_result").alias("result"), F.col("outcome_method").alias("method")).alias("outcome"),
         F.col("limit_overs").alias("overs"), "player_of_match", F.map_from_arrays(F.array("team_a", "team_b"), F.array(squad(1, 2), squad(2, 1))).alias("players"),
         F.struct(people.alias("people")).alias("registry"), "season", F.array("team_a", "team_b").alias("teams"), F.when(key % 4 == 0, "club").otherwise("international").alias("team_type"),
