@@ -58,7 +58,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     several = cut(gone.where("not copy").select("__key"))  # of repeated rows that stay, one is left
     if several.isEmpty():
         return kept
-    merged = rows.join(several, "__key").groupBy("__key").agg(F.min(F.struct(*columns(docs))).alias("row"))
+    whole = F.struct(*columns(docs))  # compared as text: maps have no order
+    merged = rows.join(several, "__key").groupBy("__key").agg(F.min_by(whole, F.to_json(whole)).alias("row"))
     return kept.unionByName(merged.select("row.*"))
 
 

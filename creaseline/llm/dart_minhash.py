@@ -249,7 +249,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and class_id, the smallest doc_id of its class of near-duplicates: one row per row of docs."""
+    """One row per row of docs: doc_id; class_id, the smallest doc_id of its class of near-duplicates; row_key, and class_key, equal for all rows of a class.
+
+    Rows without a doc_id are told apart by row_key and their classes by class_key (a row without words is its own class); class_id is null if no
+    row of the class has a doc_id.
+    """
     out = classes(docs, similarity, bands, rows, width, id_col, text_col)
     own = F.when(F.col("label.least") != LAST, F.col("label.least"))
-    return out.select("doc_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(own).alias("class_id"))
+    return out.select("doc_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(own).alias("class_id"), "row_key", F.when(F.col("label").isNull(), F.hex("row_key")).otherwise(F.hex("label.fp")).alias("class_key"))

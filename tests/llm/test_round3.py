@@ -226,3 +226,33 @@ def test_other_vocabularies_run_in_their_library():
 def test_lengths_that_do_not_fit(spark):
     with pytest.raises(ValueError, match="fit"):
         best_fit_packing.pack(spark.createDataFrame([(1, 3000)], "doc_id long, length long"))
+
+
+# -- near-duplicates and the pipeline ---------------------------------------------------------------
+
+
+def test_classes_of_rows_without_ids(spark):
+    from creaseline.llm import dart_minhash
+
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(None, a), (None, a + " more"), (None, b), (None, b + " more"), (None, "alone in here with six words"), (None, None), (5, a), (None, "")]
+    got = dart_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) == len({r.row_key for r in got})
+    classes = defaultdict(list)
+    for r in got:
+        classes[r.class_key].append((r.doc_id, r.class_id))
+    assert sorted((len(x), str(sorted(x, key=str))) for x in classes.values()) == sorted([(3, "[(5, 5), (None, 5), (None, 5)]"), (2, "[(None, None), (None, None)]"), *[(1, "[(None, None)]")] * 3])
+
+
+def test_repeated_rows_with_maps_arrays_and_structs(spark):
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(50))
+    df = spark.createDataFrame([(1, text), (1, text), (2, text), (3, None), (3, None), (4, "other words here")], "doc_id long, text string")
+    more = {"m": F.create_map(F.lit("k"), F.col("doc_id")), "a": F.array("doc_id", F.lit(None)), "s": F.struct(F.col("text").alias("x"), F.create_map(F.lit(1), F.lit(2)).alias("y")), "b": F.encode("text", "UTF-8")}
+    for name, stage in corpus_pipeline.STAGES:
+        if name in ("near_dedup", "secrets", "tokenize"):
+            out = stage(spark, df.withColumns(more), "")
+            rows = out.collect()
+            assert sorted(r.doc_id for r in rows) == ([1, 3, 4] if name == "near_dedup" else [1, 1, 2, 3, 3, 4]), name
+            assert all(r.m == {"k": r.doc_id} and r.a == [r.doc_id, None] for r in rows)
