@@ -203,6 +203,8 @@ def model_tests() -> list[tuple[str, str, str, str, str]]:
     return [*out, ("fact_player_of_match", f"({AWARD})", "match_id", "relationships", "count(*) FILTER (match_id NOT IN (SELECT match_id FROM dim_match))")]
 
 
+LINES = """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS k, l_orderkey % 3 AS third, CAST(CASE WHEN l_orderkey % 3 = 2 THEN l_quantity ELSE CAST(l_quantity AS INTEGER) END AS DOUBLE) AS n,
+    CASE WHEN l_orderkey % 3 = 1 THEN l_tax END AS tax, l_partkey AS part, CASE WHEN l_orderkey % 3 = 1 THEN l_suppkey END AS supplier, CASE WHEN l_orderkey % 3 = 1 THEN l_returnflag END AS flag FROM lineitem"""
 SWAPS = """SELECT * EXCLUDE (n), CASE WHEN l_partkey % 2 = 0 THEN 'concussion_substitute' ELSE 'injury' END AS reason FROM (
     SELECT x.match_id, innings_number, over_number, delivery_number, l_partkey, 'role' AS scope, CASE WHEN innings_number = 1 THEN team_b ELSE team_a END AS team, 'Q' || (l_suppkey % 9) AS player_in, bowler AS player_out, 'bowler' AS role, 1 AS n FROM b x JOIN m USING (match_id) WHERE l_partkey % 37 = 0
     UNION ALL SELECT x.match_id, innings_number, over_number, delivery_number, l_partkey, 'match', CASE WHEN (innings_number = 1) = (l_partkey % 41 = 0) THEN team_a ELSE team_b END, CASE WHEN l_partkey % 41 = 0 THEN 'S' || (l_suppkey % 3) ELSE 'F' || (l_suppkey % 2) END, CASE WHEN l_partkey % 41 = 0 THEN batter ELSE bowler END, NULL, 2
@@ -225,6 +227,7 @@ NAMED = "(SELECT cricsheet_name FROM shown WHERE display_name = 'Star 8')"
 
 SQL: dict[str, str] = {
     "a01_landing_scan": f"SELECT file_name, content_hash, size FROM ({MONTHS})",
+    "a01_stream_restart": "SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS match_id, '1' AS revision, CAST(count(*) AS VARCHAR) AS season FROM orders GROUP BY 1",
     "a02_header_projection": "SELECT match_id, true AS ok, match_type, gender, season, CAST(match_date AS VARCHAR) AS match_date, team_a, team_b, venue, coalesce(city, '') AS city FROM m",
     "a03_register_csv": "SELECT identifier, name, unique_name FROM people_rows",
     "a04_filtered_projection": "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45",
@@ -265,6 +268,9 @@ SQL: dict[str, str] = {
     "b12_incremental_gold": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in (("dim_match", "m"), ("dim_team", "(SELECT team_a FROM m UNION SELECT team_b FROM m)"), ("dim_venue", "(SELECT DISTINCT venue FROM m)"), ("dim_competition", "(SELECT DISTINCT event_name FROM m WHERE event_name IS NOT NULL)"), ("fact_delivery", "f"), ("fact_innings", "innings"), ("fact_match_result", "m"), ("fact_player_match", "fp"), ("fact_player_of_match", f"({AWARD})"))),
     "b13_full_refresh": NEW,
     "c01_content_skip": "SELECT doc_id, sha256(text) AS content_hash FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 3 = 0)",
+    "c01_indexed_skip": """SELECT doc_id, content_hash, load FROM (SELECT *, min(load) OVER (PARTITION BY content_hash) AS first FROM (SELECT doc_id, sha256(coalesce(text, '')) AS content_hash, CASE doc_id % 8 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS load FROM documents)) WHERE load = first""",
+    "c11_indexed_loads": """SELECT match_id, CASE WHEN k % 10 = 3 THEN 'rejected' ELSE '1' END AS revision, '' AS venue, CASE WHEN k % 10 <> 3 THEN DATE '2023-12-01' END AS _snapshot_date FROM m
+        UNION ALL SELECT match_id, '2', 'new', DATE '2024-01-01' FROM m WHERE k % 5 = 0""",
     "c02_max_revision": f"SELECT match_id, max(CAST(revision AS BIGINT)) AS max_revision FROM ({LANDED}) GROUP BY 1",
     "c03_revision_assignment": f"SELECT n.match_id, n.file_name, CAST(coalesce(x, 0) + row_number() OVER (PARTITION BY n.match_id ORDER BY n.file_name) AS VARCHAR) AS revision FROM (SELECT match_id, lpad(CAST(event_id AS VARCHAR), 12, '0') AS file_name FROM ({LANDED}) WHERE event_id % 2 = 1) n LEFT JOIN (SELECT match_id, max(CAST(revision AS BIGINT)) AS x FROM ({LANDED}) WHERE event_id % 2 = 0 GROUP BY 1) o USING (match_id)",
     "c04_idempotency": "SELECT d AS snapshot_date, exists(SELECT 1 FROM e WHERE CAST(day AS VARCHAR) = d AND event_type <> 'error') AS loaded, false AS loaded_with_force FROM (VALUES ('2024-01-05'), ('2024-01-06'), ('2031-01-01')) v(d)",
@@ -430,6 +436,8 @@ SQL: dict[str, str] = {
     "j10_schema_drift": f"""SELECT table_name, snapshot, CASE WHEN first THEN 'INITIAL' WHEN a > 0 THEN 'ADD' WHEN d > 0 AND t > 0 THEN 'ADD' WHEN d > 0 THEN 'DROP' WHEN t > 0 THEN 'TYPE_CHANGE' ELSE 'NO_CHANGE' END AS change FROM (
         SELECT table_name, snapshot, p IS NULL AS first, len(list_filter(c, lambda x: NOT list_contains(p, x))) AS a, len(list_filter(p, lambda x: NOT list_contains(c, x))) AS d, len(list_filter(ct, lambda x: list_contains(p, split_part(x, ':', 1)) AND NOT list_contains(pt, x))) AS t FROM (
         SELECT *, lag(c) OVER w AS p, lag(ct) OVER w AS pt FROM (SELECT table_name, snapshot, list(column_name) AS c, list(column_name || ':' || column_type) AS ct FROM ({CATALOG}) GROUP BY 1, 2) WINDOW w AS (PARTITION BY table_name ORDER BY snapshot)))""",
+    "j10_evolving_append": f"SELECT k, n, tax, part, supplier, flag FROM ({LINES})",
+    "j10_evolving_replace": f"SELECT k, n, tax, part, supplier, CASE WHEN third = 0 AND n % 2 = 0 THEN 'again' ELSE flag END AS flag FROM ({LINES})",
     "j11_row_count_log": f"SELECT *, n_rows - before AS delta, {r('(n_rows - before) * 100.0::DOUBLE / before', 4)} AS delta_pct, coalesce(abs({r('(n_rows - before) * 100.0::DOUBLE / before', 4)}) > 5, false) AS anomaly FROM (SELECT event_type, day, n_rows, lag(n_rows) OVER (PARTITION BY event_type ORDER BY day) AS before FROM (SELECT event_type, day, count(*) AS n_rows FROM e GROUP BY 1, 2))",
     "j13_snapshot_diff": "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'new' WHEN c_custkey % 5 = 0 THEN 'removed' ELSE 'changed' END AS change FROM customer WHERE (c_custkey % 7 = 0) <> (c_custkey % 5 = 0) OR (c_custkey % 7 <> 0 AND c_custkey % 5 <> 0 AND c_custkey % 4 = 0 AND round(c_acctbal, 2) <> 0.5)",
     "j14_latest_per_key": "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM e) WHERE n = 1",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from creaseline.operators import identity, silver
 from creaseline.plans import gold
+from creaseline.plans.pending import Pending
 from creaseline.sinks import tables
 from creaseline.sources import files
 
@@ -19,24 +20,13 @@ BY_MATCH = ("matches", "innings", "powerplays", "deliveries", "wickets", "replac
 WHOLE = {"teams": ["team_name"], "venues": ["venue_name", "city"], "competitions": ["competition_name"]}
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a keyed table."""
-    try:
-        tables.noted(spark, path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return False
-    return True
-
-
 #: A table of matches starts with one bucket for so many matches.
 BUCKET_MATCHES = 10_000
 
 
 def put(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None, matches: int | None = None) -> int:
     """Replace the rows of the keys in scope; the first call makes the table, for that many matches or, uncounted, for its rows. It grows with later ones."""
-    if exists(df.sparkSession, path):
+    if tables.keyed_exists(df.sparkSession, path):
         return tables.keyed_replace(df, path, keys, scope)
     return tables.create_keyed(df, path, keys, None if matches is None else max(1, -(-matches // BUCKET_MATCHES)))
 
@@ -96,11 +86,11 @@ def update_whole(bronze: DataFrame, folder: str, parsed: DataFrame | None = None
     What a run will write is put down whole before any table changes. A run that breaks off is finished by the next one, and writing
     the same rows twice changes nothing.
     """
-    spark, pending = bronze.sparkSession, Pending(bronze.sparkSession, folder)
-    written = Counter(pending.apply())
+    spark, pending = bronze.sparkSession, Pending(bronze.sparkSession, f"{folder}/_pending_mentions")
+    written = Counter(finish(pending, folder))
     heads = bronze.groupBy("match_id").agg(F.max(head()).alias("head"))
     place, tally = f"{folder}/mentions", f"{folder}/mention_counts"
-    known = exists(spark, place)
+    known = tables.keyed_exists(spark, place)
     ids = (stale(heads, tables.read_keyed(spark, place)) if known else heads.select("match_id")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if not ids.isEmpty():
@@ -118,50 +108,27 @@ def update_whole(bronze: DataFrame, folder: str, parsed: DataFrame | None = None
                 counts = tables.for_key_buckets(spark, tally, ["kind", "name"], pending["names"]).unionByName(counts)
             pending.put("counts", counts.groupBy(*MENTION, "_snapshot_date").agg(F.sum("n").alias("n")).where("n > 0"))
             pending.mark(True)
-            written.update(pending.apply())
+            written.update(finish(pending, folder))
     finally:
         ids.unpersist()
     return {table: written[table] for table in WHOLE}
 
 
-class Pending:
-    """What update_whole is about to write, in a folder beside the tables."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self.place = spark, folder, f"{folder}/_pending_mentions"
-
-    def put(self, name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.place}/{name}")
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.place}/{name}")
-
-    def mark(self, ready: bool) -> None:
-        self.spark.createDataFrame([(ready,)], "ready boolean").coalesce(1).write.mode("overwrite").parquet(f"{self.place}/state")
-
-    def ready(self) -> bool:
-        try:
-            return self["state"].first()["ready"]
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return False
-
-    def apply(self) -> dict[str, int]:
-        """Write what is pending, if it was put down whole; any number of times."""
-        if not self.ready():
-            return {}
-        names, counts = self["names"], self["counts"]
-        put(counts, f"{self.folder}/mention_counts", ["kind", "name"], names)
-        written = {}
-        for table, keys in WHOLE.items():
-            # by name, not by key: a venue's city is a part of its key, and may have gone
-            gone = names.where(F.col("kind") == table).select(F.col("name").alias(keys[0]))
-            written[table] = put(silver.from_mentions(table, counts), f"{self.folder}/{table}", keys[:1], gone)
-        matches = self["matches"]
-        put(self["mentions"], f"{self.folder}/mentions", ["match_id"], matches)
-        self.mark(False)
-        return written
+def finish(pending: Pending, folder: str) -> dict[str, int]:
+    """Write what is pending, if it was put down whole; any number of times."""
+    if not pending.ready():
+        return {}
+    names, counts = pending["names"], pending["counts"]
+    put(counts, f"{folder}/mention_counts", ["kind", "name"], names)
+    written = {}
+    for table, keys in WHOLE.items():
+        # by name, not by key: a venue's city is a part of its key, and may have gone
+        gone = names.where(F.col("kind") == table).select(F.col("name").alias(keys[0]))
+        written[table] = put(silver.from_mentions(table, counts), f"{folder}/{table}", keys[:1], gone)
+    matches = pending["matches"]
+    put(pending["mentions"], f"{folder}/mentions", ["match_id"], matches)
+    pending.mark(False)
+    return written
 
 
 def head() -> Column:

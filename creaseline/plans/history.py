@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from creaseline.operators.control import one_each
-from creaseline.plans.build import put, exists
+from creaseline.plans.build import put
 from creaseline.sinks import tables
 
 
@@ -48,7 +48,7 @@ def merge_snapshot(rows: DataFrame, path: str, key: str, snapshot: str, *tracked
     read and written. A repeated delivery of a snapshot replaces its earlier values; of rows that tie within one the largest values count.
     """
     spark, observed = rows.sparkSession, one_each(rows, key, snapshot, tracked)
-    if not exists(spark, path):
+    if not tables.keyed_exists(spark, path):
         return put(first_history(observed, key), path, [key], None)
     stored = tables.for_key_buckets(spark, path, [key], observed.select(key).distinct())
     return put(with_snapshots(stored, observed, key, tracked), path, [key], None)

@@ -15,8 +15,10 @@ from creaseline import standin as S
 from creaseline.functions import metrics as M
 from creaseline.operators import bronze, control, identity, lineup, quality, register, silver
 from creaseline.plans import build, gold, history, marts, reports
-from creaseline.sinks import tables
+from creaseline.plans.landing import Landing
+from creaseline.sinks import content_index, evolving, tables
 from creaseline.sources import files
+from creaseline.streaming.landing import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 HOME = ("City 1", "City 2", "City 3")
@@ -153,6 +155,18 @@ def landing(t: Lake) -> str:
     return folder
 
 
+def a01_stream_restart(t: Lake) -> DataFrame:
+    """A document for each month of orders: odd months land and are streamed in, then all do, under a checkpoint that knows nothing of the first run."""
+    folder, out = t.scratch(), t.scratch()
+    month, key = F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.month("o_orderdate") % 2
+    o = S.table(t.spark, t.sf_dir, "orders").groupBy(month, key.alias("odd")).agg(F.count(F.lit(1)).cast("string").alias("n"))
+    text = o.select("month", "odd", F.to_json(F.struct(F.struct(F.col("n").alias("season"), F.lit("T20").alias("match_type"), F.col("month").alias("venue")).alias("info"))).alias("line"))
+    for odd, checkpoint in ((1, "first"), (0, "second")):
+        text.where(F.col("odd") == odd).select("month", "line").repartition("month").write.mode("append").partitionBy("month").text(folder)
+        ingest_available(t.spark, folder, f"{out}/bronze", f"{out}/rejects", f"{out}/{checkpoint}", glob="*.txt", name=MONTHS["name"])
+    return t.spark.read.parquet(f"{out}/bronze").select("match_id", "revision", "season")
+
+
 MONTHS = {"glob": "*.txt", "name": r"month=([^/]+)/"}
 
 
@@ -197,6 +211,7 @@ def a17_info_pivot(t: Lake) -> DataFrame:
 
 SOURCES: dict[str, Query] = {
     "a01_landing_scan": lake(lambda t: files.landing_json(t.spark, landing(t), **MONTHS).select("file_name", "content_hash", "size")),
+    "a01_stream_restart": lake(a01_stream_restart),
     "a02_header_projection": lake(lambda t: bronze.header(t["bronze"].select("match_id", "raw_json")).drop("raw_json")),
     "a03_register_csv": lake(lambda t: register.people(files.register_csv(t.spark, csv_of(t, t["people"])))),
     "a04_filtered_projection": lake(lambda t: files.read(S.table(t.spark, t.sf_dir, "lineitem"), ["l_orderkey", "l_quantity"], "l_returnflag = 'R' and l_quantity > 45")),
@@ -379,6 +394,34 @@ def landed_new(t: Lake) -> DataFrame:
     return bronze.new_content(d.select("doc_id", F.sha2("text", 256).alias("content_hash")), known)
 
 
+def c01_indexed_skip(t: Lake) -> DataFrame:
+    """Documents in three loads of growing size, each looked up in the index of what came before."""
+    d, folder = S.table(t.spark, t.sf_dir, "documents"), t.scratch()
+    rows = d.select("doc_id", F.col("doc_id").cast("string").alias("match_id"), F.lit("1").alias("revision"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("content_hash"))
+    parts = [rows.where(F.col("doc_id") % 8 == 0), rows.where(F.col("doc_id") % 8 == 1), rows.where(F.col("doc_id") % 8 > 1)]
+    content_index.create(rows.limit(0), folder)
+    found = []
+    for number, part in enumerate(parts):
+        fresh = content_index.unknown(part, folder).select("doc_id", "content_hash", F.lit(number).alias("load"), "match_id", "revision")
+        place = t.scratch()
+        fresh.write.parquet(place)
+        found.append(t.spark.read.parquet(place))
+        content_index.remember(found[-1], folder)
+    return tables.union(found).select("doc_id", "content_hash", "load")
+
+
+def c11_indexed_loads(t: Lake) -> DataFrame:
+    """Two loads of match files, of which the second brings all files again and corrected texts for every fifth match: (match_id, revision) in Bronze and rejects."""
+    key, place = F.col("match_id").cast("long"), Landing(t.spark, t.scratch())
+    files_of = lambda text, df: df.select(F.concat("match_id", F.lit(".json")).alias("file_name"), "match_id", text.alias("raw_json"), F.sha2(text, 256).alias("content_hash"))
+    text = F.when(key % 10 == 3, F.concat(F.lit("not json "), "match_id")).otherwise(F.to_json(F.struct(F.struct(F.col("match_id").alias("season")).alias("info"))))
+    fixed = F.to_json(F.struct(F.struct(F.col("match_id").alias("season"), F.lit("new").alias("venue")).alias("info")))
+    ids = t["bronze"].select("match_id")
+    place.load(files_of(text, ids), "first", S.BEFORE)
+    place.load(files_of(text, ids).unionByName(files_of(fixed, ids.where(key % 5 == 0))), "second", S.SNAPSHOT)
+    return place.bronze().select("match_id", "revision", "venue", "_snapshot_date").unionByName(t.spark.read.parquet(place.rejects_path).select("match_id", F.lit("rejected").alias("revision"), "venue", F.lit(None).cast("date").alias("_snapshot_date")))
+
+
 def assigned(t: Lake) -> DataFrame:
     e = events_as(t)
     old = revised(t).where("event_id % 2 = 0")
@@ -433,6 +476,8 @@ def i33_rerun(t: Lake) -> DataFrame:
 
 BRONZE: dict[str, Query] = {
     "c01_content_skip": lake(landed_new),
+    "c01_indexed_skip": lake(c01_indexed_skip),
+    "c11_indexed_loads": lake(c11_indexed_loads),
     "c02_max_revision": lake(lambda t: bronze.max_revision(revised(t))),
     "c03_revision_assignment": lake(assigned),
     "c04_idempotency": lake(c04_idempotency),
@@ -697,6 +742,39 @@ def timed_runs(t: Lake) -> DataFrame:
     return events_as(t).select(F.col("ts").alias("started_at"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"), F.col("value").alias("seconds"), F.concat(F.lit("task-"), (F.col("user_id") % 25).cast("string")).alias("task"))
 
 
+def lines_by_type(t: Lake) -> list[DataFrame]:
+    """Lines in three batches, each of another type: narrow; with a nested field more and wider numbers; without it again and in doubles."""
+    li = S.table(t.spark, t.sf_dir, "lineitem")
+    key, third = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("k"), F.col("l_orderkey") % 3
+    item = lambda kind, *more: F.array(F.struct(F.col("l_partkey").cast(kind).alias("part"), *more)).alias("items")
+    return [
+        li.where(third == 0).select(key, F.struct(F.col("l_quantity").cast("int").alias("n")).alias("amount"), item("int")),
+        li.where(third == 1).select(key, F.struct(F.col("l_quantity").cast("int").alias("n"), F.col("l_tax").alias("tax")).alias("amount"), item("bigint", F.col("l_suppkey").alias("supplier")), F.col("l_returnflag").alias("flag")),
+        li.where(third == 2).select(key, F.struct(F.col("l_quantity").cast("double").alias("n")).alias("amount"), item("int")),
+    ]
+
+
+def flat_lines(df: DataFrame) -> DataFrame:
+    return df.select("k", "amount.n", "amount.tax", F.col("items")[0]["part"].alias("part"), F.col("items")[0]["supplier"].alias("supplier"), "flag")
+
+
+def j10_evolving_append(t: Lake) -> DataFrame:
+    path = t.scratch()
+    for batch in lines_by_type(t):
+        evolving.append(batch, path)
+    return flat_lines(evolving.read(t.spark, path))
+
+
+def j10_evolving_replace(t: Lake) -> DataFrame:
+    """A keyed table of the narrow type; the other batches come in, and half of the first one again under the second's type."""
+    path, (narrow, wide, doubles) = t.scratch(), lines_by_type(t)
+    evolving.keyed_replace(narrow, path, ["k"], buckets=16)
+    again = narrow.where(F.col("amount.n") % 2 == 0).withColumn("flag", F.lit("again"))
+    for batch in (wide, doubles, again):
+        evolving.keyed_replace(batch, path, ["k"])
+    return flat_lines(evolving.read_keyed(t.spark, path))
+
+
 def s01_scd2_stored(t: Lake) -> DataFrame:
     """The same history, merged from three deliveries of which the last two are late."""
     e, path = events_as(t).select("user_id", "event_id", "event_type"), t.scratch()
@@ -720,6 +798,8 @@ CONTROL: dict[str, Query] = {
     "j07_stamp_gold": lake(lambda t: control.stamp_gold(t["audit"], F.lit("2024-01-01 00:00:00").cast("timestamp")).groupBy(F.col("gold_loaded_at").isNull().alias("open")).agg(F.count(F.lit(1)).alias("n"))),
     "j09_column_drift": lake(lambda t: control.column_drift(column_catalog(t)).withColumns({"added": F.array_join(F.array_sort("added"), ","), "removed": F.array_join(F.array_sort("removed"), ",")})),
     "j10_schema_drift": lake(lambda t: control.schema_drift(column_catalog(t))),
+    "j10_evolving_append": lake(j10_evolving_append),
+    "j10_evolving_replace": lake(j10_evolving_replace),
     "j11_row_count_log": lake(lambda t: control.row_count_log(daily_counts(t), "event_type", "day")),
     "j13_snapshot_diff": lake(lambda t: control.snapshot_diff(*versions(t), "c_custkey", "h")),
     "j14_latest_per_key": lake(lambda t: control.latest_by(events_as(t), ["user_id", "event_type"], F.col("ts").desc(), F.col("event_id").desc()).select("user_id", "event_type", "event_id")),

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 #: A keyed table has about one bucket for so many rows.
 BUCKET_ROWS = 1_000_000
@@ -28,9 +29,9 @@ def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None
     return observed_write(df, path, "overwrite", partition_by, partitionOverwriteMode="static")
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], **options) -> int:
     """Replace only the partitions that df holds; others stay."""
-    return observed_write(df, path, "overwrite", partition_by, partitionOverwriteMode="dynamic")
+    return observed_write(df, path, "overwrite", partition_by, partitionOverwriteMode="dynamic", **options)
 
 
 def create_if_missing(df: DataFrame, path: str, partition_by: list[str] | None = None, **properties) -> int:
@@ -69,6 +70,17 @@ def rows_about(spark: SparkSession, path: str) -> int:
     return noted(spark, path).first()["n_rows"]
 
 
+def keyed_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a keyed table, whole: its rows are noted last."""
+    try:
+        noted(spark, path)
+    except Exception as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return False
+    return True
+
+
 def noted(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("n_rows long").parquet(f"{path.rstrip('/')}/_layout")
 
@@ -77,7 +89,7 @@ def note_rows(spark: SparkSession, path: str, n: int) -> None:
     spark.createDataFrame([(n,)], "n_rows long").coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/_layout")
 
 
-def create_keyed(df: DataFrame, path: str, keys: list[str], buckets: int | None = None, bucket_rows: int | None = None) -> int:
+def create_keyed(df: DataFrame, path: str, keys: list[str], buckets: int | None = None, bucket_rows: int | None = None, options: dict[str, str] | None = None) -> int:
     """A table that keyed_replace and upsert can change: rows lie in buckets by a hash of their key, about one for BUCKET_ROWS rows.
 
     buckets saves counting df first, where the caller knows about how many it needs; later changes add buckets as the table grows.
@@ -86,7 +98,7 @@ def create_keyed(df: DataFrame, path: str, keys: list[str], buckets: int | None
         buckets = max(1, -(-df.count() // (bucket_rows or BUCKET_ROWS)))
     rows = df.withColumns({"__void": F.lit(False), "__bucket": bucket_of(keys, buckets)})
     rows = rows.unionByName(void_rows(df, range(buckets)))
-    n = full_refresh(rows.repartition(buckets, "__bucket"), path, ["__bucket"]) - buckets
+    n = observed_write(rows.repartition(buckets, "__bucket"), path, "overwrite", ["__bucket"], partitionOverwriteMode="static", **(options or {})) - buckets
     note_rows(df.sparkSession, path, n)
     return n
 
@@ -97,8 +109,14 @@ def void_rows(df: DataFrame, buckets) -> DataFrame:
     return rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields], F.lit(True).alias("__void"), "__bucket")
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where("not __void").drop("__bucket", "__void")
+def with_void(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """All rows of a keyed table, void ones too; under a given type, where its files differ in theirs."""
+    reader = spark.read if schema is None else spark.read.schema(StructType([*schema.fields, StructField("__void", BooleanType()), StructField("__bucket", IntegerType())]))
+    return reader.parquet(path)
+
+
+def read_keyed(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    return with_void(spark, path, schema).where("not __void").drop("__bucket", "__void")
 
 
 #: Up to so many buckets are named one by one in the filter that a scan prunes by; more are joined, which prunes at run time.
@@ -118,7 +136,7 @@ def staged(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     return df.sparkSession.read.schema(df.schema).parquet(place), n
 
 
-def _rewrite(spark: SparkSession, path: str, keys: list[str], touched: DataFrame, added: int, change, bucket_rows: int | None = None) -> None:
+def _rewrite(spark: SparkSession, path: str, keys: list[str], touched: DataFrame, added: int, change, bucket_rows: int | None = None, options: dict[str, str] | None = None, schema: StructType | None = None) -> None:
     """Rewrite the buckets of the touched keys in one dynamic overwrite: change(old rows) gives their new rows, at most `added` more.
 
     The table gets as many buckets as its rows ask for. Those that are split are rewritten with the touched ones; no other is read.
@@ -127,16 +145,16 @@ def _rewrite(spark: SparkSession, path: str, keys: list[str], touched: DataFrame
     """
     buckets, rows = layout(spark, path), rows_about(spark, path)
     hit = {r[0] for r in touched.select(bucket_of(keys, buckets).alias("b")).distinct().collect()}  # at most `buckets` numbers
-    if not hit:
-        return
     grown = max(buckets, -(-(rows + added) // (bucket_rows or BUCKET_ROWS)))
+    if not hit and grown == buckets:
+        return
     new = range(buckets, grown)
     hit |= {split_from(b, buckets) for b in new}
-    old = in_buckets(spark.read.parquet(path), sorted(hit)).where(~F.col("__void")).drop("__bucket", "__void")
+    old = in_buckets(with_void(spark, path, schema), sorted(hit)).where(~F.col("__void")).drop("__bucket", "__void")
     before = old.count()  # one Boolean column of the buckets
     out = change(old).withColumns({"__void": F.lit(False), "__bucket": bucket_of(keys, grown)})
     written = sorted(hit | set(new))
-    kept = overwrite_partitions(out.unionByName(void_rows(old, written)).repartition(len(written), "__bucket"), path, ["__bucket"]) - len(written)
+    kept = overwrite_partitions(out.unionByName(void_rows(old, written)).repartition(len(written), "__bucket"), path, ["__bucket"], **(options or {})) - len(written)
     note_rows(spark, path, rows + kept - before)
 
 
@@ -146,15 +164,28 @@ def named_as(keys: list[str], wanted: DataFrame) -> tuple[DataFrame, Column]:
     return other, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__gone_{k}")) for k in keys))
 
 
-def for_key_buckets(spark: SparkSession, path: str, keys: list[str], wanted: DataFrame) -> DataFrame:
-    """The rows of the wanted keys; only their buckets are read."""
+def append_keyed(df: DataFrame, path: str, keys: list[str], options: dict[str, str] | None = None) -> int:
+    """Add rows without reading any. Buckets that are due are split afterwards, which also makes one file of each one's."""
+    spark, buckets = df.sparkSession, layout(df.sparkSession, path)
+    df, n = staged(df, path)
+    rows = df.withColumns({"__void": F.lit(False), "__bucket": bucket_of(keys, buckets)})
+    observed_write(rows.repartition("__bucket"), path, "append", ["__bucket"], **(options or {}))
+    note_rows(spark, path, rows_about(spark, path) + n)
+    _rewrite(spark, path, keys, df.limit(0), 0, lambda old: old, options=options)
+    return n
+
+
+def for_key_buckets(spark: SparkSession, path: str, keys: list[str], wanted: DataFrame, also: Column | None = None) -> DataFrame:
+    """The rows of the wanted keys; only their buckets are read, and of those what a further filter leaves."""
     buckets = layout(spark, path)
     hit = sorted(r[0] for r in wanted.select(bucket_of(keys, buckets).alias("b")).distinct().collect())  # at most `buckets` numbers
     named, same = named_as(keys, wanted)
-    return in_buckets(spark.read.parquet(path), hit).where("not __void").drop("__bucket", "__void").join(named, same, "left_semi")
+    rows = in_buckets(spark.read.parquet(path), hit).where("not __void")
+    rows = rows if also is None else rows.where(also)
+    return rows.drop("__bucket", "__void").join(named, same, "left_semi")
 
 
-def keyed_replace(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None = None, bucket_rows: int | None = None) -> int:
+def keyed_replace(df: DataFrame, path: str, keys: list[str], scope: DataFrame | None = None, bucket_rows: int | None = None, schema: StructType | None = None) -> int:
     """Delete the keys in df (and in scope: keys that were processed even if no row is left), then insert df. Returns the rows of df."""
     if not keys:
         raise ValueError("keys are needed")
@@ -162,7 +193,7 @@ def keyed_replace(df: DataFrame, path: str, keys: list[str], scope: DataFrame |
     gone = df.select(*keys) if scope is None else df.select(*keys).unionByName(scope.select(*keys))
     gone = gone.distinct()
     named, same = named_as(keys, gone)
-    _rewrite(df.sparkSession, path, keys, gone, n, lambda old: old.join(named, same, "left_anti").unionByName(df), bucket_rows)
+    _rewrite(df.sparkSession, path, keys, gone, n, lambda old: old.join(named, same, "left_anti").unionByName(df), bucket_rows, schema=schema)
     return n
 
 
