@@ -409,6 +409,8 @@ SQL: dict[str, str] = {
     "i27_fact_integrity": f"""SELECT what, 0 AS n FROM (VALUES ('orphan_deliveries'), ('orphan_innings'), ('result_rows_missing'), ('award_surplus'), ('award_orphans')) v(what)
         UNION ALL SELECT 'award_rows', count(*) FROM ({AWARD}) UNION ALL SELECT 'award_matches', count(DISTINCT match_id) FROM ({AWARD})
         UNION ALL SELECT 'award_ties', count(*) FROM (SELECT match_id FROM ({AWARD}) GROUP BY 1 HAVING count(*) > 1)""",
+    "i07_grain_by_bucket": """SELECT 'before' AS step, count(*) - count(DISTINCT (l_orderkey, l_linenumber, l_partkey)) AS failed, count(*) AS total, false AS partly FROM lineitem
+        UNION ALL SELECT 'after', count(*) - count(DISTINCT (l_orderkey, l_linenumber, l_partkey)), count(*), true FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)))""",
     "i28_reconciliation": """SELECT what, n FROM (SELECT count(*) AS n FROM m), (VALUES ('matches.bronze'), ('matches.silver'), ('matches.gold')) v(what)
         UNION ALL SELECT 'people.bronze', count(*) FROM people_rows UNION ALL SELECT 'people.silver', count(*) FROM persons UNION ALL SELECT 'people.gold', count(*) FROM dim_player
         UNION ALL SELECT what, n FROM (SELECT count(*) AS n FROM deliveries), (VALUES ('deliveries.silver'), ('deliveries.gold')) v(what) UNION ALL SELECT what, n FROM (SELECT count(*) AS n FROM innings), (VALUES ('innings.silver'), ('innings.gold')) v(what)""",

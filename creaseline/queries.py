@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 
 from creaseline import standin as S
 from creaseline.functions import metrics as M
-from creaseline.operators import bronze, control, identity, lineup, quality, register, silver
+from creaseline.operators import bronze, control, grain, identity, lineup, quality, register, silver
 from creaseline.plans import build, gold, history, marts, reports
 from creaseline.plans.landing import Landing
 from creaseline.sinks import content_index, evolving, tables
@@ -632,6 +632,23 @@ def i18_stored_results(t: Lake) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+def i07_grain_by_bucket(t: Lake) -> DataFrame:
+    """Lines in a keyed table; then the orders of the last day come in with every line twice. Digests of touched buckets are renewed, and the check is the full one's."""
+    path, store = t.scratch(), t.scratch()
+    li, orders = S.table(t.spark, t.sf_dir, "lineitem"), S.table(t.spark, t.sf_dir, "orders")
+    rows = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    tables.create_keyed(rows, path, ["l_orderkey"], 256)
+    last = rows.join(F.broadcast(orders.agg(F.max("o_orderdate").alias("o_orderdate"))).join(orders, "o_orderdate").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")  # one row against orders
+    found = []
+    for step in ("before", "after"):
+        if step == "after":
+            tables.keyed_replace(last.unionByName(last), path, ["l_orderkey"])
+        read = grain.refresh(t.spark, path, ["l_orderkey"], ["l_orderkey", "l_linenumber", "l_partkey"], store)
+        r = grain.surplus(t.spark, store).first()
+        found.append((step, r["failed"], r["total"], read < 256))
+    return t.spark.createDataFrame(found, "step string, failed long, total long, partly boolean")
+
+
 def i22_bronze_types(t: Lake) -> DataFrame:
     found = {n: quality.not_all_strings(df) for n, df in (("match_data", t["bronze"]), ("orders", S.table(t.spark, t.sf_dir, "orders")))}
     return t.spark.createDataFrame([(n, c) for n, cols in found.items() for c in cols], "table_name string, column_name string")
@@ -651,6 +668,7 @@ QUALITY: dict[str, Query] = {
     "i18_stored_results": lake(i18_stored_results),
     "i19_model_tests": lake(lambda t: quality.run_model_tests(t)),
     "i20_award_ties": lake(lambda t: quality.repeated_grain(t["fact_player_of_match"], "match_id")),
+    "i07_grain_by_bucket": lake(i07_grain_by_bucket),
     "i22_bronze_types": lake(i22_bronze_types),
     "i23_one_snapshot": lake(i23_one_snapshot),
     "i26_dimension_integrity": lake(lambda t: quality.dimension_integrity(t)),

@@ -54,7 +54,7 @@ def test_a_load_that_breaks_off_anywhere(spark, tmp_path, monkeypatch):
     import creaseline.plans.landing as module
 
     real_write, real_remember = module.overwrite_partitions, content_index.remember
-    for at in range(3):  # in Bronze's write, the rejects', the index's
+    for at in (0, 2):  # in Bronze's write, in the index's
         place = Landing(spark, str(tmp_path / f"at{at}"))
         assert place.load(first, "one", "2024-01-01") == {"attempted": 3, "skipped": 0, "succeeded": 2, "failed": 1}
         calls = itertools.count()

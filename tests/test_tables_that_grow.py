@@ -98,7 +98,7 @@ def test_stints_against_a_walk_through_the_balls(spark):
 
 
 def test_linear_hashing_splits_one_bucket_at_a_time(spark):
-    for n in range(1, 40):
+    for n in (1, 2, 3, 4, 7, 12, 16):
         a, b = (tables.bucket_of(["id"], k).alias(name) for k, name in ((n, "a"), (n + 1, "b")))
         moved = {(r.a, r.b) for r in spark.range(3000).select(a, b).where("a <> b").distinct().collect()}
         assert moved == {(tables.split_from(n, n), n)}  # only the new bucket is entered, and from one other
@@ -154,7 +154,7 @@ def test_a_hot_partition_is_written_by_many_tasks(spark, tmp_path):
 # -- histories ------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_history_in_any_order_of_arrival(spark, tmp_path, seed):
     rng = random.Random(seed)
     rows = [(k, day, rng.choice(["a", "b", None]), rng.choice([1, 1, 2])) for k in ("p", "q", None, "r") for day in range(12) if rng.random() < 0.7]
