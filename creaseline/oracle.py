@@ -159,7 +159,7 @@ def nulls(table: str, *cols: str) -> str:
 GROUP = "CASE WHEN event_name IS NOT NULL AND k % 4 = 1 THEN list_extract(['A', 'B', 'C'], CAST(k % 3 + 1 AS INTEGER)) END"
 BALL = ("match_id", "innings_number", "over_number", "delivery_number")
 OLD = "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 7 <> 0"
-NEW = f"SELECT c_custkey, 'NEW' AS c_mktsegment, round(c_acctbal + 1, 2) AS c_acctbal FROM customer WHERE c_custkey % 3 = 0"
+NEW = f"SELECT c_custkey, 'NEW' AS c_mktsegment, round(c_acctbal + 1, 2) AS c_acctbal FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 7 = 0"
 LANDED = "SELECT *, user_id || '-' || event_type AS match_id, CAST(event_id % 9 AS VARCHAR) AS revision FROM e"
 CATALOG = "SELECT event_type AS table_name, day(day) AS snapshot, 'c' || (user_id % 4) AS column_name, CASE WHEN count(*) > 2 THEN 'long' ELSE 'int' END AS column_type FROM e GROUP BY 1, 2, 3"
 MONTHS = """SELECT month AS file_name, sha256(content) AS content_hash, CAST(strlen(content) AS BIGINT) AS size

@@ -235,10 +235,10 @@ SOURCES: dict[str, Query] = {
 
 
 def old_new(t: Lake) -> tuple[DataFrame, DataFrame]:
-    """Customers before and after: every third changes, every fifth is not in the new batch, some are new."""
+    """Customers before and after: every seventh is new, every third of the others changes."""
     c = S.table(t.spark, t.sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     old = c.where("c_custkey % 7 <> 0")
-    return old, c.where("c_custkey % 3 = 0").withColumns({"c_acctbal": F.round(F.col("c_acctbal") + 1, 2), "c_mktsegment": F.lit("NEW")})
+    return old, c.where("c_custkey % 3 = 0 or c_custkey % 7 = 0").withColumns({"c_acctbal": F.round(F.col("c_acctbal") + 1, 2), "c_mktsegment": F.lit("NEW")})
 
 
 def b01_append(t: Lake) -> DataFrame:
