@@ -1,11 +1,15 @@
 """Operator 7: secret scans with multipart credential linking. DataFrame functions only: no Python runs on rows.
 
 Strong parts (assign, access, hex) are always reported. Weak parts (ident: a user or client name that is assigned;
-blob: a long mixed string; endpoint: a URL or host that is assigned) are reported only when parts that complete them
-lie in the same scope, however far apart: an ident needs a secret, a blob needs an identifier, an endpoint needs both. A
-scope is the interval between blank lines. Parts are joined with scopes by one sort of both by place: what lies
-between two blank lines is a slice of the sorted list. That interval join runs inside the row over the parts of one
-text, so nothing is shuffled and no key can grow hot.
+blob: a long mixed string that is no part of an address; endpoint: a host or URL that is assigned, or a URL with a user
+part) are reported only when parts that complete them are near, in the same block: an ident needs a secret, an endpoint
+a secret and an identifier, and a blob must be the secret that is nearest to an identifier (of two as near the first).
+Near is a gap of at most REACH code points. Blocks end at blank lines, at lines that are a [section], and between one
+closed object and the next, so records of a list and sections of a file do not complete each other. So what a weak part
+can link to is bounded however long a text without blank lines is, and links or digests in prose around it stay.
+
+The interval join of parts, blocks and reaches is one sort by place inside the row: the nearest part of a kind and the
+nearest break on either side are running maxima and minima. Nothing is shuffled and no key can grow hot.
 
 Places of all matches come from the matches and the pieces between them, whose lengths add up. Running sums and maxima
 go through lists in blocks of BLOCK entries, so their cost grows with the number of parts and not with its square.
@@ -29,10 +33,13 @@ ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"[0-9a-f]{24,}+"
 #: Weak kinds.
 IDENT = r"""(?<![A-Za-z0-9_])(?i:(user|user_?name|login|account|client_?id|access_?key_?id))["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}+"""
-BLOB = r"[A-Za-z0-9+/_-]{20,}+={0,2}"
-ENDPOINT = r"""(?i:https?://[a-z0-9.-]+(?::[0-9]+)?|(?<![A-Za-z0-9_])(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?[a-z0-9.-]{4,}+)"""
+BLOB = r"(?<![A-Za-z0-9+/_.-])(?!//)[A-Za-z0-9+/_-]{20,}+(?:\.[A-Za-z0-9_-]{20,}+)*+={0,2}"
+ENDPOINT = r"""(?<![A-Za-z0-9+._-])(?i:[a-z][a-z0-9+.-]{1,20}+://[^\s/@"'<>{}]{1,256}+@[a-z0-9.-]+(?::[0-9]+)?|(?:host|server|endpoint|base_?url|api_?url)["']?\x20*[:=]\x20*["']?(?:[a-z][a-z0-9+.-]{1,20}+://)?[a-z0-9.-]{4,}+(?::[0-9]+)?)"""
 KINDS = ("assign", "access", "hex", "ident", "blob", "endpoint")
-SCOPE = r"\n[ \t\r]*\n"
+#: What ends a block. No part contains a line end or a brace.
+SCOPE = r"""\n[ \t\r]*+\n|\n[ \t]*+\[[^\]\n]{1,100}+\](?=[ \t\r]*+\n)|\}[ \t\r\n]*+(?:,[ \t\r\n]*+)?+(?:(?:"[^"\n]{0,64}+"|[A-Za-z_][A-Za-z0-9_]{0,63}+)[ \t]*+[:=][ \t]*+)?+\{"""
+#: Code points between a part and one that completes it, at most.
+REACH = 1_000
 BREAK = len(KINDS)
 BLOCK = 64
 FAR = 2**31 - 1
@@ -90,33 +97,64 @@ def is_base(s: Column) -> Column:
     return s["kind"] < 3
 
 
-def apart(items: Column) -> Column:
-    """Of items in order of place: base spans, breaks, and the weak spans that overlap no base span."""
-    latest = running(items, lambda s: F.when(is_base(s), s["end"]).otherwise(0), F.greatest, 0)
-    back = F.reverse(running(F.reverse(items), lambda s: F.when(is_base(s), s["start"]).otherwise(FAR), F.least, FAR))
+def apart(items: Column, over: Callable[[Column], Column], under: Callable[[Column], Column]) -> Column:
+    """items, in order of place, without those of under that overlap one of over."""
+    latest = running(items, lambda s: F.when(over(s), s["end"]).otherwise(0), F.greatest, 0)
+    back = F.reverse(running(F.reverse(items), lambda s: F.when(over(s), s["start"]).otherwise(FAR), F.least, FAR))
     marked = F.arrays_zip(items.alias("s"), latest.alias("latest"), back.alias("next"))
-    free = lambda z: is_base(z["s"]) | (z["s"]["kind"] == BREAK) | ((z["latest"] <= z["s"]["start"]) & (z["next"] >= z["s"]["end"]))
+    free = lambda z: ~under(z["s"]) | ((z["latest"] <= z["s"]["start"]) & (z["next"] >= z["s"]["end"]))
     return F.transform(F.filter(marked, free), lambda z: z["s"])
 
 
-def scopes(items: Column) -> Column:
-    """The slices of items in order of place that lie between breaks."""
+def kind_in(*kinds: str) -> Callable[[Column], Column]:
+    return lambda s: s["kind"].isin(*map(KINDS.index, kinds))
+
+
+def gaps(z: Column, part: str) -> tuple[Column, Column]:
+    """From the latest and to the soonest of these parts in the block of z."""
+    before = F.when(z[f"{part}0"] > z["break0"], F.greatest(z["s"]["start"] - z[f"{part}0"], F.lit(0))).otherwise(FAR)
+    after = F.when(z[f"{part}1"] < z["break1"], F.greatest(z[f"{part}1"] - z["s"]["end"], F.lit(0))).otherwise(FAR)
+    return before, after
+
+
+def measured(z: Column) -> Column:
+    """Whether a secret and an identifier are near, and on which side an identifier has its nearest secret."""
+    before, after = gaps(z, "secret")
+    near = F.least(before, after) <= REACH
+    chooses = kind_in("access", "ident")(z["s"]) & near
+    return F.struct(
+        z["s"].alias("s"), z["secret0"].alias("secret0"), z["secret1"].alias("secret1"), near.alias("secret"),
+        (F.least(*gaps(z, "identifier")) <= REACH).alias("identifier"), (chooses & (before <= after)).alias("back"), (chooses & (before > after)).alias("on"),
+    )
+
 
-    def slices(items: Column) -> Column:
-        breaks = F.filter(F.transform(items, lambda s, i: F.when(s["kind"] == BREAK, i)), lambda i: i.isNotNull())
-        return bound(breaks, lambda b: F.transform(F.arrays_zip(F.concat(F.array(F.lit(-1)), b).alias("a"), F.concat(b, F.array(F.size(items))).alias("z")), lambda z: F.slice(items, z["a"] + 2, z["z"] - z["a"] - 1)))
+def complete(z: Column) -> Column:
+    m = z["m"]
+    ident, blob, endpoint = (kind_in(k)(m["s"]) for k in ("ident", "blob", "endpoint"))
+    chosen = (z["from0"] > m["secret0"]) | (z["from1"] < m["secret1"])  # no other secret lies between
+    return is_base(m["s"]) | (ident & m["secret"]) | (endpoint & m["secret"] & m["identifier"]) | (blob & chosen)
 
-    return bound(items, slices)
 
+def linked(found: DataFrame) -> DataFrame:
+    """found with __items, in order of place, cut down to base spans and the weak ones that parts near them complete.
 
-def linked(scope: Column) -> Column:
-    """The base spans of a scope and the weak ones that its other parts complete."""
-    access, assign, hex_, ident, blob, endpoint = (KINDS.index(k) for k in ("access", "assign", "hex", "ident", "blob", "endpoint"))
-    has = lambda *kinds: F.exists(scope, lambda s: s["kind"].isin(*kinds))
-    identifier, secret = has(access, ident), has(assign, hex_, blob)
-    # two blobs or two idents do not complete each other, so each kind's need is one of the other kinds
-    keep = lambda flags: F.filter(scope, lambda s: is_base(s) | ((s["kind"] == ident) & flags["secret"]) | ((s["kind"] == blob) & flags["identifier"]) | ((s["kind"] == endpoint) & flags["secret"] & flags["identifier"]))
-    return bound(F.struct(identifier.alias("identifier"), secret.alias("secret")), keep)
+    Steps are columns of their own: lambdas nested in each other take the analyser time that doubles with each level.
+    """
+    items = F.col("__items")
+    latest = lambda items, of, end: running(items, lambda s: F.when(of(s), end(s)).otherwise(-1), F.greatest, -1)
+    soonest = lambda items, of: F.reverse(running(F.reverse(items), lambda s: F.when(of(s), s["start"]).otherwise(FAR), F.least, FAR))
+    sides = {}
+    for name, of in (("break", lambda s: s["kind"] == BREAK), ("secret", kind_in("assign", "hex", "blob")), ("identifier", kind_in("access", "ident"))):
+        end = "start" if name == "break" else "end"
+        sides |= {f"{name}0": latest(items, of, lambda s, end=end: s[end]), f"{name}1": soonest(items, of)}
+    found = found.withColumns({f"__{name}": side for name, side in sides.items()})
+    found = found.withColumn("__marked", F.transform(F.arrays_zip(items.alias("s"), *(F.col(f"__{name}").alias(name) for name in sides)), measured))
+    marked = F.col("__marked")
+    places = F.transform(marked, lambda m: F.struct(m["s"]["start"].alias("start"), m["s"]["end"].alias("end"), m["on"].alias("on"), m["back"].alias("back")))
+    found = found.withColumn("__places", places)
+    found = found.withColumns({"__from0": latest(F.col("__places"), lambda m: m["on"], lambda m: m["end"]), "__from1": soonest(F.col("__places"), lambda m: m["back"])})
+    chosen = F.arrays_zip(marked.alias("m"), F.col("__from0").alias("from0"), F.col("__from1").alias("from1"))
+    return found.withColumn("__items", F.transform(F.filter(chosen, complete), lambda z: z["m"]["s"]))
 
 
 def shown(spans: Column) -> Column:
@@ -145,9 +183,13 @@ def parts_of(docs: DataFrame, text_col: str) -> DataFrame:
     found = found.withColumn("__base", F.array_sort(F.concat(long_enough, "__s1", "__s2")))
     mixed = F.filter("__s4", lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Z]") & s["value"].rlike("[a-z]"))
     found = found.withColumn("__weak", F.concat("__s3", mixed, "__s5"))
-    items = bound(F.array_sort(F.concat("__base", "__weak", "__s6")), apart)
-    every = F.array_sort(F.flatten(F.transform(scopes(items), linked)))
-    return found.withColumn("__all", F.when(F.size("__weak") > 0, every).otherwise(F.col("__base")))
+    # a weak part that overlaps a base span is part of that; the value of an ident or endpoint is no blob of its own
+    weak, names = kind_in("ident", "blob", "endpoint"), kind_in("ident", "endpoint")
+    some = F.size("__weak") > 0
+    found = found.withColumn("__items", F.when(some, F.array_sort(F.concat("__base", "__weak", "__s6"))).otherwise(F.array().cast(SPAN)))
+    found = found.withColumn("__items", apart(F.col("__items"), is_base, weak))
+    found = linked(found.withColumn("__items", apart(F.col("__items"), names, kind_in("blob"))))
+    return found.withColumn("__all", F.when(some, F.col("__items")).otherwise(F.col("__base")))
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
