@@ -27,6 +27,7 @@ from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,8 @@ MARK = "▁"
 NONE = np.iinfo(np.int32).max
 #: Words of a generation that a worker remembers, of two; bounds memory only.
 WORDS_KEPT = 100_000
+#: Rows and bytes of text that a worker encodes at once; a longer text is one piece. Bounds memory only.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1_000, 2_000_000
 #: Words of so many symbols are merged by lists of places, see merge_places.
 LONG = 256
 
@@ -332,8 +335,21 @@ class Codec:
 _codecs: dict[str, Codec] = {}
 
 
-def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """All columns of docs but the text, and n_tokens, ids_sha256, decoded_sha256; with_ids adds ids (array<int>) and decoded (string)."""
+def pieces(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs (from, rows) of consecutive texts within ROWS_AT_ONCE and BYTES_AT_ONCE."""
+    start, held = 0, 0
+    for i, n in enumerate(lengths):
+        if i > start and (held + n > BYTES_AT_ONCE or i - start == ROWS_AT_ONCE):
+            yield start, i - start
+            start, held = i, 0
+        held += n
+    if len(lengths) > start:
+        yield start, len(lengths) - start
+
+
+def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text", with_ids: bool = False, with_decoded: bool | None = None) -> DataFrame:
+    """All columns of docs but the text, and n_tokens, ids_sha256, decoded_sha256; with_ids adds ids (array<int>), with_decoded (as with_ids if not given) decoded (string)."""
+    with_decoded = with_ids if with_decoded is None else with_decoded
     modest_batches(docs)
     v = load(model_path)
     rest = [f for f in docs.schema.fields if f.name != text_col and f.name not in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")]
@@ -344,25 +360,30 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text", with
             _codecs[model_path] = Codec(v)
         codec = _codecs[model_path]
         for big in batches:
-            for at in range(0, big.num_rows, 1000):
-                b = big.slice(at, 1000)
+            for at, n in pieces(pc.fill_null(pc.binary_length(big.column(big.num_columns - 1)), 0).to_pylist()):
+                b = big.slice(at, n)
                 counts, listed, digests, decoded = [], [], [], []
                 for joined, ids, text in codec.batch([x or "" for x in b.column(b.num_columns - 1).to_pylist()]):
                     counts.append(len(ids))
                     digests.append((hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(text).hexdigest()))
                     if with_ids:
                         listed.append(np.array(ids, np.int32))
+                    if with_decoded:
                         decoded.append(text.decode("utf-8", "replace"))
                 columns = [*b.columns[:-1], pa.array(counts, pa.int64()), *(pa.array([d[k] for d in digests], pa.string()) for k in (0, 1))]
                 if with_ids:
                     ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                     flat = np.concatenate([np.zeros(0, np.int32), *listed])
-                    columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(decoded, pa.string())]
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                if with_decoded:
+                    columns.append(pa.array(decoded, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
         tidy(codec.words, codec.older)
 
     schema = docs.select(*kept).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if with_ids:
-        schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
+    if with_decoded:
+        schema = schema.add("decoded", "string")
     names = schema.names
     return docs.select(*kept, F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, schema)

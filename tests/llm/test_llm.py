@@ -322,6 +322,15 @@ def test_secret_scan(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_sentencepiece_pieces_cover_all_rows():
+    most_rows, most = sentencepiece_codec.ROWS_AT_ONCE, sentencepiece_codec.BYTES_AT_ONCE
+    r = random.Random(5)
+    for lengths in ([], [0], [3 * most], [0] * (2 * most_rows + 1), [r.choice([0, 10, most // 3, most, 2 * most]) for _ in range(500)]):
+        runs = list(sentencepiece_codec.pieces(lengths))
+        assert [i for a, n in runs for i in range(a, a + n)] == list(range(len(lengths)))
+        assert all(n == 1 or (n <= most_rows and sum(lengths[a : a + n]) <= most) for a, n in runs)
+
+
 def test_secret_parts_link_within_blocks(spark):
     """Blocks, reaches and choices against brute force, over texts made of parts, fillers and breaks."""
     assign = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
