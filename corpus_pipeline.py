@@ -76,7 +76,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What training reads: all columns but the text, its token ids, and the digests of ids and decoded text."""
-    return sentencepiece_codec.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True).drop("decoded")
+    return sentencepiece_codec.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True, with_decoded=False)
 
 
 STAGES = [
