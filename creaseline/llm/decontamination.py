@@ -1,7 +1,9 @@
 """Operator 6: benchmark decontamination by template canonicalisation.
 
 Words become a template: numbers, units and names give typed placeholders, other words their lower-case form without
-outer punctuation. A unit that is glued to its number (60km) is split off. A word with a capital is a name inside a
+outer punctuation. Numbers may be written out (twenty, twenty-five); slots hold their value, so that seven and 7 are the
+same one, and a match is verbatim if no slot's value was exchanged. A unit that is glued to its number (60km) is split
+off. A word with a capital is a name inside a
 sentence; at the start of one it is a name unless the benchmark also writes it in lower case (The, What). Windows of WIDTH
 template words are hashed; document windows are hash-joined in Spark with those of the benchmark. Joined windows of one
 document and item that lie on one diagonal make a match; its slots must be consistent: one value of the item always
@@ -12,7 +14,8 @@ A template window needs at least half of its words not to be placeholders. The f
 a plain word and as a name, because a document may hold it inside a sentence. Beside the template windows all windows
 of the literal words (lower case, no outer punctuation) are joined, so that verbatim copies match however many
 placeholders they have. A third form makes one placeholder of neighbouring name words, and of neighbouring numbers, with
-no punctuation between them, so that a name or number may be exchanged for one of another number of words. Each form is
+no punctuation between them, so that a name or number may be exchanged for one of another number of words (two hundred
+is 200; a number with "and" in it is two numbers). Each form is
 a match of its own. It counts from half of the item's usable windows of that form on, if they also cover half of the item;
 of the literal form a run of RUN_WORDS words is enough, as benchmarks are commonly checked by n-grams of that length.
 Items shorter than WIDTH are one window of their own length; under SHORTEST words they match literally only.
@@ -53,6 +56,9 @@ BLOCK_BYTES = 1_200_000
 UNITS = frozenset("mm cm m km in ft yd mi mile miles mg g kg t lb lbs oz ml cl l s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kmh kph hz khz mhz ghz w kw mw v kv a c f k pa bar j kj cal kcal b kb mb gb tb usd eur gbp dollar dollars cent cents euro euros pound pounds percent pct degree degrees".split())
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?(st|nd|rd|th)?$")
 GLUED = re.compile(rb"(?<![A-Za-z0-9])(\d[\d.,]*)(" + b"|".join(sorted((u.encode() for u in UNITS), key=lambda u: (-len(u), u))) + rb")(?![A-Za-z0-9])", re.IGNORECASE)
+#: Numbers that are written out.
+SPOKEN = {w: n for n, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split())}
+SPOKEN |= {w: 10 * n for n, w in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)} | {"hundred": 100, "thousand": 10**3, "million": 10**6, "billion": 10**9}
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…¿¡—–·"
 ENDS = b".!?:"
 # a remembered word is 60 bits of hash, its kind, whether it ends a sentence and whether no punctuation follows it
@@ -67,6 +73,29 @@ FORM_SALT = U64(0xD6E8FEB86659FD93)
 FIRST_IS_NAME = 10
 
 
+def spoken(words: list[str]) -> int | None:
+    """The number that words spell (two hundred, twenty-five), None if they spell none or several."""
+    whole = part = 0
+    scale = 10**12
+    for word in (p for w in words for p in w.lower().split("-")):
+        n = SPOKEN.get(word)
+        if n is None:
+            return None
+        if n >= 1000:
+            if n >= scale:
+                return None
+            whole, part, scale = whole + max(part, 1) * n, 0, n
+        elif n == 100:
+            if part >= 100:
+                return None
+            part = max(part, 1) * 100
+        elif part % 100 and not (part % 100 >= 20 and part % 10 == 0 and 0 < n < 10):
+            return None
+        else:
+            part += n
+    return whole + part if words else None
+
+
 class Templates(Remembered):
     """bytes word -> template hash with flags."""
 
@@ -74,7 +103,7 @@ class Templates(Remembered):
         shown = word.decode("utf-8", "replace").strip(PUNCTUATION)
         plain = shown.lower()
         ends = int(ENDS_SENTENCE) if word.rstrip(b"\"')]}")[-1:] in ENDS and word else 0
-        if shown and NUMBER.match(shown):
+        if shown and (NUMBER.match(shown) or spoken([plain]) is not None):
             kind = NUMBER_WORD
         elif plain in UNITS and len(plain) > 1:
             kind = UNIT
@@ -143,7 +172,10 @@ def windows(form: Form, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shown(words: list[bytes]) -> str:
-    return " ".join(w.decode("utf-8", "replace").strip(PUNCTUATION) for w in words)
+    """What a slot holds: its words, or the value of a number that is written out."""
+    plain = [w.decode("utf-8", "replace").strip(PUNCTUATION) for w in words]
+    number = spoken(plain)
+    return " ".join(plain) if number is None else str(number)
 
 
 def window_rows(keys: list[pa.Array], texts: list[bytes], widths: dict[int, list[int]], held: np.ndarray | None, plain_words: np.ndarray, whole: bool) -> pa.RecordBatch:

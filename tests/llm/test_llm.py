@@ -245,6 +245,35 @@ def test_decontamination_units_names_and_null_ids(spark):
     assert Counter((r.doc_id, r.item_id, r.verbatim) for r in got) == Counter([(1, 1, False), (2, 1, False), (None, 1, True), (None, 1, True), (5, None, True)])
 
 
+def test_decontamination_number_words(spark):
+    item = "A farmer carries 12 apples to the old mill by the river and then 5 of them are sold to his neighbour"
+    spell = lambda a, b: item.replace("12", a).replace("5", b)
+    docs = [(1, spell("twenty", "seven")), (2, spell("Twelve", "five")), (3, spell("twenty-five", "two hundred")), (4, "Once " + spell("two thousand three hundred", "9")), (5, spell("seven", "seven")), (6, "one of the twenty men said that two or three of them had never been there before")]
+    # the other way round: spelled in the item, figures in the document; values tell spellings of one number from two numbers
+    twice = "She buys seven pens for her class and gives two away so that seven minus two pens are left in the box"
+    docs += [(7, twice.replace("seven", "9").replace("two", "4")), (8, twice.replace("seven", "40").replace("two pens", "3 pens")), (9, twice.replace("seven minus", "7 minus"))]
+    bench = [(1, item), (2, twice)]
+    got = {(r.doc_id, r.item_id): r.verbatim for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got == {(1, 1): False, (2, 1): True, (3, 1): False, (4, 1): False, (7, 2): False, (9, 2): True}
+
+
+def test_spoken_numbers():
+    """Every number below 10,000 and some large ones, spelled by rule, with and without hyphens."""
+    words = {n: w for w, n in decontamination.SPOKEN.items()}
+
+    def spell(n):
+        for scale in (10**9, 10**6, 1000, 100):
+            if n >= scale:
+                return spell(n // scale) + [words[scale]] + (spell(n % scale) if n % scale else [])
+        return [words[n]] if n in words else [words[n - n % 10], words[n % 10]]
+
+    for n in [*range(10_000), 999_999, 1_000_001, 2_345_678_901]:
+        assert decontamination.spoken(spell(n)) == n
+    assert decontamination.spoken(["Ninety-Nine"]) == 99 and decontamination.spoken(["hundred"]) == 100
+    for other in (["nineteen", "eighty"], ["five", "six"], ["two", "apples"], [""], [], ["thousand", "million"], ["ten-five"], ["second"]):
+        assert decontamination.spoken(other) is None
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_decontamination_random(spark, seed):
     """Exchanged numbers and names are found if the exchange is one to one, and only then."""
