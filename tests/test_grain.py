@@ -41,3 +41,14 @@ def test_a_rerun_changes_files_but_no_rows(spark, tmp_path):
 def test_grain_without_the_bucket_key(spark, tmp_path):
     with pytest.raises(ValueError, match="lacks"):
         grain.refresh(spark, str(tmp_path), ["a"], ["b"], "")
+
+
+def test_a_last_day_of_more_orders_than_buckets(spark, tmp_path):
+    from creaseline.queries import queries
+
+    key = F.col("o_orderkey")
+    orders = spark.range(4000).select(F.col("id").alias("o_orderkey"), F.when(F.col("id") % 4 > 0, "2024-01-02").otherwise("2024-01-01").cast("timestamp").alias("o_orderdate"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    orders.select(key.alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (key % 7).alias("l_partkey"), F.lit(2.0).alias("l_quantity")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {tuple(r) for r in queries()["i07_grain_by_bucket"](spark, str(tmp_path)).collect()}
+    assert got == {("before", 0, 4000, False), ("after", 3000, 7000, True)}
