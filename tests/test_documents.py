@@ -55,3 +55,30 @@ def test_parts_follow_the_number_of_balls(spark, lake, monkeypatch):
     monkeypatch.setattr(S, "PART_BALLS", 100)
     n = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
     assert S.ball_rows(spark, SMALL).rdd.getNumPartitions() == -(-n // 100)
+
+
+def test_stored_parts_come_of_one_parse(spark, lake):
+    """A stored run builds and parses documents once: both parts read the same files, each its own columns."""
+    lake.store()
+    assert set(lake["info"].inputFiles()) == set(lake["balls"].inputFiles())
+    read = lake["info"]._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in read and "deliveries" not in read
+
+
+def test_queries_that_read_documents_twice_store_them(spark, lake):
+    lake.forget()
+    Q.queries()["h07_highest_score"](spark, SMALL)
+    assert lake.stored
+
+
+def test_documents_are_texts_of_their_nested_form(spark, lake):
+    """Documents put together out of texts are valid, and written again from their nested form they are the same text."""
+    from pyspark.sql import functions as F
+
+    from creaseline.schema import MATCH_DDL
+
+    again = F.to_json(F.from_json("raw_json", MATCH_DDL))
+    flat = lambda c: F.length(F.regexp_replace(c, "\\s", ""))
+    d = lake["bronze"].where("raw_json not like '%replacements%'")
+    assert d.where(F.from_json("raw_json", MATCH_DDL).isNull() | (flat(again) != flat(F.col("raw_json")))).isEmpty()
+    assert not d.isEmpty()
