@@ -82,3 +82,36 @@ def test_documents_are_texts_of_their_nested_form(spark, lake):
     d = lake["bronze"].where("raw_json not like '%replacements%'")
     assert d.where(F.from_json("raw_json", MATCH_DDL).isNull() | (flat(again) != flat(F.col("raw_json")))).isEmpty()
     assert not d.isEmpty()
+
+
+def test_stored_tables_by_match_are_joined_where_they_lie(spark, lake):
+    """Documents and players lie in buckets by match: putting facts together and grouping them by match and more keys sends no row over the network."""
+    lake.store()
+    for name in ("fact_delivery", "fact_player_match"):
+        plan = lake[name]._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "hashpartitioning(match_id" not in plan
+
+
+def test_stored_facts_are_put_together_once(spark, lake):
+    """Both sides of fact_player_match read the files of fact_delivery, and buckets stay those of the first write whatever the session says later."""
+    from creaseline.plans import gold
+
+    expected = rows(gold.fact_player_match(lake))
+    Q.queries()["f11_fact_player_match"](spark, SMALL)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        assert "posexplode" not in lake["fact_player_match"]._jdf.queryExecution().executedPlan().toString()
+        assert rows(lake["fact_player_match"]) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_players_are_resolved_by_what_matches_mention(spark, lake, stored):
+    from creaseline.operators import identity
+
+    if stored:
+        lake.store()
+    expected = identity.resolve(silver.players(lake["info"]), "player_name", lake["registry"], lake["person_identifiers"], lake["name_variations"])
+    assert rows(lake["resolved_players"]) == rows(expected.select(*lake["resolved_players"].columns))
