@@ -87,9 +87,15 @@ def test_documents_are_texts_of_their_nested_form(spark, lake):
 def test_stored_tables_by_match_are_joined_where_they_lie(spark, lake):
     """Documents and players lie in buckets by match: putting facts together and grouping them by match and more keys sends no row over the network."""
     lake.store()
-    for name in ("fact_delivery", "fact_player_match"):
-        plan = lake[name]._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "hashpartitioning(match_id" not in plan
+    assert lake["match_players"].columns
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if all were large
+    try:
+        for name in ("fact_delivery", "fact_player_match"):
+            plan = lake[name]._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "hashpartitioning(match_id" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_stored_facts_are_put_together_once(spark, lake):
